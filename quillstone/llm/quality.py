@@ -18,8 +18,8 @@ FENCE = 3
 METRICS = {
     "word_size": ("100 * word_chars div n_words", True, 100),
     "symbols": ("1000 * n_symbols div n_words", False, 50),
-    "copied_lines": ("1000 * n_dup_lines div n_words", False, 25),
-    "repeats": ("1000 * n_repeat_words div n_words", False, 150),
+    "copied_lines": ("1000 * n_dup_lines div n_words", False, 60),
+    "repeats": ("1000 * n_repeat_words div n_words", False, 350),
     "capitals": ("1000 * n_capitals div word_chars", False, 150),
 }
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -167,7 +167,7 @@ l as (
   from q1 join q2 on q1.lang is not distinct from q2.lang and q1.metric = q2.metric join q3 on q1.metric = q3.metric),
 b as (
   select lang, source, max(hi + 3 * (hi - lo) + 100) filter (metric = 'word_size') wh, max(lo - 3 * (hi - lo) - 100) filter (metric = 'word_size') wl, max(hi + 3 * (hi - lo) + 50) filter (metric = 'symbols') sh,
-    max(hi + 3 * (hi - lo) + 25) filter (metric = 'copied_lines') ch, max(hi + 3 * (hi - lo) + 150) filter (metric = 'repeats') rh, max(hi + 3 * (hi - lo) + 150) filter (metric = 'capitals') kh
+    max(hi + 3 * (hi - lo) + 60) filter (metric = 'copied_lines') ch, max(hi + 3 * (hi - lo) + 350) filter (metric = 'repeats') rh, max(hi + 3 * (hi - lo) + 150) filter (metric = 'capitals') kh
   from l group by all)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, base_failed,
   case when base_failed then false else coalesce(100 * word_chars // n_words <= wh and 100 * word_chars // n_words >= wl and 1000 * n_symbols // n_words <= sh and 1000 * n_dup_lines // n_words <= ch
