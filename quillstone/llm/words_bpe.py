@@ -13,11 +13,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import input_bytes, materialize, ship, shuffle_partitions
+from quillstone.llm.common import input_bytes, ship, shuffle_partitions
 from quillstone.llm.tokens import tokenizer_path
 
-#: Distinct words that close a block of documents. A block's word numbers then fit 16 bits, unless one document has more.
-BLOCK_WORDS = 60_000
+#: Distinct words that close a block of documents: a block's dictionary stays within some 40 MB of a worker.
+BLOCK_WORDS = 250_000
 #: White space of the tokenizer's pattern; unlike Python's it lacks \x1c to \x1f.
 SPACE = re.compile("[\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 CODEC = "zstd"
@@ -69,11 +69,31 @@ def _unpair(data: bytes) -> tuple[bytes, bytes]:
     return data[8:cut], data[cut:]
 
 
+_TOKENIZERS: dict[str, tuple] = {}
+
+
 def _special(path: str):
-    from tokenizers import Tokenizer
+    """The tokenizer and the pattern of its special tokens, loaded once a process. Words come normalised and with special tokens apart, so it does neither."""
+    if path not in _TOKENIZERS:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        tok.normalizer = None
+        tok.encode_special_tokens = True
+        _TOKENIZERS[path] = tok, re.compile("(" + "|".join(re.escape(t.content) for t in tok.get_added_tokens_decoder().values()) + ")")
+    return _TOKENIZERS[path]
 
-    tok = Tokenizer.from_file(path)
-    return tok, re.compile("(" + "|".join(re.escape(t.content) for t in tok.get_added_tokens_decoder().values()) + ")")
+
+def _numbers(values: np.ndarray) -> bytes:
+    """32-bit numbers, compressed byte by byte: all lowest bytes first."""
+    return _press(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _read_numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(_open(data), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
 def _bucket(word: str, buckets: int) -> int:
@@ -82,11 +102,11 @@ def _bucket(word: str, buckets: int) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets
 
 
-SPLIT = "kind int, block long, bucket int, doc_id long, words long, data binary"
+SPLIT = "kind int, k long, block long, doc_id long, words long, data binary"
 
 
 def _split(path: str, buckets: int):
-    """Rows of two kinds: 0, a document's word numbers in its block; 1, the block's distinct words of a bucket with their numbers."""
+    """Rows of two kinds: 0, a document's word numbers in its block, with the block as key k; 1, the block's distinct words of a bucket, with the bucket (as -1 - bucket) as key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, special = _special(path)
@@ -94,26 +114,28 @@ def _split(path: str, buckets: int):
         number: dict[str, int] = {}
         docs: list[tuple[int | None, np.ndarray]] = []
 
-        def rows(kind, bucket, ids, words, data):
+        def rows(kind, keys, ids, words, data):
             n = len(data)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, block)), pa.array(bucket, pa.int32()), pa.array(ids, pa.int64()), pa.array(words, pa.int64()), pa.array(data, pa.binary())], names=[x.split()[0] for x in SPLIT.split(", ")]
+                [pa.array(np.full(n, kind, np.int32)), pa.array(keys, pa.int64()), pa.array(np.full(n, block)), pa.array(ids, pa.int64()), pa.array(words, pa.int64()), pa.array(data, pa.binary())], names=[x.split()[0] for x in SPLIT.split(", ")]
             )
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal block, number, docs
-            kind = "<u2" if len(number) <= 65_536 else "<u4"
-            width = int(kind[2])
             for i in range(0, len(docs), 256):
                 part = docs[i : i + 256]
-                yield rows(0, [width] * len(part), [d for d, _ in part], [len(p) for _, p in part], [_press(p.astype(kind).tobytes()) for _, p in part])
+                yield rows(0, [block] * len(part), [d for d, _ in part], [len(p) for _, p in part], [_numbers(p) for _, p in part])
             held: list[list[str]] = [[] for _ in range(buckets)]
-            for w in number:
-                held[_bucket(w, buckets)].append(w)
-            full = [(b, sorted(w)) for b, w in enumerate(held) if w]
-            if full:
-                data = [_pair(_press("\n".join(w).encode("utf-8", "surrogatepass")), _press(np.array([number[x] for x in w], kind).tobytes())) for _, w in full]
-                yield rows(1, [b for b, _ in full], [None] * len(full), [len(w) for _, w in full], data)
+            places: list[list[int]] = [[] for _ in range(buckets)]
+            for w, i in number.items():
+                b = _bucket(w, buckets)
+                held[b].append(w)
+                places[b].append(i)
+            full = [b for b in range(buckets) if held[b]]
+            for i in range(0, len(full), 64):
+                part = full[i : i + 64]
+                data = [_pair(_press("\n".join(held[b]).encode("utf-8", "surrogatepass")), _numbers(np.diff(np.array(places[b]), prepend=0))) for b in part]
+                yield rows(1, [-1 - b for b in part], [None] * len(part), [len(held[b]) for b in part], data)
             block, number, docs = block + 1, {}, []
 
         for batch in batches:
@@ -129,22 +151,23 @@ def _split(path: str, buckets: int):
     return run
 
 
-CODES = "block long, words long, data binary"
+CODES = "k long, words long, data binary"
 
 
 def _encode(path: str):
-    """Rows come sorted by bucket. A bucket's words are encoded when first seen; each row goes back to its block with word numbers and ids."""
+    """Rows come sorted by key. A bucket's words are encoded when first seen; each row goes back to its block with word numbers and ids. Documents' rows are not its business."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, _ = _special(path)
         ids_of_special = {" " + t.content: [i] for i, t in tok.get_added_tokens_decoder().items()}
-        tok.normalizer = None  # words come normalised
-        tok.encode_special_tokens = True
         known: dict[str, list[int]] = {}
         now = None
         for batch in batches:
             out = []
-            for block, bucket, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 5)), strict=True):
+            for row, kind in enumerate(batch.column(0).to_pylist()):
+                if kind != 1:
+                    continue
+                bucket, block, data = (batch.column(i)[row].as_py() for i in (1, 2, 5))
                 if bucket != now:
                     now, known = bucket, {}
                 packed, numbers = _unpair(data)
@@ -156,48 +179,44 @@ def _encode(path: str):
                     known.update(zip(part, (e.ids for e in tok.encode_batch(part, add_special_tokens=False)), strict=True))
                 known.update((w, ids_of_special[w]) for w in fresh if w[0] == " ")
                 ids = [known[w] for w in words]
-                size = np.fromiter(map(len, ids), np.uint32, len(ids))
-                flat = np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum()))
-                out.append((block, len(words), _pair(_press(size.tobytes() + flat.tobytes()), numbers)))
-            b, n, d = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(d, pa.binary())], names=["block", "words", "data"])
+                flat = [x for i in ids for x in i]
+                out.append((block, len(words), _pair(_numbers(np.array([*map(len, ids), *flat])), numbers)))
+            if out:
+                k, n, d = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(n, pa.int64()), pa.array(d, pa.binary())], names=["k", "words", "data"])
 
     return run
 
 
-def _width(data: bytes, n: int) -> str:
-    return f"<u{len(data) // n}" if n else "<u2"
-
-
 def codes_of(rows: list[tuple[int, bytes]]) -> list[list[int]]:
     """Ids of each word number of a block, from its buckets' rows."""
-    out: dict[int, list[int]] = {}
+    out: list[list[int]] = [[]] * sum(n for n, _ in rows)
     for n, data in rows:
-        codes, numbers = _unpair(data)
-        both, raw = np.frombuffer(_open(codes), "<u4"), _open(numbers)
-        size, flat = both[:n], both[n:].tolist()
-        end = np.cumsum(size).tolist()
-        for number, a, b in zip(np.frombuffer(raw, _width(raw, n)).tolist(), [0, *end[:-1]], end, strict=True):
+        codes, numbers = map(_read_numbers, _unpair(data))
+        flat, end = codes[n:].tolist(), np.cumsum(codes[:n]).tolist()
+        for number, a, b in zip(np.cumsum(numbers).tolist(), [0, *end[:-1]], end, strict=True):
             out[number] = flat[a:b]
-    return [out[i] for i in range(len(out))]
+    return out
 
 
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def _digest(pieces: list[str]):
-    """The documents of one block: their ids and decoded texts, as hashes."""
+    """The documents of one block: their ids and decoded texts, as hashes. Keys of buckets have no documents."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        codes = codes_of(list(zip(right.column("words").to_pylist(), right.column("data").to_pylist(), strict=True)))
-        ids = [" ".join(map(str, c)) for c in codes]
-        said = [" ".join([pieces[i] for i in c]) for c in codes]
-        count = np.fromiter(map(len, codes), np.int64, len(codes))
         rows = []
-        for doc, width, n, data in zip(*(left.column(c).to_pylist() for c in ("doc_id", "bucket", "words", "data")), strict=True):
-            p = np.frombuffer(_open(data), f"<u{width}") if n else np.empty(0, np.uint16)
-            at = p.tolist()
-            rows.append((doc, int(count[p].sum()) if n else 0, hashlib.sha256(" ".join([ids[i] for i in at]).encode()).hexdigest(), hashlib.sha256(" ".join([said[i] for i in at]).encode()).hexdigest()))
+        if left.num_rows and left.column("kind")[0].as_py() == 0:
+            codes = codes_of(list(zip(right.column("words").to_pylist(), right.column("data").to_pylist(), strict=True)))
+            ids = [" ".join(map(str, c)) for c in codes]
+            said = [" ".join([pieces[i] for i in c]) for c in codes]
+            count = np.fromiter(map(len, codes), np.int64, len(codes))
+            sha = lambda parts, at: hashlib.sha256(" ".join([parts[i] for i in at]).encode()).hexdigest()
+            for doc, n, data in zip(*(left.column(c).to_pylist() for c in ("doc_id", "words", "data")), strict=True):
+                p = _read_numbers(data) if n else np.empty(0, np.uint32)
+                at = p.tolist()
+                rows.append((doc, int(count[p].sum()) if n else 0, sha(ids, at), sha(said, at)))
         d, c, i, s = zip(*rows, strict=True) if rows else ((),) * 4
         return pa.table({"doc_id": pa.array(d, pa.int64()), "n_tokens": pa.array(c, pa.int64()), "ids_sha256": pa.array(i, pa.string()), "decoded_sha256": pa.array(s, pa.string())})
 
@@ -222,9 +241,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     ship(spark)
     path = path or tokenizer_path("word_bpe_49k.json")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    parts = shuffle_partitions(spark)
-    split = materialize(rows.mapInArrow(_split(path, bucket_count(input_bytes(docs))), SPLIT), compression="none", partition_by="kind")
-    words = split.filter("kind = 1").select("kind", "block", "bucket", "doc_id", "words", "data").repartition(parts, "bucket").sortWithinPartitions("bucket")
-    codes = words.mapInArrow(_encode(path), CODES)
-    placed = split.filter("kind = 0").select("block", "bucket", "doc_id", "words", "data")
-    return placed.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(_digest(piece_table(path)), DIGEST)
+    # One shuffle carries both kinds of rows, by block and by bucket; both readers below share it.
+    split = rows.mapInArrow(_split(path, bucket_count(input_bytes(docs))), SPLIT).repartition(shuffle_partitions(spark), "k")
+    codes = split.sortWithinPartitions("k").mapInArrow(_encode(path), CODES)
+    return split.groupBy("k").cogroup(codes.groupBy("k")).applyInArrow(_digest(piece_table(path)), DIGEST)
