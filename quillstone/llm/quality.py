@@ -133,8 +133,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with docs' own columns. Two passes: one for the limits, one that measures and filters without moving texts."""
     limits = materialize(thresholds(sketch(quality_metrics(docs.select("text", "lang", "source")).drop("text"))))
-    names = docs.columns
-    whole = docs.select(F.struct(*names).alias("_row"), "text", "lang", "source")
+    whole = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), "text", "lang", "source")
     return judge(quality_metrics(whole), limits).filter("kept").select("_row.*")
 
 

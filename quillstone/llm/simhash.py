@@ -271,18 +271,20 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """One document of each component: its smallest doc_id; of rows with that same doc_id (or, without any, with null) the one with the smallest text hash. Texts are shuffled once, by row keys."""
-    text_key = F.xxhash64(F.coalesce("text", F.lit("")), *[c for c in docs.columns if c not in ("text", "doc_id")])
+    """The rows of docs without near copies: of each component the row with the smallest doc_id stays, of rows with that same id the one with the smallest hash of its text.
+
+    Rows that are equal in id and text leave one row. Null ids come after all others; where a component has no id at all, each of its fingerprints keeps a row. Null and empty texts are one group. docs may have any further columns; they stay.
+    Texts are shuffled by row keys alone, so no group of copies meets in one task.
+    """
     ship(docs.sparkSession)
-    keyed = docs.withColumn("row_key", text_key)
-    base = materialize(
-        keyed.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "row_key").alias("doc_id"), F.col("text").cast("string")).mapInArrow(_fingerprints(shingle), "doc_id struct<doc_id:long,row_key:long>, print long")
-    )
-    rows = base.select("doc_id.doc_id", "doc_id.row_key", "print")
-    joined = near_components(rows, radius)
+    row = F.struct(*[f"`{c}`" for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("row_key"))
+    key = F.struct("id", "row_key")
+    prints = keyed.select(key.alias("doc_id"), F.col("row.text").cast("string").alias("text")).mapInArrow(_fingerprints(shingle), "doc_id struct<id:long,row_key:long>, print long")
+    base = materialize(prints.select(F.col("doc_id.id").alias("doc_id"), "doc_id.row_key", "print"))
+    joined = near_components(base, radius)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    best = joined.groupBy(F.coalesce("component_id", "print").alias("g"), F.col("component_id").isNull().alias("none")).agg(F.min(order).alias("o")).select("o.doc_id", "o.row_key").distinct()
-    kept = materialize(best)
-    a, b = keyed.alias("a"), kept.alias("b")
-    hit = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.row_key") == F.col("b.row_key")), "left_semi")
-    return hit.dropDuplicates(["doc_id", "row_key"]).drop("row_key")
+    best = joined.groupBy(F.coalesce("component_id", "print").alias("group"), F.col("component_id").isNull().alias("none")).agg(F.min(order).alias("o"))
+    kept = materialize(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.row_key").alias("kept_key")).distinct())
+    hit = keyed.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key")), "left_semi")
+    return hit.dropDuplicates(["id", "row_key"]).select("row.*")

@@ -1,0 +1,159 @@
+import re
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from quillstone.llm import html_text, licenses, quality, secrets
+from quillstone.llm.automaton import Automaton
+
+
+def test_automaton_agrees_with_re():
+    rules = [(r"a(b|c)+d", False), (r"[0-9]{3,5}x", False), (r"(?:foo|bar)?baz", True), (r"x\x20*[^\x00-\x20y]{2}", False), (r"q[-.\]]*z?", False)]
+    a = Automaton(rules)
+    import random
+
+    r = random.Random(3)
+    texts = ["".join(r.choice("abcdx0123 fozarBAFOyq-.]") for _ in range(r.randint(0, 60))) for _ in range(3000)]
+    found = a.scan([t.encode() for t in texts])
+    for t, bits in zip(texts, found, strict=True):
+        assert bits == sum(1 << k for k, (p, fold) in enumerate(rules) if re.search(p, t, re.I | re.A if fold else re.A))
+
+
+def brute_base(text):
+    """Base spans by plain expressions."""
+    out = []
+    for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.A):
+        out += [(m.start(), 0, m.end())] * (len(m[1]) >= 6)
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def test_secrets(docs, odd, none):
+    import hashlib
+
+    for rows in (docs, odd):
+        got = sorted((str(r.doc_id), r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.find_secrets(rows).collect())
+        want = []
+        for r in rows.collect():
+            b = brute_base(r.text or "")
+            say = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in b)
+            want.append((str(r.doc_id), *(sum(x[1] == k for x in b) for k in range(3)), hashlib.sha256(say.encode()).hexdigest()))
+        assert got == sorted(want)
+    assert secrets.find_secrets(none).count() == 0
+    clean = {r.n_chars: r.text for r in secrets.redact_secrets(odd).collect()}
+    assert len(clean) == odd.count() and clean[3] is None and "hunter2" not in clean[12] and "[access]" in clean[12] and secrets.redact_secrets(odd).columns == odd.columns
+
+
+def test_licenses(docs, odd, none):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    for rows in (docs, odd):
+        got = {(str(r.doc_id), r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan_licenses(rows).collect()}
+        want = set()
+        for r in rows.collect():
+            w = word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+            hits = [(i, label) for p, label in licenses.BASE for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+            at = [i for i, _ in hits]
+            want.add((str(r.doc_id), len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in hits}))))
+        assert got == want
+    assert licenses.scan_licenses(none).count() == 0
+    assert len(licenses.RULES) > 200
+    assert all(0 <= r.score <= 1 for r in licenses.scan_licenses(odd).collect())
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("SPDX-License-Identifier: GPL-3.0-or-later", ["gpl-3"]),
+        ("licensed under the GNU General Public License, version 2", ["gpl-2"]),
+        ("covered under the BSD 3-Clause license", ["bsd-3"]),
+        ("licensed under CC BY-NC-SA 4.0", ["cc-by-nc-sa"]),
+        ("the weather is fine", []),
+    ],
+)
+def test_license_finds(text, labels):
+    assert [f[3] for f in licenses.scan(text)["finds"]] == labels
+
+
+def test_suppression_prefers_priority_and_drops_what_is_inside():
+    assert licenses.suppress([(0, 9, 5, "a", 1.0), (2, 4, 9, "b", 1.0), (8, 12, 1, "c", 1.0), (20, 22, 9, "b", 1.0)]) == [(2, 4, 9, "b", 1.0), (8, 12, 1, "c", 1.0), (20, 22, 9, "b", 1.0)]
+    assert licenses.suppress([(0, 9, 1, "a", 1.0), (2, 4, 9, "b", 1.0)]) == [(0, 9, 1, "a", 1.0)]
+
+
+def test_main_text_of_given_pages(spark, sf):
+    import html
+
+    for r in html_text.extract_pages(spark.read.parquet(f"{sf}/pages.parquet")).join(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), "page_id").collect():
+        body = r.html.split("<article>")[1].split("</article>")[0]
+        blocks = (" ".join(html.unescape(re.sub(r"<(?!/?(?:p|h1)\b)[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", body))
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (None, ""),
+        ("", ""),
+        ("<p>one</p><p>two &amp; <b>three</b></p>", "one\n\ntwo & three"),
+        ("plain text only", "plain text only"),
+        ("<body><nav><a href=x>Home</a></nav><main><h1>T</h1><p>Some long text of the article, really long enough.</p><p>Be.</p></main><aside>See also</aside><footer>f</footer>", "T\n\nSome long text of the article, really long enough.\n\nBe."),
+        ("<body><div class='content'><h1>T</h1><p>Some long text of the article, really long enough.</p><div class='comments'><p>I disagree.</p></div></div><div class='cookie-notice'>We use cookies.</div>", "T\n\nSome long text of the article, really long enough."),
+        ("<article><p>kept <script>x()</script>text</p><form><p>Your mail</p></form></article>", "kept text"),
+        ("<div>unclosed <p>para <div>x</div>", "unclosed\n\npara\n\nx"),
+    ],
+)
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_pages_with_nulls(spark):
+    rows = spark.createDataFrame([(1, None, None, 1), (None, "u", "<p>a", 2), (1, None, None, 1)], "page_id long, url string, html string, text int")
+    assert sorted((str(r.page_id), r.text, r.n_chars) for r in html_text.extract_pages(rows).collect()) == [("1", "", 0), ("1", "", 0), ("None", "a", 1)]
+    assert html_text.extract_pages(rows.limit(0)).count() == 0
+
+
+def brute_repeats(words):
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    return len({p + k for p, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)})
+
+
+def test_quality_measures(odd, none):
+    for r in quality.quality_metrics(odd.filter("doc_id <> 7 or doc_id is null")).collect():
+        t = r.text or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        n, rep = len(w), brute_repeats(w)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), rep)
+        assert r.base_failed == (n < 50 or 100 * rep > 50 * n)
+    assert quality.quality_rules(none).count() == 0 and quality.keep_good(none).count() == 0
+    kept = quality.keep_good(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} <= {1, 2, 3, None}
+
+
+def test_quality_against_sql_and_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = quality.quality_rules(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    c = duckdb.connect()
+    c.sql(f"create view documents as select * from '{sf}/documents.parquet'")
+    want = c.sql(quality.SQL).df()
+    assert sorted(map(tuple, rows)) == sorted(want[rows[0].__fields__].itertuples(index=False, name=None))
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    seen = [(label[r.doc_id], r.kept) for r in rows if r.doc_id in label and not r.base_failed]
+    good, bad = [k for q, k in seen if q], [k for q, k in seen if not q]
+    assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.05
+
+
+def test_sketches_merge_and_bound_the_error(spark):
+    values = spark.range(5000).selectExpr("'en' lang", "cast(id % 2 as string) source", "id * id % 99991 + 1 as word_chars", "1L n_words", "0L n_symbols", "0L n_dup_lines", "0L n_repeat_words", "0L n_capitals", "false base_failed")
+    sketch = quality.sketch(values)
+    both = {r.metric: r for r in quality._quartiles(sketch, ["lang"]).collect()}["word_size"]
+    exact = sorted(100 * (i * i % 99991 + 1) for i in range(5000))
+    assert exact[1249] * 31 / 32 <= both.q1 <= exact[1249] and exact[3749] * 31 / 32 <= both.q3 <= exact[3749] and both.rows == 5000
+
+
+def test_operators_let_import_errors_out():
+    for p in Path(quality.__file__).parent.glob("*.py"):
+        assert "except ImportError" not in p.read_text()
+    assert "quillstone.llm" in sys.modules
