@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from quillstone.functions.text import trim
 
@@ -35,7 +36,7 @@ def is_smalltalk(text: Column) -> Column:
     return smalltalk_form(text).isin(SMALLTALK)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def is_near_smalltalk(text: pd.Series) -> pd.Series:
     """At most three words, the first close to a greeting: lengths at most 2 apart and a difflib ratio of 0.8 or more."""
 
