@@ -53,4 +53,4 @@ def op10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_html, op4_licenses, op5_sharding, op6_neighbours, op7_token_shards, op8_simhash, op9_secrets, op10_words)}
-ORACLES = {"op2_quality": quality.SQL}
+ORACLES = {"op2_quality": quality.SQL, "op6_neighbours": vptree.SQL}
