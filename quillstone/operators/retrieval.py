@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -76,7 +77,8 @@ def hybrid_search(chunks: DataFrame, question: str, clearance: str, departments:
     Filters come before both rankings. Ties: higher rrf_score, then semantic place, then lexical place. by_department ranks every department on its own and fuses all lists.
     """
     keys = list(key)
-    seen = visible(chunks, clearance, departments)
+    # Both rankings, the word counts and the final lookup read these rows: they are cached, spilling to disk, until the session's cache is cleared.
+    seen = visible(chunks, clearance, departments).select(*keys, "content", "department", "sensitivity").persist(StorageLevel.MEMORY_AND_DISK)
     query = embed_query(chunks.sparkSession, question)
     groups = [seen.filter(F.coalesce("department", F.lit("General")) == d) for d in sorted(access.DEPARTMENTS)] if by_department else [seen]
     lists, scores = [], []
