@@ -11,6 +11,7 @@ from quillstone.functions import access, dialogue, text as T
 from quillstone.operators import accuracy, chunking, index, quality_report, registry, retrieval, session, validation
 from quillstone.plans import views as V
 from quillstone.plans.views import QUESTION, RANK, WORDS, WS, ranking_ctes, sql
+from quillstone.session import ship
 from quillstone.sources import files
 from quillstone.streaming import ingest
 
@@ -442,6 +443,7 @@ def smalltalk_exact(spark, sf_dir):
 
 @query()
 def smalltalk_fuzzy(spark, sf_dir):
+    ship(spark)
     typed = F.concat(F.when(F.col("turn") % 2 == 0, "helo ").otherwise("hellow "), F.substring_index("text", " ", 2))
     return V.table(spark, sf_dir, "conversations").select("conv_id", "turn", dialogue.is_near_smalltalk(typed).alias("smalltalk"))
 

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.session import ship
+
 #: Extensions that are taken.
 EXTENSIONS = ["pdf", "docx", "pptx", "xlsx", "html", "csv", "txt"]
 
@@ -96,6 +98,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def html_markdown(pages: DataFrame) -> DataFrame:
     """page_id, url, title, markdown of HTML pages (page_id, url, html)."""
+    ship(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInArrow(_pages, "page_id long, url string, title string, markdown string")
 
 
