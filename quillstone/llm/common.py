@@ -1,18 +1,16 @@
-"""Helpers that the training-data operators share: shipping the package, shared scratch tables, size checks."""
+"""Helpers that the training-data operators share: shared scratch tables and size checks."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = Path(__file__).resolve().parents[2]
-PACKAGE = Path(__file__).resolve().parents[1]
+from quillstone.session import ship
+
+__all__ = ["input_bytes", "materialize", "shared_dir", "ship", "shuffle_partitions", "small", "table"]
 
 #: Rows up to which a small table (thresholds, offsets) is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
@@ -22,26 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that don't have its folder on their path."""
-    sc = spark.sparkContext
-    known = {os.path.realpath(p or ".") for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]}
-    if str(ROOT) in known or getattr(sc, "_quillstone_shipped", False):
-        return
-    out = Path(tempfile.mkdtemp(prefix="quillstone-")) / "quillstone.zip"
-    with zipfile.ZipFile(out, "w") as z:
-        for p in PACKAGE.rglob("*.py"):
-            z.write(p, p.relative_to(ROOT))
-    sc.addPyFile(str(out))
-    sc._quillstone_shipped = True
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, spark.checkpoint.dir. Only a local session may go without: it gets a folder of its own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     at = f"file://{tempfile.mkdtemp(prefix='quillstone-')}"
     spark.conf.set("spark.checkpoint.dir", at)
