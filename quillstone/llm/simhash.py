@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import materialize, ship
+from quillstone.llm.common import materialize, ship, small
 from quillstone.llm.components import connected_components
 
 SEED = 42
@@ -18,28 +18,48 @@ SEED = 42
 OCCUPANCY = 8
 #: Lanes of one bit-sliced comparison. Larger blocks are cut into pairs of chunks.
 LANES = 2048
+#: Near copies: bands and minima of a band's key (texts at similarity 0.8 share a band in 99.98 of 100 cases), and the bits by which prints may differ before their shingles are compared (5-word prints at 0.8 differ by 10 on average, 2.9 standard deviation).
+BANDS, BAND_ROWS, COPY_RADIUS = 16, 4, 20
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """64-bit SimHash of the text's word shingles, repeats included; 0 without words."""
+def shingle_hashes(text: str | None, shingle: int = 3) -> np.ndarray:
+    """Hashes of the text's word shingles in order, repeats included; of fewer words, one of all; none without words."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: lowers A-Z alone, cuts at \\x20 and \\x09-\\x0D
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
-    n = len(words) - shingle + 1
-    if n <= 1:
-        return xxhash.xxh64_intdigest(line, SEED)
+    n = max(1, len(words) - shingle + 1)
     size = np.fromiter(map(len, words), np.int64, len(words))
     end = np.cumsum(size + 1) - 1
     start = (end - size)[:n].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter([digest(line[a:b], SEED) for a, b in zip(start, end[shingle - 1 :].tolist(), strict=True)], ">u8", n)
+    return np.fromiter([digest(line[a:b], SEED) for a, b in zip(start, end[-n:].tolist(), strict=True)], np.uint64, n)
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half the hashes."""
     ones = np.zeros(64, np.int64)
-    for i in range(0, n, 8192):
-        ones += np.unpackbits(hashes[i : i + 8192].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    for i in range(0, len(hashes), 8192):
+        ones += np.unpackbits(hashes[i : i + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """64-bit SimHash of the text's word shingles, repeats included; 0 without words."""
+    return simhash(shingle_hashes(text, shingle))
+
+
+def band_keys(hashes: np.ndarray, bands: int, rows: int) -> list[int]:
+    """A key for each band: the hash of `rows` minima of the shingles' hashes under odd multipliers. None without shingles."""
+    import xxhash
+
+    if not len(hashes):
+        return []
+    odd = np.random.default_rng(SEED).integers(1, 2**63, bands * rows, dtype=np.uint64) | np.uint64(1)
+    least = np.min([np.multiply.outer(hashes[i : i + 4096], odd).min(0) for i in range(0, len(hashes), 4096)], axis=0)
+    return [xxhash.xxh64_intdigest(least[i : i + rows].tobytes(), SEED) for i in range(0, bands * rows, rows)]
 
 
 def _fingerprints(shingle: int):
@@ -123,27 +143,44 @@ def slice_bits(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return planes, np.packbits(used, bitorder="little").view("<u8").copy()
 
 
+def _forest(a: np.ndarray, b: np.ndarray, bits: np.ndarray, nodes: int) -> np.ndarray:
+    """Places of the edges that form a least spanning forest: whatever edges of up to some number of bits join, those of the forest with no more bits join too."""
+    label = np.arange(nodes)
+    out = []
+    for value in np.unique(bits):
+        now = np.flatnonzero(bits == value)
+        now = now[label[a[now]] != label[b[now]]]
+        if not len(now):
+            continue
+        parent = label.tolist()
+        for i, x, y in zip(now.tolist(), a[now].tolist(), b[now].tolist(), strict=True):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            while parent[y] != y:
+                parent[y] = y = parent[parent[y]]
+            if x != y:
+                parent[x] = y
+                out.append(i)
+        label = np.array(parent)
+        while (label != (up := label[label])).any():
+            label = up
+    return np.array(out, np.int64)
+
+
 def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
-    """Links that join what is at most `radius` bits apart: all prints of left, or each of left with each of right. Of several ways to link the same prints, enough are returned to keep them joined."""
+    """Links that join what is at most `radius` bits apart: all prints of left, or each of left with each of right. Of several ways to link the same prints, the nearest are returned that keep them joined."""
     other = left if right is None else right
     planes, used = slice_bits(other)
-    parent = list(range(len(left) + len(other)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
     shift = 0 if right is None else len(left)
+    everyone = left if right is None else np.concatenate([left, right])
+    a = b = bits = np.empty(0, np.int64)
     for i in range(0, len(left), 256):
-        for row, lane in near_lanes(planes, left[i : i + 256], used, radius):
-            a, b = find(row + i), find(lane + shift)
-            if a != b:
-                parent[a] = b
-                out.append((int(left[row + i]), int(other[lane])))
-    return out
+        found = np.array(near_lanes(planes, left[i : i + 256], used, radius), np.int64).reshape(-1, 2)
+        a, b = np.concatenate([a, found[:, 0] + i]), np.concatenate([b, found[:, 1] + shift])
+        bits = np.bitwise_count(everyone[a] ^ everyone[b])
+        kept = _forest(a, b, bits, len(everyone))
+        a, b = a[kept], b[kept]
+    return list(zip(everyone[a].tolist(), everyone[b].tolist(), strict=True))
 
 
 def _compare(radius: int):
@@ -222,19 +259,21 @@ def key_tables(rows: int, radius: int, occupancy: int = OCCUPANCY) -> list[list[
 
 
 def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """Links (src, dst) among the distinct values of prints.print that join all values at most `radius` bits apart.
-
-    A block is the prints with the same key in a table. Blocks over LANES prints are cut into chunks by a hash, and each pair of chunks is compared in a task of its own.
-    """
-    spark = prints.sparkSession
-    rows = prints.count()
+    """Links (src, dst) among the distinct values of prints.print that join all values at most `radius` bits apart. A block is the prints with the same key in a table."""
     parts = []
-    for t, ranges in enumerate(key_tables(rows, radius)):
+    for t, ranges in enumerate(key_tables(prints.count(), radius)):
         key = F.lit(0).cast("long")
         for start, size in ranges:
             key = key.bitwiseOR(F.shiftleft(F.shiftrightunsigned("print", start).bitwiseAND(F.lit((1 << size) - 1)), sum(s for a, s in ranges if a < start)))
         parts.append(F.struct(F.lit(t).alias("t"), key.alias("key")))
-    keyed = prints.select("print", F.inline(F.array(*parts)))
+    return compare_blocks(prints.select("print", F.inline(F.array(*parts))), radius)
+
+
+def compare_blocks(keyed: DataFrame, radius: int) -> DataFrame:
+    """Links (src, dst) that join the prints of each block (t, key) of keyed (print, t, key) at most `radius` bits apart.
+
+    Blocks over LANES prints are cut into chunks by a hash, and each pair of chunks is compared in a task of its own.
+    """
     full = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("chunks", F.ceil(F.col("n") / LANES).cast("int")).drop("n")
     chunk = F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int")
     placed = keyed.join(full, ["t", "key"]).withColumn("chunk", chunk)
@@ -245,14 +284,14 @@ def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     )
     dealt = placed.select("t", "key", "print", F.inline(meets))
     ready = dealt.select("t", "key", "c", "d", "print", "side").repartition(F.col("t"), F.col("key"), F.col("c"), F.col("d")).sortWithinPartitions("t", "key", "c", "d")
-    ship(spark)
+    ship(keyed.sparkSession)
     return ready.mapInArrow(_compare(radius), "src long, dst long").distinct()
 
 
-def near_components(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """Every row of prints (doc_id, print) with component_id, the smallest doc_id that links reach. Rows with equal prints are linked. Null doc_ids count in no minimum; a component of them alone has null."""
+def near_components(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """Every row of prints (doc_id, print) with component_id, the smallest doc_id that links (src, dst) between prints reach. Rows with equal prints are linked. Null doc_ids count in no minimum; a component of them alone has null."""
     classes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")))
-    nodes = materialize(connected_components(near_links(classes.select("print"), radius)))
+    nodes = materialize(connected_components(links))
     named = nodes.join(classes, nodes["node"] == classes["print"]).select("node", "root", "first_id")
     lowest = named.groupBy("root").agg(F.min("first_id").alias("low"))
     labels = nodes.join(lowest, "root").select(F.col("node").alias("print"), "low")
@@ -266,25 +305,58 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
     Null and empty texts have fingerprint zero and are linked like any other; texts shorter than a shingle are one shingle; repeated rows keep one row each; an empty table gives none.
     """
     prints = materialize(fingerprints(docs, shingle))
-    out = near_components(prints, radius)
+    out = near_components(prints, near_links(materialize(prints.select("print").distinct()), radius))
     return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of docs without near copies: of each component the row with the smallest doc_id stays, of rows with that same id the one with the smallest hash of its text.
+def _sketches(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(1)]
+            prints = np.fromiter(map(simhash, hashes), np.uint64, batch.num_rows).view(np.int64)
+            bands = [np.array(band_keys(h, BANDS, BAND_ROWS), np.uint64).view(np.int64) for h in hashes]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array(bands, pa.list_(pa.int64()))], names=["key", "print", "bands"])
+
+    return run
+
 
+def _shingle_sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["print", "shingles"])
+
+    return run
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = COPY_RADIUS) -> DataFrame:
+    """The rows of docs without near copies: texts that share at least `similarity` of their shingles (intersection by union) are linked, and of each component the row with the smallest doc_id stays, of rows with that same id the one with the smallest hash of its text.
+
+    Candidates are prints at most `radius` bits apart, compared bit-sliced in blocks of equal band keys; every candidate link is then held against the whole sets of shingles. Fingerprints are those of the distinct shingles, and texts with equal ones are linked without that.
+    In a block of over 32 prints the nearest links that join them are candidates, so links grow with the rows and not with their square.
     Rows that are equal in id and text leave one row. Null ids come after all others; where a component has no id at all, each of its fingerprints keeps a row. Null and empty texts are one group. docs may have any further columns; they stay.
     Texts are shuffled by row keys alone, so no group of copies meets in one task.
     """
     ship(docs.sparkSession)
     row = F.struct(*[f"`{c}`" for c in docs.columns])
     keyed = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("row_key"))
-    key = F.struct("id", "row_key")
-    prints = keyed.select(key.alias("doc_id"), F.col("row.text").cast("string").alias("text")).mapInArrow(_fingerprints(shingle), "doc_id struct<id:long,row_key:long>, print long")
-    base = materialize(prints.select(F.col("doc_id.id").alias("doc_id"), "doc_id.row_key", "print"))
-    joined = near_components(base, radius)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    same_row = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key"))
+
+    texts = keyed.select(F.struct("id", "row_key").alias("key"), F.col("row.text").cast("string").alias("text"))
+    sketches = texts.mapInArrow(_sketches(shingle), "key struct<id:long,row_key:long>, print long, bands array<long>")
+    base = materialize(sketches.select(F.col("key.id").alias("doc_id"), "key.row_key", "print", "bands"))
+    firsts = base.groupBy("print").agg(F.min(F.struct(order.alias("o"), "bands")).alias("f"))
+    classes = materialize(firsts.select("print", F.col("f.o.doc_id").alias("kept_id"), F.col("f.o.row_key").alias("kept_key"), "f.bands"))
+    pairs = materialize(compare_blocks(classes.select("print", F.posexplode("bands").alias("t", "key")), radius))
+
+    asked = materialize(classes.join(pairs.select(F.explode(F.array("src", "dst")).alias("print")).distinct(), "print").select("print", "kept_id", "kept_key"))
+    held = keyed.join(small(asked), same_row).dropDuplicates(["print"]).select("print", F.col("row.text").cast("string").alias("text"))
+    sets = materialize(held.mapInArrow(_shingle_sets(shingle), "print long, shingles array<long>"))
+    one, two = sets.select(F.col("print").alias("src"), F.col("shingles").alias("a")), sets.select(F.col("print").alias("dst"), F.col("shingles").alias("b"))
+    measured = pairs.join(one, "src").join(two, "dst").select("src", "dst", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.size(F.array_intersect("a", "b")).alias("common"))
+    joined = near_components(base.drop("bands"), measured.filter(F.col("common") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("src", "dst"))
+
     best = joined.groupBy(F.coalesce("component_id", "print").alias("group"), F.col("component_id").isNull().alias("none")).agg(F.min(order).alias("o"))
     kept = materialize(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.row_key").alias("kept_key")).distinct())
-    hit = keyed.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key")), "left_semi")
-    return hit.dropDuplicates(["id", "row_key"]).select("row.*")
+    return keyed.join(kept, same_row, "left_semi").dropDuplicates(["id", "row_key"]).select("row.*")

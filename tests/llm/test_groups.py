@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -86,14 +87,58 @@ def test_simhash_components(docs, odd, none):
     assert simhash.simhash_components(none).count() == 0
 
 
-def test_one_document_of_each_component_stays(docs, odd, none):
-    want = {c for _, _, c in brute_components([(r.doc_id, r.text) for r in docs.collect()])}
-    assert {str(r.doc_id) for r in simhash.drop_near_copies(docs).collect()} == want
+def brute_copies(rows, similarity=0.8, shingle=5):
+    """Smallest doc_id of each component of texts that share at least `similarity` of their word shingles."""
+    sets = []
+    for _, t in rows:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", w) if x]
+        sets.append({tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set())
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    least = {}
+    for (d, _), g in zip(rows, group, strict=True):
+        least[g] = min((x for x in (least.get(g), d) if x is not None), default=None)
+    return set(least.values())
+
+
+def edited(docs, spark):
+    """The documents with copies of some, in which every twentieth or every third word is another."""
+    texts = sorted((r.doc_id, r.text) for r in docs.filter("text is not null").collect())[:300]
+    more = []
+    for d, t in texts[:60]:
+        w = t.split(" ")
+        more += [(1_000_000 + k * 10_000 + d, " ".join("other" if i % step == step - 1 else x for i, x in enumerate(w))) for k, step in enumerate((90, 60, 20, 3))]
+    return spark.createDataFrame(texts + more, "doc_id long, text string")
+
+
+def test_one_document_of_each_group_of_near_copies_stays(spark, docs, odd, none):
+    for rows in (docs, edited(docs, spark)):
+        assert {r.doc_id for r in simhash.drop_near_copies(rows).collect()} == brute_copies([(r.doc_id, r.text) for r in rows.collect()])
     kept = simhash.drop_near_copies(odd)
     assert kept.columns == odd.columns and len(kept.filter("doc_id = 1").collect()) == 1
     assert simhash.drop_near_copies(none).count() == 0
 
 
+def test_nearest_links_of_a_large_block_keep_it_joined():
+    p = near_family(60)
+    got = simhash.links(p, None, 12)
+    for radius in range(13):
+        near = np.bitwise_count(p[:, None] ^ p[None, :]) <= radius
+        place = {int(x): i for i, x in enumerate(p)}
+        mine = np.eye(len(p), dtype=bool)
+        for a, b in got:
+            if (a ^ b).bit_count() <= radius:
+                mine[place[a], place[b]] = mine[place[b], place[a]] = True
+        for _ in range(10):
+            near, mine = near @ near, mine @ mine
+        assert (near == mine).all()
+
+
 def near_family(n=300):
     r = np.random.default_rng(1)
     base = r.integers(0, 2**63, 3, dtype=np.uint64)
@@ -114,7 +159,7 @@ def test_large_blocks_are_cut_without_losing_links(spark, monkeypatch):
     monkeypatch.setattr(simhash, "LANES", 64)
     p = near_family()
     rows = spark.createDataFrame([(i, int(x)) for i, x in enumerate(p.view(np.int64))], "doc_id long, print long")
-    got = {r.doc_id: r.component_id for r in simhash.near_components(rows).collect()}
+    got = {r.doc_id: r.component_id for r in simhash.near_components(rows, simhash.near_links(rows)).collect()}
     d = np.bitwise_count(p[:, None] ^ p[None, :]) <= 3
     label = np.arange(len(p))
     while True:

@@ -3,7 +3,7 @@ from pathlib import Path
 
 import corpus_pipeline
 from quillstone.llm import queries, quality, secrets
-from test_groups import brute_components
+from test_groups import brute_copies
 from test_packing_tokens import check_pieces
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -14,7 +14,7 @@ def test_pipeline_against_plain_steps(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = {r.doc_id for r in quality.quality_rules(docs).filter("kept").collect()}
     texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in kept}
-    names = {int(c) for _, _, c in brute_components(sorted(texts.items()))}
+    names = brute_copies(sorted(texts.items()))
     clean = sorted((i, secrets.redact(texts[i], secrets.measure(texts[i], (1 << len(secrets.RULES)) - 1))) for i in names)
     assert not any(re.search(r"[0-9a-f]{24}", t) for _, t in clean)
     rows = corpus_pipeline.run(spark, sf)
