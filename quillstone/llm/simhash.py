@@ -272,7 +272,7 @@ def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
 def compare_blocks(keyed: DataFrame, radius: int) -> DataFrame:
     """Links (src, dst) that join the prints of each block (t, key) of keyed (print, t, key) at most `radius` bits apart.
 
-    Blocks over LANES prints are cut into chunks by a hash, and each pair of chunks is compared in a task of its own.
+    Blocks over LANES prints are cut into chunks by a hash, and each pair of chunks is compared in a task of its own. Prints come in order, so that ties fall alike in every run.
     """
     full = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("chunks", F.ceil(F.col("n") / LANES).cast("int")).drop("n")
     chunk = F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int")
@@ -283,7 +283,7 @@ def compare_blocks(keyed: DataFrame, radius: int) -> DataFrame:
         lambda d: F.struct(F.least("chunk", d).alias("c"), F.greatest("chunk", d).alias("d"), F.when(d == F.col("chunk"), 0).when(F.col("chunk") < d, 1).otherwise(2).cast("tinyint").alias("side")),
     )
     dealt = placed.select("t", "key", "print", F.inline(meets))
-    ready = dealt.select("t", "key", "c", "d", "print", "side").repartition(F.col("t"), F.col("key"), F.col("c"), F.col("d")).sortWithinPartitions("t", "key", "c", "d")
+    ready = dealt.select("t", "key", "c", "d", "print", "side").repartition(F.col("t"), F.col("key"), F.col("c"), F.col("d")).sortWithinPartitions("t", "key", "c", "d", "print")
     ship(keyed.sparkSession)
     return ready.mapInArrow(_compare(radius), "src long, dst long").distinct()
 
