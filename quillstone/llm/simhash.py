@@ -340,8 +340,10 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     ship(docs.sparkSession)
     row = F.struct(*[f"`{c}`" for c in docs.columns])
     keyed = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("row_key"))
+    keyed = keyed.withColumns({"known_id": F.coalesce("id", F.lit(0)), "no_id": F.col("id").isNull()})
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    same_row = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key"))
+    # plain equalities, so that dropping repeated rows needs no shuffle after the join's
+    same_row = (F.col("known_id") == F.coalesce("kept_id", F.lit(0))) & (F.col("no_id") == F.col("kept_id").isNull()) & (F.col("row_key") == F.col("kept_key"))
 
     texts = keyed.select(F.struct("id", "row_key").alias("key"), F.col("row.text").cast("string").alias("text"))
     sketches = texts.mapInArrow(_sketches(shingle), "key struct<id:long,row_key:long>, print long, bands array<long>")
@@ -359,4 +361,4 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     best = joined.groupBy(F.coalesce("component_id", "print").alias("group"), F.col("component_id").isNull().alias("none")).agg(F.min(order).alias("o"))
     kept = materialize(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.row_key").alias("kept_key")).distinct())
-    return keyed.join(kept, same_row, "left_semi").dropDuplicates(["id", "row_key"]).select("row.*")
+    return keyed.join(kept, same_row, "left_semi").dropDuplicates(["known_id", "no_id", "row_key"]).select("row.*")
