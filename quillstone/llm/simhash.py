@@ -18,6 +18,8 @@ SEED = 42
 OCCUPANCY = 8
 #: Lanes of one bit-sliced comparison. Larger blocks are cut into pairs of chunks.
 LANES = 2048
+#: Prints of a block up to which all its near pairs are candidates, and shingles that a chunk holds where whole sets are compared.
+WHOLE, CHUNK_SHINGLES = 32, 4_000_000
 #: Near copies: bands and minima of a band's key (texts at similarity 0.8 share a band in 99.98 of 100 cases), and the bits by which prints may differ before their shingles are compared (5-word prints at 0.8 differ by 10 on average, 2.9 standard deviation).
 BANDS, BAND_ROWS, COPY_RADIUS = 16, 4, 20
 
@@ -183,10 +185,10 @@ def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple
     return list(zip(everyone[a].tolist(), everyone[b].tolist(), strict=True))
 
 
-def _compare(radius: int):
+def _compare(radius: int, tell: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by block; a block is compared when the next one begins. Small blocks share one comparison: their links are kept if the block is the same."""
-        seen: set[tuple[int, int]] = set()
+        seen: set[tuple[int, int, bool]] = set()
         pending: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         key, prints, sides = None, [], []
@@ -209,23 +211,26 @@ def _compare(radius: int):
             pending, held = [], 0
             return out
 
-        def close() -> list[tuple[int, int]]:
+        def close() -> Iterator[pa.RecordBatch]:
             nonlocal held
             block, side = np.array(prints, np.int64).view(np.uint64), np.array(sides, np.int8)
-            if len(block) > 32 or side.any():
-                return pairs_of(block, side)
+            if len(block) > WHOLE or side.any():
+                yield from emit(pairs_of(block, side), True)
+                return
             if len(block) > 1:
                 pending.append((block, side))
                 held += len(block)
-            return small_blocks() if held > 100_000 else []
+            if held > 100_000:
+                yield from emit(small_blocks(), False)
 
-        def emit(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-            fresh = [p for p in {(max(a, b), min(a, b)) for a, b in found} if p not in seen]
+        def emit(found: list[tuple[int, int]], part: bool) -> Iterator[pa.RecordBatch]:
+            fresh = [p for p in {(max(a, b), min(a, b), part) for a, b in found} if p not in seen]
             if len(seen) < 1_000_000:
                 seen.update(fresh)
             if fresh:
-                ends = np.array(fresh, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["src", "dst"])
+                ends = np.array([p[:2] for p in fresh], np.uint64).view(np.int64)
+                out = [pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array([part] * len(fresh))]
+                yield pa.RecordBatch.from_arrays(out if tell else out[:2], names=["src", "dst", "part"] if tell else ["src", "dst"])
 
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy() for i in range(4)])
@@ -234,13 +239,13 @@ def _compare(radius: int):
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if (now := tuple(keys[:, a])) != key:
                     if prints:
-                        yield from emit(close())
+                        yield from close()
                     key, prints, sides = now, [], []
                 prints += value[a:b].tolist()
                 sides += side[a:b].tolist()
         if prints:
-            yield from emit(close())
-        yield from emit(small_blocks())
+            yield from close()
+        yield from emit(small_blocks(), False)
 
     return run
 
@@ -269,12 +274,8 @@ def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     return compare_blocks(prints.select("print", F.inline(F.array(*parts))), radius)
 
 
-def compare_blocks(keyed: DataFrame, radius: int) -> DataFrame:
-    """Links (src, dst) that join the prints of each block (t, key) of keyed (print, t, key) at most `radius` bits apart.
-
-    Blocks over LANES prints are cut into chunks by a hash, and each pair of chunks is compared in a task of its own. Prints come in order, so that ties fall alike in every run.
-    """
-    full = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("chunks", F.ceil(F.col("n") / LANES).cast("int")).drop("n")
+def _deal(keyed: DataFrame, full: DataFrame) -> DataFrame:
+    """The rows of keyed for each pair of chunks (c, d) that they meet in; full has the number of chunks of each block (t, key)."""
     chunk = F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int")
     placed = keyed.join(full, ["t", "key"]).withColumn("chunk", chunk)
     # chunk c meets the chunks d >= c as side 1 and the chunks d <= c as side 2; alone it is side 0
@@ -282,12 +283,125 @@ def compare_blocks(keyed: DataFrame, radius: int) -> DataFrame:
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda d: F.struct(F.least("chunk", d).alias("c"), F.greatest("chunk", d).alias("d"), F.when(d == F.col("chunk"), 0).when(F.col("chunk") < d, 1).otherwise(2).cast("tinyint").alias("side")),
     )
-    dealt = placed.select("t", "key", "print", F.inline(meets))
-    ready = dealt.select("t", "key", "c", "d", "print", "side").repartition(F.col("t"), F.col("key"), F.col("c"), F.col("d")).sortWithinPartitions("t", "key", "c", "d", "print")
+    dealt = placed.select(*keyed.columns, F.inline(meets))
+    return dealt.select("t", "key", "c", "d", "print", "side", *[c for c in keyed.columns if c not in ("t", "key", "print")])
+
+
+def _by_block(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition(F.col("t"), F.col("key"), F.col("c"), F.col("d")).sortWithinPartitions("t", "key", "c", "d", "print")
+
+
+def compare_blocks(keyed: DataFrame, radius: int, tell: bool = False) -> DataFrame:
+    """Links (src, dst) that join the prints of each block (t, key) of keyed (print, t, key) at most `radius` bits apart. tell adds part: whether a block gave the link in place of other near pairs.
+
+    Blocks over LANES prints are cut into chunks by a hash, and each pair of chunks is compared in a task of its own. Prints come in order, so that ties fall alike in every run.
+    """
+    full = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("chunks", F.ceil(F.col("n") / LANES).cast("int")).drop("n")
+    ready = _by_block(_deal(keyed.select("t", "key", "print"), full))
     ship(keyed.sparkSession)
+    if tell:
+        return ready.mapInArrow(_compare(radius, True), "src long, dst long, part boolean").groupBy("src", "dst").agg(F.max("part").alias("part"))
     return ready.mapInArrow(_compare(radius), "src long, dst long").distinct()
 
 
+def similar_links(prints: np.ndarray, sides: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Links that join all prints whose sets share `similarity` of their members, among pairs at most `radius` bits apart: all of side 0, or each of side 1 with each of side 2.
+
+    Pairs already joined, by their classes or by links before, are passed over; every other pair is measured, the nearest first.
+    """
+    right = np.flatnonzero(sides == 2) if sides.any() else np.arange(len(prints))
+    left = np.flatnonzero(sides == 1) if sides.any() else right
+    if not len(left) or not len(right):
+        return []
+    size = np.array([len(x) for x in sets])
+    ends = np.cumsum(size)
+    values, places = np.unique(np.concatenate(sets), return_inverse=True)
+    ids = np.split(places, ends[:-1])
+    label = np.unique(classes, return_inverse=True)[1]
+    has = np.zeros(len(values), bool)
+    planes, used = slice_bits(prints[right])
+    out = []
+    for at in range(0, len(left), 256):
+        found = np.array(near_lanes(planes, prints[left[at : at + 256]], used, radius), np.int64).reshape(-1, 2)
+        row, lane = left[found[:, 0] + at], right[found[:, 1]]
+        fits = (np.minimum(size[row], size[lane]) >= similarity * np.maximum(size[row], size[lane])) & (label[row] != label[lane])
+        if not sides.any():
+            fits &= lane < row
+        row, lane = row[fits], lane[fits]
+        order = np.lexsort((lane, np.bitwise_count(prints[row] ^ prints[lane]), row))
+        row, lane = row[order], lane[order]
+        cuts = np.flatnonzero(np.diff(row)) + 1
+        for some, others in zip(np.split(row, cuts), np.split(lane, cuts), strict=True):
+            if not len(some):
+                continue
+            i = some[0]
+            has[ids[i]] = True
+            for j in others.tolist():
+                if label[i] != label[j]:
+                    common = int(np.count_nonzero(has[ids[j]]))
+                    if common >= similarity * int(size[i] + size[j] - common):
+                        out.append((int(prints[i]), int(prints[j])))
+                        label[label == label[j]] = label[i]
+            has[ids[i]] = False
+    return out
+
+
+def _similar(radius: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by block; a block is compared when the next one begins."""
+        key, parts = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            prints, sides, classes = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            found = similar_links(prints.view(np.uint64), sides, classes, [x for p in parts for x in p[3]], radius, similarity)
+            if found:
+                two = np.array(found, np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], names=["src", "dst"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [batch.num_rows]])
+            columns = [batch.column(i).to_numpy() for i in (4, 5, 6)]
+            lists = batch.column(7)
+            sets = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if (now := tuple(keys[:, a])) != key:
+                    if parts:
+                        yield from close()
+                    key, parts = now, []
+                parts.append((*(c[a:b].copy() for c in columns), [x.copy() for x in sets[a:b]]))
+        if parts:
+            yield from close()
+
+    return run
+
+
+def whole_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Links (src, dst) with the same components as if every candidate pair had been measured, where pairs (src, dst, part) holds some in place of others and links those found similar.
+
+    What links join is one class. Where a pair that stood for others failed, all prints that failed pairs reach from there are one block, in which every pair between classes is measured on the sets of shingles.
+    """
+    nodes = materialize(connected_components(links))
+    done = nodes.select(F.col("node").alias("src"), F.col("root").alias("dst")).filter("src <> dst")
+    of = lambda end: nodes.select(F.col("node").alias(end), F.col("root").alias(f"{end}_class"))
+    classed = pairs.join(of("src"), "src", "left").join(of("dst"), "dst", "left").select(F.coalesce("src_class", "src").alias("src"), F.coalesce("dst_class", "dst").alias("dst"), "part")
+    failed = materialize(classed.filter("src <> dst").groupBy("src", "dst").agg(F.max("part").alias("part")))
+    if failed.filter("part").isEmpty():
+        return done
+    groups = materialize(connected_components(failed.select("src", "dst")))
+    group = groups.select(F.col("node").alias("class"), F.col("root").alias("key"))
+    open_ = failed.filter("part").select(F.col("src").alias("class")).join(group, "class").select("key").distinct()
+    held = sets.select("print", F.size("shingles").alias("size")).join(nodes.withColumnRenamed("node", "print"), "print", "left").select("print", "size", F.coalesce("root", "print").alias("class"))
+    placed = materialize(held.join(group, "class").join(open_, "key", "left_semi").select(F.lit(0).alias("t"), "key", "print", "class", "size"))
+    chunks = F.ceil(F.greatest(F.count("*") / LANES, F.sum("size") / CHUNK_SHINGLES)).cast("int")
+    full = placed.groupBy("t", "key").agg(chunks.alias("chunks"))
+    dealt = _deal(placed.drop("size"), full).join(sets, "print").select("t", "key", "c", "d", "print", "side", "class", "shingles")
+    more = _by_block(dealt).mapInArrow(_similar(radius, similarity), "src long, dst long")
+    return materialize(done.unionByName(more))
+
+
 def near_components(prints: DataFrame, links: DataFrame) -> DataFrame:
     """Every row of prints (doc_id, print) with component_id, the smallest doc_id that links (src, dst) between prints reach. Rows with equal prints are linked. Null doc_ids count in no minimum; a component of them alone has null."""
     classes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")))
@@ -333,7 +447,7 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     """The rows of docs without near copies: texts that share at least `similarity` of their shingles (intersection by union) are linked, and of each component the row with the smallest doc_id stays, of rows with that same id the one with the smallest hash of its text.
 
     Candidates are prints at most `radius` bits apart, compared bit-sliced in blocks of equal band keys; every candidate link is then held against the whole sets of shingles. Fingerprints are those of the distinct shingles, and texts with equal ones are linked without that.
-    In a block of over 32 prints the nearest links that join them are candidates, so links grow with the rows and not with their square.
+    In a block of over 32 prints the nearest links that join them are candidates, so links grow with the rows and not with their square. Where one of these fails, every pair of what it should have joined is measured (whole_links), so no pair of a block is left out.
     Rows that are equal in id and text leave one row. Null ids come after all others; where a component has no id at all, each of its fingerprints keeps a row. Null and empty texts are one group. docs may have any further columns; they stay.
     Texts are shuffled by row keys alone, so no group of copies meets in one task.
     """
@@ -350,14 +464,15 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     base = materialize(sketches.select(F.col("key.id").alias("doc_id"), "key.row_key", "print", "bands"))
     firsts = base.groupBy("print").agg(F.min(F.struct(order.alias("o"), "bands")).alias("f"))
     classes = materialize(firsts.select("print", F.col("f.o.doc_id").alias("kept_id"), F.col("f.o.row_key").alias("kept_key"), "f.bands"))
-    pairs = materialize(compare_blocks(classes.select("print", F.posexplode("bands").alias("t", "key")), radius))
+    pairs = materialize(compare_blocks(classes.select("print", F.posexplode("bands").alias("t", "key")), radius, tell=True))
 
     asked = materialize(classes.join(pairs.select(F.explode(F.array("src", "dst")).alias("print")).distinct(), "print").select("print", "kept_id", "kept_key"))
     held = keyed.join(small(asked), same_row).dropDuplicates(["print"]).select("print", F.col("row.text").cast("string").alias("text"))
     sets = materialize(held.mapInArrow(_shingle_sets(shingle), "print long, shingles array<long>"))
     one, two = sets.select(F.col("print").alias("src"), F.col("shingles").alias("a")), sets.select(F.col("print").alias("dst"), F.col("shingles").alias("b"))
     measured = pairs.join(one, "src").join(two, "dst").select("src", "dst", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.size(F.array_intersect("a", "b")).alias("common"))
-    joined = near_components(base.drop("bands"), measured.filter(F.col("common") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("src", "dst"))
+    alike = measured.filter(F.col("common") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("src", "dst")
+    joined = near_components(base.drop("bands"), whole_links(pairs, alike, sets, radius, similarity))
 
     best = joined.groupBy(F.coalesce("component_id", "print").alias("group"), F.col("component_id").isNull().alias("none")).agg(F.min(order).alias("o"))
     kept = materialize(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.row_key").alias("kept_key")).distinct())

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from quillstone.llm import sharding, simhash, vptree
 from quillstone.llm.components import connected_components
@@ -124,6 +125,25 @@ def test_one_document_of_each_group_of_near_copies_stays(spark, docs, odd, none)
     assert simhash.drop_near_copies(none).count() == 0
 
 
+def template_family(n=300, core=140, own=30, last=16):
+    """Texts on one template, alike at 0.69; every third has another ending than the one before, alike at 0.82."""
+    out = []
+    for i in range(n):
+        mine = [f"own{i}x{k}" for k in range(own)]
+        w = [f"core{k}" for k in range(core)] + mine if i % 3 < 2 else out[-1].split(" ")[:-last] + mine[-last:]
+        out.append(" ".join(w))
+    return [(i, out[i]) for i in np.random.default_rng(7).permutation(n).tolist()]
+
+
+@pytest.mark.parametrize("lanes", [2048, 128])
+def test_texts_on_one_template_lose_no_near_copy(spark, monkeypatch, lanes):
+    monkeypatch.setattr(simhash, "LANES", lanes)
+    rows = template_family()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_copies(rows)
+    assert len(want) == 200 and {r.doc_id for r in simhash.drop_near_copies(docs).collect()} == want
+
+
 def test_nearest_links_of_a_large_block_keep_it_joined():
     p = near_family(60)
     got = simhash.links(p, None, 12)
