@@ -14,9 +14,9 @@ from quillstone.llm.common import ship
 
 #: Base phrases with their labels, in lower case.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-#: Fixed values, public license identifiers. label: (keyword that any text with the license has, pattern of its name in lower-case words, pattern of its identifier in words).
+#: Fixed values, public license identifiers. label: (keywords of which any text with the license has one, pattern of its name in lower-case words, pattern of its identifier in words).
 FAMILIES = {
-    "mit": ("mit", r"(?:the )?(?:mit|expat|mit x11|x11)", r"mit(?: 0)?"),
+    "mit": ("mit|expat|x11", r"(?:the )?(?:mit|expat|mit x11|x11)", r"mit(?: 0)?"),
     "apache-2": ("apache", r"(?:the )?apache(?: software)?(?: license)?(?: version)?(?: v)? ?2(?: 0)?", r"apache 2 0"),
     "apache-1.1": ("apache", r"(?:the )?apache(?: software)?(?: license)?(?: version)?(?: v)? ?1 [01]", r"apache 1 [01]"),
     "gpl-2": ("general public", r"(?:the )?gnu general public license(?: gpl)?(?: as published by the free software foundation)?(?: either)?(?: version| v) ?2", r"gpl 2 0(?: only| or later)?"),
@@ -53,12 +53,12 @@ FAMILIES = {
     "ms-pl": ("microsoft public", r"(?:the )?microsoft public license", r"ms pl"),
     "ms-rl": ("microsoft reciprocal", r"(?:the )?microsoft reciprocal license", r"ms rl"),
     "cc0": ("cc0", r"(?:the )?(?:creative commons )?cc0(?: 1 0)?(?: universal)?", r"cc0 1 0"),
-    "cc-by-nc-nd": ("nd", r"(?:a |the )?(?:creative commons attribution noncommercial no ?deriv\w*|cc by nc nd)", r"cc by nc nd \d 0"),
-    "cc-by-nc-sa": ("sa", r"(?:a |the )?(?:creative commons attribution non ?commercial share ?alike|cc by nc sa)", r"cc by nc sa \d 0"),
-    "cc-by-nc": ("nc", r"(?:a |the )?(?:creative commons attribution non ?commercial|cc by nc)", r"cc by nc \d 0"),
-    "cc-by-nd": ("nd", r"(?:a |the )?(?:creative commons attribution no ?deriv\w*|cc by nd)", r"cc by nd \d 0"),
-    "cc-by-sa": ("sa", r"(?:a |the )?(?:creative commons attribution share ?alike|cc by sa)", r"cc by sa \d 0"),
-    "cc-by": ("cc", r"(?:a |the )?(?:creative commons attribution|cc by)", r"cc by \d 0"),
+    "cc-by-nc-nd": ("creative commons|cc by", r"(?:a |the )?(?:creative commons attribution noncommercial no ?deriv\w*|cc by nc nd)", r"cc by nc nd \d 0"),
+    "cc-by-nc-sa": ("creative commons|cc by", r"(?:a |the )?(?:creative commons attribution non ?commercial share ?alike|cc by nc sa)", r"cc by nc sa \d 0"),
+    "cc-by-nc": ("creative commons|cc by", r"(?:a |the )?(?:creative commons attribution non ?commercial|cc by nc)", r"cc by nc \d 0"),
+    "cc-by-nd": ("creative commons|cc by", r"(?:a |the )?(?:creative commons attribution no ?deriv\w*|cc by nd)", r"cc by nd \d 0"),
+    "cc-by-sa": ("creative commons|cc by", r"(?:a |the )?(?:creative commons attribution share ?alike|cc by sa)", r"cc by sa \d 0"),
+    "cc-by": ("creative commons|cc by", r"(?:a |the )?(?:creative commons attribution|cc by)", r"cc by \d 0"),
     "odbl": ("database", r"(?:the )?open (?:data commons open )?database license", r"odbl 1 0"),
     "gfdl": ("documentation", r"(?:the )?(?:gnu )?free documentation license(?:(?: version| v)? ?1 [123])?", r"gfdl 1 [123]"),
 }
@@ -88,7 +88,7 @@ SENTENCES = [
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern
     weight: float
 
@@ -96,12 +96,13 @@ class Rule:
 def _rules() -> list[Rule]:
     """All rules, in order of priority: sentences, then for each way of speaking each license."""
     word = lambda p: re.compile(rf"(?<![^ ]){p}(?![^ ])".encode())  # noqa: E731  on words joined by spaces
-    out = [Rule(label, key.encode(), word(p), w) for label, key, p, w in SENTENCES if w >= 0.9]
+    gates = lambda key: tuple(key.encode().split(b"|"))
+    out = [Rule(label, gates(key), word(p), w) for label, key, p, w in SENTENCES if w >= 0.9]
     for frame, weight in FRAMES:
         for label, (key, name, ident) in FAMILIES.items():
             gate = "licen" if "{id}" in frame else key
-            out.append(Rule(label, gate.encode(), word(frame.replace("{name}", f"(?:{name})").replace("{id}", f"(?:{ident})")), weight))
-    return out + [Rule(label, key.encode(), word(p), w) for label, key, p, w in SENTENCES if w < 0.9]
+            out.append(Rule(label, gates(gate), word(frame.replace("{name}", f"(?:{name})").replace("{id}", f"(?:{ident})")), weight))
+    return out + [Rule(label, gates(key), word(p), w) for label, key, p, w in SENTENCES if w < 0.9]
 
 
 RULES = _rules()
@@ -142,12 +143,12 @@ def scan(text: str) -> dict:
             out["base"].add(label)
     if any(g in line for g in GATES) and (b"licen" in line or any(g in line for g in GATES[1:])):
         found = []
-        keys: dict[bytes, bool] = {}
+        keys: dict[tuple[bytes, ...], bool] = {}
         body = line[1:-1]
         for priority, r in enumerate(RULES):
-            if r.keyword not in keys:
-                keys[r.keyword] = r.keyword in line
-            if keys[r.keyword]:
+            if r.keywords not in keys:
+                keys[r.keywords] = any(k in line for k in r.keywords)
+            if keys[r.keywords]:
                 for m in r.pattern.finditer(body):
                     first = body.count(b" ", 0, m.start())
                     found.append((first, first + m[0].count(b" ") + 1, priority, r.label, r.weight))

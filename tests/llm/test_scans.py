@@ -77,6 +77,53 @@ def test_license_finds(text, labels):
     assert [f[3] for f in licenses.scan(text)["finds"]] == labels
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("licensed under a Creative Commons Attribution license", ["cc-by"]),
+        ("licensed under Creative Commons Attribution Share Alike", ["cc-by-sa"]),
+        ("licensed under Creative Commons Attribution Non Commercial", ["cc-by-nc"]),
+        ("released under the Expat license", ["mit"]),
+        ("the X11 license", ["mit"]),
+    ],
+)
+def test_license_finds_of_other_names(text, labels):
+    assert [f[3] for f in licenses.scan(text)["finds"]] == labels
+
+
+def made(tree, r):
+    """A random text that the parsed pattern matches."""
+    out = ""
+    for op, arg in tree:
+        kind = str(op)
+        if kind == "LITERAL":
+            out += chr(arg)
+        elif kind == "BRANCH":
+            out += made(r.choice(arg[1]), r)
+        elif kind == "SUBPATTERN":
+            out += made(arg[3], r)
+        elif kind == "MAX_REPEAT":
+            out += "".join(made(arg[2], r) for _ in range(r.randint(arg[0], min(arg[1], arg[0] + 3))))
+        elif kind == "IN":
+            of, one = r.choice(arg)
+            out += chr(one) if str(of) == "LITERAL" else chr(r.randint(*one)) if str(of) == "RANGE" else r.choice("012") if "DIGIT" in str(one) else r.choice("xyz")
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT")
+    return out
+
+
+def test_every_match_of_a_rule_passes_its_gate():
+    import random
+    from re import _parser
+
+    r = random.Random(5)
+    for rule in licenses.RULES:
+        tree = _parser.parse(rule.pattern.pattern.decode())
+        for _ in range(200):
+            line = f" {made(tree, r)} ".encode()
+            assert rule.pattern.fullmatch(line[1:-1]) and any(k in line for k in rule.keywords) and any(g in line for g in licenses.GATES), (rule.label, line)
+
+
 def test_suppression_prefers_priority_and_drops_what_is_inside():
     assert licenses.suppress([(0, 9, 5, "a", 1.0), (2, 4, 9, "b", 1.0), (8, 12, 1, "c", 1.0), (20, 22, 9, "b", 1.0)]) == [(2, 4, 9, "b", 1.0), (8, 12, 1, "c", 1.0), (20, 22, 9, "b", 1.0)]
     assert licenses.suppress([(0, 9, 1, "a", 1.0), (2, 4, 9, "b", 1.0)]) == [(0, 9, 1, "a", 1.0)]
