@@ -20,31 +20,38 @@ ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 REGIONS = {"body", "main", "article", "section", "div", "td", "center"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: Elements that leave an open head open.
+HEAD = {"head", "html", "title", "meta", "link", "script", "style", "noscript", "base", "template"}
 #: Words in class, id or role that mark menus, notices, adverts, comments and the like.
 MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|newsletter|subscri\w+|signup|login|share|sharing|social|comment\w*|disqus|respond|repl(?:y|ies)|nav\w*|menu\w*|breadcrumb\w*|crumbs|sidebar\w*|side|aside|widget\w*|related|recommend\w*|foot(?:er)?\w*|head(?:er)?|masthead|pagination|pager|toolbar|copyright|legal|skip|hidden|search|complementary|navigation|contentinfo)(?:$|[\s_-])",
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|newsletter|subscri\w+|signup|login|share|sharing|social|comment\w*|disqus|respond|repl(?:y|ies)|nav\w*|menu\w*|breadcrumb\w*|crumbs|sidebar\w*|side|aside|widget\w*|related|recommend\w*|foot(?:er)?\w*|head(?:er)?|masthead|pagination|pager|toolbar|copyright|legal|skip|hidden|search|complementary|navigation|contentinfo)",
     re.IGNORECASE,
 )
+#: Words that make a marker tell of a page's layout or state when they stand before or after it in the same name: has-sidebar, comments-open.
+BEFORE, AFTER = {"has", "have", "no", "not", "with", "without", "is", "hide", "show", "enable", "disable"}, {"open", "opened", "closed", "enabled", "disabled", "on", "off", "active", "inactive", "visible", "collapsed", "expanded", "none"}
+#: Share of the page's dense text that a part to leave out must exceed to be kept for it, by whether its name only contains a marker.
+KEPT = {False: 0.9, True: 0.5}
 #: Width of the smoothing, in lines, and share of a region's dense text that a smaller region inside must hold to be chosen in its place.
 SIGMA, SHARE = 1.0, 0.7
 
 
 @dataclass
 class Line:
-    """A block's text, the tags met in it, the characters of it inside links, and the region it stands in."""
+    """A block's text, the tags met in it, the characters of it inside links, the region it stands in and the part to leave out, 0 for none."""
 
     text: str = ""
     tags: int = 0
     linked: int = 0
     region: int = 0
     heading: bool = False
+    cut: int = 0
 
 
 @dataclass
 class _Open:
     tag: str
     region: int
-    skip: bool
+    cut: int
     hide: bool
 
 
@@ -53,6 +60,19 @@ class Page:
     lines: list[Line] = field(default_factory=list)
     parents: list[int] = field(default_factory=lambda: [-1])
     kinds: list[str] = field(default_factory=lambda: ["body"])
+    cuts: list[tuple[int, bool]] = field(default_factory=lambda: [(-1, False)])
+
+
+def marked(names: str) -> tuple[bool, bool]:
+    """Whether one of the names marks a part to leave out, and whether each that does has other words beside the marker."""
+    found, loose = False, True
+    for name in names.split():
+        words = [w for w in re.split(r"[_-]", name.lower()) if w]
+        is_mark = [MARKED.fullmatch(w) is not None for w in words]
+        told = [m and not (i and words[i - 1] in BEFORE) and not (i + 1 < len(words) and words[i + 1] in AFTER) for i, m in enumerate(is_mark)]
+        found |= any(told)
+        loose &= not any(told) or not all(is_mark)
+    return found, found and loose
 
 
 class _Lines(HTMLParser):
@@ -61,7 +81,7 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.page = Page()
-        self.stack: list[_Open] = [_Open("", 0, False, False)]
+        self.stack: list[_Open] = [_Open("", 0, 0, False)]
         self.parts: list[str] = []
         self.tags = self.linked = self.links = 0
         self.heading = False
@@ -69,12 +89,13 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         top = self.stack[-1]
         text = " ".join("".join(self.parts).split())
-        if text and not top.skip and not top.hide:
-            self.page.lines.append(Line(text, self.tags, min(self.linked, len(text)), top.region, self.heading))
+        if text and not top.hide:
+            self.page.lines.append(Line(text, self.tags, min(self.linked, len(text)), top.region, self.heading, top.cut))
         self.parts, self.tags, self.linked, self.heading = [], 0, 0, False
 
     def handle_starttag(self, tag: str, attrs) -> None:
         self.tags += 1
+        self.close_head(tag)
         top = self.stack[-1]
         if tag == "a":
             self.links += 1
@@ -85,7 +106,7 @@ class _Lines(HTMLParser):
         if tag not in BLOCKS and tag not in UNSEEN and tag not in ASIDE:
             return
         if tag in UNSEEN and tag not in BLOCKS:  # inside a line, e.g. a script in a paragraph
-            self.stack.append(_Open(tag, top.region, top.skip, True))
+            self.stack.append(_Open(tag, top.region, top.cut, True))
             self.parts.append(" ")
             return
         self.flush()
@@ -97,17 +118,30 @@ class _Lines(HTMLParser):
             self.pop_open({"p"} | ({tag} if tag != "p" else set()) | ({"td", "th"} if tag in ("tr", "td", "th") else set()) | ({"dt", "dd"} if tag in ("dt", "dd") else set()), {"table", "ul", "ol", "dl", "div", "section", "article", "main", "body", "blockquote"})
             top = self.stack[-1]
             if tag in ("p", "li") and not attrs:
-                self.stack.append(_Open(tag, top.region, top.skip, top.hide))
+                self.stack.append(_Open(tag, top.region, top.cut, top.hide))
                 return
         marks = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", "").lower() for k, v in attrs)
-        skip = top.skip or hidden or tag in ASIDE or bool(marks and tag not in ("html", "body", "article", "main") and MARKED.search(marks))
+        mark, loose = marked(marks) if tag not in ("html", "body", "article", "main") else (False, False)
+        cut = top.cut
+        if tag in ASIDE or mark:
+            self.page.cuts.append((cut, loose and tag not in ASIDE))
+            cut = len(self.page.cuts) - 1
         region = top.region
         if tag in REGIONS:
             self.page.parents.append(region)
             self.page.kinds.append(tag)
             region = len(self.page.parents) - 1
-        self.stack.append(_Open(tag, region, skip, top.hide or tag in UNSEEN))
+        self.stack.append(_Open(tag, region, cut, top.hide or hidden or tag in UNSEEN))
+
+    def close_head(self, tag: str) -> None:
+        """A head without its end tag ends where content begins."""
+        if tag == "body":
+            at = next((i for i, x in enumerate(self.stack) if x.tag == "head"), None)
+            if at:
+                del self.stack[at:]
+        elif tag not in HEAD and self.stack[-1].tag == "head":
+            self.stack.pop()
 
     def pop_open(self, tags: set[str], stop: set[str]) -> None:
         """Pop open elements of the given kinds at the top of the stack, through what else is open there, up to an element that stops the search."""
@@ -137,6 +171,8 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self.close_head("")
         if not self.stack[-1].hide:
             self.parts.append(data)
             if self.links:
@@ -186,9 +222,30 @@ def dense(values: list[float]) -> list[bool]:
     return [v >= at for v in values]
 
 
+def uncut(page: Page) -> list[Line]:
+    """Lines that stand in no part to leave out. A part that holds most of the page's dense text, more than half of all its text outside links, and no less in article and main elements than the rest, is left in."""
+    if len(page.cuts) == 1:
+        return page.lines
+    weight, every, named = ([0] * len(page.cuts) for _ in range(3))
+    inside: list[bool] = []
+    for kind, parent in zip(page.kinds, page.parents, strict=True):
+        inside.append(kind in ("article", "main") or parent >= 0 and inside[parent])
+    for x, m in zip(page.lines, dense(smooth(ratios(page.lines))), strict=True):
+        c, n = x.cut, len(x.text) - x.linked
+        while c >= 0:
+            weight[c] += n * m
+            every[c] += n
+            named[c] += n * inside[x.region]
+            c = page.cuts[c][0]
+    out = [False] * len(page.cuts)
+    for c, (parent, loose) in enumerate(page.cuts):
+        out[c] = c > 0 and (out[parent] or weight[c] <= KEPT[loose] * weight[0] or 2 * every[c] <= every[0] or 2 * named[c] < named[0])
+    return [x for x in page.lines if not out[x.cut]]
+
+
 def content(page: Page) -> list[str]:
     """Blocks of the content region: the innermost region that holds SHARE of the dense text of the region around it, beginning with the whole page. All its lines stay, whatever their own ratio."""
-    lines = page.lines
+    lines = uncut(page)
     if not lines:
         return []
     marks = dense(smooth(ratios(lines)))
@@ -218,7 +275,7 @@ def content(page: Page) -> list[str]:
             at = page.parents[at]
         if at == chosen:
             keep.add(r)
-    return [x.text for x in lines if x.region in keep and not (x.linked > 0.9 * len(x.text) and not x.heading and x.tags > 2)]
+    return [x.text for x in lines if x.region in keep]
 
 
 def main_text(html: str | None) -> str:

@@ -155,6 +155,38 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "Some long text of the article, really long enough."
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "container with-nav", "post comments-open", "sidebar-layout"])
+def test_layout_words_drop_no_article(name):
+    page = f"<body><div class='menu'><a href=x>Home</a></div><div class='{name}'><article><h1>T</h1><p>{LONG}</p></article><div class='sidebar'><p>See also</p></div></div><div class='site-footer'>f</div>"
+    assert html_text.main_text(page) == f"T\n\n{LONG}"
+
+
+def test_posts_in_a_list_with_open_comments_all_stay():
+    page = "<body>" + "".join(f"<div class='post comments-open'><p>{i} {LONG}</p></div>" for i in range(4)) + "<div class='nav-links'><a href=x>Older</a></div>"
+    assert html_text.main_text(page) == "\n\n".join(f"{i} {LONG}" for i in range(4))
+
+
+def test_a_long_footer_stays_out():
+    assert html_text.main_text(f"<body><article><h1>T</h1><p>Be.</p></article><footer>{LONG} {LONG}</footer>") == "T\n\nBe."
+
+
+def test_a_form_around_the_page_drops_no_article():
+    assert html_text.main_text(f"<body><form id='page'><div><p>{LONG}</p></div></form><footer>f</footer>") == LONG
+
+
+@pytest.mark.parametrize("start", ["<body>", "<main>", "<article>", "<p>", "<b>so</b> "])
+def test_a_head_without_end_tag_hides_no_text(start):
+    assert html_text.main_text(f"<html><head><title>t</title><meta charset=utf-8><style>a{{}}</style>\n{start}{LONG}").endswith(LONG)
+
+
+def test_link_lists_of_an_article_stay():
+    page = f"<body><nav><a href=x>Home</a></nav><article><p>{LONG}</p><p>{LONG}</p><ul><li><a href=1>First reference</a></li><li><a href=2>Second reference</a></li></ul></article>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}\n\nFirst reference\n\nSecond reference"
+
+
 def test_pages_with_nulls(spark):
     rows = spark.createDataFrame([(1, None, None, 1), (None, "u", "<p>a", 2), (1, None, None, 1)], "page_id long, url string, html string, text int")
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in html_text.extract_pages(rows).collect()) == [("1", "", 0), ("1", "", 0), ("None", "a", 1)]
