@@ -403,13 +403,13 @@ def whole_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, radius: int
 
 
 def near_components(prints: DataFrame, links: DataFrame) -> DataFrame:
-    """Every row of prints (doc_id, print) with component_id, the smallest doc_id that links (src, dst) between prints reach. Rows with equal prints are linked. Null doc_ids count in no minimum; a component of them alone has null."""
+    """Every row of prints (doc_id, print) with component_id, the smallest doc_id that links (src, dst) between prints reach, and root, the component's smallest print. Rows with equal prints are linked. Null doc_ids count in no minimum; a component of them alone has null."""
     classes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")))
     nodes = materialize(connected_components(links))
     named = nodes.join(classes, nodes["node"] == classes["print"]).select("node", "root", "first_id")
     lowest = named.groupBy("root").agg(F.min("first_id").alias("low"))
-    labels = nodes.join(lowest, "root").select(F.col("node").alias("print"), "low")
-    label = materialize(classes.join(labels, "print", "left").select("print", F.coalesce("low", "first_id").alias("component_id")))
+    labels = nodes.join(lowest, "root").select(F.col("node").alias("print"), "low", "root")
+    label = materialize(classes.join(labels, "print", "left").select("print", F.coalesce("low", "first_id").alias("component_id"), F.coalesce("root", "print").alias("root")))
     return prints.join(label, "print")
 
 
@@ -448,7 +448,7 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     Candidates are prints at most `radius` bits apart, compared bit-sliced in blocks of equal band keys; every candidate link is then held against the whole sets of shingles. Fingerprints are those of the distinct shingles, and texts with equal ones are linked without that.
     In a block of over 32 prints the nearest links that join them are candidates, so links grow with the rows and not with their square. Where one of these fails, every pair of what it should have joined is measured (whole_links), so no pair of a block is left out.
-    Rows that are equal in id and text leave one row. Null ids come after all others; where a component has no id at all, each of its fingerprints keeps a row. Null and empty texts are one group. docs may have any further columns; they stay.
+    Rows that are equal in id and text leave one row; where an id occurs on texts of several components, each of these keeps its own row. Null ids come after all others. Null and empty texts are one group. docs may have any further columns; they stay.
     Texts are shuffled by row keys alone, so no group of copies meets in one task.
     """
     ship(docs.sparkSession)
@@ -474,6 +474,6 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     alike = measured.filter(F.col("common") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("src", "dst")
     joined = near_components(base.drop("bands"), whole_links(pairs, alike, sets, radius, similarity))
 
-    best = joined.groupBy(F.coalesce("component_id", "print").alias("group"), F.col("component_id").isNull().alias("none")).agg(F.min(order).alias("o"))
+    best = joined.groupBy("root").agg(F.min(order).alias("o"))
     kept = materialize(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.row_key").alias("kept_key")).distinct())
     return keyed.join(kept, same_row, "left_semi").dropDuplicates(["known_id", "no_id", "row_key"]).select("row.*")

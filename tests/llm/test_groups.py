@@ -144,6 +144,13 @@ def test_texts_on_one_template_lose_no_near_copy(spark, monkeypatch, lanes):
     assert len(want) == 200 and {r.doc_id for r in simhash.drop_near_copies(docs).collect()} == want
 
 
+def test_unrelated_texts_with_one_id_all_stay(spark):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(60))
+    rows = [(1, text(0)), (1, text(1)), (1, text(2)), (2, text(2) + " more"), (3, text(3)), (None, text(4)), (None, text(4) + " more"), (None, text(5))]
+    got = [(r.doc_id, r.text) for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert {x for x in got if x[0]} == {rows[0], rows[1], rows[2], rows[4]} and len(got) == 6 and (None, text(5)) in got
+
+
 def test_nearest_links_of_a_large_block_keep_it_joined():
     p = near_family(60)
     got = simhash.links(p, None, 12)
