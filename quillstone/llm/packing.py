@@ -19,8 +19,6 @@ from quillstone.llm.tokens import encoder, tokenizer_path
 CAPACITY = 1024
 #: Costs in units of one padding id: cutting a document after a sentence, cutting it elsewhere, beginning a sequence.
 SENTENCE_CUT, WORD_CUT, SEQUENCE = 6.0, 24.0, 16.0
-#: An allowed cut within so many ids of a full sequence costs no more than a full one cut inside a sentence.
-NEAR = int(WORD_CUT - SENTENCE_CUT)
 #: Ids that a task packs at once; the last sequence of each such block is padded.
 BLOCK_IDS = 2_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -37,8 +35,8 @@ def choose_cuts(places: np.ndarray, is_doc: np.ndarray, capacity: int = CAPACITY
     places: ascending allowed cuts; is_doc: those at document ends, which are free. Best cost of a sequence ending at p: min over cuts i with p - i <= capacity of
     cost(i) + i, plus SEQUENCE + capacity - p + the cut's own cost. A monotone queue holds that sliding minimum of cost + place. While its front stays, all places that the front
     reaches have the same minimum, so they are settled as one run, and only the last document end and the last sentence end of a run can be of use later.
-    A front that falls behind, with no allowed cut among the last NEAR ids that it reaches, offers one more cut, at its place + capacity: a full sequence cut inside a sentence.
-    A cut elsewhere in a sentence is never cheaper, as each id that it moves towards that place is padding saved. (Unpadded lengths below the capacity count here as padded.)
+    A front that falls behind offers one more cut, at its place + capacity: a full sequence cut inside a sentence. A cut elsewhere in a sentence is never cheaper, as each id
+    that it moves towards that place is padding saved. (Unpadded lengths below the capacity count here as padded.)
     """
     where = places.tolist()
     ends = is_doc.tolist()
@@ -68,8 +66,7 @@ def choose_cuts(places: np.ndarray, is_doc: np.ndarray, capacity: int = CAPACITY
             final = len(at) - 1
         if done < n and queue[0][2] == k:
             queue.popleft()
-            if not done or where[done - 1] < i + capacity - NEAR:
-                push(value + SEQUENCE + capacity + WORD_CUT, i + capacity, k)
+            push(value + SEQUENCE + capacity + WORD_CUT, i + capacity, k)
     out = []
     while final > 0:
         out.append(at[final])

@@ -32,8 +32,8 @@ class _Words(dict):
 class ByteEncoder:
     """The ids that the tokenizers library gives for byte_bpe_50k.json with add_special_tokens=False.
 
-    `ranks` is the path of the same vocabulary as ranks; `pattern` cuts texts into words. Byte-level BPE never joins what stands on both sides of a
-    single space or line feed between two other characters, so a text whose white space is all of that kind is cut there and each distinct word is encoded once; all other texts are encoded whole.
+    `ranks` is the path of the same vocabulary as ranks. Byte-level BPE never joins what stands on both sides of a single space or line feed between two other
+    characters, so a text whose white space is all of that kind is cut there and each distinct word is encoded once; all other texts are encoded whole.
     """
 
     def __init__(self, ranks: str, dtype: str = "<u4"):
@@ -58,9 +58,10 @@ class ByteEncoder:
             return b""
         if END_OF_TEXT in text:
             return np.array(self.all.encode(text, allowed_special="all"), self.dtype).tobytes()
-        words = text.replace("\n", " \n").split(" ")
-        if len(text.split()) != len(words):
+        # equal lists: nothing but single spaces and line feeds, each between two other characters
+        if text.replace("\n", " ").split(" ") != text.split():
             return np.array(self.all.encode_ordinary(text), self.dtype).tobytes()
+        words = text.replace("\n", " \n").split(" ")
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()

@@ -20,22 +20,18 @@ def brute_cost(places, is_doc, capacity):
     return best[n]
 
 
-def test_cuts_are_near_the_best_and_legal(monkeypatch):
-    for near, slack in ((0, 1.0), (packing.NEAR, 1.25)):
-        monkeypatch.setattr(packing, "NEAR", near)
-        total = least = 0.0
-        for seed in range(400):
-            r = random.Random(seed)
-            n, capacity = r.randint(1, 400), r.choice([32, 64, 100])
-            places = sorted({r.randint(1, n) for _ in range(r.randint(0, 60))} | {n})
-            is_doc = np.array([r.random() < 0.3 for _ in places])
-            is_doc[-1] = True
-            cuts = packing.choose_cuts(np.array(places), is_doc, capacity).tolist()
-            assert cuts[-1] == n and all(0 < b - a <= capacity for a, b in zip([0, *cuts], cuts, strict=False))
-            cost_of = {p: 0.0 if d else packing.SENTENCE_CUT for p, d in zip(places, is_doc, strict=True)}
-            total += sum(packing.SEQUENCE + capacity - (b - a) + cost_of.get(b, packing.WORD_CUT) for a, b in zip([0, *cuts], cuts, strict=False))
-            least += brute_cost(places, is_doc, capacity)
-        assert least - 1e-6 <= total <= slack * least + 1e-6
+def test_cuts_are_the_best_and_legal():
+    for seed in range(400):
+        r = random.Random(seed)
+        n, capacity = r.randint(1, 400), r.choice([32, 64, 100])
+        places = sorted({r.randint(1, n) for _ in range(r.randint(0, 60))} | {n})
+        is_doc = np.array([r.random() < 0.3 for _ in places])
+        is_doc[-1] = True
+        cuts = packing.choose_cuts(np.array(places), is_doc, capacity).tolist()
+        assert cuts[-1] == n and all(0 < b - a <= capacity for a, b in zip([0, *cuts], cuts, strict=False))
+        cost_of = {p: 0.0 if d else packing.SENTENCE_CUT for p, d in zip(places, is_doc, strict=True)}
+        total = sum(packing.SEQUENCE + capacity - (b - a) + cost_of.get(b, packing.WORD_CUT) for a, b in zip([0, *cuts], cuts, strict=False))
+        assert abs(total - brute_cost(places, is_doc, capacity)) < 1e-6
 
 
 def test_padding():
@@ -53,6 +49,13 @@ def test_encoder_gives_the_tokenizers_ids(docs, odd):
     assert [np.frombuffer(enc.encode(t or ""), "<u4").tolist() for t in texts] == ids_of(texts)
 
 
+def test_encoder_on_random_white_space():
+    enc = ByteEncoder(P.path("byte_bpe_50k.tiktoken"))
+    r = random.Random(11)
+    texts = ["a  b\tc", "a b\tc ", "a  b c", "\na", "a\n"] + ["".join(r.choice("ab1.' \n\t\r\x1c\x85\u2003\u3000é's") for _ in range(r.randint(0, 12))) for _ in range(20_000)]
+    assert [np.frombuffer(enc.encode(t), "<u4").tolist() for t in texts] == ids_of(texts)
+
+
 def check_pieces(rows, texts):
     pieces = packing.pack_documents(rows).collect()
     want = sorted((i if i is not None else -1, tuple([*ids, 0])) for (i, _), ids in zip(texts, ids_of([t for _, t in texts]), strict=True))
