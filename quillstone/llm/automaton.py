@@ -153,18 +153,33 @@ class _Nfa:
         return end
 
 
+def _reverse(node):
+    """The node that matches the texts of `node` from end to start."""
+    kind = node[0]
+    if kind == "and":
+        return kind, [_reverse(x) for x in reversed(node[1])]
+    if kind == "or":
+        return kind, [_reverse(x) for x in node[1]]
+    return node if kind == "set" else (kind, _reverse(node[1]), *node[2:])
+
+
 class Automaton:
-    """next[state * classes + byte_class[byte]]: the next state, times classes. Accepting states come last, from `accept` on; rules[i] is the set of rules, as bits, of the i-th of them."""
+    """next[state * classes + byte_class[byte]]: the next state, times classes. Accepting states come last, from `accept` on; rules[i] is the set of rules, as bits, of the i-th of them.
+
+    It searches: after any text it is in an accepting state of a rule if a match of that rule ends there. With search=False matches begin at the first byte alone, and with
+    reverse=True texts are read from their end.
+    """
 
-    def __init__(self, rules: list[tuple[str, bool]]):
-        """rules: (byte regex, fold case). The automaton searches: after any text it is in an accepting state of a rule if a match of that rule ends there."""
+    def __init__(self, rules: list[tuple[str, bool]], search: bool = True, reverse: bool = False):
+        """rules: (byte regex, fold case)."""
         nfa = _Nfa()
         root = nfa.state()
         finals = {}
         for k, (regex, fold) in enumerate(rules):
             first = nfa.state()
             nfa.empty[root].append(first)
-            finals[nfa.build(_Parser(regex, nfa, fold).alternatives(), first)] = k
+            node = _Parser(regex, nfa, fold).alternatives()
+            finals[nfa.build(_reverse(node) if reverse else node, first)] = k
         masks = sorted({m for steps in nfa.steps for m, _ in steps})
         signature = defaultdict(list)
         for byte in range(256):
@@ -190,8 +205,8 @@ class Automaton:
 
         start = closure(root)
         index, order, table = {start: 0}, [start], []
-        for now in order:  # subset construction; the search may begin anew at each byte, so every set holds the start
-            to: list[set] = [set(start) for _ in range(n)]
+        for now in order:  # subset construction; a search may begin anew at each byte, so every set holds the start
+            to: list[set] = [set(start) if search else set() for _ in range(n)]
             for s in now:
                 for classes, t in moves[s]:
                     for c in classes:
@@ -224,43 +239,61 @@ class Automaton:
         self.accept = np.int32((len(first) - final.sum()) * n)
         self.rules = [int(hit[first[i]]) for i in ranked[len(first) - final.sum() :]]
 
-    def scan(self, texts: list[bytes]) -> list[int]:
-        """For each text the rules, as bits, that match anywhere in it. All texts advance together, a byte each a step; those at their end drop out."""
-        found = [0] * len(texts)
+        dead = place[block[index[frozenset()]]] * n if frozenset() in index else -1
+        self.dead = int(dead)
+
+    def scan(self, texts: list[bytes], before: int = 10) -> list[list[tuple[int, int]]]:
+        """For each text its hits in order, (end, rules as bits): the places after which matches end. All texts advance together, a byte each a step; those at their end drop out. Each text is read as if byte `before` stood in front of it."""
+        found: list[list[tuple[int, int]]] = [[] for _ in texts]
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         order = np.argsort(-size, kind="stable")
         data = np.frombuffer(b"".join(texts), np.uint8)
         data = self.byte_class[data]
         begin = (np.cumsum(size) - size)[order]
         size = size[order]
-        state = np.full(len(texts), self.start, np.int32)
-        hits = np.zeros(len(texts), bool)
+        state = np.full(len(texts), self.next[self.start + self.byte_class[before]], np.int32)
         lanes, step = int((size > 0).sum()), 0
         while lanes:
-            state, begin, hits = state[:lanes], begin[:lanes], hits[:lanes]
+            state, begin = state[:lanes], begin[:lanes]
             last = int(size[lanes - 1])
             if lanes < 4:  # a few long texts: byte by byte
                 for k in range(lanes):
-                    found[order[k]] |= self._one(data[begin[k] + step : begin[k] + size[k]], int(state[k]))
+                    self._one(data[begin[k] + step : begin[k] + size[k]], int(state[k]), step, found[order[k]])
                 return found
             for a in range(step, last, 256):
                 b = min(a + 256, last)
                 piece = data[begin[None, :] + np.arange(a, b)[:, None]]
-                for column in piece:
+                for at, column in enumerate(piece, a + 1):
                     state = self.next[state + column]
                     if state.max() >= self.accept:
                         for k in np.flatnonzero(state >= self.accept).tolist():
-                            found[order[k]] |= self.rules[(int(state[k]) - int(self.accept)) // self.classes]
+                            found[order[k]].append((at, self.rules[(int(state[k]) - int(self.accept)) // self.classes]))
             step = last
             lanes = int((size > step).sum())
         return found
 
-    def _one(self, data: np.ndarray, state: int) -> int:
+    def _table(self) -> list[int]:
         if not hasattr(self, "_list"):
             self._list = self.next.tolist()
-        step, accept, found = self._list, int(self.accept), 0
+            self._class = self.byte_class.tobytes()
+        return self._list
+
+    def _one(self, data: np.ndarray, state: int, at: int, found: list[tuple[int, int]]) -> None:
+        step, accept = self._table(), int(self.accept)
         for c in data.tobytes():
             state = step[state + c]
+            at += 1
             if state >= accept:
-                found |= self.rules[(state - accept) // self.classes]
-        return found
+                found.append((at, self.rules[(state - accept) // self.classes]))
+
+    def longest(self, text: bytes, start: int, stop: int, way: int = 1) -> int:
+        """The furthest place at which a match ends that begins at `start`, reading towards `stop` by `way`; -1 for none. Reading ends where no match can go on. For automata without search."""
+        step, accept = self._table(), int(self.accept)
+        state, best = int(self.start), -1
+        for i in range(start, stop) if way > 0 else range(start - 1, stop - 1, -1):
+            state = step[state + self._class[text[i]]]
+            if state == self.dead:
+                break
+            if state >= accept:
+                best = i + 1 if way > 0 else i
+        return best

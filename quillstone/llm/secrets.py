@@ -1,11 +1,12 @@
-"""Operator 9: secret scans. All rules run in one byte pass of a combined minimal automaton; what it finds is then measured exactly."""
+"""Operator 9: secret scans. One byte pass of a combined minimal automaton finds where matches of all rules end; anchored automata then walk from there to their starts and ends."""
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,48 +14,94 @@ from pyspark.sql import functions as F
 from quillstone.llm.automaton import Automaton
 from quillstone.llm.common import ship
 
-#: kind, pattern that delimits a match, least size, group that is measured, letters in either case, pattern of the automaton (it matches in every text that has a match; counting only in hex, whose characters are common, keeps the automaton small).
+
+class Rule(NamedTuple):
+    """A kind of secret. Every match of `pattern` holds one place, at the end of a match of `head`, from which `lead`, read backwards, reaches the match's start.
+
+    `least` is the least size of the match, or, with group, of its last part, whose first character is the last one of the head. In a head, classes are open to the byte before the text.
+    """
+
+    kind: str
+    pattern: str
+    least: int
+    group: bool
+    fold: bool
+    head: str
+    lead: str
+
+
 #: The three base kinds come first, in this order.
 RULES = [
-    ("assign", r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6, 2, True, r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]"),
-    ("access", r"AKIA[A-Z0-9]+", 20, 0, False, r"AKIA[A-Z0-9]"),
-    ("hex", r"[0-9a-f]+", 24, 0, False, r"[0-9a-f]{24}"),
-    ("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", 0, 0, False, r"PRIVATE KEY-----"),
-    ("github", r"gh[opsur]_[A-Za-z0-9]+", 40, 0, False, r"gh[opsur]_[A-Za-z0-9]"),
-    ("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15, 0, False, r"xox[abprs]-[A-Za-z0-9-]"),
-    ("google", r"AIza[A-Za-z0-9_-]+", 39, 0, False, r"AIza[A-Za-z0-9_-]"),
-    ("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]+", 24, 0, False, r"[rs]k_(live|test)_[A-Za-z0-9]"),
-    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, 0, False, r"\.eyJ[A-Za-z0-9_-]"),
-    ("bearer", r"bearer\x20+([A-Za-z0-9+/_.=-]+)", 20, 1, True, r"bearer\x20+[A-Za-z0-9+/_.=-]"),
-    ("url", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@", 0, 0, True, r"://[^\x00-\x20/@]+@"),
+    Rule("assign", r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+", 6, True, True, *[r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]"] * 2),
+    Rule("access", r"AKIA[A-Z0-9]+", 20, False, False, *["AKIA[A-Z0-9]"] * 2),
+    Rule("hex", r"[0-9a-f]+", 24, False, False, r"[^0-9a-f][0-9a-f]{24}", r"[0-9a-f]+"),
+    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", 0, False, False, r"PRIVATE KEY-----", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    Rule("github", r"gh[opsur]_[A-Za-z0-9]+", 40, False, False, *[r"gh[opsur]_[A-Za-z0-9]"] * 2),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15, False, False, *[r"xox[abprs]-[A-Za-z0-9-]"] * 2),
+    Rule("google", r"AIza[A-Za-z0-9_-]+", 39, False, False, *[r"AIza[A-Za-z0-9_-]"] * 2),
+    Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]+", 24, False, False, *[r"[rs]k_(?:live|test)_[A-Za-z0-9]"] * 2),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, False, False, r"\.eyJ[A-Za-z0-9_-]", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]"),
+    Rule("bearer", r"bearer\x20+[A-Za-z0-9+/_.=-]+", 20, True, True, *[r"bearer\x20+[A-Za-z0-9+/_.=-]"] * 2),
+    Rule("url", r"[a-z][a-z0-9+.-]*://[^\x09-\x0d\x20/:@]+:[^\x09-\x0d\x20/:@]+@", 0, False, True, r"://[^\x00-\x20/@]+@", r"[a-z][a-z0-9+.-]*://[^\x09-\x0d\x20/:@]+:[^\x09-\x0d\x20/:@]+@"),
 ]
-KINDS = [r[0] for r in RULES]
-EXACT = [re.compile(r[1], re.ASCII | (re.IGNORECASE if r[4] else 0)) for r in RULES]
+KINDS = [r.kind for r in RULES]
 #: Bytes and texts that one call of the automaton scans at once.
 SCAN_BYTES, SCAN_TEXTS = 16_000_000, 8_000
 
-_AUTOMATON: list[Automaton] = []
+
+class _Compiled(NamedTuple):
+    heads: Automaton
+    leads: list[Automaton]
+    wholes: list[Automaton]
 
 
-def automaton() -> Automaton:
-    """The rules' automaton, compiled once a process."""
-    if not _AUTOMATON:
-        _AUTOMATON.append(Automaton([(r[5], r[4]) for r in RULES]))
-    return _AUTOMATON[0]
+_COMPILED: list[_Compiled] = []
 
 
-def measure(text: str, rules: int) -> list[tuple[int, int, int]]:
-    """(start, rule, end) in code points of all matches of the given rules (as bits): leftmost, non-overlapping in each rule; those that are too short go."""
+def compiled() -> _Compiled:
+    """The automata, compiled once a process: one that searches the heads of all rules, and for each rule one back from there and one onwards."""
+    if not _COMPILED:
+        leads = [Automaton([(r.lead, r.fold)], search=False, reverse=True) for r in RULES]
+        wholes = [Automaton([(r.pattern, r.fold)], search=False) for r in RULES]
+        _COMPILED.append(_Compiled(Automaton([(r.head, r.fold) for r in RULES]), leads, wholes))
+    return _COMPILED[0]
+
+
+def spans_of(text: bytes, hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(start, rule, end) in bytes of all matches: leftmost, longest and non-overlapping in each rule; those that are too short go, but keep what they cover.
+
+    A rule's bytes are walked from its hits alone, and none that an earlier match of it covers, so the work is in proportion to the text.
+    """
     out = []
-    for k, (_, _, least, group, _, _) in enumerate(RULES):
-        if rules >> k & 1:
-            out += [(m.start(), k, m.end()) for m in EXACT[k].finditer(text) if len(m[group]) >= least]
+    free = [0] * len(RULES)
+    _, leads, wholes = compiled()
+    for at, rules in hits:
+        while rules:
+            k = (rules & -rules).bit_length() - 1
+            rules &= rules - 1
+            if at <= free[k]:
+                continue
+            start = leads[k].longest(text, at, free[k], -1)
+            end = wholes[k].longest(text, start, len(text)) if start >= 0 else -1
+            if end < 0:
+                continue
+            free[k] = end
+            if end - (at - 1 if RULES[k].group else start) >= RULES[k].least:
+                out.append((start, k, end))
     return sorted(out)
 
 
 def scan_texts(texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    rules = automaton().scan([t.encode("utf-8", "surrogatepass") for t in texts])
-    return [measure(t, r) if r else [] for t, r in zip(texts, rules, strict=True)]
+    """The spans of each text, (start, rule, end) in code points."""
+    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    out = []
+    for t, b, hits in zip(texts, data, compiled().heads.scan(data), strict=True):
+        spans = spans_of(b, hits) if hits else []
+        if spans and len(b) != len(t):
+            points = np.concatenate([[0], np.cumsum((np.frombuffer(b, np.uint8) & 0xC0) != 0x80)])
+            spans = [(int(points[s]), k, int(points[e])) for s, k, e in spans]
+        out.append(spans)
+    return out
 
 
 def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -96,7 +143,11 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_assign, n_access, n_hex, base_sha256 (of the base spans) and spans (all). Null and empty texts have none. Ids and repeated rows stay as they are. No shuffle."""
+    """Per document: doc_id, n_assign, n_access, n_hex, base_sha256 (of the base spans) and spans (all).
+
+    Null and empty texts have none. Ids, nulls and repeated rows stay as they are; further columns are not read; an empty table gives no rows. Texts of any length are read whole, in time
+    that grows in proportion. Of matches of one kind that overlap the leftmost counts; spans of different kinds may overlap. No shuffle.
+    """
     ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_digest, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
@@ -116,6 +167,9 @@ def _redactor(place: int):
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
-    """docs with every secret in `text` replaced by its kind in brackets; all rows and columns stay. Null texts stay null."""
+    """docs with every secret in `text` replaced by its kind in brackets; all rows and columns stay.
+
+    Null texts stay null and empty ones empty; spans that overlap become one, named by the first; repeated rows stay; an empty table gives none; other columns may have any names.
+    """
     ship(docs.sparkSession)
     return docs.mapInArrow(_redactor(docs.columns.index("text")), docs.schema)
