@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import ship
-from quillstone.llm.tokens import encoder, tokenizer_path
+from quillstone.llm.tokens import encoder, slices, tokenizer_path
 
 CAPACITY = 1024
 #: Costs in units of one padding id: cutting a document after a sentence, cutting it elsewhere, beginning a sequence.
@@ -74,12 +74,9 @@ def choose_cuts(places: np.ndarray, is_doc: np.ndarray, capacity: int = CAPACITY
     return np.array(out[::-1], np.int64)
 
 
-def pack_block(docs: list[bytes], ends: np.ndarray, blank: np.ndarray, capacity: int = CAPACITY) -> dict[str, np.ndarray]:
-    """Pieces of the documents (packed little-endian 32-bit ids, each with its closing id), in order."""
-    sizes = np.array([len(d) // 4 for d in docs], np.int64)
+def pack_block(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray, blank: np.ndarray, capacity: int = CAPACITY) -> dict[str, np.ndarray]:
+    """Pieces of documents in order: `ids` are theirs end to end (little-endian 32-bit, each document with its closing id), `sizes` how many each has."""
     stop = np.cumsum(sizes)
-    raw = b"".join(docs)
-    ids = np.frombuffer(raw, "<u4")
     sentence = ends[ids[:-1]] & ~blank[ids[1:]]
     cuts = np.flatnonzero(sentence) + 1
     is_doc = np.zeros(len(ids) + 1, bool)
@@ -92,7 +89,7 @@ def pack_block(docs: list[bytes], ends: np.ndarray, blank: np.ndarray, capacity:
     start = np.concatenate([[0], edges[:-1]])
     doc = np.searchsorted(stop, start, "right")
     seq = np.searchsorted(sequences, start, "right")
-    view = memoryview(raw)
+    view = memoryview(ids.tobytes())
     crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(start.tolist(), edges.tolist(), strict=True)]
     return {"doc": doc, "start": start - (stop - sizes)[doc], "length": edges - start, "crc": np.array(crc, np.int64), "doc_tokens": sizes[doc], "seq": seq, "offset": start - np.concatenate([[0], sequences])[seq], "n": len(sequences)}
 
@@ -101,28 +98,27 @@ def _packer(ranks: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
         first = TaskContext.get().partitionId() << 36
-        close = np.array([0], "<u4").tobytes()
-        docs: list[bytes] = []
-        keys: list[int | None] = []
+        parts: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal docs, keys, held, first
-            p = pack_block(docs, enc.ends, enc.blank, capacity)
+            nonlocal parts, held, first
+            ids, sizes = (np.concatenate([p[i] for p in parts]) for i in range(2))
+            p = pack_block(ids, sizes, enc.ends, enc.blank, capacity)
             long = lambda x: pa.array(x, pa.int64())
-            out = [pa.array(keys, pa.int64()).take(pa.array(p["doc"])), long(p["start"]), long(p["length"]), long(p["crc"]), long(p["doc_tokens"]), long(p["seq"] + first), long(p["offset"])]
+            keys = pa.concat_arrays([p[2] for p in parts])
+            out = [keys.take(pa.array(p["doc"])), long(p["start"]), long(p["length"]), long(p["crc"]), long(p["doc_tokens"]), long(p["seq"] + first), long(p["offset"])]
             first += p["n"]
-            docs, keys, held = [], [], 0
+            parts, held = [], 0
             return pa.RecordBatch.from_arrays(out, names=[x.split()[0] for x in PIECES.split(", ")])
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                docs.append(enc.encode(text.as_py() or "") + close)
-                keys.append(key)
-                held += len(docs[-1]) // 4
+            for some in slices(batch):
+                parts.append((*enc.encode_documents(some.column(1), 0), some.column(0)))
+                held += len(parts[-1][0])
                 if held >= BLOCK_IDS:
                     yield flush()
-        if docs:
+        if parts:
             yield flush()
 
     return run

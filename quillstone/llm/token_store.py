@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import materialize, shared_dir, ship, small
-from quillstone.llm.tokens import encoder, tokenizer_path
+from quillstone.llm.tokens import encoder, slices, tokenizer_path
 
-#: Ids of a sequence, sequences of a shard (32 MB), and the permutation's key and rounds.
-LENGTH, SHARD_ROWS, KEY, ROUNDS = 1024, 16_384, 20240607, 6
+#: Ids of a sequence, sequences of a shard (17 MB), and the permutation's key and rounds.
+LENGTH, SHARD_ROWS, KEY, ROUNDS = 1024, 8192, 20240607, 6
 
 
 def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS) -> np.ndarray:
@@ -37,73 +38,138 @@ def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS)
     return out.astype(np.int64)
 
 
-SEQUENCES = "part int, place long, first_doc_id long, n_docs long, n_ids long, payload binary"
+#: A record's fields before its ids, little-endian: first_doc_id (0 if null), documents that have ids in it, ids that are no padding (plus NULL_DOC if first_doc_id is null), CRC-32 of the ids. A line feed ends the record.
+HEAD = np.dtype([("first_doc_id", "<i8"), ("n_docs", "<u4"), ("n_ids", "<u4"), ("crc", "<u4")])
+NULL_DOC = 1 << 31
+SEQUENCES = "part int, place long, record binary"
+ROWS = "slot long, shard int, first_doc_id long, n_docs long, n_ids long, ids_crc32 long, payload binary"
+
+
+def stride(length: int = LENGTH) -> int:
+    """Bytes of a record: row r of a shard file begins at byte r * stride."""
+    return HEAD.itemsize + 2 * length + 1
+
+
+def _counts(ranks: str, length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, ids = encoder(ranks, "<u2"), 0
+        for batch in batches:
+            for some in slices(batch):
+                ids += int(enc.encode_batch(some.column(1), count_only=True)[1].sum()) + some.num_rows
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([-(-ids // length)], pa.int64())], names=["part", "n"])
+
+    return run
+
+
+def _records(ids: np.ndarray, first: np.ndarray, null: np.ndarray, docs: np.ndarray, used: np.ndarray) -> list[bytes]:
+    """Records of sequences (rows of ids)."""
+    out = np.zeros(len(ids), np.dtype([("head", HEAD), ("ids", "<u2", ids.shape[1]), ("end", "u1")]))
+    out["head"]["first_doc_id"], out["head"]["n_docs"], out["head"]["n_ids"] = first, docs, used + NULL_DOC * null
+    out["ids"], out["end"] = ids, 10
+    out["head"]["crc"] = [zlib.crc32(x) for x in out["ids"]]
+    return [x.tobytes()[:-1] for x in out]
 
 
 def _sequences(ranks: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The split's documents, each with a closing id, end to end, cut at every `length` ids. The last sequence is padded with the closing id."""
         enc = encoder(ranks, "<u2")
-        part, place, stride = TaskContext.get().partitionId(), 0, 2 * length
-        close = np.array([enc.size - 1], "<u2").tobytes()
-        rest, first, docs = b"", None, 0
-        rows: list[tuple] = []
-
-        def batch_of() -> pa.RecordBatch:
-            nonlocal rows
-            p, i, d, n, k, b = zip(*rows, strict=True)
-            rows = []
-            return pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *(pa.array(x, pa.int64()) for x in (i, d, n, k)), pa.array(b, pa.binary())], names=[x.split()[0] for x in SEQUENCES.split(", ")])
+        part, place = TaskContext.get().partitionId(), 0
+        ids, sizes = np.empty(0, np.uint16), np.empty(0, np.int64)
+        keys: list[int | None] = []
+
+        def cut(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal ids, sizes, keys, place
+            n = -(-len(ids) // length) if last else len(ids) // length
+            stop = np.cumsum(sizes)
+            for a in range(0, n, 1024):
+                at = np.arange(a, min(a + 1024, n)) * length
+                rows = ids[at[0] : at[-1] + length]
+                used = np.minimum(len(ids) - at, length)
+                rows = np.concatenate([rows, np.full(len(at) * length - len(rows), enc.size - 1, np.uint16)]).reshape(-1, length)
+                doc = np.searchsorted(stop, at, "right")
+                first = [keys[d] for d in doc.tolist()]
+                null = np.array([k is None for k in first])
+                docs = np.searchsorted(stop, at + used - 1, "right") - doc + 1
+                records = _records(rows, np.array([k or 0 for k in first]), null, docs, used)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part, np.int32)), pa.array(place + np.arange(len(at))), pa.array(records, pa.binary())], names=["part", "place", "record"])
+                place += len(at)
+            rest = n * length
+            whole = int(np.searchsorted(stop, rest, "right"))  # documents without ids left
+            if rest < len(ids):
+                keys, sizes = keys[whole:], np.diff(stop[whole:], prepend=rest)
+            else:
+                keys, sizes = [], sizes[:0]
+            ids = ids[rest:]
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = enc.encode(text.as_py() or "") + close
-                if not rest:
-                    first = key
-                docs += 1
-                rest += ids
-                at = 0
-                while len(rest) - at >= stride:
-                    rows.append((part, place, first, docs, length, rest[at : at + stride]))
-                    at, place, first, docs = at + stride, place + 1, key, int(len(rest) > at + stride)
-                rest = rest[at:]
-                if len(rows) >= 2048:
-                    yield batch_of()
-        if rest:
-            rows.append((part, place, first, docs, len(rest) // 2, rest + close * (length - len(rest) // 2)))
-        if rows:
-            yield batch_of()
+            for some in slices(batch):
+                more, counts = enc.encode_documents(some.column(1), enc.size - 1)
+                ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, counts])
+                keys += some.column(0).to_pylist()
+                yield from cut(False)
+        yield from cut(True)
 
     return run
 
 
-def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_rows: int = SHARD_ROWS, key: int = KEY, ranks: str | None = None) -> DataFrame:
-    """Write all documents as sequences in training order below `path` and return the table: slot, shard, first_doc_id, n_docs, n_ids, payload (2 * length bytes, little-endian 16-bit ids).
+def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_rows: int = SHARD_ROWS, key: int = KEY, ranks: str | None = None) -> int:
+    """Write all documents as sequences in training order below `path` and return how many sequences there are. Shard s is the one file below shard=s, of fixed-stride records: slot s * shard_rows + r
+    begins at byte r * stride(length), so any slot is found without an index, and reading goes on from any slot.
 
-    Row r of shard s has slot s * shard_rows + r, so any slot can be found and reading can go on anywhere. Null and empty texts give a closing id; repeated rows are kept; an empty table gives no rows. A null doc_id stays null.
-    Sequences are first written in input order, as their number fixes the permutation; then each goes once to the task of its slot range, whose size is fixed whatever the data.
+    Documents stand end to end, each with a closing id, and null and empty texts give that id alone; repeated rows are kept; a null doc_id stays null; an empty table gives no files. Columns but doc_id and text are not read.
+    The number of sequences fixes the permutation, so documents are encoded twice: once to count, once to write; the sequences themselves are written once. docs must give the same rows in the
+    same splits both times, as tables on files do; else the slots don't fit and an error is raised. Each sequence goes to the task of its shard, whose size is fixed whatever the data. A shard whose
+    task is lost is written anew; a path that was written before is an error.
     """
     spark = docs.sparkSession
     ship(spark)
     ranks = ranks or tokenizer_path("byte_bpe_50k.tiktoken")
-    rows = materialize(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sequences(ranks, length), SEQUENCES))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(rows.groupBy("part").agg(F.count("*").alias("n")).select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    counts = materialize(rows.mapInArrow(_counts(ranks, length), "part int, n long"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a number for each split
+    offsets = materialize(counts.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
     total = offsets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     slot = F.pandas_udf(lambda i: pd.Series(permute(i.to_numpy(), total, key)), "long")
-    placed = rows.join(small(offsets.select("part", "offset")), "part").withColumn("slot", slot(F.col("offset") + F.col("place")))
-    placed = placed.withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int")).select("slot", "shard", "first_doc_id", "n_docs", "n_ids", "payload")
+    fits = F.when(F.col("place") < F.col("n"), F.col("offset") + F.col("place")).otherwise(F.raise_error(F.lit("docs changed between counting and writing")).cast("long"))
+    placed = rows.mapInArrow(_sequences(ranks, length), SEQUENCES).join(small(offsets), "part").withColumn("slot", slot(fits))
+    placed = placed.select(F.floor(F.col("slot") / shard_rows).cast("int").alias("shard"), "slot", "record")
     shards = max(1, -(-total // shard_rows))
-    placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot").write.option("compression", "zstd").partitionBy("shard").parquet(path)
-    return spark.read.schema(placed.schema).parquet(path)
+    ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")
+    # Spark's text writer puts out a string's bytes as they are and a line feed after each
+    ordered.select(F.col("record").cast("string"), "shard").write.option("lineSep", "\n").partitionBy("shard").text(path)
+    return total
 
 
-def read_slots(spark: SparkSession, path: str, start: int, stop: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Sequences of slots start to stop - 1, in order: only the shards that hold them are read."""
-    return spark.read.parquet(path).filter(F.col("shard").between(start // shard_rows, max(start, stop - 1) // shard_rows) & (F.col("slot") >= start) & (F.col("slot") < stop)).orderBy("slot")
+def read_slots(spark: SparkSession, path: str, start: int = 0, stop: int = 2**62, length: int = LENGTH, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Sequences of slots start to stop - 1 (slot, shard, first_doc_id, n_docs, n_ids, ids_crc32, payload of little-endian 16-bit ids), in order inside each shard. Only the shards that hold them are read. A damaged record is an error."""
+    ship(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record = np.dtype([("head", HEAD), ("ids", "<u2", length), ("end", "u1")])
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = np.frombuffer(content.as_buffer(), record)
+                first = shard * shard_rows
+                for a in range(max(0, start - first), min(len(rows), stop - first), 1024):
+                    part = rows[a : min(a + 1024, stop - first)]
+                    slot, head = first + a + np.arange(len(part)), part["head"]
+                    crc = np.array([zlib.crc32(x) for x in part["ids"]], np.int64)
+                    if (crc != head["crc"]).any() or (part["end"] != 10).any():
+                        raise ValueError(f"damaged record in shard {shard}")
+                    null = head["n_ids"] >= NULL_DOC
+                    columns = [slot, np.full(len(part), shard, np.int32), pa.array(head["first_doc_id"].astype(np.int64), mask=null), head["n_docs"].astype(np.int64), (head["n_ids"] % NULL_DOC).astype(np.int64), crc, pa.array([x.tobytes() for x in part["ids"]], pa.binary())]
+                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[x.split()[0] for x in ROWS.split(", ")])
+
+    files = spark.read.format("binaryFile").load(path)
+    held = files.filter(F.col("shard").between(start // shard_rows, (max(start, stop - 1)) // shard_rows)).select("shard", "content")
+    return held.mapInArrow(run, ROWS)
 
 
 def store_documents(docs: DataFrame) -> DataFrame:
-    """Write the shards into the shared folder; per sequence: slot, shard, first_doc_id, n_docs, n_ids and the payload's ids_crc32."""
-    out = write_shards(docs, f"{shared_dir(docs.sparkSession)}/token-shards/{uuid.uuid4().hex}")
-    return out.select("slot", "shard", "first_doc_id", "n_docs", "n_ids", F.crc32("payload").alias("ids_crc32"))
+    """Write the shards into the shared folder and read them back; per sequence: slot, shard, first_doc_id, n_docs, n_ids and the ids' ids_crc32."""
+    path = f"{shared_dir(docs.sparkSession)}/token-shards/{uuid.uuid4().hex}"
+    if not write_shards(docs, path):
+        return docs.sparkSession.createDataFrame([], ROWS).drop("payload")
+    return read_slots(docs.sparkSession, path).drop("payload")

@@ -1,13 +1,19 @@
-"""Token ids of the byte-level BPE vocabulary as packed bytes, each distinct word encoded once a worker."""
+"""Token ids of the byte-level BPE vocabulary, a batch of texts at once; each distinct word is encoded once a worker."""
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words a Python worker remembers; when full it starts anew, so memory is bounded at about 150 MB.
 CACHE_WORDS = 700_000
+#: Fresh words that are encoded in one call.
+FRESH = 16_384
 #: The id that ends a document in training sequences.
 END_OF_TEXT = "<|endoftext|>"
 
@@ -18,15 +24,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Words(dict):
-    """word -> packed ids. A word stands after a space; one that begins with a line feed stands as it is."""
+def slices(batch: pa.RecordBatch, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch of (key, text) in runs of rows whose texts have about `size` bytes, so that what encoding them takes is bounded."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
 
-    def __init__(self, encode, dtype):
-        self.encode, self.dtype = encode, dtype
 
-    def __missing__(self, word: str) -> bytes:
-        out = self[word] = np.array(self.encode(word if word[0] == "\n" else " " + word), self.dtype).tobytes()
-        return out
+def _plain(word: str) -> bool:
+    """Whether the word holds no white space but a line feed at its start."""
+    rest = word[1:] if word[:1] == "\n" else word
+    return rest.split() == [rest]
 
 
 class ByteEncoder:
@@ -45,28 +55,74 @@ class ByteEncoder:
         self.size = len(table) + 1
         self.dtype = np.dtype(dtype)
         self.all = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={END_OF_TEXT: len(table)})
-        self.known = _Words(self.all._core_bpe.encode_ordinary, self.dtype)
+        self.known: dict[str, bytes | None] = {}  # ids of a word after its space or with its line feed; none where a text with it is encoded whole
         self.ends = np.zeros(self.size, bool)  # ids that end a sentence or a line
         self.blank = np.zeros(self.size, bool)  # ids of white space alone
+        self.first = np.zeros(self.size, bool)  # ids that begin with a space or a line feed
         for piece, i in table.items():
             self.ends[i] = piece[-1:] in (b".", b"!", b"?") or b"\n" in piece
             self.blank[i] = not piece.strip()
+            self.first[i] = piece[:1] in (b" ", b"\n")
 
-    def encode(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         """The text's ids, packed."""
-        if not text:
-            return b""
-        if END_OF_TEXT in text:
-            return np.array(self.all.encode(text, allowed_special="all"), self.dtype).tobytes()
-        # equal lists: nothing but single spaces and line feeds, each between two other characters
-        if text.replace("\n", " ").split(" ") != text.split():
-            return np.array(self.all.encode_ordinary(text), self.dtype).tobytes()
-        words = text.replace("\n", " \n").split(" ")
+        ids = self.all.encode(text, allowed_special="all") if END_OF_TEXT in text else self.all._core_bpe.encode_ordinary(text)
+        return np.array(ids, self.dtype).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode fresh words together: each begins with its space or line feed, which no other place of it holds, so ids that begin with one tell where words begin."""
         known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        first = np.array(self.all.encode_ordinary(words[0]), self.dtype).tobytes()
-        return first + b"".join(map(known.__getitem__, words[1:]))
+        plain = []
+        for w in words:
+            if _plain(w):
+                plain.append(w)
+            else:
+                known[w] = None
+        for i in range(0, len(plain), FRESH):
+            part = plain[i : i + FRESH]
+            ids = np.array(self.all._core_bpe.encode_ordinary("".join([w if w[0] == "\n" else " " + w for w in part])), self.dtype)
+            cuts = (np.flatnonzero(self.first[ids]) * self.dtype.itemsize).tolist()
+            packed = ids.tobytes()
+            known.update(zip(part, (packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)], strict=True)), strict=True))
+
+    def encode_batch(self, texts: pa.Array, count_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts): the ids of all texts end to end, and how many each has. Null texts have none. With count_only the ids are left out."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        n = len(texts)
+        if not n:
+            return np.empty(0, self.dtype), np.empty(0, np.int64)
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        edges = lists.offsets.to_numpy()
+        words = lists.flatten().dictionary_encode()
+        number = words.indices.to_numpy().astype(np.int64)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        self._learn([w for w in distinct if w not in self.known])
+        ids_of = list(map(self.known.__getitem__, distinct))
+        edges = edges - edges[0]
+        # the first word has no space before it; other places of the texts that are encoded whole give nothing
+        odd = np.fromiter((x is None for x in ids_of), bool, len(ids_of))
+        odd_text = np.logical_or.reduceat(odd[number], edges[:-1]) | pc.match_substring(texts, END_OF_TEXT).to_numpy(zero_copy_only=False)
+        heads = [self.whole(t if o else t.split(" ", 1)[0].split("\n", 1)[0]) for t, o in zip(texts.to_pylist(), odd_text.tolist(), strict=True)]
+        number[np.repeat(odd_text, np.diff(edges))] = len(distinct)
+        number[edges[:-1]] = len(distinct) + 1 + np.arange(n)
+        table = [x or b"" for x in chain(ids_of, [b""], heads)]
+        size = np.fromiter(map(len, table), np.int64, len(table)) // self.dtype.itemsize
+        count = size[number]
+        done = np.cumsum(count)
+        counts = np.diff(np.concatenate([[0], done[edges[1:] - 1]]))
+        if count_only:
+            return np.empty(0, self.dtype), counts
+        start = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(table), self.dtype)
+        ids = flat[np.arange(done[-1]) + np.repeat(start[number] - (done - count), count)]
+        return ids, counts
+
+    def encode_documents(self, texts: pa.Array, close: int) -> tuple[np.ndarray, np.ndarray]:
+        """As encode_batch, with the id `close` after each text."""
+        ids, counts = self.encode_batch(texts)
+        return np.insert(ids, np.cumsum(counts), close), counts + 1
 
 
 _ENCODERS: dict[tuple, ByteEncoder] = {}

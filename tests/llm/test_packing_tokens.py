@@ -4,6 +4,8 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 from quillstone.llm import packing, token_store, words_bpe
@@ -43,17 +45,23 @@ def ids_of(texts):
     return [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+def encoded(enc, texts):
+    ids, counts = enc.encode_batch(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else ids.tolist()
+
+
 def test_encoder_gives_the_tokenizers_ids(docs, odd):
     enc = ByteEncoder(P.path("byte_bpe_50k.tiktoken"))
     texts = [r.text for r in docs.collect()] + [r.text for r in odd.collect()] + ["a  b", "\n", " x\n\ny", "it's\n I'm", "x\r\ny", " a b"]
-    assert [np.frombuffer(enc.encode(t or ""), "<u4").tolist() for t in texts] == ids_of(texts)
+    assert encoded(enc, texts) == ids_of(texts)
+    assert encoded(enc, [None, "<|endoftext|> a", "x<|endoftext|>", "a b"] * 3) == ids_of([None, "<|endoftext|> a", "x<|endoftext|>", "a b"] * 3) and encoded(enc, []) == []
 
 
 def test_encoder_on_random_white_space():
     enc = ByteEncoder(P.path("byte_bpe_50k.tiktoken"))
     r = random.Random(11)
     texts = ["a  b\tc", "a b\tc ", "a  b c", "\na", "a\n"] + ["".join(r.choice("ab1.' \n\t\r\x1c\x85\u2003\u3000é's") for _ in range(r.randint(0, 12))) for _ in range(20_000)]
-    assert [np.frombuffer(enc.encode(t), "<u4").tolist() for t in texts] == ids_of(texts)
+    assert encoded(enc, texts) == ids_of(texts)
 
 
 def check_pieces(rows, texts):
@@ -102,16 +110,46 @@ def test_permutation():
 
 def test_token_shards(spark, docs, odd, none, tmp_path):
     path = f"file://{tmp_path}/shards"
-    rows = token_store.write_shards(docs, path, length=64, shard_rows=100).collect()
-    n = len(rows)
+    n = token_store.write_shards(docs, path, length=64, shard_rows=100)
+    rows = token_store.read_slots(spark, path, length=64, shard_rows=100).collect()
     assert sorted(r.slot for r in rows) == list(range(n)) and all(r.shard == r.slot // 100 and len(r.payload) == 128 for r in rows)
     want = sum(len(i) + 1 for i in ids_of([r.text for r in docs.collect()]))
     assert sum(r.n_ids for r in rows) == want
     # read back in input order, the sequences are the documents' ids end to end
     order = {int(s): r for s, r in zip(token_store.permute(np.arange(n), n), range(n), strict=True)}
-    stream = [x for r in sorted(rows, key=lambda r: order[r.slot]) for x in np.frombuffer(r.payload, "<u2")[: r.n_ids].tolist()]
+    ordered = sorted(rows, key=lambda r: order[r.slot])
+    stream = [x for r in ordered for x in np.frombuffer(r.payload, "<u2")[: r.n_ids].tolist()]
     assert stream == [x for i in ids_of([r.text for r in docs.collect()]) for x in [*i, 50256]]
-    assert [r.slot for r in token_store.read_slots(spark, path, 150, 260, 100).collect()] == list(range(150, min(260, n)))
+    owner = [(k, r.doc_id) for k, (r, i) in enumerate(zip(docs.collect(), ids_of([r.text for r in docs.collect()]), strict=True)) for _ in range(len(i) + 1)]
+    at = 0
+    for r in ordered:
+        mine = owner[at : at + r.n_ids]
+        assert r.first_doc_id == mine[0][1] and r.n_docs == len(set(mine)) and r.ids_crc32 == zlib.crc32(r.payload)
+        at += r.n_ids
+    assert sorted(r.slot for r in token_store.read_slots(spark, path, 150, 260, 64, 100).collect()) == list(range(150, min(260, n)))
+    # one file a shard, and any slot at its byte offset
+    for shard in range(-(-n // 100)):
+        (file,) = (tmp_path / "shards" / f"shard={shard}").glob("part-*")
+        data = file.read_bytes()
+        size = token_store.stride(64)
+        assert len(data) == size * min(100, n - 100 * shard)
+        for r in rows:
+            if r.shard == shard:
+                assert data[(r.slot % 100) * size :][:size][20:-1] == r.payload
+
+
+def test_token_shards_of_odd_rows(spark, odd, none, tmp_path):
+    path = f"file://{tmp_path}/odd"
+    token_store.write_shards(odd, path, length=8, shard_rows=16)
+    rows = token_store.read_slots(spark, path, length=8, shard_rows=16).collect()
+    want = [x for i in ids_of([r.text for r in odd.collect()]) for x in [*i, 50256]]
+    assert sorted(x for r in rows for x in np.frombuffer(r.payload, "<u2")[: r.n_ids].tolist()) == sorted(want)
+    assert {r.first_doc_id for r in rows} <= {r.doc_id for r in odd.collect()} and any(r.first_doc_id is None for r in rows)
+    (file,) = (tmp_path / "odd" / "shard=0").glob("part-*")
+    file.write_bytes(file.read_bytes()[:-3] + b"xyz")
+    (tmp_path / "odd" / "shard=0" / f".{file.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match="damaged"):
+        token_store.read_slots(spark, path, 0, 16, 8, 16).collect()
     assert token_store.store_documents(odd).count() > 0 and token_store.store_documents(none).count() == 0
 
 
