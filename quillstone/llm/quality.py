@@ -131,10 +131,14 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with docs' own columns. Two passes: one for the limits, one that measures and filters without moving texts."""
-    limits = materialize(thresholds(sketch(quality_metrics(docs.select("text", "lang", "source")).drop("text"))))
+    """The rows of docs that the rules keep, with docs' own columns, whatever their names; nulls, ties and repeated rows as in quality_rules; an empty table gives no rows.
+
+    The rows are measured once and written beside their measures; the sketch reads the measures alone, and the filter both. No text is shuffled.
+    """
     whole = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), "text", "lang", "source")
-    return judge(quality_metrics(whole), limits).filter("kept").select("_row.*")
+    measured = materialize(quality_metrics(whole).drop("text"))
+    limits = materialize(thresholds(sketch(measured)))
+    return judge(measured, limits).filter("kept").select("_row.*")
 
 
 #: The same in DuckDB SQL. Windows are compared as texts there.

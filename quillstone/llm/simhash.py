@@ -18,10 +18,10 @@ SEED = 42
 OCCUPANCY = 8
 #: Lanes of one bit-sliced comparison. Larger blocks are cut into pairs of chunks.
 LANES = 2048
-#: Prints of a block up to which all its near pairs are candidates, and shingles that a chunk holds where whole sets are compared.
+#: Nodes of a block up to which all its near pairs are links, and shingles that a chunk holds where whole sets are compared.
 WHOLE, CHUNK_SHINGLES = 32, 4_000_000
-#: Near copies: bands and minima of a band's key (texts at similarity 0.8 share a band in 99.98 of 100 cases), and the bits by which prints may differ before their shingles are compared (5-word prints at 0.8 differ by 10 on average, 2.9 standard deviation).
-BANDS, BAND_ROWS, COPY_RADIUS = 16, 4, 20
+#: Near copies: bands and minima of a band's key (texts at similarity 0.8 share a band in 99.98 of 100 cases), and the bits by which prints may differ before their shingles are compared (5-word prints at 0.8 differ by 10 on average, 2.9 standard deviation: 24 are passed by one pair in a million).
+BANDS, BAND_ROWS, COPY_RADIUS = 16, 4, 24
 
 
 def shingle_hashes(text: str | None, shingle: int = 3) -> np.ndarray:
@@ -169,83 +169,90 @@ def _forest(a: np.ndarray, b: np.ndarray, bits: np.ndarray, nodes: int) -> np.nd
     return np.array(out, np.int64)
 
 
-def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
-    """Links that join what is at most `radius` bits apart: all prints of left, or each of left with each of right. Of several ways to link the same prints, the nearest are returned that keep them joined."""
+def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places in left, places in right, or in left again) that join what is at most `radius` bits apart: all prints of left, or each of left with each of right. Of several ways to link the same prints, the nearest are returned that keep them joined."""
     other = left if right is None else right
     planes, used = slice_bits(other)
     shift = 0 if right is None else len(left)
     everyone = left if right is None else np.concatenate([left, right])
-    a = b = bits = np.empty(0, np.int64)
+    a = b = np.empty(0, np.int64)
     for i in range(0, len(left), 256):
         found = np.array(near_lanes(planes, left[i : i + 256], used, radius), np.int64).reshape(-1, 2)
         a, b = np.concatenate([a, found[:, 0] + i]), np.concatenate([b, found[:, 1] + shift])
-        bits = np.bitwise_count(everyone[a] ^ everyone[b])
-        kept = _forest(a, b, bits, len(everyone))
+        kept = _forest(a, b, np.bitwise_count(everyone[a] ^ everyone[b]), len(everyone))
         a, b = a[kept], b[kept]
-    return list(zip(everyone[a].tolist(), everyone[b].tolist(), strict=True))
+    # one end of a link between two sides may be either
+    return (a, b) if right is None else (np.minimum(a, b), np.maximum(a, b) - shift)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[list]]:
+    """Runs of rows with the same first four columns, which may go on in the next batch; each as lists of the parts of the further columns. Lists come as lists of arrays."""
+    key, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(i).to_numpy() for i in range(4)])
+        edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [batch.num_rows]])
+        values = []
+        for i in range(4, 4 + columns):
+            x = batch.column(i)
+            values.append(np.split(x.flatten().to_numpy(), np.cumsum(x.value_lengths().to_numpy())[:-1]) if pa.types.is_list(x.type) else x.to_numpy())
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if (now := tuple(keys[:, a])) != key:
+                if parts:
+                    yield parts
+                key, parts = now, [[] for _ in range(columns)]
+            for held, x in zip(parts, values, strict=True):
+                held.append([y.copy() for y in x[a:b]] if isinstance(x, list) else x[a:b].copy())
+    if parts:
+        yield parts
 
 
 def _compare(radius: int, tell: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by block; a block is compared when the next one begins. Small blocks share one comparison: their links are kept if the block is the same."""
+        """Rows come sorted by block. Small blocks share one comparison: their links are kept if the block is the same."""
         seen: set[tuple[int, int, bool]] = set()
         pending: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
-        key, prints, sides = None, [], []
 
-        def pairs_of(block: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-            return links(block, None, radius) if not side.any() else links(block[side == 1], block[side == 2], radius)
-
-        def small_blocks() -> list[tuple[int, int]]:
-            """Blocks of few prints, many at once: each lane compares a print with the one `shift` places before it in its block."""
+        def small_blocks() -> Iterator[pa.RecordBatch]:
+            """Blocks of few nodes, many at once: each lane compares a print with the one `shift` places before it in its block."""
             nonlocal pending, held
-            if not pending:
-                return []
-            block = np.concatenate([np.full(len(p), k) for k, (p, _) in enumerate(pending)])
-            flat = np.concatenate([p for p, _ in pending])
-            out = []
-            for shift in range(1, max(len(p) for p, _ in pending)):
-                same = np.flatnonzero(block[shift:] == block[:-shift])
-                near = same[near_pairs(flat[same + shift], flat[same], radius)]
-                out += zip(flat[near + shift].tolist(), flat[near].tolist(), strict=True)
+            if pending:
+                block = np.concatenate([np.full(len(p), k) for k, (p, _) in enumerate(pending)])
+                flat, node = (np.concatenate([p[i] for p in pending]) for i in range(2))
+                for shift in range(1, max(len(p) for p, _ in pending)):
+                    same = np.flatnonzero(block[shift:] == block[:-shift])
+                    near = same[near_pairs(flat[same + shift], flat[same], radius)]
+                    yield from emit(node[near + shift], node[near], False)
             pending, held = [], 0
-            return out
-
-        def close() -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            block, side = np.array(prints, np.int64).view(np.uint64), np.array(sides, np.int8)
-            if len(block) > WHOLE or side.any():
-                yield from emit(pairs_of(block, side), True)
-                return
-            if len(block) > 1:
-                pending.append((block, side))
-                held += len(block)
-            if held > 100_000:
-                yield from emit(small_blocks(), False)
-
-        def emit(found: list[tuple[int, int]], part: bool) -> Iterator[pa.RecordBatch]:
-            fresh = [p for p in {(max(a, b), min(a, b), part) for a, b in found} if p not in seen]
+
+        def emit(a: np.ndarray, b: np.ndarray, part: bool) -> Iterator[pa.RecordBatch]:
+            pairs = {(x, y, part) for x, y in zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist(), strict=True) if x != y}
+            fresh = [p for p in pairs if p not in seen]
             if len(seen) < 1_000_000:
                 seen.update(fresh)
             if fresh:
-                ends = np.array([p[:2] for p in fresh], np.uint64).view(np.int64)
+                ends = np.array([p[:2] for p in fresh], np.int64)
                 out = [pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array([part] * len(fresh))]
                 yield pa.RecordBatch.from_arrays(out if tell else out[:2], names=["src", "dst", "part"] if tell else ["src", "dst"])
 
-        for batch in batches:
-            keys = np.stack([batch.column(i).to_numpy() for i in range(4)])
-            edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [batch.num_rows]]) if batch.num_rows else [0]
-            value, side = batch.column(4).to_numpy(), batch.column(5).to_numpy()
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if (now := tuple(keys[:, a])) != key:
-                    if prints:
-                        yield from close()
-                    key, prints, sides = now, [], []
-                prints += value[a:b].tolist()
-                sides += side[a:b].tolist()
-        if prints:
-            yield from close()
-        yield from emit(small_blocks(), False)
+        for parts in _blocks(batches, 3):
+            prints, node, side = (np.concatenate(p) for p in parts)
+            prints = prints.view(np.uint64)
+            if side.any():
+                left, right = side == 1, side == 2
+                a, b = links(prints[left], prints[right], radius)
+                yield from emit(node[left][a], node[right][b], True)
+            elif len(prints) > WHOLE:
+                a, b = links(prints, None, radius)
+                yield from emit(node[a], node[b], True)
+            elif len(prints) > 1:
+                pending.append((prints, node))
+                held += len(prints)
+                if held > 100_000:
+                    yield from small_blocks()
+        yield from small_blocks()
 
     return run
 
@@ -271,12 +278,12 @@ def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
         for start, size in ranges:
             key = key.bitwiseOR(F.shiftleft(F.shiftrightunsigned("print", start).bitwiseAND(F.lit((1 << size) - 1)), sum(s for a, s in ranges if a < start)))
         parts.append(F.struct(F.lit(t).alias("t"), key.alias("key")))
-    return compare_blocks(prints.select("print", F.inline(F.array(*parts))), radius)
+    return compare_blocks(prints.select("print", F.col("print").alias("node"), F.inline(F.array(*parts))), radius)
 
 
 def _deal(keyed: DataFrame, full: DataFrame) -> DataFrame:
     """The rows of keyed for each pair of chunks (c, d) that they meet in; full has the number of chunks of each block (t, key)."""
-    chunk = F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     placed = keyed.join(full, ["t", "key"]).withColumn("chunk", chunk)
     # chunk c meets the chunks d >= c as side 1 and the chunks d <= c as side 2; alone it is side 0
     meets = F.transform(
@@ -284,28 +291,28 @@ def _deal(keyed: DataFrame, full: DataFrame) -> DataFrame:
         lambda d: F.struct(F.least("chunk", d).alias("c"), F.greatest("chunk", d).alias("d"), F.when(d == F.col("chunk"), 0).when(F.col("chunk") < d, 1).otherwise(2).cast("tinyint").alias("side")),
     )
     dealt = placed.select(*keyed.columns, F.inline(meets))
-    return dealt.select("t", "key", "c", "d", "print", "side", *[c for c in keyed.columns if c not in ("t", "key", "print")])
+    return dealt.select("t", "key", "c", "d", "print", "node", "side", *[c for c in keyed.columns if c not in ("t", "key", "print", "node")])
 
 
 def _by_block(dealt: DataFrame) -> DataFrame:
-    return dealt.repartition(F.col("t"), F.col("key"), F.col("c"), F.col("d")).sortWithinPartitions("t", "key", "c", "d", "print")
+    return dealt.repartition(F.col("t"), F.col("key"), F.col("c"), F.col("d")).sortWithinPartitions("t", "key", "c", "d", "print", "node")
 
 
 def compare_blocks(keyed: DataFrame, radius: int, tell: bool = False) -> DataFrame:
-    """Links (src, dst) that join the prints of each block (t, key) of keyed (print, t, key) at most `radius` bits apart. tell adds part: whether a block gave the link in place of other near pairs.
+    """Links (src, dst) that join the nodes of each block (t, key) of keyed (print, node, t, key) with prints at most `radius` bits apart. tell adds part: whether a block gave the link in place of other near pairs.
 
-    Blocks over LANES prints are cut into chunks by a hash, and each pair of chunks is compared in a task of its own. Prints come in order, so that ties fall alike in every run.
+    Blocks over LANES nodes are cut into chunks by a hash, and each pair of chunks is compared in a task of its own. Prints come in order, so that ties fall alike in every run.
     """
     full = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("chunks", F.ceil(F.col("n") / LANES).cast("int")).drop("n")
-    ready = _by_block(_deal(keyed.select("t", "key", "print"), full))
+    ready = _by_block(_deal(keyed.select("t", "key", "print", "node"), full))
     ship(keyed.sparkSession)
     if tell:
         return ready.mapInArrow(_compare(radius, True), "src long, dst long, part boolean").groupBy("src", "dst").agg(F.max("part").alias("part"))
     return ready.mapInArrow(_compare(radius), "src long, dst long").distinct()
 
 
-def similar_links(prints: np.ndarray, sides: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
-    """Links that join all prints whose sets share `similarity` of their members, among pairs at most `radius` bits apart: all of side 0, or each of side 1 with each of side 2.
+def similar_links(prints: np.ndarray, nodes: np.ndarray, sides: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Links that join all nodes whose sets share `similarity` of their members, among pairs at most `radius` bits apart: all of side 0, or each of side 1 with each of side 2.
 
     Pairs already joined, by their classes or by links before, are passed over; every other pair is measured, the nearest first.
     """
@@ -340,7 +347,7 @@ def similar_links(prints: np.ndarray, sides: np.ndarray, classes: np.ndarray, se
                 if label[i] != label[j]:
                     common = int(np.count_nonzero(has[ids[j]]))
                     if common >= similarity * int(size[i] + size[j] - common):
-                        out.append((int(prints[i]), int(prints[j])))
+                        out.append((int(nodes[i]), int(nodes[j])))
                         label[label == label[j]] = label[i]
             has[ids[i]] = False
     return out
@@ -348,33 +355,13 @@ def similar_links(prints: np.ndarray, sides: np.ndarray, classes: np.ndarray, se
 
 def _similar(radius: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by block; a block is compared when the next one begins."""
-        key, parts = None, []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            prints, sides, classes = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            found = similar_links(prints.view(np.uint64), sides, classes, [x for p in parts for x in p[3]], radius, similarity)
+        for parts in _blocks(batches, 5):
+            prints, nodes, sides, classes = (np.concatenate(p) for p in parts[:4])
+            found = similar_links(prints.view(np.uint64), nodes, sides, classes, [x for p in parts[4] for x in p], radius, similarity)
             if found:
-                two = np.array(found, np.uint64).view(np.int64)
+                two = np.array(found, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], names=["src", "dst"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(i).to_numpy() for i in range(4)])
-            edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [batch.num_rows]])
-            columns = [batch.column(i).to_numpy() for i in (4, 5, 6)]
-            lists = batch.column(7)
-            sets = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if (now := tuple(keys[:, a])) != key:
-                    if parts:
-                        yield from close()
-                    key, parts = now, []
-                parts.append((*(c[a:b].copy() for c in columns), [x.copy() for x in sets[a:b]]))
-        if parts:
-            yield from close()
-
     return run
 
 
@@ -393,24 +380,24 @@ def whole_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, radius: int
     groups = materialize(connected_components(failed.select("src", "dst")))
     group = groups.select(F.col("node").alias("class"), F.col("root").alias("key"))
     open_ = failed.filter("part").select(F.col("src").alias("class")).join(group, "class").select("key").distinct()
-    held = sets.select("print", F.size("shingles").alias("size")).join(nodes.withColumnRenamed("node", "print"), "print", "left").select("print", "size", F.coalesce("root", "print").alias("class"))
-    placed = materialize(held.join(group, "class").join(open_, "key", "left_semi").select(F.lit(0).alias("t"), "key", "print", "class", "size"))
+    held = sets.select("node", "print", F.size("shingles").alias("size")).join(nodes, "node", "left").select("node", "print", "size", F.coalesce("root", "node").alias("class"))
+    placed = materialize(held.join(group, "class").join(open_, "key", "left_semi").select(F.lit(0).alias("t"), "key", "print", "node", "class", "size"))
     chunks = F.ceil(F.greatest(F.count("*") / LANES, F.sum("size") / CHUNK_SHINGLES)).cast("int")
     full = placed.groupBy("t", "key").agg(chunks.alias("chunks"))
-    dealt = _deal(placed.drop("size"), full).join(sets, "print").select("t", "key", "c", "d", "print", "side", "class", "shingles")
+    dealt = _deal(placed.drop("size"), full).join(sets.drop("print"), "node").select("t", "key", "c", "d", "print", "node", "side", "class", "shingles")
     more = _by_block(dealt).mapInArrow(_similar(radius, similarity), "src long, dst long")
     return materialize(done.unionByName(more))
 
 
-def near_components(prints: DataFrame, links: DataFrame) -> DataFrame:
-    """Every row of prints (doc_id, print) with component_id, the smallest doc_id that links (src, dst) between prints reach, and root, the component's smallest print. Rows with equal prints are linked. Null doc_ids count in no minimum; a component of them alone has null."""
-    classes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")))
+def near_components(rows: DataFrame, links: DataFrame, by: str = "print") -> DataFrame:
+    """Every row of rows (doc_id and the column `by`) with component_id, the smallest doc_id that links (src, dst) between values of `by` reach, and root, the component's smallest value. Rows with equal values are linked. Null doc_ids count in no minimum; a component of them alone has null."""
+    classes = materialize(rows.groupBy(by).agg(F.min("doc_id").alias("first_id")))
     nodes = materialize(connected_components(links))
-    named = nodes.join(classes, nodes["node"] == classes["print"]).select("node", "root", "first_id")
+    named = nodes.join(classes, nodes["node"] == classes[by]).select(nodes["node"], "root", "first_id")
     lowest = named.groupBy("root").agg(F.min("first_id").alias("low"))
-    labels = nodes.join(lowest, "root").select(F.col("node").alias("print"), "low", "root")
-    label = materialize(classes.join(labels, "print", "left").select("print", F.coalesce("low", "first_id").alias("component_id"), F.coalesce("root", "print").alias("root")))
-    return prints.join(label, "print")
+    labels = nodes.join(lowest, "root").select(F.col("node").alias(by), "low", "root")
+    label = materialize(classes.join(labels, by, "left").select(by, F.coalesce("low", "first_id").alias("component_id"), F.coalesce("root", by).alias("root")))
+    return rows.join(label, by)
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -425,11 +412,14 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Da
 
 def _sketches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
-            hashes = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(1)]
-            prints = np.fromiter(map(simhash, hashes), np.uint64, batch.num_rows).view(np.int64)
-            bands = [np.array(band_keys(h, BANDS, BAND_ROWS), np.uint64).view(np.int64) for h in hashes]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array(bands, pa.list_(pa.int64()))], names=["key", "print", "bands"])
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(1)]
+            node = np.fromiter((xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets), np.uint64, len(sets)).view(np.int64)
+            prints = np.fromiter(map(simhash, sets), np.uint64, len(sets)).view(np.int64)
+            bands = [np.array(band_keys(x, BANDS, BAND_ROWS), np.uint64).view(np.int64) for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), pa.array(prints), pa.array(bands, pa.list_(pa.int64()))], names=["key", "node", "print", "bands"])
 
     return run
 
@@ -437,8 +427,8 @@ def _sketches(shingle: int):
 def _shingle_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["print", "shingles"])
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["node", "print", "shingles"])
 
     return run
 
@@ -446,9 +436,9 @@ def _shingle_sets(shingle: int):
 def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = COPY_RADIUS) -> DataFrame:
     """The rows of docs without near copies: texts that share at least `similarity` of their shingles (intersection by union) are linked, and of each component the row with the smallest doc_id stays, of rows with that same id the one with the smallest hash of its text.
 
-    Candidates are prints at most `radius` bits apart, compared bit-sliced in blocks of equal band keys; every candidate link is then held against the whole sets of shingles. Fingerprints are those of the distinct shingles, and texts with equal ones are linked without that.
-    In a block of over 32 prints the nearest links that join them are candidates, so links grow with the rows and not with their square. Where one of these fails, every pair of what it should have joined is measured (whole_links), so no pair of a block is left out.
-    Rows that are equal in id and text leave one row; where an id occurs on texts of several components, each of these keeps its own row. Null ids come after all others. Null and empty texts are one group. docs may have any further columns; they stay.
+    Texts with the same set of shingles are one node. Candidates are nodes with prints at most `radius` bits apart, compared bit-sliced in blocks of equal band keys; every candidate link is then held against the whole sets. Fingerprints are those of the distinct shingles.
+    In a block of over 32 nodes the nearest links that join them are candidates, so links grow with the rows and not with their square. Where one of these fails, every pair of what it should have joined is measured (whole_links), so no pair of a block is left out.
+    Rows that are equal in id and text leave one row; where an id occurs on texts of several components, each of these keeps its own row. Null ids come after all others. Null and empty texts are one group; texts shorter than a shingle are one shingle; texts of any length are compared whole; an empty table gives no rows. docs may have any further columns; they stay.
     Texts are shuffled by row keys alone, so no group of copies meets in one task.
     """
     ship(docs.sparkSession)
@@ -460,19 +450,20 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     same_row = (F.col("known_id") == F.coalesce("kept_id", F.lit(0))) & (F.col("no_id") == F.col("kept_id").isNull()) & (F.col("row_key") == F.col("kept_key"))
 
     texts = keyed.select(F.struct("id", "row_key").alias("key"), F.col("row.text").cast("string").alias("text"))
-    sketches = texts.mapInArrow(_sketches(shingle), "key struct<id:long,row_key:long>, print long, bands array<long>")
-    base = materialize(sketches.select(F.col("key.id").alias("doc_id"), "key.row_key", "print", "bands"))
-    firsts = base.groupBy("print").agg(F.min(F.struct(order.alias("o"), "bands")).alias("f"))
-    classes = materialize(firsts.select("print", F.col("f.o.doc_id").alias("kept_id"), F.col("f.o.row_key").alias("kept_key"), "f.bands"))
-    pairs = materialize(compare_blocks(classes.select("print", F.posexplode("bands").alias("t", "key")), radius, tell=True))
-
-    asked = materialize(classes.join(pairs.select(F.explode(F.array("src", "dst")).alias("print")).distinct(), "print").select("print", "kept_id", "kept_key"))
-    held = keyed.join(small(asked), same_row).dropDuplicates(["print"]).select("print", F.col("row.text").cast("string").alias("text"))
-    sets = materialize(held.mapInArrow(_shingle_sets(shingle), "print long, shingles array<long>"))
-    one, two = sets.select(F.col("print").alias("src"), F.col("shingles").alias("a")), sets.select(F.col("print").alias("dst"), F.col("shingles").alias("b"))
+    sketches = texts.mapInArrow(_sketches(shingle), "key struct<id:long,row_key:long>, node long, print long, bands array<long>")
+    base = materialize(sketches.select(F.col("key.id").alias("doc_id"), "key.row_key", "node", "print", "bands"))
+    # print and bands follow from the node
+    firsts = base.groupBy("node").agg(F.min(F.struct(order.alias("o"), "print", "bands")).alias("f"))
+    classes = materialize(firsts.select("node", "f.print", F.col("f.o.doc_id").alias("kept_id"), F.col("f.o.row_key").alias("kept_key"), "f.bands"))
+    pairs = materialize(compare_blocks(classes.select("node", "print", F.posexplode("bands").alias("t", "key")), radius, tell=True))
+
+    asked = materialize(classes.join(pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "node").select("node", "print", "kept_id", "kept_key"))
+    held = keyed.join(small(asked), same_row).dropDuplicates(["node"]).select("node", "print", F.col("row.text").cast("string").alias("text"))
+    sets = materialize(held.mapInArrow(_shingle_sets(shingle), "node long, print long, shingles array<long>"))
+    one, two = sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b"))
     measured = pairs.join(one, "src").join(two, "dst").select("src", "dst", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.size(F.array_intersect("a", "b")).alias("common"))
     alike = measured.filter(F.col("common") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("src", "dst")
-    joined = near_components(base.drop("bands"), whole_links(pairs, alike, sets, radius, similarity))
+    joined = near_components(base.drop("bands", "print"), whole_links(pairs, alike, sets, radius, similarity), "node")
 
     best = joined.groupBy("root").agg(F.min(order).alias("o"))
     kept = materialize(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.row_key").alias("kept_key")).distinct())

@@ -90,20 +90,27 @@ def test_simhash_components(docs, odd, none):
 
 
 def brute_copies(rows, similarity=0.8, shingle=5):
-    """Smallest doc_id of each component of texts that share at least `similarity` of their word shingles."""
-    sets = []
+    """Smallest doc_id of each component of texts that share at least `similarity` of their word shingles. Sets are the bits of integers."""
+    sets: list[int] = []
+    place: dict[tuple, int] = {}
     for _, t in rows:
         w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", w) if x]
-        sets.append({tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set())
-    group = list(range(len(rows)))
+        sets.append(sum(1 << place.setdefault(tuple(w[i : i + shingle]), len(place)) for i in {tuple(w[i : i + shingle]): i for i in range(max(1, len(w) - shingle + 1))}.values()) if w else 0)
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
     for i in range(len(rows)):
         for j in range(i):
-            if group[i] != group[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
-                a, b = group[i], group[j]
-                group = [b if g == a else g for g in group]
+            if find(i) != find(j) and (sets[i] & sets[j]).bit_count() >= similarity * (sets[i] | sets[j]).bit_count():
+                parent[find(i)] = find(j)
     least = {}
-    for (d, _), g in zip(rows, group, strict=True):
+    for k, (d, _) in enumerate(rows):
+        g = find(k)
         least[g] = min((x for x in (least.get(g), d) if x is not None), default=None)
     return set(least.values())
 
@@ -145,6 +152,32 @@ def test_texts_on_one_template_lose_no_near_copy(spark, monkeypatch, lanes):
     assert len(want) == 200 and {r.doc_id for r in simhash.drop_near_copies(docs).collect()} == want
 
 
+def edited_family(n, seed, words=160, edits=6):
+    """Texts that differ from one another by some edits, so that many pairs are just above or below 0.8."""
+    r = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        w = [f"base{k}" for k in range(words)] if r.random() < 0.3 or not out else out[int(r.integers(len(out)))].split(" ")
+        for k in r.integers(0, words, int(r.integers(0, edits + 1))):
+            w[k] = f"new{i}x{k}"
+        out.append(" ".join(w))
+    return [(i, t) for i, t in enumerate(out)]
+
+
+@pytest.mark.parametrize("sizes", [(60, 200), (400,), (2000,)])
+def test_families_of_edited_texts_lose_no_near_copy(spark, sizes):
+    rows = [(1_000_000 * f + i, t.replace("base", f"f{f}b")) for f, n in enumerate(sizes) for i, t in edited_family(n, 31 + n)]
+    want = brute_copies(rows)
+    got = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > len(sizes) and got == want
+
+
+def test_texts_with_equal_prints_are_linked_only_if_alike(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "simhash", lambda hashes: 5)
+    rows = template_family(60)
+    assert {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute_copies(rows)
+
+
 def test_unrelated_texts_with_one_id_all_stay(spark):
     text = lambda k: " ".join(f"t{k}w{i}" for i in range(60))
     rows = [(1, text(0)), (1, text(1)), (1, text(2)), (2, text(2) + " more"), (3, text(3)), (None, text(4)), (None, text(4) + " more"), (None, text(5))]
@@ -154,7 +187,7 @@ def test_unrelated_texts_with_one_id_all_stay(spark):
 
 def test_nearest_links_of_a_large_block_keep_it_joined():
     p = near_family(60)
-    got = simhash.links(p, None, 12)
+    got = [(int(p[i]), int(p[j])) for i, j in zip(*simhash.links(p, None, 12), strict=True)]
     for radius in range(13):
         near = np.bitwise_count(p[:, None] ^ p[None, :]) <= radius
         place = {int(x): i for i, x in enumerate(p)}
