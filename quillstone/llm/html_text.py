@@ -19,6 +19,9 @@ UNSEEN = {"script", "style", "noscript", "template", "head", "title", "svg", "ma
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 REGIONS = {"body", "main", "article", "section", "div", "td", "center"}
+#: Elements that group lines of a page's body but can be no content region, and elements of running text, whose names mark nothing but adverts, notices of cookies and comments.
+LISTS = {"ul", "ol", "dl", "table"}
+RUNNING = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "pre", "blockquote", "figure", "figcaption", "caption", "summary", "address", "hgroup"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: Elements that leave an open head open.
 HEAD = {"head", "html", "title", "meta", "link", "script", "style", "noscript", "base", "template"}
@@ -27,23 +30,27 @@ MARKED = re.compile(
     r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|newsletter|subscri\w+|signup|login|share|sharing|social|comment\w*|disqus|respond|repl(?:y|ies)|nav\w*|menu\w*|breadcrumb\w*|crumbs|sidebar\w*|side|aside|widget\w*|related|recommend\w*|foot(?:er)?\w*|head(?:er)?|masthead|pagination|pager|toolbar|copyright|legal|skip|hidden|search|complementary|navigation|contentinfo)",
     re.IGNORECASE,
 )
+MARKED_TEXT = re.compile(r"ads?|advert\w*|sponsored|promo|cookies?|comments?", re.IGNORECASE)
 #: Words that make a marker tell of a page's layout or state when they stand before or after it in the same name: has-sidebar, comments-open.
 BEFORE, AFTER = {"has", "have", "no", "not", "with", "without", "is", "hide", "show", "enable", "disable"}, {"open", "opened", "closed", "enabled", "disabled", "on", "off", "active", "inactive", "visible", "collapsed", "expanded", "none"}
 #: Share of the page's dense text that a part to leave out must exceed to be kept for it, by whether its name only contains a marker.
 KEPT = {False: 0.9, True: 0.5}
 #: Width of the smoothing, in lines, and share of a region's dense text that a smaller region inside must hold to be chosen in its place.
 SIGMA, SHARE = 1.0, 0.7
+#: A ratio is sparse only if it is below this share of the dense cluster's mean, so that pages whose lines are all alike lose none; a cluster of a lower mean than this many characters a tag is no running text.
+SPARSE, RUNNING_MEAN = 0.25, 8.0
 
 
 @dataclass
 class Line:
-    """A block's text, the tags met in it, the characters of it inside links, the region it stands in and the part to leave out, 0 for none."""
+    """A block's text, the tags met in it, the characters of it inside links, the region it stands in, whether it is a heading or stands in no element of running text, and the part to leave out, 0 for none."""
 
     text: str = ""
     tags: int = 0
     linked: int = 0
     region: int = 0
     heading: bool = False
+    bare: bool = False
     cut: int = 0
 
 
@@ -90,7 +97,7 @@ class _Lines(HTMLParser):
         top = self.stack[-1]
         text = " ".join("".join(self.parts).split())
         if text and not top.hide:
-            self.page.lines.append(Line(text, self.tags, min(self.linked, len(text)), top.region, self.heading, top.cut))
+            self.page.lines.append(Line(text, self.tags, min(self.linked, len(text)), top.region, self.heading, top.tag in REGIONS or not top.tag, top.cut))
         self.parts, self.tags, self.linked, self.heading = [], 0, 0, False
 
     def handle_starttag(self, tag: str, attrs) -> None:
@@ -122,13 +129,16 @@ class _Lines(HTMLParser):
                 return
         marks = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and "display:none" in v.replace(" ", "").lower() for k, v in attrs)
-        mark, loose = marked(marks) if tag not in ("html", "body", "article", "main") else (False, False)
+        if tag in RUNNING:
+            mark, loose = any(MARKED_TEXT.fullmatch(x) for x in marks.split()), False
+        else:
+            mark, loose = marked(marks) if tag not in ("html", "body", "article", "main") else (False, False)
         cut = top.cut
         if tag in ASIDE or mark:
             self.page.cuts.append((cut, loose and tag not in ASIDE))
             cut = len(self.page.cuts) - 1
         region = top.region
-        if tag in REGIONS:
+        if tag in REGIONS or tag in LISTS:
             self.page.parents.append(region)
             self.page.kinds.append(tag)
             region = len(self.page.parents) - 1
@@ -208,10 +218,10 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def dense(values: list[float]) -> list[bool]:
-    """Two clusters on the line: the threshold moves to the middle of both means until it stays."""
+def threshold(values: list[float]) -> float:
+    """Two clusters on the line: the cut moves to the middle of both means until it stays. It is lowered to SPARSE of the upper mean, if that is less; without running text it is 0."""
     if not values:
-        return []
+        return 0.0
     at = sum(values) / len(values)
     for _ in range(50):
         low, high = [v for v in values if v < at], [v for v in values if v >= at]
@@ -219,6 +229,14 @@ def dense(values: list[float]) -> list[bool]:
         if abs(new - at) < 1e-9:
             break
         at = new
+    high = [v for v in values if v >= at] or values
+    mean = sum(high) / len(high)
+    return min(at, SPARSE * mean) if mean >= RUNNING_MEAN else 0.0
+
+
+def dense(values: list[float]) -> list[bool]:
+    """Values of the upper cluster."""
+    at = threshold(values)
     return [v >= at for v in values]
 
 
@@ -243,12 +261,8 @@ def uncut(page: Page) -> list[Line]:
     return [x for x in page.lines if not out[x.cut]]
 
 
-def content(page: Page) -> list[str]:
-    """Blocks of the content region: the innermost region that holds SHARE of the dense text of the region around it, beginning with the whole page. All its lines stay, whatever their own ratio."""
-    lines = uncut(page)
-    if not lines:
-        return []
-    marks = dense(smooth(ratios(lines)))
+def region_of(page: Page, lines: list[Line], marks: list[bool]) -> int:
+    """The content region: the innermost region that holds SHARE of the dense text of the region around it, beginning with the whole page."""
     weight = [0.0] * len(page.parents)
     for x, m in zip(lines, marks, strict=True):
         if m:
@@ -262,20 +276,60 @@ def content(page: Page) -> list[str]:
     for r, parent in enumerate(page.parents):
         inner.setdefault(parent, []).append(r)
     while True:
-        best = max(inner.get(chosen, []), key=lambda r: weight[r], default=None)
+        best = max((r for r in inner.get(chosen, []) if page.kinds[r] not in LISTS), key=lambda r: weight[r], default=None)
         if best is None or page.kinds[chosen] == "article" or weight[best] < SHARE * weight[chosen] or not weight[best]:
             break
         chosen = best
     if page.kinds[chosen] != "article" and len(articles) == 1 and weight[articles[0]] >= 0.5 * weight[0]:
         chosen = articles[0]
-    keep = set()
-    for r in range(len(page.parents)):
-        at = r
-        while at >= 0 and at != chosen:
-            at = page.parents[at]
-        if at == chosen:
-            keep.add(r)
-    return [x.text for x in lines if x.region in keep]
+    return chosen
+
+
+def content(page: Page) -> list[str]:
+    """Blocks of the content region.
+
+    An article or main element keeps all its lines, and so does any region whose lines stand in it itself. Of the containers in other regions (in a body, of lists and tables too) those go that
+    hold nothing dense: no line whose smoothed ratio is in the upper cluster, or, where smoothing only lends them their neighbours' ratio, text of their own that is sparse and most of it linked or in no
+    element of running text. A container of headings goes with what follows it.
+    """
+    lines = uncut(page)
+    if not lines:
+        return []
+    own = ratios(lines)
+    at = threshold(smooth(own))
+    marks = [v >= at for v in smooth(own)]
+    chosen = region_of(page, lines, marks)
+    groups: list[tuple[int, list[int]]] = []  # lines of a container that stands in the chosen region; -1: of the region itself
+    for i, x in enumerate(lines):
+        r, group = x.region, -1
+        while r >= 0 and r != chosen:
+            r, group = page.parents[r], r
+        if r < 0:
+            continue
+        if group >= 0 and page.kinds[group] in LISTS and page.kinds[chosen] != "body":
+            group = -1
+        if groups and groups[-1][0] == group:
+            groups[-1][1].append(i)
+        else:
+            groups.append((group, [i]))
+    named = chosen
+    while named >= 0 and page.kinds[named] not in ("article", "main"):
+        named = page.parents[named]
+    out: list[str] = []
+    follows = False  # whether what follows is kept
+    for group, places in reversed(groups):
+        held = [lines[i] for i in places]
+        if named >= 0 or group < 0 or any(own[i] >= at and marks[i] for i in places):
+            keep = True
+        elif all(x.heading for x in held):
+            keep = follows
+        else:
+            linked = 2 * sum(x.linked for x in held) >= sum(len(x.text) for x in held)
+            keep = any(marks[i] for i in places) and not linked and not all(x.bare for x in held)
+        if keep:
+            out += [x.text for x in reversed(held)]
+        follows = keep
+    return out[::-1]
 
 
 def main_text(html: str | None) -> str:
@@ -290,6 +344,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of every page. Null and empty html, and pages without main text, give an empty text; ids, nulls and repeated rows stay as they are. No shuffle."""
+    """page_id, url, text and n_chars of every page.
+
+    Null and empty html, and pages without main text, give an empty text; ids, nulls and repeated rows stay as they are; further columns are not read; an empty table gives no rows. A page of any
+    length is parsed whole in the task that reads it. Of regions that hold equal shares the first is taken. No shuffle.
+    """
     ship(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

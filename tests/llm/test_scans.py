@@ -353,6 +353,58 @@ def test_link_lists_of_an_article_stay():
     assert html_text.main_text(page) == f"{LONG}\n\n{LONG}\n\nFirst reference\n\nSecond reference"
 
 
+@pytest.mark.parametrize("line", ["<h1 class='post-head'>Headline</h1>", "<p class='share-price'>Up by 3.</p>", "<p class='legal'>The court said no.</p>", "<p><a href=x>Only a link</a></p>", "<blockquote class='comment-style'>So said they.</blockquote>"])
+def test_lines_of_an_article_stay_whatever_their_names(line):
+    for around in ("<article>{}</article>", "<main><div>{}</div></main>", "<div><div>{}</div></div>"):
+        got = html_text.main_text("<body><nav><a href=x>Home</a></nav>" + around.format(f"<p>{LONG}</p>{line}<p>{LONG}</p>") + "<footer>f</footer>")
+        assert got.split("\n\n") == [LONG, re.sub("<[^>]*>", "", line), LONG]
+
+
+PLAIN = [
+    # unmarked adverts, menus and footers among plain containers
+    (f"<body><div><p>{LONG} {LONG}</p></div><div><a href=x>Buy the best shoes now</a></div><div><p>{LONG} {LONG}</p></div></body>", [f"{LONG} {LONG}"] * 2),
+    (f"<body><div><p>{LONG} {LONG}</p></div><div>Buy now!</div><div><p>{LONG} {LONG}</p></div></body>", [f"{LONG} {LONG}"] * 2),
+    (f"<body><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul><p>{LONG} {LONG}</p><p>Short.</p><p>{LONG} {LONG}</p></body>", [f"{LONG} {LONG}", "Short.", f"{LONG} {LONG}"]),
+    (f"<body><div><a href=a>Home</a> <a href=b>News</a> <a href=c>Sport</a></div><div><h1>T</h1></div><div><p>{LONG} {LONG}</p></div><div><p>{LONG}</p><p>{LONG} {LONG}</p></div><div>&copy; <a href=d>Terms</a> <a href=e>Privacy</a></div></body>", ["T", f"{LONG} {LONG}", LONG, f"{LONG} {LONG}"]),
+]
+
+
+@pytest.mark.parametrize(("page", "blocks"), PLAIN)
+def test_clusters_choose_the_lines_of_plain_pages(page, blocks, monkeypatch):
+    assert html_text.main_text(page).split("\n\n") == blocks
+    monkeypatch.setattr(html_text, "threshold", lambda values: float("-inf"))
+    assert html_text.main_text(page).split("\n\n") != blocks
+
+
+def test_plain_pages_of_even_paragraphs_lose_none():
+    page = "<body>" + "".join(f"<div><p>{' '.join([LONG] * n)}</p></div>" for n in (1, 3, 2, 4, 2, 1)) + "</body>"
+    assert html_text.main_text(page).split("\n\n") == [" ".join([LONG] * n) for n in (1, 3, 2, 4, 2, 1)]
+
+
+def test_ratio_smoothing_and_clusters_by_brute_force():
+    import math
+    import random
+
+    r = random.Random(12)
+    for _ in range(300):
+        lines = [html_text.Line("x" * (n := r.randint(1, 400)), r.randint(0, 6), r.randint(0, n)) for _ in range(r.randint(1, 30))]
+        raw = [(len(x.text) - x.linked) / max(1, x.tags) for x in lines]
+        assert html_text.ratios(lines) == raw
+        weigh = lambda i, j: math.exp(-((i - j) ** 2) / 2) if abs(i - j) <= 3 else 0.0
+        even = [sum(weigh(i, j) * v for j, v in enumerate(raw)) / sum(weigh(i, j) for j in range(len(raw))) for i in range(len(raw))]
+        assert html_text.smooth(raw) == pytest.approx(even)
+        at = html_text.threshold(even)
+        high = [v for v in even if v >= at]
+        # a fixed place of the two means, or a quarter of the upper one
+        cuts = []
+        for cut in sorted(set(even)):
+            low, up = [v for v in even if v < cut], [v for v in even if v >= cut]
+            middle = (sum(low) / len(low) + sum(up) / len(up)) / 2 if low else cut
+            if not low or (max(low) < middle + 1e-6 and middle <= cut + 1e-6):
+                cuts += [middle, sum(up) / len(up) / 4]
+        assert at == 0 and max(even) < 2 * html_text.RUNNING_MEAN or high and any(abs(at - c) < 1e-6 for c in cuts)
+
+
 def test_pages_with_nulls(spark):
     rows = spark.createDataFrame([(1, None, None, 1), (None, "u", "<p>a", 2), (1, None, None, 1)], "page_id long, url string, html string, text int")
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in html_text.extract_pages(rows).collect()) == [("1", "", 0), ("1", "", 0), ("None", "a", 1)]
