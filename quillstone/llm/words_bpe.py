@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import input_bytes, ship, shuffle_partitions
 from quillstone.llm.tokens import tokenizer_path
 
-#: Distinct words that close a block of documents: a block's dictionary stays within some 40 MB of a worker.
-BLOCK_WORDS = 250_000
+#: Distinct words, and words in all, that close a block of documents: its dictionary and its documents stay within some 40 MB of a worker each. A document is never cut.
+BLOCK_WORDS, BLOCK_PLACES = 250_000, 8_000_000
+#: Words of a bucket that a worker remembers; when full it starts anew, so a bucket of any size takes bounded memory.
+KNOWN_WORDS = 500_000
 #: White space of the tokenizer's pattern; unlike Python's it lacks \x1c to \x1f.
 SPACE = re.compile("[\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 CODEC = "zstd"
@@ -48,7 +50,7 @@ def split_words(text: str, special: re.Pattern) -> list[str]:
 
 def bucket_count(size: int) -> int:
     """Hash buckets of the distinct-word table: one for 64 MB of input, within bounds that keep both a bucket's table and a block's share of it small."""
-    return max(32, min(16_384, size >> 26))
+    return max(256, min(16_384, size >> 26))
 
 
 def _press(data: bytes) -> bytes:
@@ -113,6 +115,7 @@ def _split(path: str, buckets: int):
         block = TaskContext.get().partitionId() << 30
         number: dict[str, int] = {}
         docs: list[tuple[int | None, np.ndarray]] = []
+        places_held = 0
 
         def rows(kind, keys, ids, words, data):
             n = len(data)
@@ -121,7 +124,7 @@ def _split(path: str, buckets: int):
             )
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal block, number, docs
+            nonlocal block, number, docs, places_held
             for i in range(0, len(docs), 256):
                 part = docs[i : i + 256]
                 yield rows(0, [block] * len(part), [d for d, _ in part], [len(p) for _, p in part], [_numbers(p) for _, p in part])
@@ -136,14 +139,15 @@ def _split(path: str, buckets: int):
                 part = full[i : i + 64]
                 data = [_pair(_press("\n".join(held[b]).encode("utf-8", "surrogatepass")), _numbers(np.diff(np.array(places[b]), prepend=0))) for b in part]
                 yield rows(1, [-1 - b for b in part], [None] * len(part), [len(held[b]) for b in part], data)
-            block, number, docs = block + 1, {}, []
+            block, number, docs, places_held = block + 1, {}, [], 0
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = split_words(text.as_py() or "", special)
                 add = number.setdefault
                 docs.append((key, np.fromiter([add(w, len(number)) for w in words], np.uint32, len(words))))
-                if len(number) >= BLOCK_WORDS:
+                places_held += len(words)
+                if len(number) >= BLOCK_WORDS or places_held >= BLOCK_PLACES:
                     yield from flush()
         if docs:
             yield from flush()
@@ -168,7 +172,7 @@ def _encode(path: str):
                 if kind != 1:
                     continue
                 bucket, block, data = (batch.column(i)[row].as_py() for i in (1, 2, 5))
-                if bucket != now:
+                if bucket != now or len(known) > KNOWN_WORDS:
                     now, known = bucket, {}
                 packed, numbers = _unpair(data)
                 words = _open(packed).decode("utf-8", "surrogatepass").split("\n")
@@ -234,7 +238,7 @@ def piece_table(path: str) -> list[str]:
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and hashes of ids and of the decoded text, of every document.
 
-    Null and empty texts, and texts of white space, have no ids. Ids, nulls and repeated rows stay as they are. A text of any length is whole in the task that splits it; blocks are bounded by their distinct words.
+    Null and empty texts, and texts of white space, have no ids. Ids, nulls and repeated rows stay as they are; further columns are not read; an empty table gives no rows. A text of any length is whole in the task that splits it; blocks are bounded by their words.
     Each distinct word meets the tokenizer once: blocks send their words to hash buckets, packed, and get ids back, to be joined with the word numbers of their documents.
     """
     spark = docs.sparkSession
