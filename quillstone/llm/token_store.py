@@ -7,13 +7,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import materialize, shared_dir, ship, small
+from quillstone.llm.common import materialize, shared_dir, ship
 from quillstone.llm.tokens import encoder, slices, tokenizer_path
 
 #: Ids of a sequence, sequences of a shard (17 MB), and the permutation's key and rounds.
@@ -41,7 +40,7 @@ def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS)
 #: A record's fields before its ids, little-endian: first_doc_id (0 if null), documents that have ids in it, ids that are no padding (plus NULL_DOC if first_doc_id is null), CRC-32 of the ids. A line feed ends the record.
 HEAD = np.dtype([("first_doc_id", "<i8"), ("n_docs", "<u4"), ("n_ids", "<u4"), ("crc", "<u4")])
 NULL_DOC = 1 << 31
-SEQUENCES = "part int, place long, record binary"
+SEQUENCES = "shard int, slot long, record binary"
 ROWS = "slot long, shard int, first_doc_id long, n_docs long, n_ids long, ids_crc32 long, payload binary"
 
 
@@ -62,20 +61,26 @@ def _counts(ranks: str, length: int):
     return run
 
 
-def _records(ids: np.ndarray, first: np.ndarray, null: np.ndarray, docs: np.ndarray, used: np.ndarray) -> list[bytes]:
-    """Records of sequences (rows of ids)."""
-    out = np.zeros(len(ids), np.dtype([("head", HEAD), ("ids", "<u2", ids.shape[1]), ("end", "u1")]))
+def _records(ids: np.ndarray, first: np.ndarray, null: np.ndarray, docs: np.ndarray, used: np.ndarray) -> pa.Array:
+    """Records of sequences (rows of ids), without the line feed."""
+    out = np.zeros(len(ids), np.dtype([("head", HEAD), ("ids", "<u2", ids.shape[1])]))
     out["head"]["first_doc_id"], out["head"]["n_docs"], out["head"]["n_ids"] = first, docs, used + NULL_DOC * null
-    out["ids"], out["end"] = ids, 10
-    out["head"]["crc"] = [zlib.crc32(x) for x in out["ids"]]
-    return [x.tobytes()[:-1] for x in out]
+    out["ids"] = ids
+    out["head"]["crc"] = [zlib.crc32(x) for x in ids]
+    ends = np.arange(len(out) + 1, dtype=np.int32) * out.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(out)])
 
 
-def _sequences(ranks: str, length: int):
+def _sequences(ranks: str, length: int, shard_rows: int, key: int, total: int, counts: Broadcast):
+    """counts: splits in order and how many sequences each has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The split's documents, each with a closing id, end to end, cut at every `length` ids. The last sequence is padded with the closing id."""
         enc = encoder(ranks, "<u2")
-        part, place = TaskContext.get().partitionId(), 0
+        parts, numbers = counts.value
+        at = np.searchsorted(parts, TaskContext.get().partitionId())
+        mine = int(numbers[at]) if at < len(parts) and parts[at] == TaskContext.get().partitionId() else 0
+        place, offset = 0, int(numbers[:at].sum())
         ids, sizes = np.empty(0, np.uint16), np.empty(0, np.int64)
         keys: list[int | None] = []
 
@@ -92,9 +97,11 @@ def _sequences(ranks: str, length: int):
                 first = [keys[d] for d in doc.tolist()]
                 null = np.array([k is None for k in first])
                 docs = np.searchsorted(stop, at + used - 1, "right") - doc + 1
-                records = _records(rows, np.array([k or 0 for k in first]), null, docs, used)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part, np.int32)), pa.array(place + np.arange(len(at))), pa.array(records, pa.binary())], names=["part", "place", "record"])
+                if place + len(at) > mine:
+                    raise ValueError("docs changed between counting and writing")
+                slot = permute(offset + place + np.arange(len(at)), total, key)
                 place += len(at)
+                yield pa.RecordBatch.from_arrays([pa.array((slot // shard_rows).astype(np.int32)), pa.array(slot), _records(rows, np.array([k or 0 for k in first]), null, docs, used)], names=["shard", "slot", "record"])
             rest = n * length
             whole = int(np.searchsorted(stop, rest, "right"))  # documents without ids left
             if rest < len(ids):
@@ -110,6 +117,8 @@ def _sequences(ranks: str, length: int):
                 keys += some.column(0).to_pylist()
                 yield from cut(False)
         yield from cut(True)
+        if place != mine:
+            raise ValueError("docs changed between counting and writing")
 
     return run
 
@@ -128,13 +137,10 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_rows: i
     ranks = ranks or tokenizer_path("byte_bpe_50k.tiktoken")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counts = materialize(rows.mapInArrow(_counts(ranks, length), "part int, n long"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a number for each split
-    offsets = materialize(counts.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
-    total = offsets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    slot = F.pandas_udf(lambda i: pd.Series(permute(i.to_numpy(), total, key)), "long")
-    fits = F.when(F.col("place") < F.col("n"), F.col("offset") + F.col("place")).otherwise(F.raise_error(F.lit("docs changed between counting and writing")).cast("long"))
-    placed = rows.mapInArrow(_sequences(ranks, length), SEQUENCES).join(small(offsets), "part").withColumn("slot", slot(fits))
-    placed = placed.select(F.floor(F.col("slot") / shard_rows).cast("int").alias("shard"), "slot", "record")
+    held = counts.orderBy("part").collect()  # a number for each split
+    parts, numbers = np.array([r["part"] for r in held], np.int64), np.array([r["n"] for r in held], np.int64)
+    total = int(numbers.sum())
+    placed = rows.mapInArrow(_sequences(ranks, length, shard_rows, key, total, spark.sparkContext.broadcast((parts, numbers))), SEQUENCES)
     shards = max(1, -(-total // shard_rows))
     ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")
     # Spark's text writer puts out a string's bytes as they are and a line feed after each
