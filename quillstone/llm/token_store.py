@@ -71,13 +71,13 @@ def _records(ids: np.ndarray, first: np.ndarray, null: np.ndarray, docs: np.ndar
     return pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(out)])
 
 
-def _sequences(ranks: str, length: int, shard_rows: int, key: int, total: int, counts: Broadcast):
-    """counts: splits in order and how many sequences each has."""
+def _sequences(ranks: str, length: int, shard_rows: int, key: int, total: int, by_split: Broadcast):
+    """by_split: splits in order and how many sequences each has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The split's documents, each with a closing id, end to end, cut at every `length` ids. The last sequence is padded with the closing id."""
         enc = encoder(ranks, "<u2")
-        parts, numbers = counts.value
+        parts, numbers = by_split.value
         at = np.searchsorted(parts, TaskContext.get().partitionId())
         mine = int(numbers[at]) if at < len(parts) and parts[at] == TaskContext.get().partitionId() else 0
         place, offset = 0, int(numbers[:at].sum())
