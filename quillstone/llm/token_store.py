@@ -37,8 +37,8 @@ def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS)
     return out.astype(np.int64)
 
 
-#: A record's fields before its ids, little-endian: first_doc_id (0 if null), documents that have ids in it, ids that are no padding (plus NULL_DOC if first_doc_id is null), CRC-32 of the ids. A line feed ends the record.
-HEAD = np.dtype([("first_doc_id", "<i8"), ("n_docs", "<u4"), ("n_ids", "<u4"), ("crc", "<u4")])
+#: A record's fields before its ids, big-endian: first_doc_id (0 if null), documents that have ids in it, ids that are no padding (plus NULL_DOC if first_doc_id is null), CRC-32 of the ids. A line feed ends the record.
+HEAD = np.dtype([("first_doc_id", ">i8"), ("n_docs", ">u4"), ("n_ids", ">u4"), ("crc", ">u4")])
 NULL_DOC = 1 << 31
 SEQUENCES = "shard int, slot long, record binary"
 ROWS = "slot long, shard int, first_doc_id long, n_docs long, n_ids long, ids_crc32 long, payload binary"
@@ -149,28 +149,22 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_rows: i
 
 
 def read_slots(spark: SparkSession, path: str, start: int = 0, stop: int = 2**62, length: int = LENGTH, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Sequences of slots start to stop - 1 (slot, shard, first_doc_id, n_docs, n_ids, ids_crc32, payload of little-endian 16-bit ids), in order inside each shard. Only the shards that hold them are read. A damaged record is an error."""
-    ship(spark)
+    """Sequences of slots start to stop - 1 (slot, shard, first_doc_id, n_docs, n_ids, ids_crc32, payload of little-endian 16-bit ids), in order inside each shard. Only the shards that hold them are read. A damaged record is an error.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        record = np.dtype([("head", HEAD), ("ids", "<u2", length), ("end", "u1")])
-        for batch in batches:
-            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = np.frombuffer(content.as_buffer(), record)
-                first = shard * shard_rows
-                for a in range(max(0, start - first), min(len(rows), stop - first), 1024):
-                    part = rows[a : min(a + 1024, stop - first)]
-                    slot, head = first + a + np.arange(len(part)), part["head"]
-                    crc = np.array([zlib.crc32(x) for x in part["ids"]], np.int64)
-                    if (crc != head["crc"]).any() or (part["end"] != 10).any():
-                        raise ValueError(f"damaged record in shard {shard}")
-                    null = head["n_ids"] >= NULL_DOC
-                    columns = [slot, np.full(len(part), shard, np.int32), pa.array(head["first_doc_id"].astype(np.int64), mask=null), head["n_docs"].astype(np.int64), (head["n_ids"] % NULL_DOC).astype(np.int64), crc, pa.array([x.tobytes() for x in part["ids"]], pa.binary())]
-                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[x.split()[0] for x in ROWS.split(", ")])
-
-    files = spark.read.format("binaryFile").load(path)
-    held = files.filter(F.col("shard").between(start // shard_rows, (max(start, stop - 1)) // shard_rows)).select("shard", "content")
-    return held.mapInArrow(run, ROWS)
+    Spark's own expressions cut the files by the stride, so no more than a file and its records is in memory at once.
+    """
+    step = stride(length)
+    files = spark.read.format("binaryFile").load(path).filter(F.col("shard").between(start // shard_rows, max(start, stop - 1) // shard_rows) & (F.length("content") > 0))
+    places = F.sequence(F.lit(0), F.floor((F.length("content") - 1) / step).cast("int"))
+    cut = F.transform(places, lambda r: F.struct((F.col("shard").cast("long") * shard_rows + r).alias("slot"), F.substring("content", r * step + 1, F.lit(step)).alias("record")))
+    rows = files.select("shard", F.inline(cut)).filter((F.col("slot") >= start) & (F.col("slot") < stop))
+    part = lambda at, size: F.substring("record", at + 1, size)
+    number = lambda at, size: F.conv(F.hex(part(at, size)), 16, -10).cast("long")
+    payload, n_ids = part(HEAD.itemsize, 2 * length), number(12, 4)
+    whole = (F.length("record") == step) & (F.crc32(payload) == number(16, 4)) & (F.hex(part(step - 1, 1)) == "0A")
+    crc = F.when(whole, F.crc32(payload)).otherwise(F.raise_error(F.concat(F.lit("damaged record in slot "), F.col("slot").cast("string"))).cast("long"))
+    first = F.when(n_ids < NULL_DOC, number(0, 8))
+    return rows.select("slot", "shard", first.alias("first_doc_id"), number(8, 4).alias("n_docs"), (n_ids % NULL_DOC).alias("n_ids"), crc.alias("ids_crc32"), payload.alias("payload"))
 
 
 def store_documents(docs: DataFrame) -> DataFrame:
