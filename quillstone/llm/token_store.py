@@ -37,16 +37,19 @@ def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS)
     return out.astype(np.int64)
 
 
-#: A record's fields before its ids, big-endian: first_doc_id (0 if null), documents that have ids in it, ids that are no padding (plus NULL_DOC if first_doc_id is null), CRC-32 of the ids. A line feed ends the record.
-HEAD = np.dtype([("first_doc_id", ">i8"), ("n_docs", ">u4"), ("n_ids", ">u4"), ("crc", ">u4")])
+#: A record's fields before its ids, as hexadecimal digits (name, digits): slot, first_doc_id (0 if null), documents that have ids in it, ids that are no padding (plus NULL_DOC if first_doc_id is null), CRC-32 of the ids.
+HEAD = [("slot", 16), ("first_doc_id", 16), ("n_docs", 8), ("n_ids", 8), ("crc", 8)]
+HEAD_BYTES = 56
+#: What ends a record, in UTF-8. It has a byte over 0xC4 at odd and at even places, and no 16-bit id below 50,258 has one as its upper byte, so it stands in no record; Spark's text reader splits files by it.
+END = "\ufffd\ufffd"
 NULL_DOC = 1 << 31
 SEQUENCES = "shard int, slot long, record binary"
 ROWS = "slot long, shard int, first_doc_id long, n_docs long, n_ids long, ids_crc32 long, payload binary"
 
 
 def stride(length: int = LENGTH) -> int:
-    """Bytes of a record: row r of a shard file begins at byte r * stride."""
-    return HEAD.itemsize + 2 * length + 1
+    """Bytes of a record with its end: row r of a shard file begins at byte r * stride."""
+    return HEAD_BYTES + 2 * length + len(END.encode())
 
 
 def _counts(ranks: str, length: int):
@@ -61,12 +64,15 @@ def _counts(ranks: str, length: int):
     return run
 
 
-def _records(ids: np.ndarray, first: np.ndarray, null: np.ndarray, docs: np.ndarray, used: np.ndarray) -> pa.Array:
-    """Records of sequences (rows of ids), without the line feed."""
-    out = np.zeros(len(ids), np.dtype([("head", HEAD), ("ids", "<u2", ids.shape[1])]))
-    out["head"]["first_doc_id"], out["head"]["n_docs"], out["head"]["n_ids"] = first, docs, used + NULL_DOC * null
+def _records(slot: np.ndarray, ids: np.ndarray, first: np.ndarray, null: np.ndarray, docs: np.ndarray, used: np.ndarray) -> pa.Array:
+    """Records of sequences (rows of ids), without their ends."""
+    out = np.zeros(len(ids), np.dtype([("head", "u1", HEAD_BYTES), ("ids", "<u2", ids.shape[1])]))
+    fields = np.zeros(len(ids), np.dtype([(name, f">i{digits // 2}") for name, digits in HEAD]).newbyteorder(">"))
+    fields["slot"], fields["first_doc_id"], fields["n_docs"] = slot, first, docs
+    fields["n_ids"] = (used + NULL_DOC * null).astype(np.uint32).view(np.int32)
+    fields["crc"] = np.array([zlib.crc32(x) for x in ids], np.uint32).view(np.int32)
+    out["head"] = np.frombuffer(fields.tobytes().hex().encode(), np.uint8).reshape(len(ids), HEAD_BYTES)
     out["ids"] = ids
-    out["head"]["crc"] = [zlib.crc32(x) for x in ids]
     ends = np.arange(len(out) + 1, dtype=np.int32) * out.dtype.itemsize
     return pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(out)])
 
@@ -101,7 +107,7 @@ def _sequences(ranks: str, length: int, shard_rows: int, key: int, total: int, b
                     raise ValueError("docs changed between counting and writing")
                 slot = permute(offset + place + np.arange(len(at)), total, key)
                 place += len(at)
-                yield pa.RecordBatch.from_arrays([pa.array((slot // shard_rows).astype(np.int32)), pa.array(slot), _records(rows, np.array([k or 0 for k in first]), null, docs, used)], names=["shard", "slot", "record"])
+                yield pa.RecordBatch.from_arrays([pa.array((slot // shard_rows).astype(np.int32)), pa.array(slot), _records(slot, rows, np.array([k or 0 for k in first]), null, docs, used)], names=["shard", "slot", "record"])
             rest = n * length
             whole = int(np.searchsorted(stop, rest, "right"))  # documents without ids left
             if rest < len(ids):
@@ -143,28 +149,27 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_rows: i
     placed = rows.mapInArrow(_sequences(ranks, length, shard_rows, key, total, spark.sparkContext.broadcast((parts, numbers))), SEQUENCES)
     shards = max(1, -(-total // shard_rows))
     ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")
-    # Spark's text writer puts out a string's bytes as they are and a line feed after each
-    ordered.select(F.col("record").cast("string"), "shard").write.option("lineSep", "\n").partitionBy("shard").text(path)
+    # Spark's text writer puts out a string's bytes as they are, with END after each
+    ordered.select(F.col("record").cast("string"), "shard").write.option("lineSep", END).partitionBy("shard").text(path)
     return total
 
 
 def read_slots(spark: SparkSession, path: str, start: int = 0, stop: int = 2**62, length: int = LENGTH, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Sequences of slots start to stop - 1 (slot, shard, first_doc_id, n_docs, n_ids, ids_crc32, payload of little-endian 16-bit ids), in order inside each shard. Only the shards that hold them are read. A damaged record is an error.
 
-    Spark's own expressions cut the files by the stride, so no more than a file and its records is in memory at once.
+    Spark's text reader splits large files at the records' ends and reads them record by record.
     """
-    step = stride(length)
-    files = spark.read.format("binaryFile").load(path).filter(F.col("shard").between(start // shard_rows, max(start, stop - 1) // shard_rows) & (F.length("content") > 0))
-    places = F.sequence(F.lit(0), F.floor((F.length("content") - 1) / step).cast("int"))
-    cut = F.transform(places, lambda r: F.struct((F.col("shard").cast("long") * shard_rows + r).alias("slot"), F.substring("content", r * step + 1, F.lit(step)).alias("record")))
-    rows = files.select("shard", F.inline(cut)).filter((F.col("slot") >= start) & (F.col("slot") < stop))
-    part = lambda at, size: F.substring("record", at + 1, size)
-    number = lambda at, size: F.conv(F.hex(part(at, size)), 16, -10).cast("long")
-    payload, n_ids = part(HEAD.itemsize, 2 * length), number(12, 4)
-    whole = (F.length("record") == step) & (F.crc32(payload) == number(16, 4)) & (F.hex(part(step - 1, 1)) == "0A")
-    crc = F.when(whole, F.crc32(payload)).otherwise(F.raise_error(F.concat(F.lit("damaged record in slot "), F.col("slot").cast("string"))).cast("long"))
-    first = F.when(n_ids < NULL_DOC, number(0, 8))
-    return rows.select("slot", "shard", first.alias("first_doc_id"), number(8, 4).alias("n_docs"), (n_ids % NULL_DOC).alias("n_ids"), crc.alias("ids_crc32"), payload.alias("payload"))
+    lines = spark.read.option("lineSep", END).text(path).filter(F.col("shard").between(start // shard_rows, max(start, stop - 1) // shard_rows))
+    rows = lines.select("shard", F.col("value").cast("binary").alias("record"))
+    head, payload = F.substring("record", 1, HEAD_BYTES).cast("string"), F.substring("record", HEAD_BYTES + 1, 2 * length)
+    places = dict(zip([n for n, _ in HEAD], np.cumsum([1, *(d for _, d in HEAD)]).tolist(), strict=False))
+    number = {name: F.conv(F.substring(head, places[name], digits), 16, -10).cast("long") for name, digits in HEAD}
+    n_ids, slot = number["n_ids"], number["slot"]
+    whole = (F.length("record") == HEAD_BYTES + 2 * length) & (F.crc32(payload) == number["crc"]) & (F.floor(slot / shard_rows) == F.col("shard"))
+    crc = F.when(F.coalesce(whole, F.lit(False)), number["crc"]).otherwise(F.raise_error(F.concat(F.lit("damaged record in shard "), F.col("shard").cast("string"))).cast("long"))
+    first = F.when(n_ids < NULL_DOC, number["first_doc_id"])
+    out = rows.select(slot.alias("slot"), "shard", first.alias("first_doc_id"), number["n_docs"].alias("n_docs"), (n_ids % NULL_DOC).alias("n_ids"), crc.alias("ids_crc32"), payload.alias("payload"))
+    return out.filter((F.col("slot") >= start) & (F.col("slot") < stop))
 
 
 def store_documents(docs: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words a Python worker remembers; when full it starts anew, so memory is bounded at about 150 MB.
-CACHE_WORDS = 700_000
+#: Words a Python worker remembers; when full it starts anew, so memory is bounded at about 100 MB.
+CACHE_WORDS = 500_000
 #: Fresh words that are encoded in one call.
 FRESH = 16_384
 #: The id that ends a document in training sequences.
@@ -24,7 +24,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def slices(batch: pa.RecordBatch, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The batch of (key, text) in runs of rows whose texts have about `size` bytes, so that what encoding them takes is bounded."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
     edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
