@@ -49,9 +49,10 @@ def is_near_smalltalk(text: pd.Series) -> pd.Series:
     return text.map(near)
 
 
-def language_status(text: Column, detected: Column) -> Column:
-    """Status of a detector's answer: too_short, detection_failed, outside_expected_languages or detected."""
-    return F.when(F.length(trim(text)) < MIN_CHARS, "too_short").when(detected.isNull(), "detection_failed").when(detected.isin(EXPECTED_LANGUAGES), "detected").otherwise("outside_expected_languages")
+def language_status(text: Column, detected: Column, available: Column | bool = True) -> Column:
+    """Status of a detector's answer: detector_unavailable, too_short, detection_failed, outside_expected_languages or detected."""
+    there = F.lit(available) if isinstance(available, bool) else available
+    return F.when(~there, "detector_unavailable").when(F.length(trim(text)) < MIN_CHARS, "too_short").when(detected.isNull(), "detection_failed").when(detected.isin(EXPECTED_LANGUAGES), "detected").otherwise("outside_expected_languages")
 
 
 def contains_any(message: Column, signals: list[str]) -> Column:
@@ -77,15 +78,30 @@ def confidence(raw: Column) -> Column:
     return F.when(value.between(0, 1), value).otherwise(0.85)
 
 
-def rewrite_status(question: Column, turns: Column, model: bool = False) -> Column:
-    """What becomes of a follow-up question before any model is asked."""
-    return F.when(is_smalltalk(question), "smalltalk").when(F.coalesce(turns, F.lit(0)) == 0, "no_history").otherwise("pending" if model else "unavailable")
+def rewrite_status(question: Column, turns: Column, available: Column | bool = False, answer: Column | None = None, failed: Column | bool = False) -> Column:
+    """What becomes of a follow-up question: smalltalk, no_history, unavailable (no model), error, unparseable (a blank answer), unnecessary (the question again) or rewritten."""
+    flag = lambda x: F.lit(x) if isinstance(x, bool) else x
+    said = F.coalesce(trim(F.regexp_replace(trim(F.lit(None).cast("string") if answer is None else answer), '^"+|"+$', "")), F.lit(""))
+    same = F.lower(said) == F.lower(trim(question))
+    out = F.when(is_smalltalk(question), "smalltalk").when(F.coalesce(turns, F.lit(0)) == 0, "no_history").when(~flag(available), "unavailable")
+    return out.when(flag(failed), "error").when(said == "", "unparseable").when(same, "unnecessary").otherwise("rewritten")
 
 
-def judge_status(answer: Column, context: Column, model: bool = False) -> Column:
-    """Status of a faithfulness check before any model is asked; a missing judge is told, never scored."""
+def judge(answer: Column, context: Column, available: Column | bool = False, raw: Column | None = None, failed: Column | bool = False) -> Column:
+    """struct<status, score> of a faithfulness check: no_context, unavailable (no judge), error, unparseable, or judged with a score from 0 to 1. A blank answer claims nothing and scores 1; else no score is made up."""
+    flag = lambda x: F.lit(x) if isinstance(x, bool) else x
     blank = lambda c: F.coalesce(trim(c), F.lit("")) == ""
-    return F.when(blank(context), "no_context").when(blank(answer), "judged").otherwise("pending" if model else "unavailable")
+    told = F.lit(None).cast("string") if raw is None else raw
+    value = F.from_json(F.nullif(json_part(told), F.lit("")), "score string")["score"].try_cast("double")
+    status = F.when(blank(context), "no_context").when(blank(answer), "judged").when(~flag(available), "unavailable").when(flag(failed), "error").when(value.isNull(), "unparseable").otherwise("judged")
+    score = F.when(status == "judged", F.when(blank(answer), 1.0).otherwise(clamp(value)))
+    return F.struct(status.alias("status"), score.alias("score"))
+
+
+def time_label(raw: Column) -> Column:
+    """An ISO time as `Nov 28, 2026 · 09:05 UTC`; unknown for none, and what is no time as it stands."""
+    at = F.to_utc_timestamp(F.try_to_timestamp(raw), F.current_timezone())
+    return F.when(F.coalesce(raw, F.lit("")).isin("", "unknown"), "unknown").otherwise(F.coalesce(F.date_format(at, "MMM dd, yyyy · HH:mm 'UTC'"), raw))
 
 
 def band(score: Column) -> Column:

@@ -19,21 +19,31 @@ def windowed(docs: DataFrame, cleaned: bool = False, sectioned: bool = False, si
 
 
 def first_occurrences(windows: DataFrame) -> DataFrame:
-    """Windows whose content no earlier one has, in order of doc_id, section and window. A group is cut down by partial minima before any shuffle, so a text with many copies is no hot group; rows keep their payload."""
-    place = F.struct("doc_id", "section_no", "window_no")
-    first = windows.groupBy("content_hash").agg(F.min(place).alias("first"))
-    keys = first.select(F.col("first.doc_id").alias("doc_id"), F.col("first.section_no").alias("section_no"), F.col("first.window_no").alias("window_no"))
-    return windows.join(keys, ["doc_id", "section_no", "window_no"], "left_semi")
+    """Windows whose content no earlier one has, in order of doc_id (null last), section and window; equal rows leave one. Partial minima come before the one shuffle, so a text with many copies is no hot group."""
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "section_no", "window_no")
+    rest = [c for c in windows.columns if c != "content_hash"]
+    return windows.groupBy("content_hash").agg(F.min_by(F.struct(*rest), place).alias("r")).select("r.*", "content_hash")
 
 
-def numbered(windows: DataFrame) -> DataFrame:
+def numbered(windows: DataFrame, document: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """chunk_number from 1 in each document and total_chunks_in_document."""
-    doc = Window.partitionBy("doc_id")
+    doc = Window.partitionBy(*document)
     return windows.withColumn("chunk_number", F.row_number().over(doc.orderBy("section_no", "window_no"))).withColumn("total_chunks_in_document", F.count("*").over(doc))
 
 
 def chunks(docs: DataFrame, **how) -> DataFrame:
     """All chunks of docs (doc_id, text and any labels) with document_id, chunk_id, lineage numbers and content_hash."""
     with_id = docs.withColumn("file_hash", F.sha2("text", 256)).withColumn("document_id", T.document_id(F.col("file_hash")))
-    out = numbered(first_occurrences(windowed(with_id, **how)))
+    out = numbered(first_occurrences(windowed(with_id, **how)), ("doc_id", "document_id"))
     return out.withColumn("chunk_id", T.chunk_id(F.col("document_id"), F.col("chunk_number"))).withColumn("chunk_size", F.size(T.words(F.col("content"))))
+
+
+def summary(chunks: DataFrame, processed: DataFrame, size: int = T.SIZE, overlap: int = T.OVERLAP) -> DataFrame:
+    """A run's counts: chunks, documents that have any, documents processed, and the windows' measures."""
+    counts = chunks.agg(F.count("*").alias("total_chunks"), F.countDistinct("document_id").alias("total_documents"))
+    return counts.crossJoin(F.broadcast(processed.agg(F.count("*").alias("documents_processed")))).withColumn("chunk_size", F.lit(size)).withColumn("overlap", F.lit(overlap))
+
+
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """Chunks as JSON lines."""
+    chunks.write.mode("overwrite").json(path)

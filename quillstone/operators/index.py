@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import access, text as T
@@ -27,11 +28,10 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "chunk_id") -> D
 
 
 def delete_stale(index: DataFrame, current: DataFrame, document: str = "document_id", key: str = "chunk_id") -> DataFrame:
-    """index without the rows of current's documents whose key current lacks; other documents stay untouched."""
-    touched = current.select(document).distinct().withColumn("_touched", F.lit(True))
-    live = current.select(key).distinct().withColumn("_live", F.lit(True))
-    out = index.join(touched, document, "left").join(live, key, "left")
-    return out.filter("_touched is null or _live").drop("_touched", "_live").select(*index.columns)
+    """index without the rows of current's documents whose key current lacks; other documents stay untouched. The stale keys are found on keys alone; whole rows meet one anti join."""
+    held = index.select(document, key)
+    stale = held.join(current.select(document).distinct(), document, "left_semi").join(current.select(key), key, "left_anti").select(key)
+    return index.join(stale, key, "left_anti").select(*index.columns)
 
 
 def reuse_embeddings(chunks: DataFrame, cache: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def reuse_embeddings(chunks: DataFrame, cache: DataFrame) -> DataFrame:
     c = cache.select("chunk_id", F.col("content_hash").alias("_hash"), F.col("embedding").alias("_kept"))
     same = F.coalesce(F.col("_hash") == F.col("content_hash"), F.lit(False))
     out = chunks.join(c, "chunk_id", "left")
-    return out.withColumn("embedding", F.when(same, F.col("_kept")).otherwise(T.hash_embedding(F.col("content")))).withColumn("embedding_source", F.when(same, "reused").otherwise("hash_fallback")).drop("_hash", "_kept")
+    return out.withColumn("embedding", F.when(same, F.col("_kept")).otherwise(T.hash_vectors(F.when(~same, F.col("content"))))).withColumn("embedding_source", F.when(same, "reused").otherwise("hash_fallback")).drop("_hash", "_kept")
 
 
 def payload(chunks: DataFrame) -> DataFrame:
@@ -55,6 +55,19 @@ def department_manifest(chunks: DataFrame) -> DataFrame:
     return known.groupBy("department").agg(F.count("*").alias("chunk_count")).select("department", F.concat(F.lit("rag_chunks_"), F.lower("department")).alias("table_name"), "chunk_count")
 
 
+def departments_seen(chunks: DataFrame) -> DataFrame:
+    """One row: all departments met and those that have no table, sorted. Departments are few."""
+    known = F.col("department").isin(access.DEPARTMENTS)
+    each = chunks.select("department").filter(F.coalesce("department", F.lit("")) != "").distinct()
+    names = lambda c: F.array_join(F.array_sort(F.collect_list(c)), ",")
+    return each.agg(names(F.col("department")).alias("departments_seen"), names(F.when(~known, F.col("department"))).alias("unknown_departments"))
+
+
+def missing_tables(existing: list[str], departments: list[str] | str) -> list[str]:
+    """Tables that the departments need and that don't exist, in order."""
+    return [t for t in access.department_tables(departments) if t not in set(existing)]
+
+
 def unknown_departments(chunks: DataFrame) -> DataFrame:
     """Departments that have no table, with their rows."""
     return chunks.filter(~F.coalesce(F.nullif(F.col("department"), F.lit("")), F.lit("General")).isin(access.DEPARTMENTS)).groupBy("department").agg(F.count("*").alias("n"))
@@ -64,3 +77,28 @@ def write_by_department(chunks: DataFrame, path: str) -> None:
     """One job writes all department tables as partitions of one Parquet table; a few files each, however large one department is."""
     rows = payload(chunks).filter(F.col("department").isin(access.DEPARTMENTS))
     rows.hint("rebalance", "department").write.mode("overwrite").partitionBy("department").parquet(path)
+
+
+def read_by_department(spark: SparkSession, path: str, departments: list[str] | str = access.ALL) -> DataFrame:
+    """The chunks of the given departments' partitions and of General; FileNotFoundError if there is no index at path, as that is not the same as an empty one."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no department index at {path}") from e
+    return rows if departments == access.ALL else rows.filter(F.col("department").isin("General", *departments))
+
+
+def load_cache(spark: SparkSession, path: str) -> DataFrame:
+    """The embedding cache (chunk_id, content_hash, embedding, embedding_source); empty if there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], "chunk_id string, content_hash string, embedding array<double>, embedding_source string")
+
+
+def save_cache(embedded: DataFrame, cache: DataFrame, path: str) -> DataFrame:
+    """Write the cache as it is after a run: this run's embeddings in place of earlier ones of the same chunks. path must not be the one that cache is read from. A reused vector keeps its own source."""
+    fresh = embedded.join(cache.select("chunk_id", F.col("embedding_source").alias("_known")), "chunk_id", "left")
+    source = F.when(F.col("embedding_source") == "reused", F.col("_known")).otherwise(F.col("embedding_source"))
+    upsert(cache, fresh.select("chunk_id", "content_hash", "embedding", source.alias("embedding_source"))).write.mode("overwrite").parquet(path)
+    return embedded.sparkSession.read.parquet(path)

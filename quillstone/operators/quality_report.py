@@ -54,3 +54,14 @@ def drift(history: DataFrame) -> DataFrame:
 def latest(history: DataFrame) -> DataFrame:
     """Scores of the last run."""
     return history.groupBy("metric").agg(F.max("run").alias("run"), F.max_by("score", "run").alias("score"))
+
+
+def trend(history: DataFrame) -> DataFrame:
+    """Each metric's scores in order of runs, with their place from 1."""
+    place = F.row_number().over(Window.partitionBy("metric").orderBy("run"))
+    return history.filter("score is not null").select("run", "metric", "score", place.alias("place"))
+
+
+def save_report(scored: DataFrame, run: str, path: str) -> None:
+    """Append a run's scores to the history at path."""
+    scored.select(F.lit(run).alias("run"), "metric", F.col("score").cast("double").alias("score")).write.mode("append").parquet(path)

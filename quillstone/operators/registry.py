@@ -10,9 +10,9 @@ STATUSES = ["ingested", "classified", "chunked", "indexed"]
 
 
 def states(events: DataFrame) -> DataFrame:
-    """Per document: status (furthest stage reached last), its time, events, and each stage's last time. Events: document_id, stage, at."""
+    """Per document: status (the stage of the last event; of events at one time the furthest stage), its time, events, and each stage's last time. Events: document_id, stage, at."""
     times = [F.max(F.when(F.col("stage") == s, F.col("at"))).alias(f"{s}_at") for s in STATUSES]
-    return events.groupBy("document_id").agg(F.max_by("stage", F.struct("at", "stage")).alias("status"), F.max("at").alias("updated_at"), F.count("*").alias("n_events"), *times)
+    return events.groupBy("document_id").agg(F.max_by("stage", F.struct("at", F.array_position(F.array(*map(F.lit, STATUSES)), F.col("stage")))).alias("status"), F.max("at").alias("updated_at"), F.count("*").alias("n_events"), *times)
 
 
 def lineage(events: DataFrame) -> DataFrame:
@@ -42,3 +42,22 @@ def stage_durations(assets: DataFrame, by: str) -> DataFrame:
     """Mean seconds between stages by a column."""
     gap = lambda a, b: F.avg(F.unix_micros(f"{b}_at") - F.unix_micros(f"{a}_at")) / 1e6
     return assets.groupBy(by).agg(F.count("*").alias("n"), F.round(gap("ingested", "classified"), 3).alias("classify_s"), F.round(gap("classified", "chunked"), 3).alias("chunk_s"))
+
+
+def with_chunk_counts(assets: DataFrame, chunks: DataFrame, key: str = "document_id") -> DataFrame:
+    """assets with total_chunks, counted in the chunk table, and chunks_indexed: all of them once the document is indexed."""
+    counts = chunks.groupBy(key).agg(F.count("*").alias("total_chunks"))
+    out = assets.join(counts, key, "left").withColumn("total_chunks", F.coalesce("total_chunks", F.lit(0)))
+    return out.withColumn("chunks_indexed", F.when(F.col("status") == "indexed", F.col("total_chunks")).otherwise(0))
+
+
+def lookup(assets: DataFrame, **values: str) -> DataFrame:
+    """Assets by document_id, file_hash, status or department: those with all given values."""
+    for column, value in values.items():
+        assets = assets.filter(F.col(column) == value)
+    return assets
+
+
+def save(events: DataFrame, path: str) -> None:
+    """Append events to the log at path."""
+    events.write.mode("append").parquet(path)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions import access, text as T
+from quillstone.operators.search_index import SearchIndex
 
 K1, B, NEGATIVE_IDF = 1.5, 0.75, 0.25
 RRF_K, CANDIDATES, TOP = 60, 30, 5
@@ -31,30 +31,63 @@ def cosine_topk(rows: DataFrame, vector: Column, query: list[float], order: list
     return rows.withColumn("score", T.cosine(vector, vector_literal(query))).orderBy(F.desc("score"), *order).limit(k)
 
 
-def bm25(rows: DataFrame, key: list[str], content: str, question: str) -> DataFrame:
-    """key and score of all rows that hold a word of the question; statistics are over exactly the given rows.
+def ann_neighbours(rows: DataFrame, key: str, vector: str, is_query: Column, k: int, tables: int, bucket: float) -> DataFrame:
+    """query_id, key, score: the k nearest by cosine of each query row among the other rows that share a bucket of random-projection hashes with it. Candidates meet by a join on the buckets and are measured before the cut."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
+    from pyspark.ml.functions import array_to_vector
 
-    Only the question's words are counted per row; the mean idf, which replaces a negative one, needs the document frequency of all words: one map-side combined count.
+    unit = Normalizer(inputCol="raw", outputCol="v").transform(rows.select(key, array_to_vector(vector).alias("raw"), is_query.alias("asked"))).drop("raw")
+    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=7).fit(unit)
+    pairs = model.approxSimilarityJoin(unit.filter("asked"), unit, 3.0, "d").select(F.col(f"datasetA.{key}").alias("query_id"), F.col(f"datasetB.{key}").alias(key), "d").filter(F.col("query_id") != F.col(key))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", key))
+    return pairs.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", key, F.round(1 - F.col("d") ** 2 / 2, 5).alias("score"))
+
+
+def question_terms(spark: SparkSession, question: str) -> dict[str, int]:
+    """The question's words, each with how often it stands there."""
+    found: dict[str, int] = {}
+    for t in spark.range(1).select(T.tokens(F.lit(question))).first()[0]:
+        found[t] = found.get(t, 0) + 1
+    return found
+
+
+def semantic(index: SearchIndex, question: str) -> DataFrame:
+    """key and cosine score of every chunk of the index; it has the vectors and their norms, of which only the places that the question fills count."""
+    query = embed_query(index.chunks.sparkSession, question)
+    size = sum(v * v for v in query) ** 0.5
+    if len(query) <= 64:
+        dot = sum((F.coalesce(F.get("vector", F.lit(i)), F.lit(0.0)) * v for i, v in enumerate(query)), F.lit(0.0))
+    else:
+        dot = F.aggregate(F.zip_with("vector", vector_literal(query), lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda s, v: s + v)
+    score = F.when((F.col("norm") > 0) & F.lit(size > 0), dot / (F.col("norm") * size)).otherwise(0.0) if size else F.lit(0.0)
+    return index.chunks.select(*index.key, score.alias("score"))
+
+
+def bm25(index: SearchIndex, question: str) -> DataFrame:
+    """key and score of all chunks that hold a word of the question. Statistics are over exactly the index's chunks; the mean idf, which replaces a negative one, needs the document frequencies of all words.
+
+    Only the postings of the question's words are read.
     """
-    spark = rows.sparkSession
-    asked = spark.range(1).select(F.explode(T.tokens(F.lit(question))).alias("term")).groupBy("term").agg(F.count("*").alias("weight"))
-    asked_words = [r[0] for r in asked.select("term").collect()]
-    base = rows.select(*key, T.tokens(F.col(content)).alias("ts")).withColumn("dl", F.size("ts"))
-    stats = base.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    df = base.select(F.explode(F.array_distinct("ts")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    idf = df.crossJoin(F.broadcast(stats)).select("term", "n", "avgdl", (F.ln(F.col("n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)).alias("idf"))
-    mean = idf.agg(F.avg("idf").alias("mean"))
-    terms = idf.filter(F.col("term").isin(asked_words)).crossJoin(F.broadcast(mean)).join(F.broadcast(asked), "term")
-    terms = terms.select("term", "avgdl", (F.col("weight") * F.when(F.col("idf") < 0, NEGATIVE_IDF * F.col("mean")).otherwise(F.col("idf"))).alias("w"))
-    hits = base.select(*key, "dl", F.explode(F.filter("ts", lambda t: t.isin(asked_words))).alias("term")).groupBy(*key, "dl", "term").agg(F.count("*").alias("tf"))
+    spark = index.postings.sparkSession
+    asked = question_terms(spark, question)
+    stats = index.sizes.agg(F.sum("n").alias("n"), (F.sum("dl") / F.sum("n")).alias("avgdl"))
+    df = index.terms.groupBy("term").agg(F.sum("df").alias("df"))
+    idf = df.crossJoin(F.broadcast(stats)).select("term", "avgdl", (F.ln(F.col("n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)).alias("idf"))
+    words = F.array(*map(F.lit, asked)).cast("array<string>")
+    counts = F.array(*map(F.lit, asked.values())).cast("array<int>")
+    # one pass over all words: their mean, and the values of the question's, which are few
+    one = idf.agg(F.avg("idf").alias("mean"), F.first("avgdl").alias("avgdl"), F.collect_list(F.when(F.col("term").isin(list(asked)), F.struct("term", "idf"))).alias("t")).select("mean", "avgdl", F.inline("t"))
+    weight = F.element_at(F.map_from_arrays(words, counts), F.col("term"))
+    terms = one.select("term", "avgdl", (weight * F.when(F.col("idf") < 0, NEGATIVE_IDF * F.col("mean")).otherwise(F.col("idf"))).alias("w"))
+    hits = index.postings.filter(F.col("term").isin(list(asked)))
     norm = K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
-    return hits.join(F.broadcast(terms), "term").groupBy(*key).agg(F.sum(F.col("w") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score"))
+    return hits.join(F.broadcast(terms), "term").groupBy(*index.key).agg(F.sum(F.col("w") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score"))
 
 
-def term_hits(rows: DataFrame, key: list[str], content: str, question: str) -> DataFrame:
+def term_hits(index: SearchIndex, question: str) -> DataFrame:
     """key and score: occurrences of any of the question's words."""
-    asked = [r[0] for r in rows.sparkSession.range(1).select(F.explode(T.tokens(F.lit(question)))).distinct().collect()]
-    return rows.select(*key, F.size(F.filter(T.tokens(F.col(content)), lambda t: t.isin(asked))).cast("double").alias("score")).filter("score > 0")
+    hits = index.postings.filter(F.col("term").isin(list(question_terms(index.postings.sparkSession, question))))
+    return hits.groupBy(*index.key).agg(F.sum("tf").cast("double").alias("score"))
 
 
 def ranked(scores: DataFrame, order: list[str], k: int, name: str) -> DataFrame:
@@ -64,36 +97,53 @@ def ranked(scores: DataFrame, order: list[str], k: int, name: str) -> DataFrame:
 
 
 def rrf(lists: list[DataFrame], key: list[str], k: int = RRF_K) -> DataFrame:
-    """Reciprocal-rank fusion of ranked lists (key, rank, list_id)."""
+    """Reciprocal-rank fusion of ranked lists (key, score, rank, list_id); lists of even numbers are semantic."""
     out = lists[0]
     for x in lists[1:]:
         out = out.unionByName(x)
-    return out.groupBy(*key).agg(F.sum(1.0 / (k + F.col("rank"))).alias("rrf_score"), F.min(F.when(F.col("list_id") % 2 == 0, F.col("rank"))).alias("semantic_rank"), F.min(F.when(F.col("list_id") % 2 == 1, F.col("rank"))).alias("lexical_rank"))
+    return out.groupBy(*key).agg(F.sum(1.0 / (k + F.col("rank"))).alias("rrf_score"), F.min(F.when(F.col("list_id") % 2 == 0, F.col("rank"))).alias("semantic_rank"), F.max(F.when(F.col("list_id") % 2 == 0, F.col("score"))).alias("semantic_score"), F.min(F.when(F.col("list_id") % 2 == 1, F.col("rank"))).alias("lexical_rank"))
 
 
-def hybrid_search(chunks: DataFrame, question: str, clearance: str, departments: list[str] | str = access.ALL, top_k: int = TOP, candidate_k: int = CANDIDATES, rrf_k: int = RRF_K, key: tuple[str, ...] = ("doc_id", "window_no"), by_department: bool = False) -> DataFrame:
-    """The fused top_k of what may be seen: key columns, content, labels, score, rrf_score, in_semantic_results, in_lexical_results.
+def hybrid_search(index: SearchIndex, question: str, clearance: str, departments: list[str] | str = access.ALL, top_k: int = TOP, candidate_k: int = CANDIDATES, rrf_k: int = RRF_K, by_department: bool = False) -> DataFrame:
+    """The fused top_k of what may be seen: key columns, content, labels, score, rrf_score, in_semantic_results, in_lexical_results and mode: hybrid, or semantic_only for a question without words to look up.
 
     Filters come before both rankings. Ties: higher rrf_score, then semantic place, then lexical place. by_department ranks every department on its own and fuses all lists.
     """
-    keys = list(key)
-    # Both rankings, the word counts and the final lookup read these rows: they are cached, spilling to disk, until the session's cache is cleared.
-    seen = visible(chunks, clearance, departments).select(*keys, "content", "department", "sensitivity").persist(StorageLevel.MEMORY_AND_DISK)
-    query = embed_query(chunks.sparkSession, question)
-    groups = [seen.filter(F.coalesce("department", F.lit("General")) == d) for d in sorted(access.DEPARTMENTS)] if by_department else [seen]
-    lists, scores = [], []
-    for g, rows in enumerate(groups):
-        semantic = ranked(rows.select(*keys, T.cosine(T.hash_embedding(F.col("content")), vector_literal(query)).alias("score")), keys, candidate_k, "rank")
-        lexical = ranked(bm25(rows, keys, "content", question).filter("score > 0"), keys, candidate_k, "rank")
-        lists += [semantic.withColumn("list_id", F.lit(2 * g)), lexical.withColumn("list_id", F.lit(2 * g + 1))]
-        scores.append(semantic.select(*keys, "score"))
-    fused = rrf([x.select(*keys, "rank", "list_id") for x in lists], keys, rrf_k)
+    keys = list(index.key)
+    seen = index.visible(clearance, departments)
+    lexical_mode = bool(question_terms(index.chunks.sparkSession, question))
+    groups = [seen.where(F.coalesce("department", F.lit("General")) == d) for d in sorted(access.DEPARTMENTS)] if by_department else [seen]
+    lists = []
+    for g, part in enumerate(groups):
+        lists.append(ranked(semantic(part, question), keys, candidate_k, "rank").withColumn("list_id", F.lit(2 * g)))
+        if lexical_mode:
+            lists.append(ranked(bm25(part, question).filter("score > 0"), keys, candidate_k, "rank").withColumn("list_id", F.lit(2 * g + 1)))
+    fused = rrf(lists, keys, rrf_k)
     top = fused.orderBy(F.desc("rrf_score"), F.asc_nulls_last("semantic_rank"), F.asc_nulls_last("lexical_rank"), *keys).limit(top_k)
-    semantic_scores = scores[0]
-    for s in scores[1:]:
-        semantic_scores = semantic_scores.unionByName(s)
-    out = top.join(semantic_scores, keys, "left").join(seen.select(*keys, "content", "department", "sensitivity"), keys)
-    return out.select(*keys, "department", "sensitivity", "content", F.coalesce("score", F.lit(0.0)).alias("score"), "rrf_score", F.col("semantic_rank").isNotNull().alias("in_semantic_results"), F.col("lexical_rank").isNotNull().alias("in_lexical_results"))
+    out = F.broadcast(top).join(seen.chunks.drop("vector", "norm", "dl"), keys)  # top_k rows
+    mode = F.lit("hybrid" if lexical_mode else "semantic_only")
+    rest = [c for c in seen.chunks.columns if c not in {*keys, "vector", "norm", "dl"}]
+    return out.select(*keys, *rest, F.coalesce("semantic_score", F.lit(0.0)).alias("score"), "rrf_score", F.col("semantic_rank").isNotNull().alias("in_semantic_results"), F.col("lexical_rank").isNotNull().alias("in_lexical_results"), mode.alias("mode"))
+
+
+def regression(index: SearchIndex, labelled: list[tuple[str, str]], source: str, clearance: str = "Restricted", top_k: int = 3) -> DataFrame:
+    """question_no, hit: whether the expected name stands in the source of one of the question's first top_k chunks. For a short list of labelled questions."""
+    out = None
+    for i, (question, expected) in enumerate(labelled):
+        found = hybrid_search(index, question, clearance, top_k=top_k).agg(F.coalesce(F.bool_or(F.col(source).contains(expected)), F.lit(False)).alias("hit")).select(F.lit(i).alias("question_no"), "hit")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def regression_score(hits: DataFrame) -> DataFrame:
+    """The quality metric retrieval_regression: percent of questions that hit."""
+    return hits.agg(F.lit("retrieval_regression").alias("metric"), F.round(100.0 * F.count_if("hit") / F.nullif(F.count("*"), F.lit(0)), 1).alias("score")).select("metric", "score")
+
+
+def context(results: DataFrame, order: list[str], group: list[str] | None = None) -> DataFrame:
+    """The chunks of a result as a prompt's context: numbered from 1 and parted by blank lines. A result is a top-k, so the group is small."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, "content"))), lambda x, i: F.concat(F.lit("Chunk "), (i + 1).cast("string"), F.lit(": "), x["content"]))
+    return (results.groupBy(*group) if group else results).agg(F.array_join(parts, "\n\n").alias("context"))
 
 
 def fallback_answer(results: DataFrame, order: list[str], group: list[str] | None = None, size: int = 400) -> DataFrame:
@@ -103,6 +153,7 @@ def fallback_answer(results: DataFrame, order: list[str], group: list[str] | Non
     return (results.groupBy(*group) if group else results).agg(answer.alias("answer"))
 
 
-def evaluate(results: DataFrame) -> DataFrame:
-    """Mean fused score and number of chunks of a result."""
-    return results.agg(F.count("*").alias("chunk_count"), F.round(F.coalesce(F.sum("rrf_score"), F.lit(0.0)) / F.greatest(F.lit(1), F.count("*")), 6).alias("mean_score"), F.when(F.count("*") > 0, "answered").otherwise("no_context").alias("status"))
+def evaluate(results: DataFrame, answer: Column | None = None) -> DataFrame:
+    """Mean fused score and number of chunks of a result, words of the answer, and status: ok, or no_context without chunks."""
+    words = F.lit(0) if answer is None else F.coalesce(F.max(F.size(T.words(answer))), F.lit(0))
+    return results.agg(F.count("*").alias("chunk_count"), F.round(F.coalesce(F.sum("rrf_score"), F.lit(0.0)) / F.greatest(F.lit(1), F.count("*")), 6).alias("mean_score"), words.alias("answer_words"), F.when(F.count("*") > 0, "ok").otherwise("no_context").alias("status"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions.access import DEPARTMENTS, SENSITIVITY, rank
@@ -64,3 +64,15 @@ def label_histogram(records: DataFrame, columns: list[str]) -> DataFrame:
     """field, label, n over all columns in one pass; missing labels count as Unknown."""
     pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("Unknown")).alias("label")) for c in columns])
     return records.select(F.inline(pairs)).groupBy("field", "label").agg(F.count("*").alias("n"))
+
+
+def run_summary(validated: DataFrame) -> DataFrame:
+    """A classification run's counts: total, failed, denied and to be reviewed. Needs classifier and access_denied beside the verdicts."""
+    return validated.agg(F.count("*").alias("total_classified"), F.count_if(F.col("classifier") == "llm_failed").alias("failed"), F.count_if("access_denied").alias("access_denied"), F.count_if("needs_review").alias("needs_review"))
+
+
+def first_rows(rows: DataFrame, order: str, say: str, n: int = 5) -> DataFrame:
+    """place, order and say of the first n rows, and a line that tells how many more there are."""
+    top = rows.select(order, say).orderBy(order).limit(n).withColumn("place", F.row_number().over(Window.orderBy(order)))
+    more = rows.agg(F.count("*").alias("n")).filter(F.col("n") > n).select(F.lit(n + 1).alias("place"), F.lit(None).cast(rows.schema[order].dataType).alias(order), F.format_string("... and %d more", F.col("n") - n).alias(say))
+    return top.select("place", order, say).unionByName(more)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import access, dialogue, text as T
-from quillstone.operators import accuracy, chunking, index, quality_report, registry, retrieval, session, validation
+from quillstone.operators import accuracy, chunking, index, joins, quality_report, registry, retrieval, session, validation
 from quillstone.plans import views as V
 from quillstone.plans.views import QUESTION, RANK, WORDS, WS, ranking_ctes, sql
 from quillstone.session import ship
@@ -41,7 +41,7 @@ order by rrf desc, sr nulls last, lr nulls last, doc_id, window_no limit 5"""
 
 def _hybrid(clearance: str, departments="All", **how):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = retrieval.hybrid_search(V.chunks(spark, sf_dir), QUESTION, clearance, departments, **how)
+        out = retrieval.hybrid_search(V.index(spark, sf_dir), QUESTION, clearance, departments, **how)
         return out.select("doc_id", "window_no", ROUND("score").alias("score"), F.round("rrf_score", 8).alias("rrf_score"), "in_semantic_results", "in_lexical_results")
 
     return run
@@ -111,7 +111,8 @@ def split_sections(spark, sf_dir):
     + " w from documents))) group by all) group by doc_id"
 )
 def hash_embedding(spark, sf_dir):
-    v = V.table(spark, sf_dir, "documents").select("doc_id", T.hash_embedding(F.col("text")).alias("v")).filter(F.size("v") > 0)
+    ship(spark)
+    v = V.table(spark, sf_dir, "documents").select("doc_id", T.hash_vectors(F.col("text")).alias("v")).filter(F.size("v") > 0)
     return v.select("doc_id", F.size("v").alias("n_dims"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.get("v", F.lit(0)).alias("first_value"))
 
 
@@ -124,13 +125,13 @@ def cosine_topk(spark, sf_dir):
 
 @query(sql(f"select * from (with {ranking_ctes('true')} select doc_id, window_no::int window_no, round(score, 4) score from lex where score > 0 order by lex.score desc, doc_id, window_no limit 30)", "tokens"))
 def bm25_topk(spark, sf_dir):
-    scores = retrieval.bm25(V.chunks(spark, sf_dir), ["doc_id", "window_no"], "content", QUESTION).filter("score > 0")
+    scores = retrieval.bm25(V.index(spark, sf_dir), QUESTION).filter("score > 0")
     return scores.orderBy(F.desc("score"), "doc_id", "window_no").limit(30).select("doc_id", "window_no", F.round("score", 4).alias("score"))
 
 
 @query(sql("select doc_id, window_no::int window_no, len(list_filter(ts, lambda t: t in ('the', 'privacy', 'and', 'license')))::double score from tokens where score > 0 order by score desc, doc_id, window_no limit 30", "tokens"))
 def term_hits_topk(spark, sf_dir):
-    return retrieval.term_hits(V.chunks(spark, sf_dir), ["doc_id", "window_no"], "content", QUESTION).orderBy(F.desc("score"), "doc_id", "window_no").limit(30)
+    return retrieval.term_hits(V.index(spark, sf_dir), QUESTION).orderBy(F.desc("score"), "doc_id", "window_no").limit(30)
 
 
 def _rank_lists(tag: str = "") -> str:
@@ -139,10 +140,9 @@ def _rank_lists(tag: str = "") -> str:
 
 @query(sql(f"select doc_id, window_no::int window_no, round(rrf, 8) rrf_score from (with {ranking_ctes('true')}, {_rank_lists()} select coalesce(rs.doc_id, rl.doc_id) doc_id, coalesce(rs.window_no, rl.window_no) window_no, coalesce(1.0::double / (60 + rs.r), 0) + coalesce(1.0::double / (60 + rl.r), 0) rrf from rs full join rl on rs.doc_id = rl.doc_id and rs.window_no = rl.window_no)", "tokens"))
 def rrf_fusion(spark, sf_dir):
-    chunks, key = V.chunks(spark, sf_dir), ["doc_id", "window_no"]
-    vector = retrieval.vector_literal(retrieval.embed_query(spark, QUESTION))
-    semantic = retrieval.ranked(chunks.select(*key, T.cosine(T.hash_embedding(F.col("content")), vector).alias("score")), key, 30, "rank").withColumn("list_id", F.lit(0))
-    lexical = retrieval.ranked(retrieval.bm25(chunks, key, "content", QUESTION).filter("score > 0"), key, 30, "rank").withColumn("list_id", F.lit(1))
+    held, key = V.index(spark, sf_dir), ["doc_id", "window_no"]
+    semantic = retrieval.ranked(retrieval.semantic(held, QUESTION), key, 30, "rank").withColumn("list_id", F.lit(0))
+    lexical = retrieval.ranked(retrieval.bm25(held, QUESTION).filter("score > 0"), key, 30, "rank").withColumn("list_id", F.lit(1))
     return retrieval.rrf([semantic, lexical], key).select(*key, F.round("rrf_score", 8).alias("rrf_score"))
 
 
@@ -171,17 +171,47 @@ QUERIES["hybrid_by_department"] = _hybrid("Restricted", by_department=True)
 ORACLES["hybrid_by_department"] = _by_department_oracle()
 
 
+#: The approximate search's hash: tables and bucket length, measured against the exact search.
+ANN_TABLES, ANN_BUCKET, ANN_K = 6, 0.25, 10
+
+
 @query()
 def ann_topk(spark, sf_dir):
-    """Approximate cosine neighbours by random-projection hashing of normalised vectors (Euclidean order is cosine order there)."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
+    """Approximate cosine neighbours of every hundredth vector among all others, by random-projection hashing of normalised vectors (Euclidean order is cosine order there) and an exact cut to the nearest."""
+    return retrieval.ann_neighbours(V.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, ANN_K, ANN_TABLES, ANN_BUCKET)
+
+
+#: Labelled questions: the expected name stands in a source of the first chunks found.
+LABELLED = [(QUESTION, "src1"), ("license of the source", "src0"), ("et de la maison", "src7")]
+
+
+def _regression_oracle() -> str:
+    parts, hits = [], []
+    for i, (question, expected) in enumerate(LABELLED):
+        tag = f"_q{i}"
+        parts.append(ranking_ctes("true", question, tag) + ", " + _rank_lists(tag))
+        top = f"select coalesce(a.doc_id, b.doc_id) doc_id, coalesce(a.window_no, b.window_no) window_no from rs{tag} a full join rl{tag} b on a.doc_id = b.doc_id and a.window_no = b.window_no order by coalesce(1.0::double / (60 + a.r), 0) + coalesce(1.0::double / (60 + b.r), 0) desc, a.r nulls last, b.r nulls last, 1, 2 limit 3"
+        hits.append(f"select {i} question_no, coalesce(bool_or(contains(source, '{expected}')), false) hit from ({top}) x join tokens using (doc_id, window_no)")
+    return sql(f"select * from (with {', '.join(parts)} {' union all '.join(hits)})", "tokens")
+
 
-    rows = V.table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector("embedding").alias("raw"))
-    rows = Normalizer(inputCol="raw", outputCol="v").transform(rows)
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=1.0, numHashTables=8, seed=7).fit(rows)
-    near = model.approxNearestNeighbors(rows, rows.filter("vec_id = 0").first()["v"], 10)
-    return near.select("vec_id", F.round(1 - F.col("distCol") ** 2 / 2, 5).alias("score"))
+@query(_regression_oracle())
+def retrieval_regression(spark, sf_dir):
+    return retrieval.regression(V.index(spark, sf_dir), LABELLED, "source")
+
+
+@query(f"select 'retrieval_regression' metric, round(100.0 * count(*) filter (hit) / count(*), 1)::double score from ({_regression_oracle()})")
+def retrieval_regression_score(spark, sf_dir):
+    return retrieval.regression_score(retrieval.regression(V.index(spark, sf_dir), LABELLED, "source"))
+
+
+_WORDLESS = "!!! ??? -- ..."
+
+
+@query(sql(f"select doc_id, window_no::int window_no, round(1.0::double / (60 + r), 8) rrf_score, 'semantic_only' as mode from (with {ranking_ctes('true', _WORDLESS)}, {_rank_lists()} select * from rs) order by r limit 5", "tokens"))
+def semantic_only(spark, sf_dir):
+    """A question without words to look up: the lexical list is left out, and the mode says so."""
+    return retrieval.hybrid_search(V.index(spark, sf_dir), _WORDLESS, "Restricted").select("doc_id", "window_no", F.round("rrf_score", 8).alias("rrf_score"), "mode")
 
 
 # Access
@@ -204,9 +234,9 @@ def department_visibility(spark, sf_dir):
     return V.governed(spark, sf_dir).agg(F.array(seen("HR", ["HR"]), seen("Finance,IT", access.parse_departments("Finance, IT")), seen("All", access.parse_departments("ALL"))).alias("r")).select(F.inline("r"))
 
 
-@query(sql(f"select source, ['Public', 'Internal', 'Confidential', 'Restricted'][max({RANK.format('sensitivity')}) + 1] label from governed where doc_id % 3 <> 2 group by source", "governed"))
+@query(sql(f"select source, ['Public', 'Internal', 'Confidential', 'Restricted'][max({RANK.format('sensitivity')}) + 1] label from governed group by source", "governed"))
 def max_sensitivity_per_source(spark, sf_dir):
-    return V.governed(spark, sf_dir).filter("doc_id % 3 <> 2").groupBy("source").agg(access.max_sensitivity(F.col("sensitivity")).alias("label"))
+    return V.governed(spark, sf_dir).groupBy("source").agg(access.max_sensitivity(F.col("sensitivity")).alias("label"))
 
 
 # Validation and accuracy
@@ -261,6 +291,45 @@ def accuracy_exact(spark, sf_dir):
     return accuracy.exact_match(V.truth(spark, sf_dir))
 
 
+def _fields_sql(table: str) -> str:
+    same = lambda f: f"{_NORM.format('true_' + f)} = {_NORM.format(f)}"
+    return " union all ".join(f"select '{f}' field, count(*) filter ({same(f)}) n_correct, count(*) n_total, round(100.0 * count(*) filter ({same(f)}) / count(*), 1)::double accuracy_pct from {table}" for f in accuracy.FIELDS)
+
+
+@query(f"select sum(n_correct)::bigint n_correct, sum(n_total)::bigint n_total, round(100.0 * sum(n_correct) / sum(n_total), 1)::double accuracy_pct from ({_accuracy_sql(False, False)})")
+def accuracy_overall(spark, sf_dir):
+    return accuracy.overall(accuracy.field_accuracy(V.truth(spark, sf_dir)))
+
+
+@query(sql(" union all ".join(f"select '{f}' field, count(*) filter (true_{f} is not distinct from {f}) n_correct, count(*) n_total, round(100.0 * count(*) filter (true_{f} is not distinct from {f}) / count(*), 1)::double accuracy_pct from truth" for f in accuracy.FIELDS), "truth"))
+def accuracy_exact_fields(spark, sf_dir):
+    return accuracy.field_accuracy(V.truth(spark, sf_dir), exact=True)
+
+
+_STEM = "regexp_replace({}, '\\.[^.]*$', '')"
+_GOLD = f"g as (select {_STEM.format('filename')} stem, * from gold where filename is not null qualify row_number() over (partition by filename order by line desc) = 1), p as (select {_STEM.format('filename')} stem, department, doc_type, language, sensitivity from truth where doc_id % 3 <> 0)"
+
+
+def _predictions(spark, sf_dir):
+    return V.truth(spark, sf_dir).filter("doc_id % 3 <> 0").select(files.stem(F.col("filename")).alias("stem"), *accuracy.FIELDS)
+
+
+def _gold(spark, sf_dir):
+    return accuracy.load_truth(V.gold(spark, sf_dir), "line")
+
+
+@query(sql(f"select * from (with {_GOLD} select coalesce(g.stem, p.stem) stem, case when p.stem is null then 'missing_prediction' when g.stem is null then 'missing_truth' else 'matched' end status from g full join p on g.stem = p.stem)", "truth", "gold"))
+def truth_join(spark, sf_dir):
+    return joins.matched(_gold(spark, sf_dir), _predictions(spark, sf_dir), "stem", "prediction", "truth").select("stem", "status")
+
+
+@query(sql(f"select * from (with {_GOLD}, j as (select p.*, g.true_department, g.true_doc_type, g.true_language, g.true_sensitivity from p join g using (stem) where stem not like '%topics%') {_fields_sql('j')})", "truth", "gold"))
+def gold_accuracy(spark, sf_dir):
+    """Predictions against the gold labels of selected stems only."""
+    selected = V.truth(spark, sf_dir).select(files.stem(F.col("filename")).alias("stem")).filter(~F.col("stem").contains("topics"))
+    return accuracy.field_accuracy(joins.selected(_predictions(spark, sf_dir), _gold(spark, sf_dir), "stem", selected))
+
+
 @query(sql("select filename, case when filename like '%\\_topics\\_%.csv' escape '\\' then 'General' else true_department end true_department, 'Public' true_sensitivity, true_sensitivity is distinct from 'Public' changed_sensitivity, filename like '%\\_topics\\_%.csv' escape '\\' and true_department is distinct from 'General' changed_department from truth", "truth"))
 def gold_correction(spark, sf_dir):
     return accuracy.corrected_truth(V.truth(spark, sf_dir)).select("filename", "true_department", "true_sensitivity", "changed_sensitivity", "changed_department")
@@ -269,8 +338,7 @@ def gold_correction(spark, sf_dir):
 @query()
 def strong_sample(spark, sf_dir):
     rows = V.truth(spark, sf_dir).withColumn("is_ambiguous", F.col("doc_id") % 17 == 0).withColumn("is_duplicate_of", F.when(F.col("doc_id") % 19 == 0, "x"))
-    names = accuracy.strong_sample(rows)
-    return rows.filter(F.col("filename").isin(names)).select("filename", "true_department", "true_doc_type", "true_language", "true_sensitivity")
+    return accuracy.strong_sample(rows)
 
 
 # Registry
@@ -278,7 +346,7 @@ def strong_sample(spark, sf_dir):
 
 def _assets(spark, sf_dir):
     events = V.stage_events(spark, sf_dir)
-    return registry.states(events).join(events.groupBy("document_id").agg(F.min("doc_type").alias("doc_type")), "document_id")
+    return registry.states(events).join(events.groupBy("document_id").agg(F.min("doc_id").alias("doc_id"), F.min("doc_type").alias("doc_type"), F.max("department").alias("department")), "document_id")
 
 
 @query(sql("select document_id, status, n_events from assets", "assets"))
@@ -286,10 +354,19 @@ def registry_state_fold(spark, sf_dir):
     return registry.states(V.stage_events(spark, sf_dir)).select("document_id", "status", "n_events")
 
 
-@query(sql("select count(*) total_documents, count(*) filter (status = 'ingested') ingested, count(*) filter (status = 'classified') classified, count(*) filter (status = 'chunked') chunked, count(*) filter (status = 'indexed') indexed, sum(n_events)::bigint total_chunks, count(*) filter (status = 'indexed')::bigint chunks_indexed from assets", "assets"))
+@query(sql("select count(*) total_documents, count(*) filter (status = 'ingested') ingested, count(*) filter (status = 'classified') classified, count(*) filter (status = 'chunked') chunked, count(*) filter (status = 'indexed') indexed, sum(coalesce(n, 0))::bigint total_chunks, sum(case when status = 'indexed' then coalesce(n, 0) else 0 end)::bigint chunks_indexed from assets left join (select doc_id, count(*) n from chunks group by doc_id) using (doc_id)", "assets", "chunks"))
 def registry_summary(spark, sf_dir):
-    assets = registry.states(V.stage_events(spark, sf_dir))
-    return registry.summary(assets.withColumn("total_chunks", F.col("n_events")).withColumn("chunks_indexed", F.when(F.col("status") == "indexed", 1).otherwise(0)))
+    return registry.summary(registry.with_chunk_counts(_assets(spark, sf_dir), V.chunks(spark, sf_dir), "doc_id"))
+
+
+@query(sql("select chunk_id, status, department from chunks join (select doc_id, status from assets) using (doc_id)", "assets", "chunks"))
+def chunk_registry_join(spark, sf_dir):
+    return V.chunks(spark, sf_dir).select("doc_id", "chunk_id", "department").join(_assets(spark, sf_dir).select("doc_id", "status"), "doc_id").select("chunk_id", "status", "department")
+
+
+@query(sql("select document_id, status, department from assets where status = 'indexed' and department = 'HR'", "assets"))
+def registry_lookup(spark, sf_dir):
+    return registry.lookup(_assets(spark, sf_dir), status="indexed", department="HR").select("document_id", "status", "department")
 
 
 @query(sql("select document_id, status from assets where chunked_at > classified_at", "assets"))
@@ -341,10 +418,12 @@ def stale_chunk_delete(spark, sf_dir):
     return index.delete_stale(existing, incoming).select("chunk_id")
 
 
-@query(sql(f"select * from (with {_OLD} select case when sha256(e.content) is not distinct from sha256(i.content) then 'reused' else 'hash_fallback' end embedding_source, count(*) n from incoming i left join existing e using (chunk_id) group by all)", "chunks"))
+@query(sql(f"select * from (with {_OLD} select case when sha256(e.content) is not distinct from sha256(i.content) then 'reused' else 'hash_fallback' end embedding_source, count(*) n from chunks i left join existing e using (chunk_id) group by all)", "chunks"))
 def embedding_reuse(spark, sf_dir):
-    existing, incoming = _versions(spark, sf_dir)
-    cache = existing.select("chunk_id", F.sha2("content", 256).alias("content_hash"), T.hash_embedding(F.col("content")).alias("embedding"))
+    ship(spark)
+    existing, _ = _versions(spark, sf_dir)
+    incoming = V.chunks(spark, sf_dir).select("chunk_id", "content")
+    cache = existing.select("chunk_id", F.sha2("content", 256).alias("content_hash"), T.hash_vectors(F.col("content")).alias("embedding"))
     return index.reuse_embeddings(incoming.withColumn("content_hash", F.sha2("content", 256)), cache).groupBy("embedding_source").agg(F.count("*").alias("n"))
 
 
@@ -358,6 +437,40 @@ def unknown_departments(spark, sf_dir):
     return index.unknown_departments(V.chunks(spark, sf_dir))
 
 
+@query(sql("select string_agg(distinct department, ',' order by department) departments_seen, string_agg(distinct department, ',' order by department) filter (department not in ('HR', 'Finance', 'Legal', 'IT', 'General')) unknown_departments from chunks where department <> ''", "chunks"))
+def departments_seen(spark, sf_dir):
+    return index.departments_seen(V.chunks(spark, sf_dir))
+
+
+@query(sql("select stem, title, origin from (select 'doc_' || doc_id stem from governed) left join (select 'doc_' || doc_id stem, 'Title ' || doc_id title, source origin from documents where doc_id % 5 <> 0) using (stem)", "governed"))
+def metadata_join(spark, sf_dir):
+    """Markdown files with their stage-1 metadata, which may be missing."""
+    return V.classified(spark, sf_dir).select("stem").join(V.metadata(spark, sf_dir), "stem", "left")
+
+
+@query("select 'doc_' || doc_id stem, case when doc_id % 7 = 0 then 'missing_markdown' else 'matched' end status from documents")
+def classified_join(spark, sf_dir):
+    """Classified files with their Markdown; those without it are skipped and told."""
+    markdown = V.markdown(spark, sf_dir).filter("doc_id % 7 <> 0").select(F.format_string("doc_%d", "doc_id").alias("stem"), "text")
+    return joins.matched(V.classified(spark, sf_dir).select("stem", "doc_type"), markdown, "stem", "markdown", "classification").select("stem", "status")
+
+
+@query(sql(f"select count(*) total_classified, count(*) filter (classifier = 'llm_failed') failed, count(*) filter (doc_id % 13 = 0 and doc_id % 2 = 0) access_denied, count(*) filter (needs_review) needs_review from governed join (select doc_id, needs_review from ({_JUDGED})) using (doc_id)", "governed"))
+def classification_summary(spark, sf_dir):
+    return validation.run_summary(validation.validate(V.classified(spark, sf_dir)))
+
+
+@query(sql("select count(*) total_chunks, count(distinct document_id) total_documents, (select count(*) from documents) documents_processed, 512 chunk_size, 100 as overlap from chunks", "chunks"))
+def chunking_summary(spark, sf_dir):
+    return chunking.summary(V.chunks(spark, sf_dir), V.governed(spark, sf_dir))
+
+
+@query(sql(f"select * from (select row_number() over (order by doc_id)::int place, doc_id || ': ' || rules line from ({_JUDGED}) where needs_review) where place <= 5 union all select 6, '... and ' || (count(*) - 5) || ' more' from ({_JUDGED}) where needs_review having count(*) > 5", "governed"))
+def first_errors(spark, sf_dir):
+    judged = validation.validate(V.governed(spark, sf_dir)).filter("needs_review")
+    return validation.first_rows(judged.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(": "), F.array_join(F.transform("violations", lambda v: v["rule"]), ",")).alias("line")), "doc_id", "line").drop("doc_id")
+
+
 @query("select doc_id, json_extract_string(m, '$.filename') filename, json_extract_string(m, '$.size')::bigint size from (select doc_id, to_json({'filename': 'doc_' || doc_id || '.txt', 'size': length(text)}) m from documents)")
 def metadata_json(spark, sf_dir):
     """Metadata written as JSON and read back with a schema."""
@@ -404,6 +517,18 @@ def latest_report(spark, sf_dir):
     return quality_report.latest(V.history(spark, sf_dir))
 
 
+@query(sql("select run, metric, score, row_number() over (partition by metric order by run)::int place from history where score is not null", "history"))
+def score_trend(spark, sf_dir):
+    return quality_report.trend(V.history(spark, sf_dir))
+
+
+@query("select event_id, case when event_id % 3 = 0 then 'unknown' when event_id % 3 = 1 then 'not a time' else strftime(ts, '%b %d, %Y · %H:%M UTC') end said from events")
+def time_labels(spark, sf_dir):
+    k = F.col("event_id") % 3
+    raw = F.when(k == 0, "").when(k == 1, "not a time").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return V.table(spark, sf_dir, "events").select("event_id", dialogue.time_label(raw).alias("said"))
+
+
 @query(sql("select run, metric, case when score is null then 'muted' when score >= 85 then 'good' when score >= 65 then 'warn' else 'bad' end band from history", "history"))
 def score_bands(spark, sf_dir):
     return V.history(spark, sf_dir).select("run", "metric", dialogue.band(F.col("score")).alias("band"))
@@ -444,19 +569,38 @@ def smalltalk_exact(spark, sf_dir):
 @query()
 def smalltalk_fuzzy(spark, sf_dir):
     ship(spark)
-    typed = F.concat(F.when(F.col("turn") % 2 == 0, "helo ").otherwise("hellow "), F.substring_index("text", " ", 2))
-    return V.table(spark, sf_dir, "conversations").select("conv_id", "turn", dialogue.is_near_smalltalk(typed).alias("smalltalk"))
+    k = (F.col("conv_id") + F.col("turn")) % 4
+    said = F.when(k == 0, "Helo!").when(k == 1, "bonjuor mon ami").when(k == 2, "thansk for the long answer").otherwise(F.col("text"))
+    return V.table(spark, sf_dir, "conversations").select("conv_id", "turn", said.alias("said"), dialogue.is_near_smalltalk(said).alias("smalltalk"))
 
 
-@query(f"select doc_id, case when length(regexp_replace(text, '^{WS}|{WS}$', '', 'g')) < 12 then 'too_short' when doc_id % 17 = 0 then 'detection_failed' when lang in ('en', 'fr', 'ar') then 'detected' else 'outside_expected_languages' end status from documents")
+@query(f"select doc_id, case when doc_id % 19 = 0 then 'detector_unavailable' when length(regexp_replace(text, '^{WS}|{WS}$', '', 'g')) < 12 then 'too_short' when doc_id % 17 = 0 then 'detection_failed' when lang in ('en', 'fr', 'ar') then 'detected' else 'outside_expected_languages' end status from documents")
 def language_status(spark, sf_dir):
     detected = F.when(F.col("doc_id") % 17 != 0, F.col("lang"))
-    return V.table(spark, sf_dir, "documents").select("doc_id", dialogue.language_status(F.col("text"), detected).alias("status"))
+    return V.table(spark, sf_dir, "documents").select("doc_id", dialogue.language_status(F.col("text"), detected, F.col("doc_id") % 19 != 0).alias("status"))
 
 
-@query(f"select conv_id, turn, case when regexp_replace(lower(regexp_replace(t, '^{WS}|{WS}$', '', 'g')), '[!.?،؟]+$', '') in ({_SMALL}) then 'smalltalk' when turn = 0 then 'no_history' else 'unavailable' end status from {_SAID}")
+_SMALL_FORM = f"regexp_replace(lower(regexp_replace(t, '^{WS}|{WS}$', '', 'g')), '[!.?،؟]+$', '')"
+
+
+@query(f"select conv_id, turn, case when {_SMALL_FORM} in ({_SMALL}) then 'smalltalk' when turn = 0 then 'no_history' when conv_id % 7 = 0 then 'unavailable' when conv_id % 7 = 1 then 'error' when conv_id % 7 = 2 then 'unparseable' when conv_id % 7 = 3 then 'unnecessary' else 'rewritten' end status from {_SAID}")
 def rewrite_status(spark, sf_dir):
-    return _said(spark, sf_dir).select("conv_id", "turn", dialogue.rewrite_status(F.col("t"), F.col("turn")).alias("status"))
+    """What becomes of each turn for answers that a model might give: none, an error, a blank, the question itself, another question."""
+    k, t = F.col("conv_id") % 7, F.col("t")
+    answer = F.when(k == 2, ' "" ').when(k == 3, F.concat(F.lit('" '), t, F.lit('"'))).when(k > 3, F.concat(t, F.lit(" in full")))
+    return _said(spark, sf_dir).select("conv_id", "turn", dialogue.rewrite_status(t, F.col("turn"), k != 0, answer, k == 1).alias("status"))
+
+
+_JUDGE = "case doc_id % 6 when 3 then 'no json' when 4 then '{\"score\": \"high\"}' else '{\"score\": 1.5}' end"
+
+
+@query("select doc_id, case when doc_id % 6 = 0 then 'no_context' when trim(text) = '' then 'judged' when doc_id % 6 = 1 then 'unavailable' when doc_id % 6 = 2 then 'error' when doc_id % 6 in (3, 4) then 'unparseable' else 'judged' end status, case when doc_id % 6 = 0 then null when trim(text) = '' or doc_id % 6 = 5 then 1.0::double end score from documents")
+def judge_status(spark, sf_dir):
+    """Statuses and scores of faithfulness checks for answers that a judge might give."""
+    k = F.col("doc_id") % 6
+    raw = F.when(k == 3, "no json").when(k == 4, '{"score": "high"}').otherwise('{"score": 1.5}')
+    told = dialogue.judge(F.col("text"), F.when(k != 0, "some context"), k != 1, raw, k == 2)
+    return V.table(spark, sf_dir, "documents").select("doc_id", told.alias("j")).select("doc_id", "j.status", "j.score")
 
 
 _MESSAGE = "case doc_id % 4 when 0 then 'HTTP 429 ' || lang when 1 then 'Invalid API key for ' || source when 2 then 'Rate Limit, 403' else text end"
@@ -496,7 +640,7 @@ def result_preview(spark, sf_dir):
     return V.table(spark, sf_dir, "documents").select("doc_id", dialogue.preview(F.col("text")).alias("preview"))
 
 
-@query(sql("select source, 'Based on the retrieved context, the answer appears to be: ' || string_agg(substr(content, 1, 400), ' ' order by doc_id, window_no) answer from (select source, t.doc_id, window_no, content from chunks t join documents d on t.doc_id = d.doc_id qualify row_number() over (partition by source order by t.doc_id, window_no) <= 5) group by source", "chunks"))
+@query(sql("select source, 'Based on the retrieved context, the answer appears to be: ' || string_agg(substr(content, 1, 400), ' ' order by doc_id, window_no) answer from (select source, doc_id, window_no, content from chunks qualify row_number() over (partition by source order by doc_id, window_no) <= 5) group by source", "chunks"))
 def fallback_answer(spark, sf_dir):
     from pyspark.sql import Window
 
@@ -505,9 +649,20 @@ def fallback_answer(spark, sf_dir):
     return retrieval.fallback_answer(top, ["doc_id", "window_no"], ["source"])
 
 
-@query(_hybrid_oracle(1).replace("select doc_id, window_no::int window_no, score, rrf_score, in_semantic_results, in_lexical_results from", "select count(*) chunk_count, round(sum(rrf_score) / greatest(1, count(*)), 6) mean_score, 'answered' status from", 1))
+_FOUND = _hybrid_oracle(1)
+
+
+@query(f"select count(*) chunk_count, round(sum(rrf_score) / greatest(1, count(*)), 6) mean_score, 3 answer_words, 'ok' status from ({_FOUND})")
 def retrieval_eval(spark, sf_dir):
-    return retrieval.evaluate(retrieval.hybrid_search(V.chunks(spark, sf_dir), QUESTION, "Internal"))
+    return retrieval.evaluate(retrieval.hybrid_search(V.index(spark, sf_dir), QUESTION, "Internal"), F.lit("in three words"))
+
+
+@query(sql("select source, string_agg('Chunk ' || r || ': ' || content, chr(10) || chr(10) order by r) context from (select source, content, row_number() over (partition by source order by doc_id, window_no) r from chunks qualify r <= 3) group by source", "chunks"))
+def prompt_context(spark, sf_dir):
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("source").orderBy("doc_id", "window_no"))
+    return retrieval.context(V.chunks(spark, sf_dir).withColumn("r", place).filter("r <= 3"), ["doc_id", "window_no"], ["source"])
 
 
 # Sources and streams

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as T
+from quillstone.operators import search_index
 from quillstone.operators.chunking import chunks as make_chunks
+from quillstone.session import shared_dir
 
 DEPARTMENT = ["HR", "Finance", "Legal", "IT", "General", None, "Marketing"]
 SENSITIVITY = ["Public", "Internal", "Confidential", "Restricted", None, "TopSecret"]
@@ -39,6 +43,19 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return make_chunks(governed(spark, sf_dir))
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def index(spark: SparkSession, sf_dir: str) -> search_index.SearchIndex:
+    """The search index of the chunks, written into the shared folder by the session's first question and read by all later ones."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _INDEXES or not search_index.exists(spark, _INDEXES[at]):
+        path = f"{shared_dir(spark)}/search-index/{uuid.uuid4().hex}"
+        search_index.build(chunks(spark, sf_dir).select("doc_id", "window_no", "chunk_id", "source", "department", "sensitivity", "content"), path)
+        _INDEXES[at] = path
+    return search_index.load(spark, _INDEXES[at])
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """governed labels beside ground truth under file names."""
     i = F.col("doc_id")
@@ -59,7 +76,7 @@ def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.when(i % 4 == 3, "indexed").alias("stage"), at(30).alias("at")),
         F.struct(F.when((i % 4 >= 2) & (i % 5 == 0), "classified").alias("stage"), at(40).alias("at")),
     )
-    return governed(spark, sf_dir).select(T.document_id(F.sha2(F.concat(F.lit("d"), i.cast("string")), 256)).alias("document_id"), "doc_type", F.inline(steps)).filter("stage is not null")
+    return governed(spark, sf_dir).select(T.document_id(F.sha2(F.concat(F.lit("d"), i.cast("string")), 256)).alias("document_id"), "doc_id", "doc_type", "department", F.inline(steps)).filter("stage is not null")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +86,28 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("run", "metric", F.when((F.col("run") == 3) & (F.col("metric") == "es"), None).otherwise(F.col("s")).alias("score"))
 
 
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files' metadata from the ingest and from the classifier: every fifth file lacks the former; a failed model may have been denied."""
+    i = F.col("doc_id")
+    denied = (i % 13 == 0) & (i % 2 == 0)
+    return governed(spark, sf_dir).select("*", F.format_string("doc_%d", i).alias("stem"), denied.alias("access_denied"))
+
+
+def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage-1 metadata by stem, for four of five files."""
+    i = F.col("doc_id")
+    return table(spark, sf_dir, "documents").filter(i % 5 != 0).select(F.format_string("doc_%d", i).alias("stem"), F.concat(F.lit("Title "), i.cast("string")).alias("title"), F.col("source").alias("origin"))
+
+
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ground truth lines (line, filename, true labels): three of four documents, some files without a document, some lines without a name, every ninth file named twice."""
+    i = F.col("doc_id")
+    lines = F.array(F.struct(F.lit(0).alias("again"), F.pmod(i, F.lit(6)).alias("k")), F.struct(F.when(i % 9 == 0, 1).alias("again"), F.pmod(i + 1, F.lit(6)).alias("k")))
+    rows = truth(spark, sf_dir).filter(i % 4 != 0).select("doc_id", "filename", "true_department", "true_doc_type", "true_language", F.inline(lines)).filter("again is not null")
+    name = F.when(i % 11 == 0, F.format_string("lost_%d.txt", i)).when(i % 23 != 0, F.col("filename"))
+    return rows.select((i * 2 + F.col("again")).alias("line"), name.alias("filename"), "true_department", "true_doc_type", "true_language", pick(TRUE_SENSITIVITY, F.col("k")).alias("true_sensitivity"))
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").withColumn("sensitivity_level", pick(SENSITIVITY, F.col("conv_id") + F.col("turn")))
 
@@ -101,7 +140,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
         [],
     ),
     "windowed": (
-        f"select doc_id, department, sensitivity, doc_type, 'doc_' || substr(sha256(text), 1, 16) document_id, s // 412 window_no, array_to_string(list_slice(w, s + 1, s + 512), ' ') content from (select *, unnest(range(0, greatest(len(w), 1), 412)) s from (select *, {WORDS('text')} w from governed))",
+        f"select doc_id, source, department, sensitivity, doc_type, 'doc_' || substr(sha256(text), 1, 16) document_id, s // 412 window_no, array_to_string(list_slice(w, s + 1, s + 512), ' ') content from (select *, unnest(range(0, greatest(len(w), 1), 412)) s from (select *, {WORDS('text')} w from governed))",
         ["governed"],
     ),
     "chunks": (
@@ -113,13 +152,17 @@ CTES: dict[str, tuple[str, list[str]]] = {
         ["governed"],
     ),
     "events_log": (
-        "select * from (select 'doc_' || substr(sha256('d' || doc_id), 1, 16) document_id, doc_type, unnest([1767225600 + doc_id * 60, 1767225600 + doc_id * 60 + 5 + doc_id % 7, 1767225600 + doc_id * 60 + 20 + doc_id % 3, 1767225600 + doc_id * 60 + 30, 1767225600 + doc_id * 60 + 40]) at_s, unnest(['ingested', case when doc_id % 4 >= 1 then 'classified' end, case when doc_id % 4 >= 2 then 'chunked' end, case when doc_id % 4 = 3 then 'indexed' end, case when doc_id % 4 >= 2 and doc_id % 5 = 0 then 'classified' end]) stage from governed) where stage is not null",
+        "select * from (select 'doc_' || substr(sha256('d' || doc_id), 1, 16) document_id, doc_id, doc_type, department, unnest([1767225600 + doc_id * 60, 1767225600 + doc_id * 60 + 5 + doc_id % 7, 1767225600 + doc_id * 60 + 20 + doc_id % 3, 1767225600 + doc_id * 60 + 30, 1767225600 + doc_id * 60 + 40]) at_s, unnest(['ingested', case when doc_id % 4 >= 1 then 'classified' end, case when doc_id % 4 >= 2 then 'chunked' end, case when doc_id % 4 = 3 then 'indexed' end, case when doc_id % 4 >= 2 and doc_id % 5 = 0 then 'classified' end]) stage from governed) where stage is not null",
         ["governed"],
     ),
     "assets": (
-        "select document_id, any_value(doc_type) doc_type, arg_max(stage, at_s) status, count(*) n_events, max(at_s) filter (stage = 'ingested') ingested_at, max(at_s) filter (stage = 'classified') classified_at, max(at_s) filter (stage = 'chunked') chunked_at from events_log group by document_id",
+        "select document_id, any_value(doc_id) doc_id, any_value(doc_type) doc_type, max(department) department, arg_max(stage, at_s * 10 + list_position(['ingested', 'classified', 'chunked', 'indexed'], stage)) status, count(*) n_events, max(at_s) filter (stage = 'ingested') ingested_at, max(at_s) filter (stage = 'classified') classified_at, max(at_s) filter (stage = 'chunked') chunked_at from events_log group by document_id",
         ["events_log"],
     ),
+    "gold": (
+        f"select doc_id * 2 + again line, case when doc_id % 11 = 0 then 'lost_' || doc_id || '.txt' when doc_id % 23 <> 0 then filename end filename, true_department, true_doc_type, true_language, {_list(TRUE_SENSITIVITY, '(doc_id + again)')} true_sensitivity from (select *, unnest(case when doc_id % 9 = 0 then [0, 1] else [0] end) again from truth where doc_id % 4 <> 0)",
+        ["truth"],
+    ),
     "history": (
         "select run, metric, case when run = 3 and metric = 'es' then null else s end score from (select doc_id % 6 + 1 run, lang metric, round(100.0 * count(*) filter ((doc_id * 7) % 13 > 2 + doc_id % 6 + 1) / count(*), 1)::double s from documents group by all)",
         [],
@@ -129,7 +172,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
         "select doc_id, 'Opening words' || chr(10) || 'Page 3 of 9' || chr(10) || '# Document ' || doc_id || chr(10) || 'DRAFT' || chr(10) || '-----' || chr(10) || replace(text, chr(10), '  ' || chr(10) || chr(10) || chr(10) || '## Part' || chr(10) || 'Company Name: x' || chr(10)) text from documents",
         [],
     ),
-    "tokens": ("select doc_id, window_no, sensitivity, department, content, regexp_extract_all(lower(content), '[\\p{L}\\p{N}_]+') ts from chunks", ["chunks"]),
+    "tokens": ("select doc_id, window_no, source, sensitivity, department, content, regexp_extract_all(lower(content), '[\\p{L}\\p{N}_]+') ts from chunks", ["chunks"]),
 }
 
 

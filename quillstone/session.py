@@ -1,4 +1,4 @@
-"""Makes this package importable where Python workers run."""
+"""Makes this package importable where Python workers run, and finds the folder that the driver and the executors share."""
 
 from __future__ import annotations
 
@@ -25,3 +25,15 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(ROOT))
     sc.addPyFile(str(out))
     sc._quillstone_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder, spark.checkpoint.dir. Only a local session may go without: it gets a folder of its own."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if at:
+        return at.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    at = f"file://{tempfile.mkdtemp(prefix='quillstone-')}"
+    spark.conf.set("spark.checkpoint.dir", at)
+    return at

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,6 +27,11 @@ def stem(path):
     return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
+def suffix(path):
+    """The extension in lower case, with its point."""
+    return F.lower(F.regexp_extract(path, r"(\.[^./]+)$", 1))
+
+
 def text_documents(files: DataFrame) -> DataFrame:
     """Text files as Markdown: the whole text, titled by the file's stem."""
     return files.filter("extension = 'txt'").select("source_path", "file_hash", stem(F.col("source_path")).alias("title"), F.decode("content", "UTF-8").alias("markdown"))
@@ -39,6 +45,12 @@ def csv_table(rows: DataFrame) -> DataFrame:
     return rows.select("*", line.alias("line"), F.lit(head).alias("header"))
 
 
+def read_csv(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+    """CSV files with a header as a Markdown table (a row a line, see csv_table), and their metadata: rows and columns."""
+    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return csv_table(rows), {"rows": rows.count(), "columns": rows.columns}
+
+
 class _Markdown(HTMLParser):
     """Headings, paragraphs and list items of a page as Markdown; scripts and styles are left out."""
 
@@ -97,9 +109,10 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def html_markdown(pages: DataFrame) -> DataFrame:
-    """page_id, url, title, markdown of HTML pages (page_id, url, html)."""
+    """page_id, url, title, markdown of HTML pages (page_id, url, html). A page without title is titled by its address's stem."""
     ship(pages.sparkSession)
-    return pages.select("page_id", "url", "html").mapInArrow(_pages, "page_id long, url string, title string, markdown string")
+    out = pages.select("page_id", "url", "html").mapInArrow(_pages, "page_id long, url string, title string, markdown string")
+    return out.withColumn("title", F.coalesce(F.nullif(F.trim("title"), F.lit("")), stem(F.col("url"))))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, required: str | None = None) -> DataFrame:
@@ -109,5 +122,47 @@ def json_lines(spark: SparkSession, path: str, schema: str, required: str | None
     return good.filter(F.col(required).isNotNull()) if required else good
 
 
+def read_classified(spark: SparkSession, pattern: str, schema: str | None = None) -> DataFrame:
+    """Classified files, a JSON document each, with their file name; files that are no JSON are left out."""
+    reader = spark.read.schema(f"{schema}, _bad string") if schema else spark.read
+    rows = reader.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(pattern).withColumn("file_name", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+    return rows.filter(F.col("_bad").isNull()).drop("_bad") if "_bad" in rows.columns else rows
+
+
+MANIFEST = "source_path string, file_hash string, mtime double, size_bytes long, status string, output_path string, error string, processed_at string"
+
+
+def _versions(spark: SparkSession, path: str):
+    """The file system and the manifest's versions that were written to the end, oldest first."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(at)] if fs.exists(at) else []
+    done = [p for p in found if p.getName().startswith("v") and p.getName()[1:].isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return fs, sorted(done, key=lambda p: int(p.getName()[1:]))
+
+
+def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest's last whole version; empty without one. One that can't be read is set aside as <version>.corrupt with a warning, and the one before it counts."""
+    fs, versions = _versions(spark, path)
+    for p in reversed(versions):
+        try:
+            rows = spark.read.schema(MANIFEST).parquet(p.toString())
+            rows.count()
+            return rows
+        except Exception as e:
+            warnings.warn(f"manifest {p} can't be read and is set aside: {e}", stacklevel=2)
+            fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(f"{p.toString()}.corrupt"))
+    return spark.createDataFrame([], MANIFEST)
+
+
+def save_manifest(rows: DataFrame, path: str) -> None:
+    """Write rows as the manifest's next version. It counts once it is whole, so a run that breaks off leaves the version before."""
+    spark = rows.sparkSession
+    _, versions = _versions(spark, path)
+    number = int(versions[-1].getName()[1:]) + 1 if versions else 1
+    names = [f.split()[0] for f in MANIFEST.split(", ")]
+    rows.select(*names).write.mode("overwrite").parquet(f"{path}/v{number}")
+
+
 def write_index(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)

@@ -1,25 +1,52 @@
-"""Incremental ingestion as a stream: new documents in a folder of Parquet files are chunked once each and upserted."""
+"""Incremental ingestion as a stream: documents in a folder of Parquet files are chunked once each, and a document that comes again with another text replaces its former chunks."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillstone.operators.chunking import windowed
 
+MANIFEST = "doc_id long, file_hash string, batch int"
+
+
+def _table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None if schema is None else spark.createDataFrame([], schema)
+
 
 def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, max_files: int = 100) -> StreamingQuery:
-    """Chunk every document of new files below source (doc_id, text and labels) into Parquet at target, by micro-batch; restarts go on from the checkpoint. A batch that is run again overwrites its own folder."""
+    """Chunk every document of new files below source (doc_id, text and labels) by micro-batch; restarts go on from the checkpoint.
+
+    Of equal texts the smallest doc_id is taken, and a text that an earlier batch took is passed over. A batch writes its chunks, then its manifest (doc_id, file_hash), into folders of its own; one that is run again overwrites them.
+    """
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
 
     def batch(df: DataFrame, number: int) -> None:
-        fresh = df.withColumn("file_hash", F.sha2("text", 256)).dropDuplicates(["file_hash"])
-        windowed(fresh).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        known = _table(spark, f"{target}/manifest", MANIFEST).filter(F.col("batch") != number).select("file_hash")
+        each = df.withColumn("file_hash", F.sha2(F.coalesce("text", F.lit("")), 256))
+        first = each.groupBy("file_hash").agg(F.min_by(F.struct(*df.columns), F.struct(F.col("doc_id").isNull(), "doc_id")).alias("r"))
+        fresh = first.join(known, "file_hash", "left_anti").select("r.*", "file_hash")
+        windowed(fresh).write.mode("overwrite").parquet(f"{target}/chunks/batch={number}")
+        # the rows that the chunks were made of, so that both tables agree
+        held = spark.read.parquet(f"{target}/chunks/batch={number}").select("doc_id", "file_hash").distinct()
+        held.write.mode("overwrite").parquet(f"{target}/manifest/batch={number}")
 
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def current(spark: SparkSession, target: str) -> DataFrame:
+    """The chunks as they stand: of each document those of the last batch that brought it."""
+    last = _table(spark, f"{target}/manifest", MANIFEST).groupBy("doc_id").agg(F.max("batch").alias("batch"))
+    rows = spark.read.parquet(f"{target}/chunks").alias("c")
+    same = F.col("c.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("c.batch") == F.col("l.batch"))
+    return rows.join(last.alias("l"), same, "left_semi")
+
+
 def event_counts(events: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts and sums by time window and event type, for batch or streaming frames; late rows are dropped past the watermark."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
