@@ -14,6 +14,8 @@ from pyspark.sql.types import ArrayType, DoubleType
 #: Unicode white space, told the same way to Java and to RE2 regexes.
 WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
 WORD = r"[\p{L}\p{N}_]+"
+#: A character that is neither white space nor a slash, so that a text with one has a word to embed.
+NO_SPACE = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}/]"
 #: Lines of these forms are boilerplate.
 BOILERPLATE = [
     r"\s*page\s+\d+(?:\s+of\s+\d+)?\s*",

@@ -25,15 +25,24 @@ def percent(part, whole):
     return F.round(100.0 * part / F.nullif(whole, F.lit(0)), 1)
 
 
-def scores(chunks: DataFrame, order: list[str]) -> DataFrame:
-    """metric, score over the index: embedding_coverage, sensitivity_label_validity, department_coverage, chunk_health; null where nothing can be counted."""
-    rows = chunk_health(chunks, order)
+def scores(chunks: DataFrame) -> DataFrame:
+    """metric, score over the index: embedding_coverage, sensitivity_label_validity, department_coverage, chunk_health; null where nothing can be counted.
+
+    Each content that is not tiny has one healthy chunk, whichever comes first, so one pass over the chunks counts by content and a second step sums up.
+    """
+    words = T.words(F.col("content"))
     source = F.col("embedding_source")
-    agg = rows.agg(
-        percent(F.count_if(source == "llm"), F.count_if(source.isin("llm", "hash_fallback"))).alias("embedding_coverage"),
-        percent(F.count_if(F.col("sensitivity").isin(access.SENSITIVITY)), F.count("*")).alias("sensitivity_label_validity"),
-        percent(F.count_if(~F.coalesce(F.col("department").isin("", "General"), F.lit(True))), F.count("*")).alias("department_coverage"),
-        percent(F.count_if(F.col("health") == "healthy"), F.count("*")).alias("chunk_health"),
+    rows = chunks.select(
+        T.let(words, lambda w: F.struct((F.size(w) < TINY_WORDS).alias("tiny"), F.sha2(F.lower(F.array_join(w, " ")), 256).alias("norm"))).alias("k"),
+        (source == "llm").alias("llm"), source.isin("llm", "hash_fallback").alias("embedded"), F.col("sensitivity").isin(access.SENSITIVITY).alias("labelled"), (~F.coalesce(F.col("department").isin("", "General"), F.lit(True))).alias("placed"),
+    )
+    groups = rows.groupBy("k.tiny", "k.norm").agg(F.count("*").alias("n"), *[F.count_if(c).alias(c) for c in ("llm", "embedded", "labelled", "placed")])
+    every = F.coalesce(F.sum("n"), F.lit(0))
+    agg = groups.agg(
+        percent(F.coalesce(F.sum("llm"), F.lit(0)), F.sum("embedded")).alias("embedding_coverage"),
+        percent(F.sum("labelled"), every).alias("sensitivity_label_validity"),
+        percent(F.sum("placed"), every).alias("department_coverage"),
+        percent(F.count_if(~F.col("tiny")), every).alias("chunk_health"),
     )
     return agg.unpivot([], agg.columns, "metric", "score")
 
