@@ -2,36 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.session import ship
+from quillstone.session import shared_dir, ship
 
 __all__ = ["input_bytes", "materialize", "shared_dir", "ship", "shuffle_partitions", "small", "table"]
 
-#: Rows up to which a small table (thresholds, offsets) is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes up to which a small table (thresholds, offsets) is broadcast; beyond them the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, spark.checkpoint.dir. Only a local session may go without: it gets a folder of its own."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
-    if spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    at = f"file://{tempfile.mkdtemp(prefix='quillstone-')}"
-    spark.conf.set("spark.checkpoint.dir", at)
-    return at
-
-
 def materialize(df: DataFrame, compression: str = "zstd", partition_by: str | None = None) -> DataFrame:
     """Cut the lineage: write df as Parquet into the shared folder and read it back, so that a lost executor costs no recomputation and each later reader sees the same rows."""
     path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
@@ -42,7 +29,7 @@ def materialize(df: DataFrame, compression: str = "zstd", partition_by: str | No
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast df if its checked size allows; else leave the join to a shuffle. df should be materialized."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if input_bytes(df) <= BROADCAST_BYTES and df.limit(rows + 1).count() <= rows else df
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -52,5 +39,3 @@ def input_bytes(df: DataFrame) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-

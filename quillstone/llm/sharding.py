@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from quillstone.llm.common import materialize, ship, small
 
@@ -39,12 +40,8 @@ def _assign(shards: int):
             place[order] = np.arange(len(shard)) - np.repeat(np.cumsum(counts) - counts, counts)
             place += seen[shard]
             seen += counts
-            rest = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "jump_key"]
-            names = [n for n in batch.schema.names if n != "jump_key"]
-            yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(shard, pa.int32()), pa.array(jump_hash(keys, shards + 1), pa.int32()), pa.array(np.full(len(shard), part), pa.int32()), pa.array(place)],
-                names=[*names, "shard", "grown_shard", "part", "place"],
-            )
+            columns = [batch.column("row"), pa.array(shard, pa.int32()), pa.array(jump_hash(keys, shards + 1), pa.int32()), pa.array(np.full(len(shard), part), pa.int32()), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "shard", "grown_shard", "part", "place"])
 
     return run
 
@@ -54,16 +51,19 @@ def shard_rows(df: DataFrame, key: str, shards: int) -> DataFrame:
 
     The key and the number of shards alone decide the shard; a null key is replaced by a hash of the whole row, so that rows without a key spread.
     Slots need no shuffle of rows by shard: each task numbers its own rows of a shard, and the tasks' counts are summed up. A shard or a key with any share of the rows is thus never gathered in one task.
-    Repeated rows are all kept, each with a slot of its own. An empty table gives an empty result. df's columns must not be named shard, grown_shard or slot.
+    Repeated rows are all kept, each with a slot of its own. An empty table gives an empty result. Null and empty texts, and texts of any length, are columns like any other. df's columns may have any names but the three that are added; those are an error.
     """
+    if clash := {"shard", "grown_shard", "slot"} & set(df.columns):
+        raise ValueError(f"columns that shard_rows adds stand in the table already: {sorted(clash)}")
     ship(df.sparkSession)
-    keyed = df.withColumn("jump_key", F.when(F.col(key).isNotNull(), F.xxhash64(key)).otherwise(F.xxhash64(*df.columns)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    out = materialize(keyed.mapInArrow(_assign(shards), f"{schema}, shard int, grown_shard int, part int, place long"))
+    names = [f"`{c}`" for c in df.columns]
+    keyed = df.select(F.struct(*names).alias("row"), F.when(F.col(f"`{key}`").isNotNull(), F.xxhash64(f"`{key}`")).otherwise(F.xxhash64(*names)).alias("jump_key"))
+    added = StructType([StructField("row", df.schema), *(StructField(n, t) for n, t in (("shard", IntegerType()), ("grown_shard", IntegerType()), ("part", IntegerType()), ("place", LongType())))])
+    out = materialize(keyed.mapInArrow(_assign(shards), added))
     counts = out.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
-    return out.join(small(offsets), ["shard", "part"]).withColumn("slot", F.col("offset") + F.col("place")).drop("offset", "place", "part")
+    return out.join(small(offsets), ["shard", "part"]).select("row.*", "shard", "grown_shard", (F.col("offset") + F.col("place")).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:

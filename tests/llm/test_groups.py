@@ -49,6 +49,14 @@ def test_shards(docs, odd, none):
     assert sharding.shard_documents(none).count() == 0
 
 
+def test_shards_of_rows_with_clashing_columns(spark):
+    rows = spark.createDataFrame([(i, f"x{i}", i, 2 * i, "k") for i in range(50)], "id long, jump_key string, part int, place int, row string")
+    out = sharding.shard_rows(rows, "id", 5)
+    assert out.columns == [*rows.columns, "shard", "grown_shard", "slot"] and sorted(tuple(r)[:5] for r in out.collect()) == sorted(map(tuple, rows.collect()))
+    with pytest.raises(ValueError, match="slot"):
+        sharding.shard_rows(rows.withColumnRenamed("part", "slot"), "id", 5)
+
+
 def brute_print(text, shingle=3):
     import re
 
