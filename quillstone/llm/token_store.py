@@ -12,7 +12,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import materialize, shared_dir, ship
+from quillstone.llm.common import shared_dir, ship
 from quillstone.llm.tokens import encoder, slices, tokenizer_path
 
 #: Ids of a sequence, sequences of a shard (17 MB), and the permutation's key and rounds.
@@ -78,12 +78,12 @@ def _records(slot: np.ndarray, ids: np.ndarray, first: np.ndarray, null: np.ndar
 
 
 def _sequences(ranks: str, length: int, shard_rows: int, key: int, total: int, by_split: Broadcast):
-    """by_split: splits in order and how many sequences each has."""
+    """by_split: splits in order, how many sequences each has, and by shard whether it is still to be written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The split's documents, each with a closing id, end to end, cut at every `length` ids. The last sequence is padded with the closing id."""
         enc = encoder(ranks, "<u2")
-        parts, numbers = by_split.value
+        parts, numbers, wanted = by_split.value
         at = np.searchsorted(parts, TaskContext.get().partitionId())
         mine = int(numbers[at]) if at < len(parts) and parts[at] == TaskContext.get().partitionId() else 0
         place, offset = 0, int(numbers[:at].sum())
@@ -107,7 +107,11 @@ def _sequences(ranks: str, length: int, shard_rows: int, key: int, total: int, b
                     raise ValueError("docs changed between counting and writing")
                 slot = permute(offset + place + np.arange(len(at)), total, key)
                 place += len(at)
-                yield pa.RecordBatch.from_arrays([pa.array((slot // shard_rows).astype(np.int32)), pa.array(slot), _records(slot, rows, np.array([k or 0 for k in first]), null, docs, used)], names=["shard", "slot", "record"])
+                doc_id, shard = np.array([k or 0 for k in first]), (slot // shard_rows).astype(np.int32)
+                if not (live := wanted[shard]).all():
+                    slot, rows, doc_id, null, docs, used, shard = (x[live] for x in (slot, rows, doc_id, null, docs, used, shard))
+                if len(slot):
+                    yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(slot), _records(slot, rows, doc_id, null, docs, used)], names=["shard", "slot", "record"])
             rest = n * length
             whole = int(np.searchsorted(stop, rest, "right"))  # documents without ids left
             if rest < len(ids):
@@ -129,6 +133,35 @@ def _sequences(ranks: str, length: int, shard_rows: int, key: int, total: int, b
     return run
 
 
+def _split_counts(rows: DataFrame, path: str, ranks: str, length: int, shard_rows: int, key: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Splits and how many sequences each has, and whether a job before has counted them: they are kept beside the shards with what else fixes the slots."""
+    spark, counted = rows.sparkSession, f"{path}/_counts"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs, there = at.getFileSystem(spark._jsc.hadoopConfiguration()), lambda name: spark._jvm.org.apache.hadoop.fs.Path(at, name)
+    begun = fs.exists(there("_counts/_SUCCESS"))
+    how = {"length": length, "shard_rows": shard_rows, "key": key}
+    if not begun:
+        if fs.exists(at) and fs.globStatus(there("shard=*")):
+            raise FileExistsError(f"{path} holds shards of unknown order")
+        counts = rows.mapInArrow(_counts(ranks, length), "part int, n long")
+        counts.select("*", *[F.lit(v).cast("long").alias(k) for k, v in how.items()]).write.mode("overwrite").parquet(counted)
+    held = spark.read.schema("part int, n long, length long, shard_rows long, key long").parquet(counted).orderBy("part").collect()  # a row for each split
+    if any(r[k] != v for r in held for k, v in how.items()):
+        raise ValueError(f"{path} was begun with another length, shard size or key")
+    return np.array([r["part"] for r in held], np.int64), np.array([r["n"] for r in held], np.int64), begun
+
+
+def _unwritten(spark: SparkSession, path: str, total: int, length: int, shard_rows: int) -> np.ndarray:
+    """By shard whether its file is missing. Only lengths are read."""
+    wanted = np.ones(-(-total // shard_rows), bool)
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"/shard=(\d+)/[^/]*$", 1).try_cast("int").alias("shard"), "length")
+    for r in files.groupBy("shard").agg(F.sum("length").alias("bytes")).filter(F.col("shard").isNotNull()).collect():  # a number for each shard
+        if r["bytes"] != min(shard_rows, total - r["shard"] * shard_rows) * stride(length):
+            raise ValueError(f"shard {r['shard']} below {path} has another size than this order gives it")
+        wanted[r["shard"]] = False
+    return wanted
+
+
 def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_rows: int = SHARD_ROWS, key: int = KEY, ranks: str | None = None) -> int:
     """Write all documents as sequences in training order below `path` and return how many sequences there are. Shard s is the one file below shard=s, of fixed-stride records: slot s * shard_rows + r
     begins at byte r * stride(length), so any slot is found without an index, and reading goes on from any slot.
@@ -136,21 +169,24 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_rows: i
     Documents stand end to end, each with a closing id, and null and empty texts give that id alone; repeated rows are kept; a null doc_id stays null; an empty table gives no files. Columns but doc_id and text are not read.
     The number of sequences fixes the permutation, so documents are encoded twice: once to count, once to write; the sequences themselves are written once. docs must give the same rows in the
     same splits both times, as tables on files do; else the slots don't fit and an error is raised. Each sequence goes to the task of its shard, whose size is fixed whatever the data. A shard whose
-    task is lost is written anew; a path that was written before is an error.
+    task is lost is written anew. A shard's file is put in place once its task has ended, so a job that broke off goes on when it is started again with the same docs and path: what it counted is
+    taken over, and only missing shards are shuffled and written. A finished path is left as it is; one begun with another length, shard size or key is an error.
     """
     spark = docs.sparkSession
     ship(spark)
     ranks = ranks or tokenizer_path("byte_bpe_50k.tiktoken")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    counts = materialize(rows.mapInArrow(_counts(ranks, length), "part int, n long"))
-    held = counts.orderBy("part").collect()  # a number for each split
-    parts, numbers = np.array([r["part"] for r in held], np.int64), np.array([r["n"] for r in held], np.int64)
+    parts, numbers, begun = _split_counts(rows, path, ranks, length, shard_rows, key)
     total = int(numbers.sum())
-    placed = rows.mapInArrow(_sequences(ranks, length, shard_rows, key, total, spark.sparkContext.broadcast((parts, numbers))), SEQUENCES)
-    shards = max(1, -(-total // shard_rows))
+    shards = -(-total // shard_rows)
+    wanted = _unwritten(spark, path, total, length, shard_rows) if begun and total else np.ones(shards, bool)
+    if not wanted.any():
+        return total
+    placed = rows.mapInArrow(_sequences(ranks, length, shard_rows, key, total, spark.sparkContext.broadcast((parts, numbers, wanted))), SEQUENCES)
     ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")
-    # Spark's text writer puts out a string's bytes as they are, with END after each
-    ordered.select(F.col("record").cast("string"), "shard").write.option("lineSep", END).partitionBy("shard").text(path)
+    # Spark's text writer puts out a string's bytes as they are, with END after each; a task has one file, which this committer moves to its place when the task ends
+    writer = ordered.select(F.col("record").cast("string"), "shard").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.option("lineSep", END).partitionBy("shard").text(path)
     return total
 
 

@@ -153,6 +153,41 @@ def test_token_shards_of_odd_rows(spark, odd, none, tmp_path):
     assert token_store.store_documents(odd).count() > 0 and token_store.store_documents(none).count() == 0
 
 
+def test_token_shards_go_on(spark, docs, none, tmp_path):
+    import shutil
+
+    path, folder = f"file://{tmp_path}/broken", tmp_path / "broken"
+    how = {"length": 64, "shard_rows": 100}
+    n = token_store.write_shards(docs, path, **how)
+    files = lambda: {p.parent.name: (p.name, p.read_bytes()) for p in folder.glob("shard=*/part-*")}
+    whole = files()
+    assert len(whole) == -(-n // 100) > 3
+    # as a job leaves it that broke off: some shards are missing, others are whole, one task had begun
+    for shard in (0, 2, max(int(x.split("=")[1]) for x in whole)):
+        shutil.rmtree(folder / f"shard={shard}")
+    (folder / "_SUCCESS").unlink()
+    (folder / "_temporary" / "0").mkdir(parents=True)
+    kept = files()
+    assert token_store.write_shards(docs, path, **how) == n
+    again = files()
+    assert {k: v[1] for k, v in again.items()} == {k: v[1] for k, v in whole.items()} and all(again[k] == v for k, v in kept.items())
+    # a finished path stays as it is
+    assert token_store.write_shards(docs, path, **how) == n and files() == again
+    with pytest.raises(ValueError, match="another"):
+        token_store.write_shards(docs, path, **how, key=5)
+    # broken off before any shard, and while counting
+    for shard in again:
+        shutil.rmtree(folder / shard)
+    assert token_store.write_shards(docs, path, **how) == n and {k: v[1] for k, v in files().items()} == {k: v[1] for k, v in whole.items()}
+    (folder / "_counts" / "_SUCCESS").unlink()
+    with pytest.raises(FileExistsError):
+        token_store.write_shards(docs, path, **how)
+    for shard in again:
+        shutil.rmtree(folder / shard)
+    assert token_store.write_shards(docs, path, **how) == n and {k: v[1] for k, v in files().items()} == {k: v[1] for k, v in whole.items()}
+    assert token_store.write_shards(none, f"file://{tmp_path}/none") == 0 == token_store.write_shards(none, f"file://{tmp_path}/none")
+
+
 def test_words(docs, odd, none):
     import hashlib
 
