@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -14,94 +13,114 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import materialize, ship, small
+from quillstone.llm.common import materialize, ship, shuffle_partitions, small
 
-#: Distinct words, and nonzero cells, that close a shard, so that its dictionary and its matrix stay within some 20 MB of a worker each. A document is never cut.
-SHARD_WORDS, SHARD_CELLS = 200_000, 2_000_000
+#: Bytes of text that close a shard, so that its words and its matrix stay within some 150 MB of a worker. A document is never cut.
+SHARD_BYTES = 16 << 20
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITALS_PERCENT = 200, 50, 2
 FILTERS = "ABCDE"
+#: Bits of a global word id beside its place in a shard.
+_ID_BITS = 38
 _CAPITALS, _SYMBOLS = bytes(range(65, 91)), b"#$%&*|"
 
 #: A shard: for each row its id, part, text print, marks (4: C fails, 8: D fails); the CSR arrays; the words that `indices` number.
 _LOCAL = "shard long, doc_id array<long>, part array<string>, print array<binary>, marks array<int>, indptr array<int>, indices array<int>, data array<int>, words array<string>"
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shards of the task's rows, with words numbered inside the shard."""
-    shard = TaskContext.get().partitionId() << 30
+def _shard(number: int, rows: pa.Table) -> pa.RecordBatch:
+    """One shard of rows (doc_id, part, text), with words numbered inside the shard."""
+    texts = rows.column("text").combine_chunks()
+    # white space of ASCII is just x20 and x09 to x0D
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.values.dictionary_encode()
+    row = np.repeat(np.arange(len(texts)), np.diff(np.asarray(lists.offsets)))
+    place, names = np.asarray(words.indices).astype(np.int64), words.dictionary
+    told = np.asarray(pc.not_equal(names, ""))
+    new = np.cumsum(told) - 1  # the empty word, which leading and trailing spaces leave, has no number
+    some = told[place] if len(place) else np.zeros(0, bool)
+    width = max(1, len(names))
+    cell, count = np.unique(row[some] * width + new[place[some]], return_counts=True)
+    starts = np.searchsorted(cell // width, np.arange(len(texts) + 1))
+    prints, marks = [], []
+    for raw, size in zip(texts.cast(pa.binary()), pc.utf8_length(texts).to_pylist()):
+        text = raw.as_py()
+        prints.append(hashlib.sha256(text).digest())
+        marks.append(4 * (100 * (len(text) - len(text.translate(None, _CAPITALS))) > MAX_CAPITALS_PERCENT * size) + 8 * (len(text.translate(None, _SYMBOLS)) < len(text)))
     fields = [x.split() for x in _LOCAL.split(", ")]
-    kinds = {"array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<int>": pa.list_(pa.int32()), "long": pa.int64()}
-    number: dict[bytes, int] = {}
-    ids, parts, prints, marks, starts, cells, counts = [], [], [], [], [0], [], []
+    kinds = {"array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<int>": pa.list_(pa.int32())}
+    values = [rows.column("doc_id").to_pylist(), rows.column("part").to_pylist(), prints, marks, starts.astype(np.int32), (cell % width).astype(np.int32), count.astype(np.int32), names.filter(pa.array(told))]
+    return pa.RecordBatch.from_arrays([pa.array([number]), *[pa.array([v], kinds[t]) for v, (_, t) in zip(values, fields[1:])]], names=[n for n, _ in fields])
 
-    def flush() -> pa.RecordBatch:
-        words = pa.array(list(number), pa.binary()).cast(pa.string())
-        values = [shard, ids, parts, prints, marks, starts, np.concatenate(cells), np.concatenate(counts), words]
-        return pa.RecordBatch.from_arrays([pa.array([v], kinds[t]) for v, (_, t) in zip(values, fields)], names=[n for n, _ in fields])
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 30
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        texts = batch.column("text")
-        for i, part, raw, size in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), texts.cast(pa.binary()), pc.utf8_length(texts).to_pylist()):
-            text = raw.as_py()
-            # bytes split between ASCII white space, which is just x20 and x09 to x0D
-            found = Counter(text.split())
-            for w in found:
-                if w not in number:
-                    number[w] = len(number)
-            capitals = len(text) - len(text.translate(None, _CAPITALS))
-            ids.append(i)
-            parts.append(part)
-            prints.append(hashlib.sha256(text).digest())
-            marks.append(4 * (100 * capitals > MAX_CAPITALS_PERCENT * size) + 8 * (len(text.translate(None, _SYMBOLS)) < len(text)))
-            cells.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
-            counts.append(np.fromiter(found.values(), np.int32, len(found)))
-            starts.append(starts[-1] + len(found))
-            if len(number) >= SHARD_WORDS or starts[-1] >= SHARD_CELLS:
-                yield flush()
-                shard += 1
-                number = {}
-                ids, parts, prints, marks, starts, cells, counts = [], [], [], [], [0], [], []
-    if ids:
-        yield flush()
-
-
-def dictionary(local: DataFrame) -> DataFrame:
-    """word, id: every word of the shards once, numbered from 0 without gaps."""
-    words = local.select(F.explode("words").alias("word")).distinct()
-    place = F.monotonically_increasing_id()
-    held = materialize(words.select("word", F.shiftright(place, 33).cast("int").alias("p"), place.bitwiseAND((1 << 33) - 1).alias("i")))
-    # one number a partition
-    sizes = {r["p"]: r["n"] for r in held.groupBy("p").agg(F.count("*").alias("n")).collect()}
-    offset, at = {}, 0
-    for p in sorted(sizes):
-        offset[p], at = at, at + sizes[p]
-    offsets = small(held.sparkSession.createDataFrame(sorted(offset.items()), "p int, at long"))
-    return held.join(offsets, "p").select("word", (F.col("i") + F.col("at")).alias("id"))
-
-
-def document_term_matrix(docs: DataFrame) -> DataFrame:
-    """CSR shards of docs (doc_id, part, text): doc_id, part, print and marks by row, indptr, and indices (global word ids) and data (counts) by cell.
-
-    Words are maximal runs of anything but x20 and x09 to x0D. Only each shard's distinct words travel to the dictionary, so a word that is everywhere comes once a shard, and occurrences never move.
+        begin = 0
+        for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+            size += n
+            if size >= SHARD_BYTES:
+                yield _shard(number, pa.Table.from_batches([*held, batch.slice(begin, i + 1 - begin)]))
+                number, held, begin, size = number + 1, [], i + 1, 0
+        if begin < batch.num_rows:
+            held.append(batch.slice(begin))
+    if held:
+        yield _shard(number, pa.Table.from_batches(held))
+
+
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted words numbered from 0 in the task, whose number is p; a word stands in its first row alone."""
+    task, last, at = TaskContext.get().partitionId(), None, -1
+    for b in batches:
+        if not b.num_rows:
+            continue
+        words = b.column("word")
+        new = np.asarray(pc.not_equal(words, pa.concat_arrays([pa.array([last], pa.string()), words.slice(0, len(words) - 1)])).fill_null(True), bool)
+        number = at + np.cumsum(new)
+        last, at = words[len(words) - 1].as_py(), int(number[-1])
+        yield pa.RecordBatch.from_arrays([pc.if_else(pa.array(new), words, None), pa.array(np.full(len(words), task, np.int32)), pa.array(number), b.column("shard"), b.column("at")], names=["word", "p", "i", "shard", "at"])
+
+
+def numbered_words(local: DataFrame) -> DataFrame:
+    """word, id, shard, at: each word of each shard with its place there and its number in the global dictionary (from 0, without gaps). The word itself stands in one row for each id, so the rows that have one are the dictionary.
+
+    One shuffle by word; a word that is everywhere has a row for each shard.
+    """
+    spark = local.sparkSession
+    words = local.select("shard", F.posexplode("words").alias("at", "word")).repartition(shuffle_partitions(spark), "word").sortWithinPartitions("word")
+    held = materialize(words.mapInArrow(_number, "word string, p int, i long, shard long, at int"))
+    offset, at = [], 0
+    for r in held.groupBy("p").agg(F.max("i").alias("i")).orderBy("p").collect():  # one number a partition
+        offset.append((r["p"], at))
+        at += r["i"] + 1
+    offsets = small(spark.createDataFrame(offset, "p int, first long"))
+    return held.join(offsets, "p").select("word", (F.col("i") + F.col("first")).alias("id"), "shard", "at")
+
+
+def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """CSR shards of docs (doc_id, part, text), and the dictionary (word, id). A shard has doc_id, part, print and marks by row, indptr, and indices (global word ids) and data (counts) by cell.
+
+    Words are maximal runs of anything but x20 and x09 to x0D. Only each shard's distinct words travel to the dictionary; occurrences never move.
     """
     ship(docs.sparkSession)
-    local = materialize(docs.select("doc_id", F.coalesce(F.col("part").cast("string"), F.lit("")).alias("part"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(_count, _LOCAL))
-    named = local.select("shard", F.posexplode("words").alias("at", "word")).join(dictionary(local), "word")
-    # at most SHARD_WORDS and one document's words a shard
-    ids = named.groupBy("shard").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "id"))), lambda x: x["id"]).alias("ids"))
-    joined = local.drop("words").join(ids, "shard", "left")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    local = materialize(docs.select("doc_id", F.coalesce(F.col("part").cast("string"), F.lit("")).alias("part"), text.alias("text")).mapInArrow(_shards, _LOCAL))
+    words = numbered_words(local)
+    # a shard's words are bounded; place and id travel as one number
+    ids = words.groupBy("shard").agg(F.collect_list(F.shiftleft(F.col("at").cast("long"), _ID_BITS).bitwiseOR(F.col("id"))).alias("ids"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cells = []
             for own, ids in zip(b.column("indices"), b.column("ids")):
-                table = np.asarray(ids.values) if ids.is_valid else np.zeros(0, np.int64)
+                table = np.sort(np.asarray(ids.values)) & ((1 << _ID_BITS) - 1) if ids.is_valid else np.zeros(0, np.int64)
                 cells.append(table[np.asarray(own.values)])
             at = b.schema.get_field_index("indices")
             yield b.set_column(at, "indices", pa.array(cells, pa.list_(pa.int64()))).drop_columns("ids")
 
     schema = _LOCAL.replace("indices array<int>", "indices array<long>").replace(", words array<string>", "")
-    return joined.mapInArrow(encode, schema)
+    return local.drop("words").join(ids, "shard", "left").mapInArrow(encode, schema), words.filter("word is not null").select("word", "id")
 
 
 def row_counts(matrix: DataFrame) -> DataFrame:
@@ -166,7 +185,7 @@ def filter_audit(docs: DataFrame, labels: DataFrame, part: str = "source") -> Da
     Filters: A fewer than 200 words; B fewer than half of the words distinct; C over 2 % capitals A to Z; D any of #$%&*|; E text of a smaller doc_id. A null text is empty: it fails A, and E if a smaller id has an empty text too. Rows without doc_id, and repeated rows of the smallest one, pass E. A document is good or toxic if any of its label rows says so; null labels say nothing. Texts of any length are read whole; further columns don't matter; an empty table gives no rows.
     """
     rows = docs.select("doc_id", F.col(part).alias("part"), "text")
-    return interactions(failures(row_counts(document_term_matrix(rows)), labels.select("doc_id", "quality", "toxic")))
+    return interactions(failures(row_counts(document_term_matrix(rows)[0]), labels.select("doc_id", "quality", "toxic")))
 
 
 #: The same in DuckDB SQL, without a matrix.
