@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm import filter_audit, html_text, licenses, packing, quality, secrets, sharding, simhash, token_store, vptree, words_bpe
+from quillstone.llm import conversations, filter_audit, html_text, licenses, packing, quality, secrets, sharding, simhash, token_store, url_filter, vptree, words_bpe
 from quillstone.llm.common import table
 
 QUERY_STEP = 20
@@ -52,9 +52,18 @@ def op10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words_bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, url_filter.junk_list(pages))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_html, op4_licenses, op5_sharding, op6_neighbours, op7_token_shards, op8_simhash, op9_secrets, op10_words, op13_filter_audit)}
-ORACLES = {"op2_quality": quality.SQL, "op6_neighbours": vptree.SQL, "op13_filter_audit": filter_audit.SQL}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_html, op4_licenses, op5_sharding, op6_neighbours, op7_token_shards, op8_simhash, op9_secrets, op10_words, op11_conversations, op12_urls, op13_filter_audit)}
+ORACLES = {"op2_quality": quality.SQL, "op6_neighbours": vptree.SQL, "op12_urls": url_filter.SQL, "op13_filter_audit": filter_audit.SQL}
