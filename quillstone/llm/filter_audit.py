@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.common import materialize, ship, shuffle_partitions, small
 
-#: Bytes of text that close a shard, so that its words and its matrix stay within some 150 MB of a worker. A document is never cut.
-SHARD_BYTES = 16 << 20
+#: Bytes of text that close a shard, so that its words and its matrix stay within some 80 MB of a worker. A document is never cut.
+SHARD_BYTES = 8 << 20
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITALS_PERCENT = 200, 50, 2
 FILTERS = "ABCDE"
 #: Bits of a global word id beside its place in a shard.
@@ -98,10 +98,10 @@ def numbered_words(local: DataFrame) -> DataFrame:
     return held.join(offsets, "p").select("word", (F.col("i") + F.col("first")).alias("id"), "shard", "at")
 
 
-def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """CSR shards of docs (doc_id, part, text), and the dictionary (word, id). A shard has doc_id, part, print and marks by row, indptr, and indices (global word ids) and data (counts) by cell.
+def _parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shards of docs (doc_id, part, text) beside the global ids of their words, and numbered_words().
 
-    Words are maximal runs of anything but x20 and x09 to x0D. Only each shard's distinct words travel to the dictionary; occurrences never move.
+    Only each shard's distinct words travel to the dictionary; occurrences never move.
     """
     ship(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -109,34 +109,43 @@ def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     words = numbered_words(local)
     # a shard's words are bounded; place and id travel as one number
     ids = words.groupBy("shard").agg(F.collect_list(F.shiftleft(F.col("at").cast("long"), _ID_BITS).bitwiseOR(F.col("id"))).alias("ids"))
+    return local.drop("words").join(ids, "shard", "left"), words
+
+
+def _global(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    """The cells' global word ids of the k-th shard of batch."""
+    ids = batch.column("ids")[k]
+    table = np.sort(np.asarray(ids.values)) & ((1 << _ID_BITS) - 1) if ids.is_valid else np.zeros(0, np.int64)
+    return table[np.asarray(batch.column("indices")[k].values)]
+
+
+def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """CSR shards of docs (doc_id, part, text), and the dictionary (word, id). A shard has doc_id, part, print and marks by row, indptr, and indices (global word ids) and data (counts) by cell. Words are maximal runs of anything but x20 and x09 to x0D."""
+    parts, words = _parts(docs)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cells = []
-            for own, ids in zip(b.column("indices"), b.column("ids")):
-                table = np.sort(np.asarray(ids.values)) & ((1 << _ID_BITS) - 1) if ids.is_valid else np.zeros(0, np.int64)
-                cells.append(table[np.asarray(own.values)])
             at = b.schema.get_field_index("indices")
-            yield b.set_column(at, "indices", pa.array(cells, pa.list_(pa.int64()))).drop_columns("ids")
+            yield b.set_column(at, "indices", pa.array([_global(b, k) for k in range(b.num_rows)], pa.list_(pa.int64()))).drop_columns("ids")
 
     schema = _LOCAL.replace("indices array<int>", "indices array<long>").replace(", words array<string>", "")
-    return local.drop("words").join(ids, "shard", "left").mapInArrow(encode, schema), words.filter("word is not null").select("word", "id")
+    return parts.mapInArrow(encode, schema), words.filter("word is not null").select("word", "id")
 
 
-def row_counts(matrix: DataFrame) -> DataFrame:
-    """doc_id, part, print, marks, n_words (row sums) and n_distinct (nonzero cells) of the matrix's rows."""
+def row_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, part, print, marks, n_words (row sums) and n_distinct (nonzero cells) of the matrix's rows. The cells stay in the worker that encodes them."""
     schema = "doc_id long, part string, print binary, marks int, n_words long, n_distinct long"
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                ends, data = np.asarray(b.column("indptr")[k].values), np.asarray(b.column("data")[k].values)
+                ends, data, cells = np.asarray(b.column("indptr")[k].values), np.asarray(b.column("data")[k].values), _global(b, k)
                 upto = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
-                filled = np.concatenate([[0], np.cumsum(data != 0, dtype=np.int64)])
+                filled = np.concatenate([[0], np.cumsum((data != 0) & (cells >= 0), dtype=np.int64)])
                 rows = [b.column(c)[k].values for c in ("doc_id", "part", "print", "marks")]
                 yield pa.RecordBatch.from_arrays([*rows, pa.array(np.diff(upto[ends])), pa.array(np.diff(filled[ends]))], names=[x.split()[0] for x in schema.split(", ")])
 
-    return matrix.mapInArrow(sums, schema)
+    return _parts(docs)[0].mapInArrow(sums, schema)
 
 
 def failures(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -185,7 +194,7 @@ def filter_audit(docs: DataFrame, labels: DataFrame, part: str = "source") -> Da
     Filters: A fewer than 200 words; B fewer than half of the words distinct; C over 2 % capitals A to Z; D any of #$%&*|; E text of a smaller doc_id. A null text is empty: it fails A, and E if a smaller id has an empty text too. Rows without doc_id, and repeated rows of the smallest one, pass E. A document is good or toxic if any of its label rows says so; null labels say nothing. Texts of any length are read whole; further columns don't matter; an empty table gives no rows.
     """
     rows = docs.select("doc_id", F.col(part).alias("part"), "text")
-    return interactions(failures(row_counts(document_term_matrix(rows)[0]), labels.select("doc_id", "quality", "toxic")))
+    return interactions(failures(row_counts(rows), labels.select("doc_id", "quality", "toxic")))
 
 
 #: The same in DuckDB SQL, without a matrix.
