@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions import access, text as T
-from quillstone.operators.search_index import SearchIndex
+from quillstone.operators.search_index import ADDED, LABELS, SearchIndex
+from quillstone.session import ship
 
 K1, B, NEGATIVE_IDF = 1.5, 0.75, 0.25
 RRF_K, CANDIDATES, TOP = 60, 30, 5
@@ -63,25 +69,45 @@ def semantic(index: SearchIndex, question: str) -> DataFrame:
     return index.chunks.select(*index.key, score.alias("score"))
 
 
+#: Numbers of what an index's version shows that any question may need, by its name.
+_KNOWN: dict[tuple[str, str], tuple] = {}
+
+
+def _known(index: SearchIndex, what: str, find: Callable[[], tuple]) -> tuple:
+    if (index.name, what) not in _KNOWN:
+        _KNOWN[index.name, what] = find()
+    return _KNOWN[index.name, what]
+
+
+def _idf(n: Column, df: Column) -> Column:
+    return F.ln(n - df + 0.5) - F.ln(df + 0.5)
+
+
+def _mean_idf(index: SearchIndex, n: int) -> float:
+    df = index.terms.groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
+    return df.agg(F.avg(_idf(F.lit(n), F.col("df")))).first()[0]
+
+
+def _gain(tf: Column, dl: Column, mean_dl: Column) -> Column:
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / mean_dl))
+
+
 def bm25(index: SearchIndex, question: str) -> DataFrame:
-    """key and score of all chunks that hold a word of the question. Statistics are over exactly the index's chunks; the mean idf, which replaces a negative one, needs the document frequencies of all words.
+    """key and score of all chunks that hold a word of the question. Statistics are over exactly the index's chunks.
 
-    Only the postings of the question's words are read.
+    The question's words are looked up first, and only their postings are read. The mean idf, which replaces a negative one, needs a pass over all words; it is made only if a word is in over half of the chunks, and remembered for what of the version is seen.
     """
-    spark = index.postings.sparkSession
-    asked = question_terms(spark, question)
-    stats = index.sizes.agg(F.sum("n").alias("n"), (F.sum("dl") / F.sum("n")).alias("avgdl"))
-    df = index.terms.groupBy("term").agg(F.sum("df").alias("df"))
-    idf = df.crossJoin(F.broadcast(stats)).select("term", "avgdl", (F.ln(F.col("n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)).alias("idf"))
-    words = F.array(*map(F.lit, asked)).cast("array<string>")
-    counts = F.array(*map(F.lit, asked.values())).cast("array<int>")
-    # one pass over all words: their mean, and the values of the question's, which are few
-    one = idf.agg(F.avg("idf").alias("mean"), F.first("avgdl").alias("avgdl"), F.collect_list(F.when(F.col("term").isin(list(asked)), F.struct("term", "idf"))).alias("t")).select("mean", "avgdl", F.inline("t"))
-    weight = F.element_at(F.map_from_arrays(words, counts), F.col("term"))
-    terms = one.select("term", "avgdl", (weight * F.when(F.col("idf") < 0, NEGATIVE_IDF * F.col("mean")).otherwise(F.col("idf"))).alias("w"))
-    hits = index.postings.filter(F.col("term").isin(list(asked)))
-    norm = K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
-    return hits.join(F.broadcast(terms), "term").groupBy(*index.key).agg(F.sum(F.col("w") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score"))
+    asked = question_terms(index.postings.sparkSession, question)
+    n, dl = _known(index, "sizes", lambda: tuple(index.sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("dl"), F.lit(0))).first()))
+    found = {r["term"]: r["df"] for r in index.terms.filter(F.col("term").isin(list(asked))).groupBy("term").agg(F.sum("df").alias("df")).collect()} if n else {}
+    idf = {t: math.log(n - df + 0.5) - math.log(df + 0.5) for t, df in found.items() if df > 0}
+    if any(v < 0 for v in idf.values()):
+        mean = _known(index, "mean idf", lambda: (_mean_idf(index, n),))[0]
+        idf = {t: v if v >= 0 else NEGATIVE_IDF * mean for t, v in idf.items()}
+    weights = F.map_from_arrays(F.array(*map(F.lit, idf)).cast("array<string>"), F.array(*[F.lit(asked[t] * v) for t, v in idf.items()]).cast("array<double>"))
+    hits = index.postings.filter(F.col("term").isin(list(idf)))
+    mean_dl = F.lit(dl / n if dl else 1.0)
+    return hits.groupBy(*index.key).agg(F.sum(F.element_at(weights, F.col("term")) * _gain(F.col("tf"), F.col("dl"), mean_dl)).alias("score"))
 
 
 def term_hits(index: SearchIndex, question: str) -> DataFrame:
@@ -105,34 +131,155 @@ def rrf(lists: list[DataFrame], key: list[str], k: int = RRF_K) -> DataFrame:
 
 
 def hybrid_search(index: SearchIndex, question: str, clearance: str, departments: list[str] | str = access.ALL, top_k: int = TOP, candidate_k: int = CANDIDATES, rrf_k: int = RRF_K, by_department: bool = False) -> DataFrame:
-    """The fused top_k of what may be seen: key columns, content, labels, score, rrf_score, in_semantic_results, in_lexical_results and mode: hybrid, or semantic_only for a question without words to look up.
+    """The fused top_k of what may be seen: key columns, the chunk's columns, score, rrf_score, in_semantic_results, in_lexical_results and mode: hybrid, or semantic_only for a question without words to look up.
 
-    Filters come before both rankings. Ties: higher rrf_score, then semantic place, then lexical place. by_department ranks every department on its own and fuses all lists.
+    Filters come before both rankings. Ties: higher rrf_score, then semantic place, then lexical place. by_department ranks every department on its own, all in one pass, and fuses the lists.
     """
     keys = list(index.key)
+    if by_department:
+        one = index.chunks.sparkSession.createDataFrame([(0, question)], "question_no int, question string")
+        return search_many(index, one, clearance, departments, top_k, candidate_k, rrf_k, by_department=True).drop("question_no", "place")
     seen = index.visible(clearance, departments)
     lexical_mode = bool(question_terms(index.chunks.sparkSession, question))
-    groups = [seen.where(F.coalesce("department", F.lit("General")) == d) for d in sorted(access.DEPARTMENTS)] if by_department else [seen]
-    lists = []
-    for g, part in enumerate(groups):
-        lists.append(ranked(semantic(part, question), keys, candidate_k, "rank").withColumn("list_id", F.lit(2 * g)))
-        if lexical_mode:
-            lists.append(ranked(bm25(part, question).filter("score > 0"), keys, candidate_k, "rank").withColumn("list_id", F.lit(2 * g + 1)))
+    lists = [ranked(semantic(seen, question), keys, candidate_k, "rank").withColumn("list_id", F.lit(0))]
+    if lexical_mode:
+        lists.append(ranked(bm25(seen, question).filter("score > 0"), keys, candidate_k, "rank").withColumn("list_id", F.lit(1)))
     fused = rrf(lists, keys, rrf_k)
     top = fused.orderBy(F.desc("rrf_score"), F.asc_nulls_last("semantic_rank"), F.asc_nulls_last("lexical_rank"), *keys).limit(top_k)
-    out = F.broadcast(top).join(seen.chunks.drop("vector", "norm", "dl"), keys)  # top_k rows
-    mode = F.lit("hybrid" if lexical_mode else "semantic_only")
-    rest = [c for c in seen.chunks.columns if c not in {*keys, "vector", "norm", "dl"}]
-    return out.select(*keys, *rest, F.coalesce("semantic_score", F.lit(0.0)).alias("score"), "rrf_score", F.col("semantic_rank").isNotNull().alias("in_semantic_results"), F.col("lexical_rank").isNotNull().alias("in_lexical_results"), mode.alias("mode"))
-
-
-def regression(index: SearchIndex, labelled: list[tuple[str, str]], source: str, clearance: str = "Restricted", top_k: int = 3) -> DataFrame:
-    """question_no, hit: whether the expected name stands in the source of one of the question's first top_k chunks. For a short list of labelled questions."""
-    out = None
-    for i, (question, expected) in enumerate(labelled):
-        found = hybrid_search(index, question, clearance, top_k=top_k).agg(F.coalesce(F.bool_or(F.col(source).contains(expected)), F.lit(False)).alias("hit")).select(F.lit(i).alias("question_no"), "hit")
-        out = found if out is None else out.unionByName(found)
-    return out
+    return _shown(index, seen, top.withColumn("mode", F.lit("hybrid" if lexical_mode else "semantic_only")), [])
+
+
+def _shown(index: SearchIndex, seen: SearchIndex, top: DataFrame, more: list[str]) -> DataFrame:
+    """The chunks of a few fused rows."""
+    hidden = {*index.key, *ADDED, *LABELS, "segment"}
+    rest = [c for c in seen.chunks.columns if c not in hidden]
+    out = seen.chunks.select(*index.key, *rest).join(F.broadcast(top), list(index.key))
+    return out.select(*more, *index.key, *rest, F.coalesce("semantic_score", F.lit(0.0)).alias("score"), "rrf_score", F.col("semantic_rank").isNotNull().alias("in_semantic_results"), F.col("lexical_rank").isNotNull().alias("in_lexical_results"), "mode")
+
+
+#: Questions whose vectors go to the tasks together: 12 MB.
+QUESTIONS_AT_ONCE = 2_000
+
+
+def best_by(scores: DataFrame, by: list[str], order: list[str], k: int) -> DataFrame:
+    """The k best rows of each group with their place from 1 as `rank`. Spark keeps k rows of a group in each task before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), *order))
+    return scores.withColumn("rank", place).filter(F.col("rank") <= k)
+
+
+def lexical_many(index: SearchIndex, questions: DataFrame, scope: Column, k: int) -> DataFrame:
+    """question_no, scope, key, score, rank: the k best by BM25 for each of questions (question_no, question) and value of scope (a column of labels, or a constant), whose statistics are the scope's own.
+
+    The questions' words, of which there are few, meet the postings in one join without shuffling these.
+    """
+    keys = list(index.key)
+    asked = questions.select("question_no", F.explode(T.tokens(F.col("question"))).alias("term")).groupBy("question_no", "term").agg(F.count("*").alias("weight"))
+    sizes = index.sizes.groupBy(scope.alias("scope")).agg(F.sum("n").alias("n"), (F.sum("dl") / F.sum("n")).alias("mean_dl"))
+    # scopes are few, so their statistics are
+    df = index.terms.groupBy(scope.alias("scope"), "term").agg(F.sum("df").alias("df")).filter("df > 0")
+    idf = df.join(F.broadcast(sizes), "scope").withColumn("idf", _idf(F.col("n"), F.col("df")))
+    means = idf.groupBy("scope").agg(F.avg("idf").alias("mean"))
+    words = F.broadcast(asked.select("term").distinct())
+    weights = idf.join(words, "term").join(F.broadcast(means), "scope")
+    value = F.when(F.col("idf") < 0, NEGATIVE_IDF * F.col("mean")).otherwise(F.col("idf"))
+    weights = weights.join(asked, "term").select("question_no", "scope", "term", "mean_dl", (F.col("weight") * value).alias("w"))
+    hits = index.postings.select(scope.alias("scope"), "term", *keys, "tf", "dl").join(F.broadcast(weights), ["term", "scope"])
+    scores = hits.groupBy("question_no", "scope", *keys).agg(F.sum(F.col("w") * _gain(F.col("tf"), F.col("dl"), F.col("mean_dl"))).alias("score")).filter("score > 0")
+    return best_by(scores, ["question_no", "scope"], keys, k)
+
+
+def _nearest(keys: list[str], numbers: list[int], vectors: np.ndarray, k: int) -> Callable:
+    """For batches of chunks (scope, keys, norm, vector): each question's k best of each scope in the batch, from one matrix product; the few that may be among them are measured again, term by term, so that equal vectors get equal scores."""
+    width, sizes = vectors.shape[1], [float(np.cumsum(v * v)[-1]) ** 0.5 for v in vectors]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lists = b.column("vector")
+            ends = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in lists])])
+            flat = np.asarray(lists.flatten())
+            matrix = np.zeros((b.num_rows, width))
+            for i in range(b.num_rows):
+                part = flat[ends[i] : ends[i + 1]][:width]
+                matrix[i, : len(part)] = part
+            norms = np.asarray(b.column("norm"))
+            rough = matrix @ vectors.T
+            length = norms[:, None] * np.array(sizes)[None, :]
+            rough = np.divide(rough, length, out=np.zeros_like(rough), where=length > 0)
+            scopes = b.column("scope").to_pylist()
+            key_rows = list(zip(*(b.column(c).to_pylist() for c in keys)))
+            out: list[tuple] = []
+            for s in set(scopes):
+                rows = np.array([i for i, x in enumerate(scopes) if x == s])
+                for q, number in enumerate(numbers):
+                    score = rough[rows, q]
+                    least = np.partition(score, len(score) - k)[len(score) - k] - 1e-9 if len(score) > k else -np.inf
+                    near = rows[score >= least]
+                    exact = np.cumsum(matrix[near] * vectors[q], axis=1)[:, -1] if len(near) else np.zeros(0)
+                    exact = [float(d) / (norms[i] * sizes[q]) if norms[i] > 0 and sizes[q] > 0 else 0.0 for d, i in zip(exact, near)]
+                    first = sorted(zip(exact, near), key=lambda x: (-x[0], [(v is not None, v) for v in key_rows[x[1]]]))[:k]
+                    out += [(number, s, key_rows[i], d) for d, i in first]
+            columns = [pa.array([r[2][j] for r in out], b.schema.field(c).type) for j, c in enumerate(keys)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()), *columns, pa.array([r[3] for r in out], pa.float64())], names=["question_no", "scope", *keys, "score"])
+
+    return run
+
+
+def semantic_many(index: SearchIndex, questions: DataFrame, scope: Column, k: int) -> DataFrame:
+    """question_no, scope, key, score, rank: the k best by cosine for each of questions (question_no, question) and value of scope.
+
+    The chunks are read once for QUESTIONS_AT_ONCE questions, whose vectors go with the tasks; no vector is shuffled, only each batch's best.
+    """
+    keys = list(index.key)
+    chunks = index.chunks.select(scope.alias("scope"), *keys, "norm", "vector")
+    kinds = ", ".join(f"`{c}` {index.chunks.schema[c].dataType.simpleString()}" for c in keys)
+    vectors = questions.select("question_no", T.hash_vectors("question").alias("v"))
+    parts, block, numbers = None, [], []
+
+    def flush() -> DataFrame:
+        width = max(1, max(map(len, block)))
+        scores = chunks.mapInArrow(_nearest(keys, numbers, np.array([np.pad(v, (0, width - len(v))) for v in block]), k), f"question_no long, scope string, {kinds}, score double")
+        return scores if parts is None else parts.unionByName(scores)
+
+    for r in vectors.toLocalIterator():  # a block of questions at a time
+        block.append(np.array(r["v"] or [], float))
+        numbers.append(r["question_no"])
+        if len(block) == QUESTIONS_AT_ONCE:
+            parts = flush()
+            block, numbers = [], []
+    if block or parts is None:
+        block, numbers = block or [np.zeros(1)], numbers or [-1]
+        parts = flush()
+    return best_by(parts, ["question_no", "scope"], keys, k)
+
+
+def search_many(index: SearchIndex, questions: DataFrame, clearance: str, departments: list[str] | str = access.ALL, top_k: int = TOP, candidate_k: int = CANDIDATES, rrf_k: int = RRF_K, by_department: bool = False) -> DataFrame:
+    """hybrid_search for every row of questions (question_no, question; numbers are unique), with question_no and `place` in its result: one plan for all. A null question is empty; without questions no rows.
+
+    by_department ranks each known department on its own and fuses all lists.
+    """
+    ship(index.chunks.sparkSession)
+    keys = list(index.key)
+    seen = index.visible(clearance, departments)
+    scope = F.lit("")
+    if by_department:
+        seen, scope = seen.where(F.col("in_department").isin(access.DEPARTMENTS), "known departments"), F.col("in_department")
+    asked = questions.select(F.col("question_no").cast("long").alias("question_no"), F.coalesce("question", F.lit("")).alias("question"))
+    lists = semantic_many(seen, asked, scope, candidate_k).withColumn("list_id", F.lit(0)).unionByName(lexical_many(seen, asked, scope, candidate_k).withColumn("list_id", F.lit(1)))
+    fused = rrf([lists], ["question_no", *keys], rrf_k)
+    order = Window.partitionBy("question_no").orderBy(F.desc("rrf_score"), F.asc_nulls_last("semantic_rank"), F.asc_nulls_last("lexical_rank"), *keys)
+    top = fused.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top_k)
+    mode = F.when(F.size(T.tokens(F.col("question"))) > 0, "hybrid").otherwise("semantic_only")
+    told = asked.select(F.col("question_no").alias("_q"), mode.alias("mode"))
+    return _shown(index, seen, top.join(told, F.col("question_no") == F.col("_q")), ["question_no", "place"])
+
+
+def regression(index: SearchIndex, labelled: DataFrame, source: str, clearance: str = "Restricted", top_k: int = 3) -> DataFrame:
+    """question_no, hit of labelled (question_no, question, expected): whether the expected name stands in the source of one of the question's first top_k chunks. All questions are answered in one plan."""
+    found = search_many(index, labelled, clearance, top_k=top_k).select(F.col("question_no").alias("_q"), F.col(source).alias("_s"))
+    hit = F.coalesce(F.bool_or(F.col("_s").contains(F.col("expected"))), F.lit(False))
+    return labelled.join(found, F.col("question_no") == F.col("_q"), "left").groupBy("question_no").agg(hit.alias("hit"))
 
 
 def regression_score(hits: DataFrame) -> DataFrame:

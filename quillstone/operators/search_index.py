@@ -1,76 +1,282 @@
-"""The persisted search index: chunks with their vectors, postings, document frequencies and sizes by label, so that a question reads only what it asks for."""
+"""The persisted search index. It grows by immutable segments of chunks and postings; what a later run replaces or drops is noted as deleted, and the statistics are sums over segments less what is deleted. Chunks and postings lie in partitions by department and sensitivity, so that a question opens no file it may not see."""
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillstone.functions import access, text as T
 from quillstone.session import ship
 
-LABELS = ["department", "sensitivity"]
-#: Postings of a range partition, about.
-POSTINGS = 4_000_000
+#: Partition columns: the department whose members see a chunk (General: everyone), and the rank of its sensitivity.
+LABELS = ["in_department", "at_level"]
+#: Postings of a range partition, at most and at least about.
+POSTINGS, FEW_POSTINGS = 4_000_000, 250_000
+#: Deleted keys up to which they are broadcast.
+BROADCAST_KEYS = 100_000
+#: Columns that the index adds to a chunk: words, norm and values of its vector, its terms and how often each occurs, and a hash of the columns given.
+ADDED = ["dl", "norm", "vector", "terms", "tfs", "print"]
+_MANIFEST = "segments array<string>, runs array<string>, key array<string>, dim int, deleted long, schemas map<string,string>"
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """chunks (key, chunk columns, dl, norm, vector), postings (term, key, labels, tf, dl), terms (term, labels, df) and sizes (labels, n, dl). Statistics of what may be seen are sums over labels."""
+    """chunks (key, chunk columns, ADDED, labels, segment), postings (term, key, tf, dl, labels, segment), terms (term, df, labels) and sizes (n, dl, labels). `name` tells the version and what of it is seen."""
 
     chunks: DataFrame
     postings: DataFrame
     terms: DataFrame
     sizes: DataFrame
     key: tuple[str, ...] = ("doc_id", "window_no")
+    name: str = ""
 
-    def where(self, condition: Column) -> SearchIndex:
+    def where(self, condition: Column, name: str) -> SearchIndex:
         """The index of the chunks whose labels pass."""
-        return SearchIndex(self.chunks.filter(condition), self.postings.filter(condition), self.terms.filter(condition), self.sizes.filter(condition), self.key)
+        return SearchIndex(self.chunks.filter(condition), self.postings.filter(condition), self.terms.filter(condition), self.sizes.filter(condition), self.key, f"{self.name}|{name}")
 
-    def visible(self, clearance: str, departments: list[str] | str = access.ALL) -> SearchIndex:
-        return self.where(access.is_allowed(F.col("sensitivity"), clearance) & access.department_visible(F.col("department"), departments))
+    def visible(self, clearance: str | None, departments: list[str] | str | None = access.ALL) -> SearchIndex:
+        """What the clearance and the departments may see, as filters on the partition columns."""
+        seen = F.col("at_level") <= access.clearance_rank(clearance)
+        if not (departments == access.ALL or departments and access.ALL in departments):
+            mine = [departments] if isinstance(departments, str) else list(departments or [])
+            seen &= F.col("in_department").isin(sorted({"General", *mine}))
+        return self.where(seen, f"{access.clearance_rank(clearance)},{departments}")
+
+
+_ddl = StructType.fromDDL
+_WORD = re.compile(r"\w+")
+
+
+def _print(columns: list[str]) -> Column:
+    """What tells whether a chunk has changed."""
+    return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """rows (chunk columns and labels) with ADDED. Words are counted inside the row, so no occurrence is shuffled."""
+    ship(rows.sparkSession)
+    columns = [c for c in rows.columns if c not in LABELS]
+    told = rows.withColumn("print", _print(columns)).withColumn("_low", F.lower("content"))
+    schema = StructType([*(f for f in told.schema if f.name != "_low"), *_ddl("dl int, norm double, vector array<double>, terms array<string>, tfs array<int>")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bags = [Counter(_WORD.findall(t or "")) for t in b.column("_low").to_pylist()]
+            vectors = list(T.hash_vectors.func(pd.Series(b.column("content").to_pylist(), dtype=object)))
+            kept = b.drop_columns("_low")
+            made = [
+                pa.array([sum(c.values()) for c in bags], pa.int32()), pa.array([sum(x * x for x in v.tolist()) ** 0.5 for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())),
+                pa.array([list(c) for c in bags], pa.list_(pa.string())), pa.array([list(c.values()) for c in bags], pa.list_(pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *made], names=[f.name for f in schema])
+
+    return told.mapInArrow(run, schema)
+
+
+def _labelled(chunks: DataFrame, key: list[str]) -> DataFrame:
+    """chunks with their labels, dealt by these: a partition of the index is written by a quarter of the tasks, so it has few files and a large one is no hot task."""
+    n = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    department = F.coalesce(F.nullif(F.col("department"), F.lit("")), F.lit("General"))
+    rows = chunks.withColumn("in_department", department).withColumn("at_level", access.rank(F.col("sensitivity")))
+    return rows.repartition(n, *LABELS, F.pmod(F.xxhash64(*key), F.lit(max(1, n // 4))))
+
+
+def _append(df: DataFrame, path: str, name: str, *by: str) -> None:
+    df.write.mode("append").partitionBy(*by).parquet(f"{path}/{name}")
+
+
+def _read(spark: SparkSession, path: str, name: str, schemas: dict[str, str], live: Column) -> DataFrame:
+    """Table `name` with its schema; empty if it has no files yet."""
+    schema = StructType.fromJson(json.loads(schemas[name]))
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/{name}").filter(live)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def _schemas(chunks: DataFrame, key: list[str]) -> dict[str, str]:
+    """Of every table, from the chunks that are written."""
+    keys, labels, run, runs = [chunks.schema[k] for k in key], _ddl("in_department string, at_level int"), _ddl("segment string"), _ddl("segment string, run string")
+    plain = [f for f in chunks.schema if f.name not in {*LABELS, "segment"}]
+    tables = {
+        "chunks": StructType([*plain, *run, *labels]),
+        "postings": StructType([*_ddl("term string"), *keys, *_ddl("tf int, dl int"), *run, *labels]),
+        "terms": StructType([*_ddl("term string, df long"), *runs, *labels]),
+        "sizes": StructType([*_ddl("n long, dl long"), *labels, *runs]),
+        "deleted": StructType([*keys, *runs]),
+    }
+    return {n: s.json() for n, s in tables.items()}
+
+
+def _bags(chunks: DataFrame, *more: str) -> DataFrame:
+    """A row for each chunk and word."""
+    return chunks.select(*more, *LABELS, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"))))
+
+
+def _ranges(spark: SparkSession, rows: int) -> int:
+    return max(-(-rows // POSTINGS), min(-(-rows // FEW_POSTINGS), int(spark.conf.get("spark.sql.shuffle.partitions"))), 1)
+
+
+def _write_segment(rows: DataFrame, path: str, key: list[str], segment: str) -> dict[str, str] | None:
+    """Write measured rows as a segment of its own; the schemas, or None if there are no rows.
+
+    Postings are cut into ranges of labels, terms and keys, so a question's terms are found by the files' bounds and no term is a hot task.
+    """
+    spark = rows.sparkSession
+    _append(rows.withColumn("segment", F.lit(segment)), path, "chunks", "segment", *LABELS)
+    schemas = _schemas(rows, key)
+    held = _read(spark, path, "chunks", schemas, F.col("segment") == segment)
+    total, n = held.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0)), F.count("*")).first()
+    if not n:
+        return None
+    ranges = _ranges(spark, total)
+    postings = _bags(held, *key, "dl").repartitionByRange(ranges, *LABELS, "term", *key).sortWithinPartitions(*LABELS, "term")
+    _append(postings.select("term", *key, "tf", "dl", F.lit(segment).alias("segment"), *LABELS), path, "postings", "segment", *LABELS)
+    _count(held, path, segment, segment, ranges)
+    return schemas
+
+
+def _count(chunks: DataFrame, path: str, segment: str | None, run: str, ranges: int, sign: int = 1) -> None:
+    """Add (or take away) what the chunks count for in the statistics of their segment."""
+    of = F.lit(segment) if segment else F.col("segment")
+    rows = chunks.withColumn("segment", of).withColumn("run", F.lit(run))
+    words = rows.select("segment", "run", *LABELS, F.explode("terms").alias("term")).groupBy("segment", "run", *LABELS, "term").agg((sign * F.count("*")).alias("df"))
+    _append(words.repartitionByRange(ranges, *LABELS, "term").sortWithinPartitions(*LABELS, "term"), path, "terms", "segment", "run", *LABELS)
+    _append(rows.groupBy("segment", "run", *LABELS).agg((sign * F.count("*")).alias("n"), (sign * F.sum("dl")).alias("dl")), path, "sizes", "segment", "run")
+
+
+def _manifest(spark: SparkSession, path: str):
+    """The last version's row, or None."""
+    try:
+        return spark.read.parquet(f"{path}/manifest").orderBy(F.desc("version")).first()
+    except AnalysisException:
+        return None
+
+
+def _commit(spark: SparkSession, path: str, version: int, **values) -> None:
+    """A version counts once its file is there; two writers of one version collide, and the second fails."""
+    row = tuple(values[x.split()[0]] for x in _MANIFEST.split(", "))
+    spark.createDataFrame([row], _MANIFEST).coalesce(1).write.mode("errorifexists").parquet(f"{path}/manifest/version={version}")
+
+
+def _fresh_name() -> str:
+    return f"s{uuid.uuid4().hex}"
 
 
 def build(chunks: DataFrame, path: str, key: tuple[str, ...] = ("doc_id", "window_no")) -> None:
-    """Write the index of chunks (key, content, labels and any further columns) below path; the manifest comes last, so an index that was broken off is none. A path that holds an index is replaced.
+    """Write the index of chunks (key, content, department, sensitivity and any further columns) below path as one segment; keys are unique. The manifest comes last, so an index that was broken off is none. If path holds an index, the new one takes its place."""
+    spark, segment = chunks.sparkSession, _fresh_name()
+    old = _manifest(spark, path)
+    measured = _measured(_labelled(chunks, list(key)))
+    schemas = _write_segment(measured, path, list(key), segment)
+    _commit(spark, path, old["version"] + 1 if old else 1, segments=[segment] if schemas else [], runs=[segment], key=list(key), dim=T.DIM, deleted=0, schemas=schemas or _schemas(measured, list(key)))
+
+
+def _same(a: str, b: str, columns: list[str]) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out &= F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return out
+
 
-    Postings are cut into ranges of terms, and a common term's by document, so a question's terms are found by the files' bounds and no term is a hot task.
+def newest(rows: DataFrame, key: list[str], by: list[str]) -> DataFrame:
+    """Of rows with one key the last in order of `by`, ties by all columns. Nulls are a key like any other; partial maxima come before the shuffle."""
+    rest = [c for c in rows.columns if c not in key]
+    order = F.struct(*by, *[c for c in sorted(rest) if c not in by])
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*key, "_r.*").select(*rows.columns)
+
+
+def update(chunks: DataFrame, path: str, document: str = "doc_id", gone: DataFrame | None = None, by: list[str] | None = None) -> dict[str, int]:
+    """Bring the index up to date with a run: `chunks` are all chunks of the documents that the run saw, `gone` (column `document`) documents that no longer exist. Gives the numbers of chunks written, deleted and unchanged.
+
+    A chunk takes the place of the one with its key; chunks of the run's documents that the run lacks are stale and go; other documents stay untouched, and chunks with equal columns too. Of incoming rows with one key the last by `by` counts. What is written is in proportion to the change.
     """
     spark = chunks.sparkSession
-    ship(spark)
-    keys = list(key)
-    vector = T.hash_vectors(F.col("content"))
-    rows = chunks.withColumn("vector", vector).withColumn("dl", F.size(T.tokens(F.col("content"))))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
-    rows.withColumn("norm", norm).write.mode("overwrite").parquet(f"{path}/chunks")
-    held = spark.read.parquet(f"{path}/chunks")
-    each = held.select(*keys, *LABELS, "dl", F.explode(T.tokens(F.col("content"))).alias("term"))
-    postings = each.groupBy("term", *keys, *LABELS, "dl").agg(F.count("*").alias("tf"))
-    total = held.agg(F.coalesce(F.sum("dl"), F.lit(0))).first()[0]
-    ranged = postings.repartitionByRange(max(1, -(-total // POSTINGS)), "term", *keys).sortWithinPartitions("term")
-    ranged.write.mode("overwrite").parquet(f"{path}/postings")
-    spark.read.parquet(f"{path}/postings").groupBy("term", *LABELS).agg(F.count("*").alias("df")).write.mode("overwrite").parquet(f"{path}/terms")
-    held.groupBy(*LABELS).agg(F.count("*").alias("n"), F.sum("dl").alias("dl")).write.mode("overwrite").parquet(f"{path}/sizes")
-    spark.createDataFrame([(T.DIM, keys)], "dim int, key array<string>").write.mode("overwrite").parquet(f"{path}/manifest")
+    m = _manifest(spark, path)
+    if m is None:
+        raise FileNotFoundError(f"no index manifest at {path}")
+    key, run = list(m["key"]), _fresh_name()
+    rows = newest(chunks, key, by or [])
+    told = rows.select(*dict.fromkeys([*key, document]), _print(rows.columns).alias("new"))
+    held = load(spark, path).chunks
+    seen = told.select(document).distinct() if gone is None else told.select(document).union(gone.select(document)).distinct()
+    narrow = held.select(*dict.fromkeys([*key, document, "segment", "print"]))
+    at = narrow.alias("h").join(seen.withColumn("_seen", F.lit(True)).alias("d"), _same("h", "d", [document]), "left").join(told.alias("n"), _same("h", "n", key), "left")
+    states = at.select(*[F.col(f"h.{k}").alias(k) for k in key], "h.segment", F.when(F.col("n.new") == F.col("h.print"), "same").when(F.col("n.new").isNotNull() | F.col("_seen"), "dead").alias("state")).filter("state is not null")
+    scratch = f"{path}/scratch/{run}"
+    states.write.parquet(scratch)
+    states = spark.read.parquet(scratch)
+    same, dead = states.filter("state = 'same'"), states.filter("state = 'dead'").drop("state")
+    n_same, n_dead = same.count(), dead.count()
+    fresh = rows.alias("n").join(same.alias("s"), _same("n", "s", key), "left_anti").select("n.*")
+    schemas = _write_segment(_measured(_labelled(fresh, key)), path, key, run)
+    n_new = load_segment(spark, path, m["schemas"], run).count() if schemas else 0
+    if n_dead:
+        _append(dead.withColumn("run", F.lit(run)), path, "deleted", "segment", "run")
+        lost = held.alias("c").join(F.broadcast(dead).alias("d") if n_dead <= BROADCAST_KEYS else dead.alias("d"), _same("c", "d", [*key, "segment"]), "left_semi")
+        _count(lost, path, None, run, _ranges(spark, n_dead), -1)
+    if n_new or n_dead:
+        _commit(spark, path, m["version"] + 1, segments=[*m["segments"], *([run] if n_new else [])], runs=[*m["runs"], run], key=key, dim=m["dim"], deleted=m["deleted"] + n_dead, schemas=m["schemas"])
+    return {"written": n_new, "deleted": n_dead, "unchanged": n_same}
+
+
+def load_segment(spark: SparkSession, path: str, schemas: dict[str, str], segment: str) -> DataFrame:
+    return _read(spark, path, "chunks", schemas, F.col("segment") == segment)
+
+
+def merge(spark: SparkSession, path: str, below: int) -> int:
+    """Rewrite the segments that have fewer than `below` chunks left as one, without what is deleted in them; how many were merged. Vectors and word counts are taken over. Larger segments stay as they are."""
+    m = _manifest(spark, path)
+    whole = _tables(spark, path, m)
+    left = {r["segment"]: r["n"] for r in whole["sizes"].groupBy("segment").agg(F.sum("n").alias("n")).collect()}  # a number a segment
+    few = [s for s in m["segments"] if left.get(s, 0) < below]
+    if len(few) < 2:
+        return 0
+    run = _fresh_name()
+    rows = whole["chunks"].filter(F.col("segment").isin(few)).drop("segment")
+    made = _write_segment(rows, path, list(m["key"]), run)
+    segments = [*(s for s in m["segments"] if s not in few), *([run] if made else [])]
+    still = _read(spark, path, "deleted", m["schemas"], F.col("segment").isin(segments) & F.col("run").isin(list(m["runs"]))).count()
+    _commit(spark, path, m["version"] + 1, segments=segments, runs=[*m["runs"], run], key=m["key"], dim=m["dim"], deleted=still, schemas=m["schemas"])
+    return len(few)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether path holds a whole index."""
-    try:
-        return not spark.read.parquet(f"{path}/manifest").isEmpty()
-    except AnalysisException:
-        return False
+    return _manifest(spark, path) is not None
+
+
+def _tables(spark: SparkSession, path: str, m) -> dict[str, DataFrame]:
+    live, runs = F.col("segment").isin(list(m["segments"])), F.col("run").isin(list(m["runs"]))
+    of = {n: live & runs if n in ("terms", "sizes", "deleted") else live for n in m["schemas"]}
+    out = {n: _read(spark, path, n, m["schemas"], c) for n, c in of.items()}
+    if m["deleted"]:
+        # a key is deleted in the segment that had it; a later one may hold it again
+        dead = out["deleted"].drop("run")
+        dead = F.broadcast(dead) if m["deleted"] <= BROADCAST_KEYS else dead
+        for n in ("chunks", "postings"):
+            out[n] = out[n].alias("a").join(dead.alias("d"), _same("a", "d", [*m["key"], "segment"]), "left_anti")
+    return out
 
 
 def load(spark: SparkSession, path: str) -> SearchIndex:
-    """The index below path; FileNotFoundError without its manifest."""
-    if not exists(spark, path):
+    """The index below path as its last version has it; FileNotFoundError without a manifest."""
+    m = _manifest(spark, path)
+    if m is None:
         raise FileNotFoundError(f"no index manifest at {path}")
-    key = tuple(spark.read.parquet(f"{path}/manifest").first()["key"])
-    return SearchIndex(*(spark.read.parquet(f"{path}/{name}") for name in ("chunks", "postings", "terms", "sizes")), key)
+    t = _tables(spark, path, m)
+    return SearchIndex(t["chunks"], t["postings"], t["terms"], t["sizes"], tuple(m["key"]), f"{path}@{m['version']}")
 
 
 def found_score(spark: SparkSession, path: str) -> float | None:

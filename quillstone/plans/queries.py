@@ -172,6 +172,61 @@ QUERIES["hybrid_by_department"] = _hybrid("Restricted", by_department=True)
 ORACLES["hybrid_by_department"] = _by_department_oracle()
 
 
+_GROWN = "(doc_id % 9 <> 0 or doc_id % 2 = 0)"
+
+
+@query(sql(f"select * from (with {ranking_ctes(_GROWN)} select doc_id, window_no::int window_no, round(score, 4) score from lex where score > 0 order by lex.score desc, doc_id, window_no limit 30)", "tokens"))
+def index_update_bm25(spark, sf_dir):
+    """BM25 over an index that grew by inserts, changes, deletions and a merge: as over one built anew."""
+    scores = retrieval.bm25(V.grown_index(spark, sf_dir), QUESTION).filter("score > 0")
+    return scores.orderBy(F.desc("score"), "doc_id", "window_no").limit(30).select("doc_id", "window_no", F.round("score", 4).alias("score"))
+
+
+def _grown_hybrid(spark, sf_dir):
+    out = retrieval.hybrid_search(V.grown_index(spark, sf_dir), QUESTION, "Confidential", ["Legal", "HR"])
+    return out.select("doc_id", "window_no", ROUND("score").alias("score"), F.round("rrf_score", 8).alias("rrf_score"), "in_semantic_results", "in_lexical_results")
+
+
+QUERIES["index_update_hybrid"] = _grown_hybrid
+ORACLES["index_update_hybrid"] = _hybrid_oracle(2, f"(department is null or department in ('', 'General', 'Legal', 'HR')) and {_GROWN}")
+
+
+@query("select department, sensitivity, count(*) n, sum(len(content)) chars from (" + sql(f"select department, sensitivity, content from chunks where {_GROWN}", "chunks") + ") group by all")
+def index_update_chunks(spark, sf_dir):
+    """What the grown index holds."""
+    return V.grown_index(spark, sf_dir).chunks.groupBy("department", "sensitivity").agg(F.count("*").alias("n"), F.sum(F.length("content")).alias("chars"))
+
+
+def _many_oracle() -> str:
+    """Hybrid search of all benchmark texts over the Internal chunks, fused by question."""
+    value = "('0x' || substr(sha256(t), 1, 8))::ubigint::double / 4294967295"
+    vec = lambda c: f"list_transform(list_filter(string_split_regex(translate({c}, chr(10) || '/', '  '), '{WS}'), lambda x: x <> ''), lambda t: round({value}, 6))"
+    word = lambda c: f"regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}_]+')"
+    body = f"""seen as (select * from tokens where {RANK.format('sensitivity')} <= 1),
+q as (select item_id, text, {vec('text')} qv from benchmark),
+sem as (select item_id, doc_id, window_no, case when len(v) = 0 or len(qv) = 0 then 0.0 else list_inner_product(v[1:least(len(v), len(qv))], qv[1:least(len(v), len(qv))]) / (sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(qv, qv))) end score from (select doc_id, window_no, {vec('content')} v from seen), q),
+rs as (select item_id, doc_id, window_no, row_number() over (partition by item_id order by score desc, doc_id, window_no) r from sem qualify r <= 30),
+st as (select count(*) n, avg(len(ts)) avgdl from seen),
+df as (select term, count(*) df from (select unnest(list_distinct(ts)) term from seen) group by term),
+idf as (select term, ln(n - df + 0.5) - ln(df + 0.5) idf from df, st),
+asked as (select item_id, term, count(*) weight from (select item_id, unnest({word('text')}) term from q) group by all),
+w as (select item_id, term, weight * case when idf < 0 then 0.25 * (select avg(idf) from idf) else idf end w from idf join asked using (term)),
+tf as (select doc_id, window_no, len(ts) dl, term, count(*) tf from (select doc_id, window_no, ts, unnest(ts) term from seen) group by all),
+lex as (select item_id, doc_id, window_no, sum(w * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))) score from tf join w using (term), st group by all),
+rl as (select item_id, doc_id, window_no, row_number() over (partition by item_id order by score desc, doc_id, window_no) r from lex where score > 0 qualify r <= 30),
+f as (select item_id, doc_id, window_no, min(sr) sr, min(lr) lr, sum(1.0::double / (60 + coalesce(sr, lr))) rrf from (select item_id, doc_id, window_no, r sr, null lr from rs union all select item_id, doc_id, window_no, null, r from rl) group by all)
+select item_id, row_number() over (partition by item_id order by rrf desc, sr nulls last, lr nulls last, doc_id, window_no) place, doc_id, window_no::int window_no, round(rrf, 8) rrf_score from f qualify place <= 5"""
+    return sql(f"select * from (with {body})", "tokens")
+
+
+@query(_many_oracle())
+def hybrid_search_benchmark(spark, sf_dir):
+    """Every benchmark text asked of all chunks that Internal may see, in one plan."""
+    asked = V.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_no"), F.col("text").alias("question"))
+    found = retrieval.search_many(V.index(spark, sf_dir), asked, "Internal")
+    return found.select(F.col("question_no").alias("item_id"), "place", "doc_id", "window_no", F.round("rrf_score", 8).alias("rrf_score"))
+
+
 #: The approximate search's hash: tables and bucket length, measured against the exact search.
 ANN_TABLES, ANN_BUCKET, ANN_K = 6, 0.25, 10
 
@@ -186,6 +241,10 @@ def ann_topk(spark, sf_dir):
 LABELLED = [(QUESTION, "src1"), ("license of the source", "src0"), ("et de la maison", "src7")]
 
 
+def _labelled(spark):
+    return spark.createDataFrame([(i, *x) for i, x in enumerate(LABELLED)], "question_no int, question string, expected string")
+
+
 def _regression_oracle() -> str:
     parts, hits = [], []
     for i, (question, expected) in enumerate(LABELLED):
@@ -198,12 +257,12 @@ def _regression_oracle() -> str:
 
 @query(_regression_oracle())
 def retrieval_regression(spark, sf_dir):
-    return retrieval.regression(V.index(spark, sf_dir), LABELLED, "source")
+    return retrieval.regression(V.index(spark, sf_dir), _labelled(spark), "source").select(F.col("question_no").cast("int").alias("question_no"), "hit")
 
 
 @query(f"select 'retrieval_regression' metric, round(100.0 * count(*) filter (hit) / count(*), 1)::double score from ({_regression_oracle()})")
 def retrieval_regression_score(spark, sf_dir):
-    return retrieval.regression_score(retrieval.regression(V.index(spark, sf_dir), LABELLED, "source"))
+    return retrieval.regression_score(retrieval.regression(V.index(spark, sf_dir), _labelled(spark), "source"))
 
 
 _WORDLESS = "!!! ??? -- ..."
