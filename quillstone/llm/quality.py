@@ -13,15 +13,20 @@ from quillstone.llm.common import materialize, small
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: A group with fewer rows takes the thresholds of its language, and a language with fewer those of all rows.
 MIN_ROWS = 200
-#: Metric: (integer expression over the base columns, whether low values count too, slack in the metric's unit). A value is out beyond quartile -/+ FENCE * (upper - lower quartile) -/+ slack.
-FENCE = 3
+#: Metric: (integer expression over the base columns, whether low values count too).
 METRICS = {
-    "word_size": ("100 * word_chars div n_words", True, 100),
-    "symbols": ("1000 * n_symbols div n_words", False, 50),
-    "copied_lines": ("1000 * n_dup_lines div n_words", False, 60),
-    "repeats": ("1000 * n_repeat_words div n_words", False, 350),
-    "capitals": ("1000 * n_capitals div word_chars", False, 150),
+    "word_size": ("100 * word_chars div n_words", True),
+    "symbols": ("1000 * n_symbols div n_words", False),
+    "copied_lines": ("1000 * n_dup_lines div n_words", False),
+    "repeats": ("1000 * n_repeat_words div n_words", False),
+    "capitals": ("1000 * n_capitals div word_chars", False),
 }
+#: Where at least half of a group's rows have a metric at all, a value is out if it lies beyond the group's tenth or ninetieth percentile by more than BLUR and TAIL times the way from the median to there.
+TAIL = 6
+#: Where fewer have it, a value is out if an empty stretch of the group's sketch parts it from the body: the lowest stretch whose ends differ by the factor GAP and beyond which at most a MINORITY-th of the rows lie. Values count BLUR more here.
+GAP, MINORITY = 6, 4
+#: What isn't told apart: one find in a short text already makes some 20 in 1,000 words.
+BLUR = 20
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -70,38 +75,44 @@ def quality_metrics(docs: DataFrame) -> DataFrame:
 
 def sketch(measured: DataFrame) -> DataFrame:
     """Quantile sketch of each metric by language and source: (lang, source, metric, low, n). A bin holds values that share their highest six bits, so a quantile is off by 1/32 of itself at most; bins of two sketches merge by adding n. Rows that failed the base rules don't count."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(e).cast("long").alias("v")) for m, (e, _, _) in METRICS.items()])
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(e).cast("long").alias("v")) for m, (e, _) in METRICS.items()])
     values = measured.filter("not base_failed").select("lang", "source", F.inline(pairs))
     low = F.expr("shiftleft(shiftright(v, cast(greatest(length(bin(v)) - 6, 0) as int)), cast(greatest(length(bin(v)) - 6, 0) as int))")
     return values.withColumn("low", low).groupBy("lang", "source", "metric", "low").agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """Rows, lower and upper quartile by group and metric; sketches of the groups inside merge first. A group has at most some 1,900 bins, whatever its rows."""
+def limits(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """By group and metric: rows, the percentiles q10, q50 and q90, and the least (`low`) and greatest (`high`) value that isn't out; null without such. Sketches of the groups inside merge first; a group has at most some 1,900 bins, whatever its rows."""
     merged = sketches.groupBy(*by, "metric", "low").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "metric")
-    ranked = merged.select("*", F.sum("n").over(group.orderBy("low")).alias("upto"), F.sum("n").over(group).alias("rows"))
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("low")))
-    return ranked.groupBy(*by, "metric").agg(F.max("rows").alias("rows"), at(1).alias("q1"), at(3).alias("q3"))
+    ranked = merged.select("*", F.sum("n").over(group.orderBy("low")).alias("upto"), F.sum("n").over(group).alias("rows"), F.lead("low").over(group.orderBy("low")).alias("next"))
+    at = lambda q: F.min(F.when(F.col("upto") * 10 >= F.col("rows") * q, F.col("low")))
+    parted = F.expr(f"next + {BLUR} >= {GAP} * (low + {BLUR}) and {MINORITY} * (rows - upto) <= rows")
+    # the middle of the stretch, as factors go
+    middle = F.floor(F.sqrt((F.col("low") + BLUR) * (F.col("next") + BLUR))) - BLUR
+    told = ranked.groupBy(*by, "metric").agg(F.max("rows").alias("rows"), at(1).alias("q10"), at(5).alias("q50"), at(9).alias("q90"), F.min(F.when(parted, middle)).alias("split"))
+    way = lambda a, b: F.expr(f"{TAIL} * greatest({b} - {a}, q50 div 16) + {BLUR}")
+    return told.select(
+        *by, "metric", "rows", "q10", "q50", "q90", F.when(F.col("q50") > 0, F.col("q10") - way("q10", "q50")).alias("low"), F.when(F.col("q50") > 0, F.col("q90") + way("q50", "q90")).otherwise(F.col("split")).alias("high")
+    )
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
-    """lang, source and for each metric the least and the greatest accepted value (bounds: map of metric to low and high)."""
-    own, lang, everything = _quartiles(sketches, ["lang", "source"]), _quartiles(sketches, ["lang"]), _quartiles(sketches, [])
+    """lang, source and for each metric the greatest, and where low values count the least, accepted value; null where all are."""
+    own, lang, everything = limits(sketches, ["lang", "source"]), limits(sketches, ["lang"]), limits(sketches, [])
     name = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns])
     a, b, c = own, name(lang, "l"), name(everything, "a")
     # languages and metrics are few rows a group: these joins have sketches' sizes, not the corpus's
     both = a.join(b, a["lang"].eqNullSafe(b["l_lang"]) & (a["metric"] == b["l_metric"])).join(F.broadcast(c), F.col("metric") == F.col("a_metric"))
     enough = lambda p: F.col(f"{p}rows") >= MIN_ROWS
     pick = lambda q: F.when(enough(""), F.col(q)).when(enough("l_"), F.col(f"l_{q}")).otherwise(F.col(f"a_{q}"))
-    fences = both.select("lang", "source", "metric", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    fences = both.select("lang", "source", "metric", pick("low").alias("low"), pick("high").alias("high"))
     cols = []
-    for m, (_, both_sides, slack) in METRICS.items():
+    for m, (_, both_sides) in METRICS.items():
         here = F.col("metric") == m
-        spread = F.col("q3") - F.col("q1")
-        cols.append(F.max(F.when(here, F.col("q3") + FENCE * spread + slack)).alias(f"{m}_high"))
+        cols.append(F.max(F.when(here, F.col("high"))).alias(f"{m}_high"))
         if both_sides:
-            cols.append(F.max(F.when(here, F.col("q1") - FENCE * spread - slack)).alias(f"{m}_low"))
+            cols.append(F.max(F.when(here, F.col("low"))).alias(f"{m}_low"))
     return fences.groupBy("lang", "source").agg(*cols)
 
 
@@ -111,18 +122,18 @@ def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     renamed = limits.select(*[F.col(c).alias(f"_{c}") for c in names])
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     tests = []
-    for m, (e, both_sides, _) in METRICS.items():
-        tests.append(F.expr(e) <= F.col(f"_{m}_high"))
+    for m, (e, both_sides) in METRICS.items():
+        tests.append(F.coalesce(F.expr(e) <= F.col(f"_{m}_high"), F.lit(True)))
         if both_sides:
-            tests.append(F.expr(e) >= F.col(f"_{m}_low"))
-    verdict = F.when(F.col("base_failed"), False).otherwise(F.coalesce(reduce(lambda a, b: a & b, tests), F.lit(True)))
+            tests.append(F.coalesce(F.expr(e) >= F.col(f"_{m}_low"), F.lit(True)))
+    verdict = F.when(F.col("base_failed"), False).otherwise(reduce(lambda a, b: a & b, tests))
     return measured.join(small(renamed), same, "left").withColumn("kept", verdict).drop(*renamed.columns)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the base columns, n_capitals, base_failed and kept for every row of docs.
 
-    Null and empty texts have no words and fail; null languages and sources form groups; small groups take wider ones' thresholds; repeated rows each count; ties at a limit are kept; an empty table gives no rows.
+    Null and empty texts have no words and fail; null languages and sources form groups; small groups take wider ones' thresholds; repeated rows each count; ties at a limit are kept; texts of any length are read whole; further columns don't matter; an empty table gives no rows.
     The measures are written once; the sketch, the limits and the join read that table, which holds no text.
     """
     measured = materialize(quality_metrics(docs.select("doc_id", "text", "lang", "source")).drop("text"))
@@ -141,6 +152,14 @@ def keep_good(docs: DataFrame) -> DataFrame:
     return judge(measured, limits).filter("kept").select("_row.*")
 
 
+def _level_sql(number: int, table: str, by: str) -> str:
+    """limits() of one level of groups."""
+    group = f"partition by {by}metric"
+    ranks = f"select {by}metric, low, sum(n) over ({group} order by low) u, sum(n) over ({group}) z, lead(low) over ({group} order by low) x from {table}"
+    told = f"select {by}metric, max(z) z, min(low) filter (u * 10 >= z) t, min(low) filter (u * 10 >= z * 5) m, min(low) filter (u * 10 >= z * 9) n, min(floor(sqrt((low + 20) * (x + 20))) - 20) filter (x + 20 >= 6 * (low + 20) and 4 * (z - u) <= z) g from a{number} group by all"
+    return f"a{number} as ({ranks}),\nq{number} as (select {by}metric, z, case when m > 0 then t - 6 * greatest(m - t, m // 16) - 20 end lo, case when m > 0 then n + 6 * greatest(n - m, m // 16) + 20 else g end hi from ({told}))"
+
+
 #: The same in DuckDB SQL. Windows are compared as texts there.
 SQL = """
 with t as (select doc_id, lang, source, coalesce(text, '') x from documents),
@@ -157,23 +176,17 @@ v as (
   select lang, source, unnest(['word_size', 'symbols', 'copied_lines', 'repeats', 'capitals']) metric, unnest([100 * word_chars // n_words, 1000 * n_symbols // n_words, 1000 * n_dup_lines // n_words, 1000 * n_repeat_words // n_words, 1000 * n_capitals // word_chars]) v
   from f where not base_failed),
 s as (select lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)::bigint) << greatest(length(bin(v)) - 6, 0)::bigint low, count(*) n from v group by all),
-a1 as (select lang, source, metric, low, sum(n) over (partition by lang, source, metric order by low) u, sum(n) over (partition by lang, source, metric) z from s),
-q1 as (select lang, source, metric, max(z) z, min(low) filter (u * 4 >= z) lo, min(low) filter (u * 4 >= z * 3) hi from a1 group by all),
 s2 as (select lang, metric, low, sum(n) n from s group by all),
-a2 as (select lang, metric, low, sum(n) over (partition by lang, metric order by low) u, sum(n) over (partition by lang, metric) z from s2),
-q2 as (select lang, metric, max(z) z, min(low) filter (u * 4 >= z) lo, min(low) filter (u * 4 >= z * 3) hi from a2 group by all),
 s3 as (select metric, low, sum(n) n from s group by all),
-a3 as (select metric, low, sum(n) over (partition by metric order by low) u, sum(n) over (partition by metric) z from s3),
-q3 as (select metric, max(z) z, min(low) filter (u * 4 >= z) lo, min(low) filter (u * 4 >= z * 3) hi from a3 group by all),
+{levels},
 l as (
   select q1.lang, q1.source, q1.metric, case when q1.z >= 200 then q1.lo when q2.z >= 200 then q2.lo else q3.lo end lo, case when q1.z >= 200 then q1.hi when q2.z >= 200 then q2.hi else q3.hi end hi
   from q1 join q2 on q1.lang is not distinct from q2.lang and q1.metric = q2.metric join q3 on q1.metric = q3.metric),
 b as (
-  select lang, source, max(hi + 3 * (hi - lo) + 100) filter (metric = 'word_size') wh, max(lo - 3 * (hi - lo) - 100) filter (metric = 'word_size') wl, max(hi + 3 * (hi - lo) + 50) filter (metric = 'symbols') sh,
-    max(hi + 3 * (hi - lo) + 60) filter (metric = 'copied_lines') ch, max(hi + 3 * (hi - lo) + 350) filter (metric = 'repeats') rh, max(hi + 3 * (hi - lo) + 150) filter (metric = 'capitals') kh
+  select lang, source, max(hi) filter (metric = 'word_size') wh, max(lo) filter (metric = 'word_size') wl, max(hi) filter (metric = 'symbols') sh, max(hi) filter (metric = 'copied_lines') ch, max(hi) filter (metric = 'repeats') rh, max(hi) filter (metric = 'capitals') kh
   from l group by all)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, base_failed,
-  case when base_failed then false else coalesce(100 * word_chars // n_words <= wh and 100 * word_chars // n_words >= wl and 1000 * n_symbols // n_words <= sh and 1000 * n_dup_lines // n_words <= ch
-    and 1000 * n_repeat_words // n_words <= rh and 1000 * n_capitals // word_chars <= kh, true) end kept
+  case when base_failed then false else coalesce(100 * word_chars // n_words <= wh, true) and coalesce(100 * word_chars // n_words >= wl, true) and coalesce(1000 * n_symbols // n_words <= sh, true)
+    and coalesce(1000 * n_dup_lines // n_words <= ch, true) and coalesce(1000 * n_repeat_words // n_words <= rh, true) and coalesce(1000 * n_capitals // word_chars <= kh, true) end kept
 from f left join b on f.lang is not distinct from b.lang and f.source is not distinct from b.source
-"""
+""".replace("{levels}", ",\n".join(_level_sql(k + 1, t, by) for k, (t, by) in enumerate([("s", "lang, source, "), ("s2", "lang, "), ("s3", "")])))

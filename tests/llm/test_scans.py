@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from quillstone.llm import html_text, licenses, quality, secrets
 from quillstone.llm.automaton import Automaton
@@ -445,9 +446,56 @@ def test_quality_against_sql_and_labels(spark):
 def test_sketches_merge_and_bound_the_error(spark):
     values = spark.range(5000).selectExpr("'en' lang", "cast(id % 2 as string) source", "id * id % 99991 + 1 as word_chars", "1L n_words", "0L n_symbols", "0L n_dup_lines", "0L n_repeat_words", "0L n_capitals", "false base_failed")
     sketch = quality.sketch(values)
-    both = {r.metric: r for r in quality._quartiles(sketch, ["lang"]).collect()}["word_size"]
+    both = {r.metric: r for r in quality.limits(sketch, ["lang"]).collect()}["word_size"]
     exact = sorted(100 * (i * i % 99991 + 1) for i in range(5000))
-    assert exact[1249] * 31 / 32 <= both.q1 <= exact[1249] and exact[3749] * 31 / 32 <= both.q3 <= exact[3749] and both.rows == 5000
+    for q, at in ((both.q10, 499), (both.q50, 2499), (both.q90, 4499)):
+        assert exact[at] * 31 / 32 <= q <= exact[at]
+    assert both.rows == 5000 and both.high == both.q90 + quality.TAIL * (both.q90 - both.q50) + quality.BLUR
+
+
+def made(spark, source, symbols, capitals=30, chars=5_000, n=300):
+    """Measured rows of a source, of 1,000 words each; symbols and so on by row."""
+    one = lambda v, i: v(i) if callable(v) else v
+    rows = [(f"{source}{i}", "en", source, one(symbols, i), one(capitals, i), one(chars, i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id string, lang string, source string, n_symbols long, n_capitals long, word_chars long")
+    return df.selectExpr("*", "1000L n_words", "0L n_dup_lines", "0L n_repeat_words", "false base_failed")
+
+
+def kept(measured, limits):
+    return {r.doc_id for r in quality.judge(measured, limits).filter("kept").collect()}
+
+
+def test_limits_follow_their_groups(spark):
+    """Prose without symbols, with a few rows of 400 to 600; source code, where 400 is usual and 6,000 is not; a source in which half are as bad as that."""
+    prose = made(spark, "prose", lambda i: 400 + i if i % 15 == 0 else i % 4)
+    code = made(spark, "code", lambda i: 6000 if i == 7 else 300 + i, capitals=lambda i: 200 + i % 50, chars=4_000)
+    mixed = made(spark, "mixed", lambda i: 500 if i % 2 else 0, chars=20_000)
+    rows = prose.unionByName(code).unionByName(mixed)
+    limits = quality.thresholds(quality.sketch(rows))
+    by = {r.source: r for r in limits.collect()}
+    assert by["prose"].symbols_high < 400 < by["code"].symbols_high and by["mixed"].symbols_high is None
+    assert by["code"].capitals_high > 2 * by["prose"].capitals_high and by["mixed"].word_size_low > by["prose"].word_size_high
+    got = kept(rows, limits)
+    assert {d for d in got if d.startswith("prose")} == {f"prose{i}" for i in range(300) if i % 15} and len([d for d in got if d.startswith("code")]) == 299 and len([d for d in got if d.startswith("mixed")]) == 300
+    # one group's limits in place of all, as constants would be, judge otherwise
+    names = [c for c in limits.columns if c not in ("lang", "source")]
+    for source, lost in (("prose", "code"), ("code", "prose")):
+        same = limits.select("lang", "source", *[F.lit(by[source][c]).cast("long").alias(c) for c in names])
+        assert {d for d in kept(rows, same) if d.startswith(lost)} != {d for d in got if d.startswith(lost)}
+
+
+def test_limits_scale_with_the_metric(spark):
+    for factor in (1, 3, 10):
+        rows = made(spark, "s", 0, capitals=lambda i: factor * (20 + i % 10), chars=lambda i: factor * (4_000 + i))
+        r = quality.thresholds(quality.sketch(rows)).first()
+        assert abs(r.word_size_high / (425 * factor) - 1) < 0.5 and abs(r.word_size_low / (405 * factor) - 1) < 0.5
+
+
+def test_small_groups_take_the_language(spark):
+    rows = made(spark, "large", lambda i: 700 if i % 20 == 0 else 0).unionByName(made(spark, "small", lambda i: 700 if i else 0, n=2))
+    by = {r.source: r for r in quality.thresholds(quality.sketch(rows)).collect()}
+    assert by["small"].symbols_high == quality.limits(quality.sketch(rows), ["lang"]).filter("metric = 'symbols'").first().high < 700
+    assert kept(rows, quality.thresholds(quality.sketch(rows))) == {f"large{i}" for i in range(300) if i % 20} | {"small0"}
 
 
 def test_operators_let_import_errors_out():
