@@ -37,18 +37,6 @@ def cosine_topk(rows: DataFrame, vector: Column, query: list[float], order: list
     return rows.withColumn("score", T.cosine(vector, vector_literal(query))).orderBy(F.desc("score"), *order).limit(k)
 
 
-def ann_neighbours(rows: DataFrame, key: str, vector: str, is_query: Column, k: int, tables: int, bucket: float) -> DataFrame:
-    """query_id, key, score: the k nearest by cosine of each query row among the other rows that share a bucket of random-projection hashes with it. Candidates meet by a join on the buckets and are measured before the cut."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
-
-    unit = Normalizer(inputCol="raw", outputCol="v").transform(rows.select(key, array_to_vector(vector).alias("raw"), is_query.alias("asked"))).drop("raw")
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=7).fit(unit)
-    pairs = model.approxSimilarityJoin(unit.filter("asked"), unit, 3.0, "d").select(F.col(f"datasetA.{key}").alias("query_id"), F.col(f"datasetB.{key}").alias(key), "d").filter(F.col("query_id") != F.col(key))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", key))
-    return pairs.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", key, F.round(1 - F.col("d") ** 2 / 2, 5).alias("score"))
-
-
 def question_terms(spark: SparkSession, question: str) -> dict[str, int]:
     """The question's words, each with how often it stands there."""
     found: dict[str, int] = {}

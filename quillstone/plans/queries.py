@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import access, dialogue, text as T
-from quillstone.operators import accuracy, chunking, index, joins, quality_report, registry, retrieval, session, validation
+from quillstone.operators import accuracy, ann_index, chunking, index, joins, quality_report, registry, retrieval, session, validation
 from quillstone.plans import views as V
 from quillstone.plans.views import QUESTION, RANK, WORDS, WS, ranking_ctes, sql
 from quillstone.session import ship
@@ -227,14 +227,22 @@ def hybrid_search_benchmark(spark, sf_dir):
     return found.select(F.col("question_no").alias("item_id"), "place", "doc_id", "window_no", F.round("rrf_score", 8).alias("rrf_score"))
 
 
-#: The approximate search's hash: tables and bucket length, measured against the exact search.
-ANN_TABLES, ANN_BUCKET, ANN_K = 6, 0.25, 10
+ANN_K = 10
 
 
 @query()
 def ann_topk(spark, sf_dir):
-    """Approximate cosine neighbours of every hundredth vector among all others, by random-projection hashing of normalised vectors (Euclidean order is cosine order there) and an exact cut to the nearest."""
-    return retrieval.ann_neighbours(V.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, ANN_K, ANN_TABLES, ANN_BUCKET)
+    """Approximate cosine neighbours of every hundredth vector among all others, from the lists that the persisted index's measured recall needs."""
+    asked = V.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % 100 == 0)
+    return ann_index.search(V.ann(spark, sf_dir), asked, ANN_K).withColumn("score", F.round("score", 5))
+
+
+@query("select query_id, row_number() over (partition by query_id order by s desc, vec_id)::int rank, vec_id, round(s, 5) score from (select a.vec_id query_id, b.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 12) s from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0) qualify rank <= 10")
+def ann_all_lists(spark, sf_dir):
+    """The same from all lists: exact."""
+    held = V.ann(spark, sf_dir)
+    asked = V.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % 100 == 0)
+    return ann_index.search(held, asked, ANN_K, probes=len(held.centroids)).withColumn("score", F.round("score", 5))
 
 
 #: Labelled questions: the expected name stands in a source of the first chunks found.

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as T
-from quillstone.operators import search_index
+from quillstone.operators import ann_index, search_index
 from quillstone.operators.chunking import chunks as make_chunks
 from quillstone.session import shared_dir
 
@@ -79,6 +79,13 @@ def grown_index(spark: SparkSession, sf_dir: str) -> search_index.SearchIndex:
     return _kept(spark, sf_dir, "grown", build)
 
 
+def ann(spark: SparkSession, sf_dir: str) -> ann_index.AnnIndex:
+    """The inverted lists of the embeddings, kept like the search index."""
+    at = (spark.sparkContext.applicationId, sf_dir, "ann")
+    path = _INDEXES.setdefault(at, f"{shared_dir(spark)}/ann-index/{uuid.uuid4().hex}")
+    return ann_index.kept(spark, path, lambda: table(spark, sf_dir, "embeddings"))
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """governed labels beside ground truth under file names."""
     i = F.col("doc_id")
