@@ -249,12 +249,13 @@ def uncut(page: Page) -> list[Line]:
     for kind, parent in zip(page.kinds, page.parents, strict=True):
         inside.append(kind in ("article", "main") or parent >= 0 and inside[parent])
     for x, m in zip(page.lines, dense(smooth(ratios(page.lines))), strict=True):
-        c, n = x.cut, len(x.text) - x.linked
-        while c >= 0:
-            weight[c] += n * m
-            every[c] += n
-            named[c] += n * inside[x.region]
-            c = page.cuts[c][0]
+        n = len(x.text) - x.linked
+        weight[x.cut] += n * m
+        every[x.cut] += n
+        named[x.cut] += n * inside[x.region]
+    for c in range(len(page.cuts) - 1, 0, -1):  # a part comes after the one around it
+        for sums in (weight, every, named):
+            sums[page.cuts[c][0]] += sums[c]
     out = [False] * len(page.cuts)
     for c, (parent, loose) in enumerate(page.cuts):
         out[c] = c > 0 and (out[parent] or weight[c] <= KEPT[loose] * weight[0] or 2 * every[c] <= every[0] or 2 * named[c] < named[0])
@@ -263,13 +264,11 @@ def uncut(page: Page) -> list[Line]:
 
 def region_of(page: Page, lines: list[Line], marks: list[bool]) -> int:
     """The content region: the innermost region that holds SHARE of the dense text of the region around it, beginning with the whole page."""
-    weight = [0.0] * len(page.parents)
+    weight = [0] * len(page.parents)
     for x, m in zip(lines, marks, strict=True):
-        if m:
-            r = x.region
-            while r >= 0:
-                weight[r] += len(x.text) - x.linked
-                r = page.parents[r]
+        weight[x.region] += m * (len(x.text) - x.linked)
+    for r in range(len(weight) - 1, 0, -1):  # a region comes after the one around it
+        weight[page.parents[r]] += weight[r]
     articles = [r for r, k in enumerate(page.kinds) if k == "article" and weight[r] > 0]
     chosen = 0
     inner: dict[int, list[int]] = {}
@@ -289,8 +288,8 @@ def content(page: Page) -> list[str]:
     """Blocks of the content region.
 
     An article or main element keeps all its lines, and so does any region whose lines stand in it itself. Of the containers in other regions (in a body, of lists and tables too) those go that
-    hold nothing dense: no line whose smoothed ratio is in the upper cluster, or, where smoothing only lends them their neighbours' ratio, text of their own that is sparse and most of it linked or in no
-    element of running text. A container of headings goes with what follows it.
+    hold nothing dense: no line whose smoothed ratio is in the upper cluster, or, where smoothing only lends them their neighbours' ratio, text of their own that is sparse and most of it linked or, if the region's
+    running text isn't so itself, in no element of running text. A list between lines of running text stays. A container of headings goes with what follows it.
     """
     lines = uncut(page)
     if not lines:
@@ -300,11 +299,14 @@ def content(page: Page) -> list[str]:
     marks = [v >= at for v in smooth(own)]
     chosen = region_of(page, lines, marks)
     groups: list[tuple[int, list[int]]] = []  # lines of a container that stands in the chosen region; -1: of the region itself
+    around: list[int | None] = [None] * len(page.parents)  # the container of each region in the chosen one
+    around[chosen] = -1
+    for r in range(chosen + 1, len(page.parents)):
+        up = page.parents[r]
+        around[r] = r if up == chosen else around[up]
     for i, x in enumerate(lines):
-        r, group = x.region, -1
-        while r >= 0 and r != chosen:
-            r, group = page.parents[r], r
-        if r < 0:
+        group = around[x.region]
+        if group is None:
             continue
         if group >= 0 and page.kinds[group] in LISTS and page.kinds[chosen] != "body":
             group = -1
@@ -315,17 +317,25 @@ def content(page: Page) -> list[str]:
     named = chosen
     while named >= 0 and page.kinds[named] not in ("article", "main"):
         named = page.parents[named]
+    solid = [any(own[i] >= at and marks[i] for i in places) for _, places in groups]
+    # where the running text itself stands in bare containers, bareness tells nothing
+    running = [x for i, x in enumerate(lines) if own[i] >= at and marks[i] and around[x.region] is not None]
+    told = 2 * sum(len(x.text) for x in running if x.bare) < sum(len(x.text) for x in running)
     out: list[str] = []
     follows = False  # whether what follows is kept
-    for group, places in reversed(groups):
+    for g in range(len(groups) - 1, -1, -1):
+        group, places = groups[g]
         held = [lines[i] for i in places]
-        if named >= 0 or group < 0 or any(own[i] >= at and marks[i] for i in places):
+        beside = [k for k in (g - 1, g + 1) if 0 <= k < len(groups) and groups[k][0] < 0 and solid[k]]
+        if named >= 0 or group < 0 or solid[g]:
+            keep = True
+        elif page.kinds[group] in LISTS and len(beside) == 2:  # a list between running text
             keep = True
         elif all(x.heading for x in held):
             keep = follows
         else:
             linked = 2 * sum(x.linked for x in held) >= sum(len(x.text) for x in held)
-            keep = any(marks[i] for i in places) and not linked and not all(x.bare for x in held)
+            keep = any(marks[i] for i in places) and not linked and not (told and all(x.bare for x in held))
         if keep:
             out += [x.text for x in reversed(held)]
         follows = keep
@@ -346,6 +356,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
+    A header is left out wherever it stands, in an article too, with the headings in it. Where lines of running text are short (below RUNNING_MEAN characters a tag), clusters tell nothing, and elements and names decide alone.
     Null and empty html, and pages without main text, give an empty text; ids, nulls and repeated rows stay as they are; further columns are not read; an empty table gives no rows. A page of any
     length is parsed whole in the task that reads it. Of regions that hold equal shares the first is taken. No shuffle.
     """

@@ -502,3 +502,22 @@ def test_operators_let_import_errors_out():
     for p in Path(quality.__file__).parent.glob("*.py"):
         assert "except ImportError" not in p.read_text()
     assert "quillstone.llm" in sys.modules
+
+
+def test_short_blocks_among_bare_running_text_stay():
+    page = f"<body><div><h1>T</h1><div>Yes.</div><div>{LONG} {LONG}</div><div>{LONG} {LONG}</div><div>No way.</div></div></body>"
+    assert html_text.main_text(page) == f"T\n\nYes.\n\n{LONG} {LONG}\n\n{LONG} {LONG}\n\nNo way."
+
+
+def test_a_list_between_running_text_stays_and_a_menu_goes():
+    links = "<ul><li><a href=1>First reference</a></li><li><a href=2>Second reference</a></li></ul>"
+    page = f"<body>{links.replace('reference', 'menu')}<h1>T</h1><p>{LONG} {LONG}</p>{links}<p>{LONG} {LONG}</p>{links.replace('reference', 'footer')}</body>"
+    assert html_text.main_text(page) == f"T\n\n{LONG} {LONG}\n\nFirst reference\n\nSecond reference\n\n{LONG} {LONG}"
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    page = "<div>" * 8000 + "".join(f"<div>{i} {LONG}</div>" for i in range(8000)) + "</div>" * 8000
+    began = time.perf_counter()
+    assert html_text.main_text(page).count("\n\n") == 7999 and time.perf_counter() - began < 10
