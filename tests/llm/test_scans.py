@@ -453,7 +453,7 @@ def test_sketches_merge_and_bound_the_error(spark):
     assert both.rows == 5000 and both.high == both.q90 + quality.TAIL * (both.q90 - both.q50) + quality.BLUR
 
 
-def made(spark, source, symbols, capitals=30, chars=5_000, n=300):
+def measured_rows(spark, source, symbols, capitals=30, chars=5_000, n=300):
     """Measured rows of a source, of 1,000 words each; symbols and so on by row."""
     one = lambda v, i: v(i) if callable(v) else v
     rows = [(f"{source}{i}", "en", source, one(symbols, i), one(capitals, i), one(chars, i)) for i in range(n)]
@@ -467,9 +467,9 @@ def kept(measured, limits):
 
 def test_limits_follow_their_groups(spark):
     """Prose without symbols, with a few rows of 400 to 600; source code, where 400 is usual and 6,000 is not; a source in which half are as bad as that."""
-    prose = made(spark, "prose", lambda i: 400 + i if i % 15 == 0 else i % 4)
-    code = made(spark, "code", lambda i: 6000 if i == 7 else 300 + i, capitals=lambda i: 200 + i % 50, chars=4_000)
-    mixed = made(spark, "mixed", lambda i: 500 if i % 2 else 0, chars=20_000)
+    prose = measured_rows(spark, "prose", lambda i: 400 + i if i % 15 == 0 else i % 4)
+    code = measured_rows(spark, "code", lambda i: 6000 if i == 7 else 300 + i, capitals=lambda i: 200 + i % 50, chars=4_000)
+    mixed = measured_rows(spark, "mixed", lambda i: 500 if i % 2 else 0, chars=20_000)
     rows = prose.unionByName(code).unionByName(mixed)
     limits = quality.thresholds(quality.sketch(rows))
     by = {r.source: r for r in limits.collect()}
@@ -486,13 +486,13 @@ def test_limits_follow_their_groups(spark):
 
 def test_limits_scale_with_the_metric(spark):
     for factor in (1, 3, 10):
-        rows = made(spark, "s", 0, capitals=lambda i: factor * (20 + i % 10), chars=lambda i: factor * (4_000 + i))
+        rows = measured_rows(spark, "s", 0, capitals=lambda i: factor * (20 + i % 10), chars=lambda i: factor * (4_000 + i))
         r = quality.thresholds(quality.sketch(rows)).first()
         assert abs(r.word_size_high / (425 * factor) - 1) < 0.5 and abs(r.word_size_low / (405 * factor) - 1) < 0.5
 
 
 def test_small_groups_take_the_language(spark):
-    rows = made(spark, "large", lambda i: 700 if i % 20 == 0 else 0).unionByName(made(spark, "small", lambda i: 700 if i else 0, n=2))
+    rows = measured_rows(spark, "large", lambda i: 700 if i % 20 == 0 else 0).unionByName(measured_rows(spark, "small", lambda i: 700 if i else 0, n=2))
     by = {r.source: r for r in quality.thresholds(quality.sketch(rows)).collect()}
     assert by["small"].symbols_high == quality.limits(quality.sketch(rows), ["lang"]).filter("metric = 'symbols'").first().high < 700
     assert kept(rows, quality.thresholds(quality.sketch(rows))) == {f"large{i}" for i in range(300) if i % 20} | {"small0"}
