@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import access, text as T
+from quillstone.operators.search_index import newest
 
 
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -22,9 +23,11 @@ def ingest_status(files: DataFrame, manifest: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("same"), "unchanged").when(F.col("seen"), "updated").otherwise("new")).drop("same", "seen")
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """incoming replaces rows of the same key."""
-    return existing.join(incoming.select(key), key, "left_anti").unionByName(incoming)
+def upsert(existing: DataFrame, incoming: DataFrame, key: str = "chunk_id", order: str | None = None) -> DataFrame:
+    """incoming replaces rows of the same key, so that a key is unique. Of incoming rows with one key the last by `order` counts, ties by all columns; a null key is a key like any other."""
+    last = newest(incoming, [key], [order] if order else [])
+    same = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+    return existing.alias("a").join(last.select(key).alias("b"), same, "left_anti").unionByName(last)
 
 
 def delete_stale(index: DataFrame, current: DataFrame, document: str = "document_id", key: str = "chunk_id") -> DataFrame:

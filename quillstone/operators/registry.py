@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Stages in order.
@@ -15,6 +15,13 @@ def states(events: DataFrame) -> DataFrame:
     return events.groupBy("document_id").agg(F.max_by("stage", F.struct("at", F.array_position(F.array(*map(F.lit, STATUSES)), F.col("stage")))).alias("status"), F.max("at").alias("updated_at"), F.count("*").alias("n_events"), *times)
 
 
+def merged(folds: DataFrame) -> DataFrame:
+    """One fold of several: states() of parts of the events, in any order, become states() of all of them."""
+    times = [F.max(f"{s}_at").alias(f"{s}_at") for s in STATUSES]
+    place = F.array_position(F.array(*map(F.lit, STATUSES)), F.col("status"))
+    return folds.groupBy("document_id").agg(F.max_by("status", F.struct("updated_at", place)).alias("status"), F.max("updated_at").alias("updated_at"), F.sum("n_events").alias("n_events"), *times)
+
+
 def lineage(events: DataFrame) -> DataFrame:
     """Per document its events in order of time. A document has a few events for each run."""
     return events.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("at", "stage"))).alias("lineage"))
@@ -58,6 +65,47 @@ def lookup(assets: DataFrame, **values: str) -> DataFrame:
     return assets
 
 
-def save(events: DataFrame, path: str) -> None:
-    """Append events to the log at path."""
-    events.write.mode("append").parquet(path)
+def _batches(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the whole parts of the log: those with a mark of success."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    at = jvm.Path(f"{path}/{name}")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(p.getName().split("=")[1]) for p in found if "=" in p.getName() and fs.exists(jvm.Path(p, "_SUCCESS")))
+
+
+def save(events: DataFrame, path: str) -> int:
+    """Append events (document_id, stage, at) to the log below path as its next batch; its number."""
+    number = max(_batches(events.sparkSession, path, "events"), default=0) + 1
+    events.select("document_id", "stage", "at").write.mode("overwrite").parquet(f"{path}/events/batch={number}")
+    return number
+
+
+def snapshot(spark: SparkSession, path: str) -> int:
+    """Write the fold of all events so far; the last batch that it holds is its high-water mark. It goes by arrival, so an event that comes late is in a later batch, whatever its time."""
+    batches = _batches(spark, path, "events")
+    if not batches:
+        raise FileNotFoundError(f"no events at {path}")
+    load(spark, path).write.mode("overwrite").parquet(f"{path}/snapshots/upto={batches[-1]}")
+    return batches[-1]
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """states() of the whole log: the last snapshot, merged with the fold of the batches after it, which alone are read. FileNotFoundError without events."""
+    batches, marks = _batches(spark, path, "events"), _batches(spark, path, "snapshots")
+    if not batches:
+        raise FileNotFoundError(f"no events at {path}")
+    mark = max(marks, default=0)
+    parts = [spark.read.parquet(f"{path}/snapshots/upto={mark}")] if mark else []
+    tail = [f"{path}/events/batch={b}" for b in batches if b > mark]
+    if tail:
+        parts.append(states(spark.read.parquet(*tail)))
+    return parts[0] if len(parts) == 1 else merged(parts[0].unionByName(parts[1]))
+
+
+def record(spark: SparkSession, path: str, events: DataFrame) -> DataFrame:
+    """Append the events of documents that the log knows, or that are ingested with them; the others are given back (document_id, stage, at) and not written."""
+    first = events.filter(F.col("stage") == STATUSES[0]).select("document_id")
+    known = (load(spark, path).select("document_id").union(first) if _batches(spark, path, "events") else first).distinct()
+    save(events.join(known, "document_id", "left_semi"), path)
+    return events.join(known, "document_id", "left_anti").select("document_id", "stage", "at")

@@ -281,14 +281,18 @@ def context(results: DataFrame, order: list[str], group: list[str] | None = None
     return (results.groupBy(*group) if group else results).agg(F.array_join(parts, "\n\n").alias("context"))
 
 
-def fallback_answer(results: DataFrame, order: list[str], group: list[str] | None = None, size: int = 400) -> DataFrame:
-    """The answer without a model: the leading characters of each retrieved chunk, in order. A retrieved list is a top-k, so the group is small."""
+def fallback_text(order: list[str], size: int = 400) -> Column:
+    """Aggregate: the answer without a model, the leading characters of each retrieved chunk in order."""
     parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, F.substring("content", 1, size).alias("part")))), lambda x: x["part"])
-    answer = F.when(F.count("*") == 0, "No relevant context was found.").otherwise(F.concat(F.lit("Based on the retrieved context, the answer appears to be: "), F.array_join(parts, " ")))
-    return (results.groupBy(*group) if group else results).agg(answer.alias("answer"))
+    return F.when(F.count("*") == 0, "No relevant context was found.").otherwise(F.concat(F.lit("Based on the retrieved context, the answer appears to be: "), F.array_join(parts, " ")))
+
+
+def fallback_answer(results: DataFrame, order: list[str], group: list[str] | None = None, size: int = 400) -> DataFrame:
+    """fallback_text of a result, or of each group of it. A retrieved list is a top-k, so the group is small."""
+    return (results.groupBy(*group) if group else results).agg(fallback_text(order, size).alias("answer"))
 
 
 def evaluate(results: DataFrame, answer: Column | None = None) -> DataFrame:
-    """Mean fused score and number of chunks of a result, words of the answer, and status: ok, or no_context without chunks."""
-    words = F.lit(0) if answer is None else F.coalesce(F.max(F.size(T.words(answer))), F.lit(0))
+    """Mean fused score and number of chunks of a result, words of the answer (an aggregate over the result, as fallback_text), and status: ok, or no_context without chunks."""
+    words = F.lit(0) if answer is None else F.coalesce(F.size(T.words(answer)), F.lit(0))
     return results.agg(F.count("*").alias("chunk_count"), F.round(F.coalesce(F.sum("rrf_score"), F.lit(0.0)) / F.greatest(F.lit(1), F.count("*")), 6).alias("mean_score"), words.alias("answer_words"), F.when(F.count("*") > 0, "ok").otherwise("no_context").alias("status"))

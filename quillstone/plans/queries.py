@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import access, dialogue, text as T
-from quillstone.operators import accuracy, ann_index, chunking, index, joins, quality_report, registry, retrieval, session, validation
+from quillstone.operators import accuracy, ann_index, chunking, index, joins, quality_report, registry, retrieval, search_index, session, validation
 from quillstone.plans import views as V
 from quillstone.plans.views import QUESTION, RANK, WORDS, WS, ranking_ctes, sql
-from quillstone.session import ship
+from quillstone.session import shared_dir, ship
 from quillstone.sources import files
 from quillstone.streaming import ingest
 
@@ -106,15 +107,15 @@ def split_sections(spark, sf_dir):
 
 
 @query(
-    "select doc_id, count(*)::int n_dims, round(sum(v), 3) total, max(v) filter (d = 0) first_value from (select doc_id, d, round(sum(x), 6) v from (select doc_id, i % 768 d, ('0x' || substr(sha256(t), 1, 8))::ubigint::double / 4294967295 x from (select doc_id, unnest(w) t, unnest(range(len(w))) i from (select doc_id, "
+    "select doc_id, coalesce(n, 0)::int n_dims, coalesce(round(t, 3), 0) total, coalesce(f, 0) first_value from documents left join (select doc_id, count(*) n, sum(v) t, max(v) filter (d = 0) f from (select doc_id, d, round(sum(x), 6) v from (select doc_id, i % 768 d, ('0x' || substr(sha256(t), 1, 8))::ubigint::double / 4294967295 x from (select doc_id, unnest(w) t, unnest(range(len(w))) i from (select doc_id, "
     + WORDS("translate(text, chr(10) || '/', '  ')")
-    + " w from documents))) group by all) group by doc_id"
+    + " w from documents))) group by all) group by doc_id) using (doc_id)"
 )
 def hash_embedding(spark, sf_dir):
+    """Every document's vector; a text without a word has the zero vector, of which no value is kept."""
     ship(spark)
-    worded = V.table(spark, sf_dir, "documents").filter(F.col("text").rlike(T.NO_SPACE))  # told from the text, so that vectors are made once
-    v = worded.select("doc_id", T.hash_vectors(F.col("text")).alias("v"))
-    return v.select("doc_id", F.size("v").alias("n_dims"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.get("v", F.lit(0)).alias("first_value"))
+    v = V.table(spark, sf_dir, "documents").select("doc_id", T.hash_vectors(F.col("text")).alias("v"))
+    return v.select("doc_id", F.size("v").alias("n_dims"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.coalesce(F.get("v", F.lit(0)), F.lit(0.0)).alias("first_value"))
 
 
 @query("select vec_id, round(list_cosine_similarity(embedding::double[], (select embedding::double[] from embeddings where vec_id = 0)), 5) score from embeddings order by list_cosine_similarity(embedding::double[], (select embedding::double[] from embeddings where vec_id = 0)) desc, vec_id limit 10")
@@ -422,6 +423,27 @@ def registry_state_fold(spark, sf_dir):
     return registry.states(V.stage_events(spark, sf_dir)).select("document_id", "status", "n_events")
 
 
+@query(sql("select document_id, status, n_events, epoch(to_timestamp(ingested_at))::bigint ingested_at, epoch(to_timestamp(classified_at))::bigint classified_at from assets", "assets"))
+def registry_snapshot(spark, sf_dir):
+    """States from a log of three batches, of which two are folded in a snapshot and the third, with late events, is read beside it."""
+    events, part = V.stage_events(spark, sf_dir), F.pmod(F.xxhash64("document_id", "stage", "at"), F.lit(3))
+    path = f"{shared_dir(spark)}/registry/{uuid.uuid4().hex}"
+    for n in range(3):
+        registry.save(events.filter(part == n), path)
+        if n == 1:
+            registry.snapshot(spark, path)
+    return registry.load(spark, path).select("document_id", "status", "n_events", F.unix_timestamp("ingested_at").alias("ingested_at"), F.unix_timestamp("classified_at").alias("classified_at"))
+
+
+@query("select 'f' || doc_id || '.json' file, case doc_id % 8 when 1 then 'malformed' when 2 then 'empty' when 3 then 'not an object' when 4 then 'wrong type: n_chars' when 5 then 'missing: lang' when 7 then 'empty' end reason, case when doc_id % 8 in (0, 6) then lang end lang, case when doc_id % 8 in (0, 6) then n_chars end n_chars from documents")
+def json_quarantine(spark, sf_dir):
+    """Documents as JSON files of changing shape: cut short, empty, of another shape, with a field of the wrong type, lacking one, with more than is asked for. Every file is either read or listed with its reason."""
+    k, said = F.col("doc_id") % 8, F.to_json(F.struct("doc_id", "lang", "n_chars", "text"))
+    body = F.when(k == 1, F.left(said, F.length(said) - 5)).when(k == 2, " \n").when(k == 3, F.concat(F.lit("["), said, F.lit("]"))).when(k == 4, F.to_json(F.struct("doc_id", "lang", F.lit("many").alias("n_chars")))).when(k == 5, F.to_json(F.struct("doc_id", "n_chars"))).when(k != 7, said)
+    read, bad = files.json_documents(V.table(spark, sf_dir, "documents").select(F.format_string("f%d.json", "doc_id").alias("file"), body.alias("body")), "doc_id long, lang string, n_chars long", ["lang"])
+    return read.select("file", F.lit(None).cast("string").alias("reason"), "lang", "n_chars").unionByName(bad.select("file", "reason", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("long").alias("n_chars")))
+
+
 @query(sql("select count(*) total_documents, count(*) filter (status = 'ingested') ingested, count(*) filter (status = 'classified') classified, count(*) filter (status = 'chunked') chunked, count(*) filter (status = 'indexed') indexed, sum(coalesce(n, 0))::bigint total_chunks, sum(case when status = 'indexed' then coalesce(n, 0) else 0 end)::bigint chunks_indexed from assets left join (select doc_id, count(*) n from chunks group by doc_id) using (doc_id)", "assets", "chunks"))
 def registry_summary(spark, sf_dir):
     return registry.summary(registry.with_chunk_counts(_assets(spark, sf_dir), V.chunks(spark, sf_dir), "doc_id"))
@@ -565,6 +587,18 @@ def quality_scores(spark, sf_dir):
     return _scored(spark, sf_dir)
 
 
+@query(sql("select 'index_found' metric, null::double score, count(*) n_chunks, count(distinct department) n_departments from chunks union all select 'index_found', 0.0, 0, 0", "chunks"))
+def index_found(spark, sf_dir):
+    """The metric for the index of the chunks, which is there and doesn't count, and for one that was never written."""
+    held = V.index(spark, sf_dir)
+    there = search_index.found_score(spark, held.name.split("@")[0])
+    missing = search_index.found_score(spark, f"{held.name.split('@')[0]}/none")
+    scored = lambda v: [F.lit("index_found").alias("metric"), F.lit(v).cast("double").alias("score")]
+    row = held.chunks.agg(F.count("*").alias("n_chunks"), F.countDistinct("department").alias("n_departments")).select(*scored(there), "n_chunks", "n_departments")
+    none = held.chunks.limit(0).agg(F.count("*").alias("n_chunks"), F.countDistinct("department").alias("n_departments")).select(*scored(missing), "n_chunks", "n_departments")
+    return row.unionByName(none)
+
+
 @query(sql(f"select round(avg(score), 1) overall_score, count(score) n_scored from ({_SCORES})", "windowed"))
 def quality_overall(spark, sf_dir):
     return quality_report.overall(_scored(spark, sf_dir))
@@ -720,9 +754,13 @@ def fallback_answer(spark, sf_dir):
 _FOUND = _hybrid_oracle(1)
 
 
-@query(f"select count(*) chunk_count, round(sum(rrf_score) / greatest(1, count(*)), 6) mean_score, 3 answer_words, 'ok' status from ({_FOUND})")
+_SAID = f"'Based on the retrieved context, the answer appears to be: ' || string_agg(substr(content, 1, 400), ' ' order by doc_id, window_no)"
+
+
+@query(f"select count(*) chunk_count, round(sum(rrf_score) / greatest(1, count(*)), 6) mean_score, len({WORDS(_SAID)})::int answer_words, 'ok' status from ({_FOUND}) join ({sql('select doc_id, window_no, content from chunks', 'chunks')}) using (doc_id, window_no)")
 def retrieval_eval(spark, sf_dir):
-    return retrieval.evaluate(retrieval.hybrid_search(V.index(spark, sf_dir), QUESTION, "Internal"), F.lit("in three words"))
+    found = retrieval.hybrid_search(V.index(spark, sf_dir), QUESTION, "Internal")
+    return retrieval.evaluate(found, retrieval.fallback_text(["doc_id", "window_no"]))
 
 
 @query(sql("select source, string_agg('Chunk ' || r || ': ' || content, chr(10) || chr(10) order by r) context from (select source, content, row_number() over (partition by source order by doc_id, window_no) r from chunks qualify r <= 3) group by source", "chunks"))

@@ -1,4 +1,4 @@
-"""Places for models: classification, generation, judging, embedding. Without a model each answers `unavailable`; nothing is guessed."""
+"""Places for models: classification, generation, embedding, judging. Without a model a document stays UNCLASSIFIED, an embedding is the hash one, and the others answer `unavailable`; nothing is guessed."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.functions import text as T
+
 
 class Classifier(Protocol):
     def __call__(self, text: str) -> dict: ...
@@ -21,6 +23,7 @@ def model_candidates(*names: str) -> list[str]:
     return list(dict.fromkeys(m for m in found if m))
 
 
+#: Labels of a document that no model could classify. Its sensitivity counts as Restricted, so that it fails closed: a label of its own would have to be known to every access rule, and A7 counts such documents as Restricted.
 UNCLASSIFIED = {"department": "UNCLASSIFIED", "doc_type": "UNCLASSIFIED", "language": "UNCLASSIFIED", "sensitivity": "Restricted", "confidence": 0.0, "classifier": "llm_failed", "error": "no model"}
 LABELS = "department string, doc_type string, language string, sensitivity string, confidence double, classifier string, error string"
 
@@ -52,3 +55,47 @@ def generate(prompt: str, backend: Callable[[str], str] | None = None) -> tuple[
         return backend(prompt), "generated"
     except Exception as e:
         return None, f"error: {e}"
+
+
+def _each(values: pd.Series, backend: Callable, kind: type) -> pd.DataFrame:
+    """backend's answer to each value with its status: ok, empty for a null or blank value, or error: what was raised."""
+    out = []
+    for v in values:
+        if v is None or not v.strip():
+            out.append((None, "empty"))
+            continue
+        try:
+            out.append((kind(backend(v)), "ok"))
+        except Exception as e:
+            out.append((None, f"error: {e}"))
+    return pd.DataFrame(out, columns=["value", "status"])
+
+
+def embed(docs: DataFrame, backend: Callable[[str], list[float]] | None = None, text: str = "content") -> DataFrame:
+    """docs with embedding, embedding_source (llm, or hash_fallback where the backend fails or there is none) and embedding_status (ok, empty, unavailable or error: …). A text without a word has an empty embedding, which stands for zeros."""
+    hashed = T.hash_vectors(F.coalesce(F.col(text), F.lit("")))
+    if backend is None:
+        return docs.select("*", hashed.alias("embedding"), F.lit("hash_fallback").alias("embedding_source"), F.lit("unavailable").alias("embedding_status"))
+
+    @F.pandas_udf("value array<double>, status string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return _each(texts, backend, lambda v: [float(x) for x in v])
+
+    told = docs.withColumn("_e", run(F.col(text)))
+    own = F.col("_e.status") == "ok"
+    return told.select(*docs.columns, F.when(own, F.col("_e.value")).otherwise(hashed).alias("embedding"), F.when(own, "llm").otherwise("hash_fallback").alias("embedding_source"), F.col("_e.status").alias("embedding_status"))
+
+
+def judge(answers: DataFrame, backend: Callable[[str], float] | None = None, prompt: str = "prompt") -> DataFrame:
+    """answers with judge_score (0 to 1, null without) and judge_status (ok, empty, unavailable, out of range, or error: …) of a backend that scores the prompt column."""
+    if backend is None:
+        return answers.select("*", F.lit(None).cast("double").alias("judge_score"), F.lit("unavailable").alias("judge_status"))
+
+    @F.pandas_udf("value double, status string")
+    def run(prompts: pd.Series) -> pd.DataFrame:
+        return _each(prompts, backend, float)
+
+    told = answers.withColumn("_j", run(F.col(prompt)))
+    fine = F.col("_j.value").between(0, 1) & ~F.isnan("_j.value")
+    status = F.when((F.col("_j.status") == "ok") & ~F.coalesce(fine, F.lit(False)), "out of range").otherwise(F.col("_j.status"))
+    return told.select(*answers.columns, F.when(fine, F.col("_j.value")).alias("judge_score"), status.alias("judge_status"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillstone.session import ship
 
@@ -122,6 +125,38 @@ def json_lines(spark: SparkSession, path: str, schema: str, required: str | None
     return good.filter(F.col(required).isNotNull()) if required else good
 
 
+def json_documents(rows: DataFrame, schema: str, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The JSON documents of rows (file, body) as file and the columns of schema, and the quarantine (file, reason) of those that can't be read. Each row is in exactly one of them.
+
+    Documents may have more fields, and lack any but the required ones. Reasons: empty, malformed (not JSON, or cut short), not an object, missing: a required field that is absent or null, wrong type: a field that can't be cast. The first that holds is told. One pass, without schema inference.
+    """
+    fields = StructType.fromDDL(schema)
+    # as the one element of an array, since the parser lets anything follow a whole document
+    array = F.try_parse_json(F.concat(F.lit("["), "body", F.lit("]")))
+    told = rows.select("file", "body", array.alias("_a")).select("file", "body", F.when(F.try_variant_get("_a", "$[1]", "variant").isNull(), F.try_variant_get("_a", "$[0]", "variant")).alias("v"))
+    value = lambda f, kind: F.try_variant_get("v", f"$['{f}']", kind)
+    lacking = lambda f: value(f, "variant").isNull() | F.is_variant_null(value(f, "variant"))
+    reason = F.when(F.coalesce(F.trim(F.translate("body", "\n\r\t", "   ")), F.lit("")) == "", "empty").when(F.col("v").isNull(), "malformed").when(~F.schema_of_variant("v").startswith("OBJECT"), "not an object")
+    for f in required or []:
+        reason = reason.when(lacking(f), f"missing: {f}")
+    for f in fields:
+        reason = reason.when(~lacking(f.name) & value(f.name, f.dataType.simpleString()).isNull(), f"wrong type: {f.name}")
+    judged = told.withColumn("reason", reason)
+    good = judged.filter("reason is null").select("file", *[value(f.name, f.dataType.simpleString()).alias(f.name) for f in fields])
+    return good, judged.filter("reason is not null").select("file", "reason")
+
+
+def read_json_folder(spark: SparkSession, folder: str, schema: str, required: list[str] | None = None, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """json_documents() of all files below folder whose names fit the pattern, one document a file; bytes that are no UTF-8 are malformed. Files are read whole by Spark, so a folder of any number of them is."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    body = F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.lit("?"))
+    # Spark's scans pass over files without a byte; its list of files, which the driver holds anyway, has them
+    listed = spark.createDataFrame([(re.sub("^file:/+", "file:/", unquote(f)),) for f in raw.inputFiles()], "path string")
+    hollow = listed.join(raw.select("path"), "path", "left_anti").select("path", F.lit("").alias("body"))
+    every = raw.select("path", body.alias("body")).unionByName(hollow)
+    return json_documents(every.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "body"), schema, required)
+
+
 def read_classified(spark: SparkSession, pattern: str, schema: str | None = None) -> DataFrame:
     """Classified files, a JSON document each, with their file name; files that are no JSON are left out."""
     reader = spark.read.schema(f"{schema}, _bad string") if schema else spark.read

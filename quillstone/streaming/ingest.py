@@ -1,4 +1,4 @@
-"""Incremental ingestion as a stream: documents in a folder of Parquet files are chunked once each, and a document that comes again with another text replaces its former chunks."""
+"""Incremental ingestion as a stream: each text is chunked once, each document claims the text that it last came with, and of a text's claimants the smallest owns its chunks."""
 
 from __future__ import annotations
 
@@ -9,42 +9,52 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillstone.operators.chunking import windowed
 
-MANIFEST = "doc_id long, file_hash string, batch int"
+#: Columns of a text's chunks; all others belong to the documents that claim it.
+CHUNK = ["file_hash", "section_no", "section", "window_no", "content", "content_hash"]
 
 
-def _table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException:
-        return None if schema is None else spark.createDataFrame([], schema)
+        return None
 
 
-def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, max_files: int = 100) -> StreamingQuery:
-    """Chunk every document of new files below source (doc_id, text and labels) by micro-batch; restarts go on from the checkpoint.
+def take(df: DataFrame, number: int, target: str, order: str | None = None) -> None:
+    """One batch of documents (doc_id, text and labels) into the tables below target; the same batch again overwrites what it wrote.
 
-    Of equal texts the smallest doc_id is taken, and a text that an earlier batch took is passed over. A batch writes its chunks, then its manifest (doc_id, file_hash), into folders of its own; one that is run again overwrites them.
+    `texts` gets the chunks of texts that no other batch has chunked, `claims` each document with its labels and the hash of its text. Of rows of one document in a batch the last by `order` counts (ties: the greatest); a null doc_id is a document like any other. The texts come first: a batch that breaks off between the two has claimed nothing yet.
     """
+    spark = df.sparkSession
+    labels = [c for c in df.columns if c not in ("doc_id", "text")]
+    last = F.struct(*([order] if order else []), "text", *labels)
+    each = df.groupBy("doc_id").agg(F.max_by(F.struct("text", *labels), last).alias("r")).select("doc_id", "r.*").withColumn("file_hash", F.sha2(F.coalesce("text", F.lit("")), 256))
+    known = _table(spark, f"{target}/texts")
+    fresh = each.groupBy("file_hash").agg(F.coalesce(F.first("text"), F.lit("")).alias("text"))
+    if known is not None:
+        fresh = fresh.join(known.filter(F.col("batch") != number).select("file_hash").distinct(), "file_hash", "left_anti")
+    windowed(fresh).select(*CHUNK).write.mode("overwrite").parquet(f"{target}/texts/batch={number}")
+    each.drop("text").write.mode("overwrite").parquet(f"{target}/claims/batch={number}")
+
+
+def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, max_files: int = 100, order: str | None = None) -> StreamingQuery:
+    """take() every micro-batch of new files below source; restarts go on from the checkpoint."""
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
+    return files.writeStream.foreachBatch(lambda df, number: take(df, number, target, order)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    def batch(df: DataFrame, number: int) -> None:
-        known = _table(spark, f"{target}/manifest", MANIFEST).filter(F.col("batch") != number).select("file_hash")
-        each = df.withColumn("file_hash", F.sha2(F.coalesce("text", F.lit("")), 256))
-        first = each.groupBy("file_hash").agg(F.min_by(F.struct(*df.columns), F.struct(F.col("doc_id").isNull(), "doc_id")).alias("r"))
-        fresh = first.join(known, "file_hash", "left_anti").select("r.*", "file_hash")
-        windowed(fresh).write.mode("overwrite").parquet(f"{target}/chunks/batch={number}")
-        # the rows that the chunks were made of, so that both tables agree
-        held = spark.read.parquet(f"{target}/chunks/batch={number}").select("doc_id", "file_hash").distinct()
-        held.write.mode("overwrite").parquet(f"{target}/manifest/batch={number}")
 
-    return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def owners(spark: SparkSession, target: str) -> DataFrame:
+    """The documents that own a text now, with their labels and file_hash: of those whose last claim it is the smallest doc_id, null last. A text that its owner lets go of passes on, and comes back with it."""
+    claims = spark.read.parquet(f"{target}/claims")
+    rest = [c for c in claims.columns if c not in ("doc_id", "batch")]
+    last = claims.groupBy("doc_id").agg(F.max_by(F.struct(*rest), "batch").alias("r")).select("doc_id", "r.*")
+    held = [c for c in last.columns if c != "file_hash"]
+    return last.groupBy("file_hash").agg(F.min_by(F.struct(*held), F.struct(F.col("doc_id").isNull(), "doc_id")).alias("r")).select("file_hash", "r.*")
 
 
 def current(spark: SparkSession, target: str) -> DataFrame:
-    """The chunks as they stand: of each document those of the last batch that brought it."""
-    last = _table(spark, f"{target}/manifest", MANIFEST).groupBy("doc_id").agg(F.max("batch").alias("batch"))
-    rows = spark.read.parquet(f"{target}/chunks").alias("c")
-    same = F.col("c.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("c.batch") == F.col("l.batch"))
-    return rows.join(last.alias("l"), same, "left_semi")
+    """The chunks as they stand: those of every claimed text once, under its owner."""
+    return owners(spark, target).join(spark.read.parquet(f"{target}/texts").drop("batch"), "file_hash")
 
 
 def event_counts(events: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:

@@ -16,7 +16,6 @@ from quillstone.functions import dialogue, text as T
 from quillstone.operators import accuracy, chunking, index, quality_report, registry, retrieval, search_index, validation
 from quillstone.plans import queries, views
 from quillstone.sources import files
-from quillstone.streaming import ingest
 
 
 def rows_of(frame, columns):
@@ -140,6 +139,9 @@ def test_index_upkeep(spark):
     old = spark.createDataFrame([("d1", "d1_c1", 1), ("d1", "d1_c2", 1), ("d_1", "d_1_c1", 1)], cols)
     new = spark.createDataFrame([("d1", "d1_c1", 2)], cols)
     assert sorted(map(tuple, index.upsert(old, new).select("chunk_id", "v").collect())) == [("d1_c1", 2), ("d1_c2", 1), ("d_1_c1", 1)]
+    twice = spark.createDataFrame([("d1", "d1_c1", 3), ("d1", "d1_c1", 5), ("d1", "d1_c1", 4), (None, None, 7)], cols)
+    held = index.upsert(old.unionByName(twice.filter("v = 7").withColumn("v", F.lit(6))), twice, order="v")
+    assert sorted((str(r.chunk_id), r.v) for r in held.collect()) == [("None", 7), ("d1_c1", 5), ("d1_c2", 1), ("d_1_c1", 1)]
     assert sorted(r.chunk_id for r in index.delete_stale(old, new).collect()) == ["d1_c1", "d_1_c1"]
     assert index.delete_stale(old, new.limit(0)).count() == 3
 
@@ -251,25 +253,6 @@ def test_files(spark, tmp_path):
     assert files.to_markdown("<title>T</title><h2>H</h2><p>a &amp; b</p><ul><li>x</ul><script>no</script>") == ("T", "## H\n\na & b\n\n- x")
 
 
-def test_stream_ingests_each_text_once(spark, sf, tmp_path):
-    source, target = tmp_path / "in", str(tmp_path / "out")
-    docs = spark.createDataFrame(spark.read.parquet(f"{sf}/documents.parquet").limit(20).collect())
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    run = lambda: ingest.ingest(spark, str(source), schema, target, str(tmp_path / "check")).awaitTermination(120)
-    docs.write.parquet(str(source))
-    run()
-    run()
-    texts = docs.select("text").distinct().count()
-    assert ingest.current(spark, target).select("doc_id").distinct().count() == texts
-    # a second file: the same texts again under other ids, and document 1 with another text
-    docs.withColumn("doc_id", F.col("doc_id") + 1000).unionByName(docs.limit(1).withColumn("text", F.lit("a new text"))).write.mode("append").parquet(str(source))
-    run()
-    now = ingest.current(spark, target)
-    assert now.select("doc_id").distinct().count() == texts
-    changed = docs.limit(1).first()["doc_id"]
-    assert [r.content for r in now.filter(F.col("doc_id") == changed).collect()] == ["a new text"]
-
-
 def test_without_a_model_nothing_is_guessed(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     assert {r.department for r in plugins.classify(docs).collect()} == {"UNCLASSIFIED"}
