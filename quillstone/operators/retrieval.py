@@ -6,9 +6,11 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from quillstone.functions import access, text as T
 from quillstone.operators.search_index import ADDED, LABELS, SearchIndex
@@ -104,6 +106,47 @@ def term_hits(index: SearchIndex, question: str) -> DataFrame:
     return hits.groupBy(*index.key).agg(F.sum("tf").cast("double").alias("score"))
 
 
+#: Weight of an occurrence in a cover.
+COVER_WEIGHT = 0.1
+
+
+def cover_score(places: list[list[int]]) -> float:
+    """Cover density of a chunk from the ascending places of each asked word in it: the sum over its least covers (stretches that hold every word and no shorter one that does) of COVER_WEIGHT / (1 + the words in the stretch that weren't asked)."""
+    merged = sorted((at, word) for word, found in enumerate(places) for at in found)
+    held, inside, left, covers = [0] * len(places), 0, 0, []
+    for right, (at, word) in enumerate(merged):
+        held[word] += 1
+        inside += held[word] == 1
+        while inside == len(places):
+            first, leaves = merged[left]
+            held[leaves] -= 1
+            left += 1
+            if not held[leaves]:  # without its first word the stretch is no cover: it was the least one that begins there
+                inside -= 1
+                covers.append((first, at, right - left + 1))
+    # more - 1 of the words between first and last were asked
+    return sum(COVER_WEIGHT / (1 + (last - first) - more) for first, last, more in covers)
+
+
+@F.pandas_udf(DoubleType())
+def _cover_scores(places: pd.Series) -> pd.Series:
+    return places.map(lambda p: cover_score([list(x) for x in p]))
+
+
+def cover_density(index: SearchIndex, question: str, every_word: bool = False) -> DataFrame:
+    """key and score: how densely a chunk covers the question's words. Of a question that any word answers each occurrence is a cover of its own, so the score is COVER_WEIGHT for each; with every_word a chunk must hold all of them, and its covers are found by merging the words' places.
+
+    Only the postings of the question's words are read; a chunk's places come together for those alone.
+    """
+    ship(index.postings.sparkSession)
+    asked = list(question_terms(index.postings.sparkSession, question))
+    hits = index.postings.filter(F.col("term").isin(asked))
+    if not every_word:
+        return hits.groupBy(*index.key).agg((F.sum("tf") * COVER_WEIGHT).alias("score"))
+    held = hits.groupBy(*index.key).agg(F.collect_list("places").alias("p")).filter((F.size("p") == len(asked)) & F.lit(bool(asked)))
+    return held.select(*index.key, _cover_scores("p").alias("score"))
+
+
 def ranked(scores: DataFrame, order: list[str], k: int, name: str) -> DataFrame:
     """The k best with their place from 1, as column `name`. The window runs over k rows."""
     top = scores.orderBy(F.desc("score"), *order).limit(k)

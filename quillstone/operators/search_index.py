@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,14 +24,14 @@ LABELS = ["in_department", "at_level"]
 POSTINGS, FEW_POSTINGS = 4_000_000, 250_000
 #: Deleted keys up to which they are broadcast.
 BROADCAST_KEYS = 100_000
-#: Columns that the index adds to a chunk: words, norm and values of its vector, its terms and how often each occurs, and a hash of the columns given.
-ADDED = ["dl", "norm", "vector", "terms", "tfs", "print"]
+#: Columns that the index adds to a chunk: words, norm and values of its vector, its terms, how often and at which words each occurs, and a hash of the columns given.
+ADDED = ["dl", "norm", "vector", "terms", "tfs", "places", "print"]
 _MANIFEST = "segments array<string>, runs array<string>, key array<string>, dim int, deleted long, schemas map<string,string>"
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """chunks (key, chunk columns, ADDED, labels, segment), postings (term, key, tf, dl, labels, segment), terms (term, df, labels) and sizes (n, dl, labels). `name` tells the version and what of it is seen."""
+    """chunks (key, chunk columns, ADDED, labels, segment), postings (term, key, tf, dl, places, labels, segment), terms (term, df, labels) and sizes (n, dl, labels). `name` tells the version and what of it is seen."""
 
     chunks: DataFrame
     postings: DataFrame
@@ -68,16 +67,19 @@ def _measured(rows: DataFrame) -> DataFrame:
     ship(rows.sparkSession)
     columns = [c for c in rows.columns if c not in LABELS]
     told = rows.withColumn("print", _print(columns)).withColumn("_low", F.lower("content"))
-    schema = StructType([*(f for f in told.schema if f.name != "_low"), *_ddl("dl int, norm double, vector array<double>, terms array<string>, tfs array<int>")])
+    schema = StructType([*(f for f in told.schema if f.name != "_low"), *_ddl("dl int, norm double, vector array<double>, terms array<string>, tfs array<int>, places array<array<int>>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bags = [Counter(_WORD.findall(t or "")) for t in b.column("_low").to_pylist()]
+            bags: list[dict[str, list[int]]] = [{} for _ in range(b.num_rows)]
+            for bag, low in zip(bags, b.column("_low").to_pylist()):
+                for at, word in enumerate(_WORD.findall(low or "")):
+                    bag.setdefault(word, []).append(at)
             vectors = list(T.hash_vectors.func(pd.Series(b.column("content").to_pylist(), dtype=object)))
             kept = b.drop_columns("_low")
             made = [
-                pa.array([sum(c.values()) for c in bags], pa.int32()), pa.array([sum(x * x for x in v.tolist()) ** 0.5 for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())),
-                pa.array([list(c) for c in bags], pa.list_(pa.string())), pa.array([list(c.values()) for c in bags], pa.list_(pa.int32())),
+                pa.array([sum(map(len, c.values())) for c in bags], pa.int32()), pa.array([sum(x * x for x in v.tolist()) ** 0.5 for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())),
+                pa.array([list(c) for c in bags], pa.list_(pa.string())), pa.array([list(map(len, c.values())) for c in bags], pa.list_(pa.int32())), pa.array([list(c.values()) for c in bags], pa.list_(pa.list_(pa.int32()))),
             ]
             yield pa.RecordBatch.from_arrays([*kept.columns, *made], names=[f.name for f in schema])
 
@@ -111,7 +113,7 @@ def _schemas(chunks: DataFrame, key: list[str]) -> dict[str, str]:
     plain = [f for f in chunks.schema if f.name not in {*LABELS, "segment"}]
     tables = {
         "chunks": StructType([*plain, *run, *labels]),
-        "postings": StructType([*_ddl("term string"), *keys, *_ddl("tf int, dl int"), *run, *labels]),
+        "postings": StructType([*_ddl("term string"), *keys, *_ddl("tf int, dl int, places array<int>"), *run, *labels]),
         "terms": StructType([*_ddl("term string, df long"), *runs, *labels]),
         "sizes": StructType([*_ddl("n long, dl long"), *labels, *runs]),
         "deleted": StructType([*keys, *runs]),
@@ -121,7 +123,7 @@ def _schemas(chunks: DataFrame, key: list[str]) -> dict[str, str]:
 
 def _bags(chunks: DataFrame, *more: str) -> DataFrame:
     """A row for each chunk and word."""
-    return chunks.select(*more, *LABELS, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"))))
+    return chunks.select(*more, *LABELS, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"), "places")))
 
 
 def _ranges(spark: SparkSession, rows: int) -> int:
@@ -142,7 +144,7 @@ def _write_segment(rows: DataFrame, path: str, key: list[str], segment: str) ->
         return None
     ranges = _ranges(spark, total)
     postings = _bags(held, *key, "dl").repartitionByRange(ranges, *LABELS, "term", *key).sortWithinPartitions(*LABELS, "term")
-    _append(postings.select("term", *key, "tf", "dl", F.lit(segment).alias("segment"), *LABELS), path, "postings", "segment", *LABELS)
+    _append(postings.select("term", *key, "tf", "dl", "places", F.lit(segment).alias("segment"), *LABELS), path, "postings", "segment", *LABELS)
     _count(held, path, segment, segment, ranges)
     return schemas
 

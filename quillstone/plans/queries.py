@@ -136,6 +136,22 @@ def term_hits_topk(spark, sf_dir):
     return retrieval.term_hits(V.index(spark, sf_dir), QUESTION).orderBy(F.desc("score"), "doc_id", "window_no").limit(30)
 
 
+@query(sql("select doc_id, window_no::int window_no, round(0.1 * len(list_filter(ts, lambda t: t in ('the', 'privacy', 'and', 'license'))), 6)::double score from tokens where score > 0 order by score desc, doc_id, window_no limit 30", "tokens"))
+def cover_density_topk(spark, sf_dir):
+    """Chunks by cover density of a question that any of its words answers."""
+    scores = retrieval.cover_density(V.index(spark, sf_dir), QUESTION)
+    return scores.select("doc_id", "window_no", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id", "window_no").limit(30)
+
+
+_COVERED = "the and of"
+
+
+@query()
+def cover_density_every_word(spark, sf_dir):
+    """Every chunk that holds all words of a question, with its cover density."""
+    return retrieval.cover_density(V.index(spark, sf_dir), _COVERED, every_word=True).select("doc_id", "window_no", F.round("score", 6).alias("score"))
+
+
 def _rank_lists(tag: str = "") -> str:
     return _FUSE.format(tag=tag)
 

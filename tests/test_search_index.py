@@ -170,3 +170,41 @@ def test_mean_idf_is_taken_once_and_only_for_common_words(spark, tmp_path, monke
         retrieval.bm25(index, "common").count()
     assert len(calls) == 1
     assert os.path.exists(tmp_path / "index" / "manifest")
+
+
+def covers(words, asked):
+    """Least stretches that hold every asked word, by trying all of them."""
+    whole = [(a, b) for a in range(len(words)) for b in range(a, len(words)) if asked <= set(words[a : b + 1])]
+    return [(a, b) for a, b in whole if not any((c, d) != (a, b) and a <= c and d <= b for c, d in whole)]
+
+
+def test_cover_density_against_all_stretches():
+    import random
+
+    r = random.Random(1)
+    for _ in range(400):
+        words = [r.choice("abcdx") for _ in range(r.randint(1, 14))]
+        asked = r.sample("abc", r.randint(1, 3))
+        places = [[i for i, w in enumerate(words) if w == a] for a in asked]
+        want = sum(0.1 / (1 + sum(w not in asked for w in words[a : b + 1])) for a, b in covers(words, set(asked)))
+        if all(places):
+            assert retrieval.cover_score(places) == pytest.approx(want), (words, asked)
+
+
+def test_cover_density_of_chunks(spark, sf):
+    import re
+
+    index = views.index(spark, sf)
+    got = {(r.doc_id, r.window_no): r.score for r in retrieval.cover_density(index, "The and of AND", every_word=True).collect()}
+    want = {}
+    for r in index.chunks.select("doc_id", "window_no", "content").collect():
+        words = re.findall(r"\w+", r.content.lower())
+        asked = {"the", "and", "of"}
+        if asked <= set(words):
+            at = [[i for i, w in enumerate(words) if w == a] for a in asked]
+            # from each place of a word the next of every other; stretches that hold a shorter one are no least ones
+            ends = [(a, max(min((x for x in p if x >= a), default=10**9) for p in at)) for p in at for a in p]
+            least = {(a, b) for a, b in ends if b < 10**9 and not any(c > a and d <= b for c, d in ends)}
+            want[r.doc_id, r.window_no] = sum(0.1 / (1 + sum(w not in asked for w in words[a : b + 1])) for a, b in least)
+    assert got == pytest.approx(want) and want
+    assert retrieval.cover_density(index, "!!", every_word=True).count() == 0
