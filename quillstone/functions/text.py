@@ -25,6 +25,7 @@ BOILERPLATE = [
     r"\s*document\s+title:\s*.*",
     r"\s*company\s+name:\s*.*",
 ]
+NOT_BLANK = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 BOILERPLATE_RE = "(?i)^(?:" + "|".join(BOILERPLATE) + ")$"
 HEADING = r"^#{1,6}[^\S\n]+[^\n]+$"
 #: Embedding width, window size and overlap in words.
@@ -71,7 +72,7 @@ def clean(text: Column) -> Column:
     """The text without boilerplate lines, with one blank line of each run, lines trimmed at the right, and the whole trimmed. Works inside the row."""
     lines = F.split(F.regexp_replace(text, "\r\n?|[\x0b\x0c\x1c-\x1e\u0085  ]", "\n"), "\n")
     kept = F.filter(lines, lambda x: ~x.rlike(BOILERPLATE_RE))
-    blank = lambda x: ~x.rlike(r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]")
+    blank = lambda x: ~x.rlike(NOT_BLANK)
     runs = let(kept, lambda k: F.filter(k, lambda x, i: ~(blank(x) & F.coalesce(blank(F.get(k, i - 1)), F.lit(False)))))
     return trim(F.array_join(F.transform(runs, lambda x: F.regexp_replace(x, f"{WS}$", "")), "\n"))
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.functions import access, dialogue, text as T
+from quillstone.functions import access, dialogue, sql as functions_sql, text as T
 from quillstone.operators import accuracy, ann_index, chunking, index, joins, quality_report, registry, retrieval, search_index, session, validation
 from quillstone.plans import views as V
 from quillstone.plans.views import QUESTION, RANK, WORDS, WS, ranking_ctes, sql
@@ -56,6 +56,30 @@ def chunk_lineage(spark, sf_dir):
     return V.chunks(spark, sf_dir).select("chunk_id", "doc_id", "chunk_number", "total_chunks_in_document", "chunk_size", "content_hash")
 
 
+@query(sql("select chunk_id, doc_id, chunk_number::int chunk_number, total_chunks_in_document, chunk_size, content_hash from chunks", "chunks"))
+def chunk_lineage_sql(spark, sf_dir):
+    """chunk_lineage written in Spark SQL with the kernel's functions."""
+    functions_sql.register(spark)
+    V.governed(spark, sf_dir).createOrReplaceTempView("qs_governed")
+    return spark.sql("""
+        with windows as (
+            select d.doc_id, qs_document_id(d.text) document_id, c.window_no, c.content, sha2(c.content, 256) content_hash
+            from qs_governed d, lateral qs_chunk_text(d.text, 512, 100) c),
+        firsts as (
+            select content_hash, min_by(struct(doc_id, document_id, window_no, content), struct(doc_id is null, doc_id, window_no)) r from windows group by content_hash),
+        placed as (
+            select r.*, content_hash, row_number() over (partition by r.doc_id, r.document_id order by r.window_no) chunk_number, count(*) over (partition by r.doc_id, r.document_id) total_chunks_in_document from firsts)
+        select qs_chunk_id(document_id, chunk_number) chunk_id, doc_id, chunk_number, total_chunks_in_document, size(qs_words(content)) chunk_size, content_hash from placed""")
+
+
+@query(sql(f"select doc_id, len({WORDS('text')})::int n_words, sha256(array_to_string({WORDS('text')}, ' ')) collapsed, {RANK.format('sensitivity')} as level, {RANK.format('sensitivity')} <= 1 as internal from governed", "governed"))
+def kernel_sql(spark, sf_dir):
+    """Words, white space and access rules by the functions of Spark SQL."""
+    functions_sql.register(spark)
+    V.governed(spark, sf_dir).createOrReplaceTempView("qs_governed")
+    return spark.sql("select doc_id, size(qs_words(text)) n_words, sha2(qs_collapse(text), 256) collapsed, qs_access_rank(sensitivity) level, qs_is_allowed(sensitivity, 'Internal') internal from qs_governed")
+
+
 @query(sql("select doc_id, window_no::int window_no, sha256(content) content_hash from windowed", "windowed"))
 def chunk_windows(spark, sf_dir):
     return chunking.windowed(V.governed(spark, sf_dir)).select("doc_id", "window_no", "content_hash")

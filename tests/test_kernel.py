@@ -103,3 +103,25 @@ def test_dialogue(spark):
 
 def test_no_boilerplate_pattern_matches_prose():
     assert not re.match(T.BOILERPLATE_RE.replace("(?i)", ""), "a page of text", re.I)
+
+
+def test_functions_of_sql_are_the_expressions(spark):
+    from quillstone.functions import sql
+
+    sql.register(spark)
+    raw = ["Title\nPage 3 of 9\n  draft \n-----\n\n\nBody  \n\n\n\nDocument Title: x\nCONFIDENTIAL\nEnd\r\n", "\n\n a \r\n\r\nb\rc\x0bd e", "pre\n# One\nbody 1\n## Two\n### Three\nbody 3", "# Only", "# A \r\nx", "#nohead\ny", "it's\n \n\\n 'x'", None]
+    texts = [*TEXTS, *raw]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, t string")
+    for name, expr in [("qs_words", T.words), ("qs_tokens", T.tokens), ("qs_collapse", T.collapse), ("qs_clean", T.clean), ("qs_sections", T.sections), ("qs_hash_embedding", T.hash_vectors), ("qs_access_rank", access.rank), ("qs_document_id", lambda c: T.document_id(F.sha2(c, 256)))]:
+        both = rows.select("i", F.expr(f"{name}(t)").alias("a"), expr(F.col("t")).alias("b")).orderBy("i").collect()
+        assert [r.a for r in both] == [r.b for r in both], name
+    for clearance in ("Public", "Restricted", "nonsense", None):
+        said = spark.createDataFrame([(x,) for x in LABELS], "s string").select(F.expr(f"qs_is_allowed(s, {'null' if clearance is None else repr(clearance)})").alias("a"), access.is_allowed(F.col("s"), clearance).alias("b")).collect()
+        assert all(r.a == r.b for r in said)
+    for size, overlap in ((4, 1), (2, 5), (512, 100)):
+        rows.createOrReplaceTempView("qs_rows")
+        got = spark.sql(f"select i, c.window_no w, c.content c from qs_rows, lateral qs_chunk_text(t, {size}, {overlap}) c where t is not null").collect()
+        want = rows.filter("t is not null").select("i", F.posexplode(T.windows(F.col("t"), size, overlap)).alias("w", "c")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    plan = spark.sql("select qs_clean(t), qs_sections(t) from qs_rows")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
