@@ -232,7 +232,7 @@ QUERIES["index_update_hybrid"] = _grown_hybrid
 ORACLES["index_update_hybrid"] = _hybrid_oracle(2, f"(department is null or department in ('', 'General', 'Legal', 'HR')) and {_GROWN}")
 
 
-@query("select department, sensitivity, count(*) n, sum(len(content)) chars from (" + sql(f"select department, sensitivity, content from chunks where {_GROWN}", "chunks") + ") group by all")
+@query("select department, sensitivity, count(*) n, sum(len(content))::bigint chars from (" + sql(f"select department, sensitivity, content from chunks where {_GROWN}", "chunks") + ") group by all")
 def index_update_chunks(spark, sf_dir):
     """What the grown index holds."""
     return V.grown_index(spark, sf_dir).chunks.groupBy("department", "sensitivity").agg(F.count("*").alias("n"), F.sum(F.length("content")).alias("chars"))

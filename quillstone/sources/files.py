@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import warnings
 from collections.abc import Iterator
-from html.parser import HTMLParser
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quillstone.session import ship
+from quillstone.sources.markdown import to_markdown
 
 #: Extensions that are taken.
 EXTENSIONS = ["pdf", "docx", "pptx", "xlsx", "html", "csv", "txt"]
@@ -54,57 +54,6 @@ def read_csv(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     return csv_table(rows), {"rows": rows.count(), "columns": rows.columns}
 
 
-class _Markdown(HTMLParser):
-    """Headings, paragraphs and list items of a page as Markdown; scripts and styles are left out."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
-        self.parts: list[str] = []
-        self.mark, self.muted = "", 0
-        self.title: str | None = None
-        self.in_title = False
-
-    def flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        if text:
-            self.out.append(self.mark + text)
-        self.parts, self.mark = [], ""
-
-    def handle_starttag(self, tag: str, attrs) -> None:
-        if tag in ("script", "style"):
-            self.muted += 1
-        elif tag == "title":
-            self.in_title = True
-        elif tag in ("p", "div", "li", "ul", "ol", "tr", "article", "section", "nav", "footer", "header", "body", "table") or tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            self.flush()
-            self.mark = "#" * int(tag[1]) + " " if tag[0] == "h" and tag[1:].isdigit() else "- " if tag == "li" else ""
-        elif tag == "br":
-            self.parts.append(" ")
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in ("script", "style"):
-            self.muted = max(0, self.muted - 1)
-        elif tag == "title":
-            self.in_title = False
-        elif tag in ("p", "div", "li", "tr", "article", "section", "nav", "footer", "header", "h1", "h2", "h3", "h4", "h5", "h6"):
-            self.flush()
-
-    def handle_data(self, data: str) -> None:
-        if self.in_title:
-            self.title = (self.title or "") + data
-        elif not self.muted:
-            self.parts.append(data)
-
-
-def to_markdown(html: str) -> tuple[str | None, str]:
-    p = _Markdown()
-    p.feed(html)
-    p.close()
-    p.flush()
-    return p.title, "\n\n".join(p.out)
-
-
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         done = [to_markdown(h.as_py() or "") for h in batch.column(2)]
