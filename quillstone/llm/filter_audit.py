@@ -23,8 +23,20 @@ FILTERS = "ABCDE"
 _ID_BITS = 38
 _CAPITALS, _SYMBOLS = bytes(range(65, 91)), b"#$%&*|"
 
-#: A shard: for each row its id, part, text print, marks (4: C fails, 8: D fails); the CSR arrays; the words that `indices` number.
-_LOCAL = "shard long, doc_id array<long>, part array<string>, print array<binary>, marks array<int>, indptr array<int>, indices array<int>, data array<int>, words array<string>"
+#: A shard: for each row its id, part, text print, marks (4: C fails, 8: D fails); the CSR arrays, those of the cells packed; the words that `indices` number.
+_LOCAL = "shard long, doc_id array<long>, part array<string>, print array<binary>, marks array<int>, indptr array<int>, indices binary, data binary, words array<string>"
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """32-bit numbers as compressed steps from one to the next, all lowest bytes first. Words ascend in a row, so steps are small."""
+    steps = np.diff(values.astype("<i4"), prepend=np.int32(0)).astype("<i4")
+    return len(values).to_bytes(8, "little") + pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    steps = np.frombuffer(pa.decompress(data[8:], 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n).T.copy().view("<i4").ravel()
+    return np.cumsum(steps, dtype=np.int32)
 
 
 def _shard(number: int, rows: pa.Table) -> pa.RecordBatch:
@@ -47,8 +59,8 @@ def _shard(number: int, rows: pa.Table) -> pa.RecordBatch:
         prints.append(hashlib.sha256(text).digest())
         marks.append(4 * (100 * (len(text) - len(text.translate(None, _CAPITALS))) > MAX_CAPITALS_PERCENT * size) + 8 * (len(text.translate(None, _SYMBOLS)) < len(text)))
     fields = [x.split() for x in _LOCAL.split(", ")]
-    kinds = {"array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<int>": pa.list_(pa.int32())}
-    values = [rows.column("doc_id").to_pylist(), rows.column("part").to_pylist(), prints, marks, starts.astype(np.int32), (cell % width).astype(np.int32), count.astype(np.int32), names.filter(pa.array(told))]
+    kinds = {"array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<int>": pa.list_(pa.int32()), "binary": pa.binary()}
+    values = [rows.column("doc_id").to_pylist(), rows.column("part").to_pylist(), prints, marks, starts.astype(np.int32), _pack(cell % width), _pack(count), names.filter(pa.array(told))]
     return pa.RecordBatch.from_arrays([pa.array([number]), *[pa.array([v], kinds[t]) for v, (_, t) in zip(values, fields[1:])]], names=[n for n, _ in fields])
 
 
@@ -116,7 +128,7 @@ def _global(batch: pa.RecordBatch, k: int) -> np.ndarray:
     """The cells' global word ids of the k-th shard of batch."""
     ids = batch.column("ids")[k]
     table = np.sort(np.asarray(ids.values)) & ((1 << _ID_BITS) - 1) if ids.is_valid else np.zeros(0, np.int64)
-    return table[np.asarray(batch.column("indices")[k].values)]
+    return table[_unpack(batch.column("indices")[k].as_py())]
 
 
 def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -125,10 +137,11 @@ def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = b.schema.get_field_index("indices")
-            yield b.set_column(at, "indices", pa.array([_global(b, k) for k in range(b.num_rows)], pa.list_(pa.int64()))).drop_columns("ids")
+            kept = b.drop_columns(["ids", "indices", "data"])
+            cells = [pa.array([_global(b, k) for k in range(b.num_rows)], pa.list_(pa.int64())), pa.array([_unpack(x.as_py()) for x in b.column("data")], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *cells], names=[*kept.schema.names, "indices", "data"])
 
-    schema = _LOCAL.replace("indices array<int>", "indices array<long>").replace(", words array<string>", "")
+    schema = _LOCAL.split(", indices")[0] + ", indices array<long>, data array<int>"
     return parts.mapInArrow(encode, schema), words.filter("word is not null").select("word", "id")
 
 
@@ -139,7 +152,7 @@ def row_counts(docs: DataFrame) -> DataFrame:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                ends, data, cells = np.asarray(b.column("indptr")[k].values), np.asarray(b.column("data")[k].values), _global(b, k)
+                ends, data, cells = np.asarray(b.column("indptr")[k].values), _unpack(b.column("data")[k].as_py()), _global(b, k)
                 upto = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
                 filled = np.concatenate([[0], np.cumsum((data != 0) & (cells >= 0), dtype=np.int64)])
                 rows = [b.column(c)[k].values for c in ("doc_id", "part", "print", "marks")]
