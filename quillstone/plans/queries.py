@@ -463,7 +463,7 @@ def registry_state_fold(spark, sf_dir):
     return registry.states(V.stage_events(spark, sf_dir)).select("document_id", "status", "n_events")
 
 
-@query(sql("select document_id, status, n_events, epoch(to_timestamp(ingested_at))::bigint ingested_at, epoch(to_timestamp(classified_at))::bigint classified_at from assets", "assets"))
+@query(sql("select document_id, status, n_events, epoch(to_timestamp(ingested_at))::bigint ingested_at, coalesce(epoch(to_timestamp(classified_at))::bigint, 0) classified_at from assets", "assets"))
 def registry_snapshot(spark, sf_dir):
     """States from a log of three batches, of which two are folded in a snapshot and the third, with late events, is read beside it."""
     events, part = V.stage_events(spark, sf_dir), F.pmod(F.xxhash64("document_id", "stage", "at"), F.lit(3))
@@ -472,16 +472,16 @@ def registry_snapshot(spark, sf_dir):
         registry.save(events.filter(part == n), path)
         if n == 1:
             registry.snapshot(spark, path)
-    return registry.load(spark, path).select("document_id", "status", "n_events", F.unix_timestamp("ingested_at").alias("ingested_at"), F.unix_timestamp("classified_at").alias("classified_at"))
+    return registry.load(spark, path).select("document_id", "status", "n_events", F.unix_timestamp("ingested_at").alias("ingested_at"), F.coalesce(F.unix_timestamp("classified_at"), F.lit(0)).alias("classified_at"))
 
 
-@query("select 'f' || doc_id || '.json' file, case doc_id % 8 when 1 then 'malformed' when 2 then 'empty' when 3 then 'not an object' when 4 then 'wrong type: n_chars' when 5 then 'missing: lang' when 7 then 'empty' end reason, case when doc_id % 8 in (0, 6) then lang end lang, case when doc_id % 8 in (0, 6) then n_chars end n_chars from documents")
+@query("select 'f' || doc_id || '.json' file, case doc_id % 8 when 1 then 'malformed' when 2 then 'empty' when 3 then 'not an object' when 4 then 'wrong type: n_chars' when 5 then 'missing: lang' when 7 then 'empty' end reason, case when doc_id % 8 in (0, 6) then lang end lang, case when doc_id % 8 in (0, 6) then n_chars else 0 end n_chars from documents")
 def json_quarantine(spark, sf_dir):
     """Documents as JSON files of changing shape: cut short, empty, of another shape, with a field of the wrong type, lacking one, with more than is asked for. Every file is either read or listed with its reason."""
     k, said = F.col("doc_id") % 8, F.to_json(F.struct("doc_id", "lang", "n_chars", "text"))
     body = F.when(k == 1, F.left(said, F.length(said) - 5)).when(k == 2, " \n").when(k == 3, F.concat(F.lit("["), said, F.lit("]"))).when(k == 4, F.to_json(F.struct("doc_id", "lang", F.lit("many").alias("n_chars")))).when(k == 5, F.to_json(F.struct("doc_id", "n_chars"))).when(k != 7, said)
     read, bad = files.json_documents(V.table(spark, sf_dir, "documents").select(F.format_string("f%d.json", "doc_id").alias("file"), body.alias("body")), "doc_id long, lang string, n_chars long", ["lang"])
-    return read.select("file", F.lit(None).cast("string").alias("reason"), "lang", "n_chars").unionByName(bad.select("file", "reason", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("long").alias("n_chars")))
+    return read.select("file", F.lit(None).cast("string").alias("reason"), "lang", "n_chars").unionByName(bad.select("file", "reason", F.lit(None).cast("string").alias("lang"), F.lit(0).cast("long").alias("n_chars")))
 
 
 @query(sql("select count(*) total_documents, count(*) filter (status = 'ingested') ingested, count(*) filter (status = 'classified') classified, count(*) filter (status = 'chunked') chunked, count(*) filter (status = 'indexed') indexed, sum(coalesce(n, 0))::bigint total_chunks, sum(case when status = 'indexed' then coalesce(n, 0) else 0 end)::bigint chunks_indexed from assets left join (select doc_id, count(*) n from chunks group by doc_id) using (doc_id)", "assets", "chunks"))
