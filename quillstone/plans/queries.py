@@ -256,7 +256,7 @@ tf as (select doc_id, window_no, len(ts) dl, term, count(*) tf from (select doc_
 lex as (select item_id, doc_id, window_no, sum(w * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))) score from tf join w using (term), st group by all),
 rl as (select item_id, doc_id, window_no, row_number() over (partition by item_id order by score desc, doc_id, window_no) r from lex where score > 0 qualify r <= 30),
 f as (select item_id, doc_id, window_no, min(sr) sr, min(lr) lr, sum(1.0::double / (60 + coalesce(sr, lr))) rrf from (select item_id, doc_id, window_no, r sr, null lr from rs union all select item_id, doc_id, window_no, null, r from rl) group by all)
-select item_id, row_number() over (partition by item_id order by rrf desc, sr nulls last, lr nulls last, doc_id, window_no) place, doc_id, window_no::int window_no, round(rrf, 8) rrf_score from f qualify place <= 5"""
+select item_id, (row_number() over (partition by item_id order by rrf desc, sr nulls last, lr nulls last, doc_id, window_no))::int place, doc_id, window_no::int window_no, round(rrf, 8) rrf_score from f qualify place <= 5"""
     return sql(f"select * from (with {body})", "tokens")
 
 
