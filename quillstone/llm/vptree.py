@@ -15,8 +15,10 @@ from quillstone.llm.common import materialize, ship
 
 #: Bytes of a shard's vectors, vectors of a leaf, queries searched at once.
 SHARD_BYTES, LEAF, QUERY_ROWS = 8 << 20, 256, 4096
-#: Pivots, each the middle of a cell, come from a sample of so many rows and bytes at most; a cell of many rows is cut into several shards.
+#: Pivots, each the middle of a cell, come from a sample of so many rows and bytes at most; a cell of many rows is split around second pivots of its own.
 PIVOTS, PIVOT_BYTES = 1024, 4 << 20
+#: What names a shard: length of its vectors, first and second pivot, and part where both have too many rows.
+SHARD = ["dim", "cell", "sub", "part"]
 #: A subtree is passed over if its least possible distance exceeds FACTOR times the distance of the k-th neighbour so far. 1 restores exact search; smaller prunes more.
 FACTOR = 1.0
 #: Slack of bounds and of scores that are computed in blocks, in units of the vectors' lengths.
@@ -175,10 +177,62 @@ def _by_dim(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.
             yield part, d, part.column(place).flatten().to_numpy().reshape(-1, d).astype(np.float64)
 
 
+def distant(x: np.ndarray, k: int) -> np.ndarray:
+    """Places of k rows, or all, each the furthest from those before it; the first is the nearest to the mean."""
+    gap = lambda i: ((x - x[i]) ** 2).sum(1)
+    x = x / np.abs(x).max()
+    out = [int(((x - x.mean(0)) ** 2).sum(1).argmin())]
+    least = gap(out[0])
+    while len(out) < min(k, len(x)):
+        out.append(int(least.argmax()))
+        least = np.minimum(least, gap(out[-1]))
+    return np.array(out)
+
+
+def _split_cells(placed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """placed with `sub`, the nearest second pivot of its cell (0 in cells of one shard).
+
+    A cell's second pivots lie far from one another in a sample of about eight rows a shard; they are twice as many as its shards, but 2 * PIVOTS at most. A row is drawn by a hash of its place, so a vector with many copies fills its share of the sample
+    and no more. A large cell is met in chunks, each with the cell's second pivots.
+    """
+    told = placed.join(sizes, ["dim", "cell"])
+    if sizes.filter("shards > 1").isEmpty():
+        return told.withColumn("sub", F.lit(0)).drop("rows", "shards")
+    large = told.filter("shards > 1")
+    drawn = large.filter(F.pmod(F.xxhash64("h"), F.col("rows")) < 8 * F.least("shards", F.lit(PIVOTS))).select("dim", "cell", "embedding", "shards")
+
+    def spread(rows: pd.DataFrame) -> pd.DataFrame:
+        shards = int(rows["shards"].iloc[0])
+        x = np.unique(np.stack(rows["embedding"].to_numpy()).astype(np.float64), axis=0)
+        far = distant(x, 2 * min(shards, PIVOTS))
+        return pd.DataFrame({"dim": [rows["dim"].iloc[0]], "cell": [rows["cell"].iloc[0]], "shards": [shards], "pivots": [list(x[far])]})
+
+    second = materialize(drawn.groupBy("dim", "cell").applyInPandas(spread, "dim int, cell int, shards int, pivots array<array<double>>"))
+    right = second.select("dim", "cell", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("chunk"), "pivots")
+
+    def assign(rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        out = rows[["vec_id", "embedding", "dim", "cell", "h"]].assign(sub=np.int32(0))
+        if len(held) and len(rows):
+            centres = np.unique(np.stack([np.asarray(v, np.float64) for v in held["pivots"].iloc[0]]), axis=0)
+            x = np.stack(rows["embedding"].to_numpy()).astype(np.float64)
+            scale, middle = np.abs(centres).max(), centres.mean(0)
+            x, centres = (x - middle) / scale, (centres - middle) / scale
+            # by distance, as vectors of a cell differ little in direction
+            out["sub"] = np.argmax(x @ centres.T - (centres * centres).sum(1) / 2, axis=1).astype(np.int32)
+        return out
+
+    keys = ["dim", "cell", "chunk"]
+    chunks = large.withColumn("chunk", F.pmod("h", "shards").cast("int"))
+    dealt = chunks.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(assign, "vec_id long, embedding array<double>, dim int, cell int, h long, sub int")
+    columns = ["vec_id", "embedding", "dim", "cell", "h", "sub"]
+    return told.filter("shards <= 1").withColumn("sub", F.lit(0)).select(*columns).unionByName(materialize(dealt).select(*columns))
+
+
 def build_index(vectors: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, dict[int, np.ndarray]]:
-    """(trees, pivots). trees has a row a shard: dim, cell, part, norm, centre, radius and the tree, pickled with its vectors and ids.
+    """(trees, pivots). trees has a row a shard: dim, cell, sub, part, norm, centre, radius and the tree, pickled with its vectors and ids.
 
-    Every usable row is indexed, in the cell of its nearest pivot. A cell of over shard_bytes is cut into parts by a hash of its rows, so no shard grows with a hot cell or id.
+    Every usable row is indexed, in the cell of its nearest pivot. A cell of over shard_bytes is split around second pivots of its own, so that its shards get balls of their own. What still is over shard_bytes
+    (copies of one vector, say) is cut into parts by a hash of its rows, so no shard grows with a hot cell or id.
     """
     ship(vectors.sparkSession)
     rows = usable(vectors).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.size("embedding").alias("dim"))
@@ -189,27 +243,125 @@ def build_index(vectors: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Dat
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell_of(x, pivots.get(d)))], names=[*part.schema.names, "cell"])
 
     placed = materialize(rows.mapInArrow(assign, "vec_id long, embedding array<double>, dim int, cell int"))
-    parts = placed.groupBy("dim", "cell").agg(F.ceil(F.count("*") * F.col("dim") * 8 / shard_bytes).cast("int").alias("parts"))
+    shards = lambda: F.ceil(F.count("*") * F.col("dim") * 8 / shard_bytes).cast("int")
+    sizes = placed.groupBy("dim", "cell").agg(F.count("*").alias("rows"), shards().alias("shards"))
     # the row's place in its file spreads equal rows
-    dealt = placed.withColumn("h", F.xxhash64("vec_id", F.monotonically_increasing_id())).join(parts, ["dim", "cell"]).withColumn("part", F.pmod("h", "parts").cast("int"))
+    split = _split_cells(placed.withColumn("h", F.xxhash64("vec_id", F.monotonically_increasing_id())), sizes)
+    parts = split.groupBy("dim", "cell", "sub").agg(shards().alias("parts"))
+    dealt = split.join(parts, ["dim", "cell", "sub"]).withColumn("part", F.pmod("h", "parts").cast("int"))
 
     def tree(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
         norm = float(lengths(x).max())
         centre = x.mean(0)
         blob = pickle.dumps((build(lift(x, norm)), x.astype(np.float32) if np.array_equal(x.astype(np.float32), x) else x, pdf["vec_id"].to_numpy()), protocol=5)
-        return pd.DataFrame({"dim": [int(pdf["dim"].iloc[0])], "cell": [int(pdf["cell"].iloc[0])], "part": [int(pdf["part"].iloc[0])], "norm": [norm], "centre": [centre], "radius": [float(lengths(x - centre).max())], "tree": [blob]})
+        place = {c: [int(pdf[c].iloc[0])] for c in ("dim", "cell", "sub", "part")}
+        return pd.DataFrame({**place, "norm": [norm], "centre": [centre], "radius": [float(lengths(x - centre).max())], "tree": [blob]})
 
-    made = dealt.select("vec_id", "embedding", "dim", "cell", "part").groupBy("dim", "cell", "part").applyInPandas(tree, "dim int, cell int, part int, norm double, centre array<double>, radius double, tree binary")
+    made = dealt.select("vec_id", "embedding", *SHARD).groupBy(*SHARD).applyInPandas(tree, "dim int, cell int, sub int, part int, norm double, centre array<double>, radius double, tree binary")
     return materialize(made), pivots
 
 
+def balls(trees: DataFrame, *by: str) -> DataFrame:
+    """A ball for each group of shards: around the centre of its first one, wide enough for all of them. `parts` counts the shards."""
+    first = trees.groupBy(*by).agg(F.min_by("centre", F.struct("sub", "part")).alias("c"))
+    gap = F.sqrt(F.aggregate(F.zip_with("c", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+    return trees.drop("tree").join(first, list(by)).groupBy(*by).agg(F.count("*").cast("int").alias("parts"), F.max(gap + F.col("radius")).alias("radius"), F.max("norm").alias("norm"), F.first("c").alias("centre"))
+
+
+class Balls:
+    """Rows of `balls` as arrays."""
+
+    def __init__(self, rows: dict[str, list]):
+        self.cell, self.sub, self.parts = (np.asarray(rows[c], np.int32) for c in ("cell", "sub", "parts"))
+        self.centre, self.radius, self.norm = np.array(list(rows["centre"]), np.float64), np.asarray(rows["radius"], np.float64), np.asarray(rows["norm"], np.float64)
+
+    def home(self, q: np.ndarray) -> np.ndarray:
+        """The ball where each query begins: any would do, the one whose middle lies furthest in its direction is likely to hold near neighbours."""
+        return np.argmax((q / lengths(q)[:, None]) @ self.centre.T, axis=1)
+
+    def reached(self, q: np.ndarray, floor: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, ball) wherever the ball can hold a better neighbour than the floor: no inner product in it is greater; in the tree's distances the k-th neighbour's is the factor's."""
+        size = lengths(q)
+        scale = size[:, None] * self.norm
+        most = np.minimum(q @ self.centre.T + size[:, None] * self.radius, scale)
+        reach = factor * np.sqrt(np.maximum(2 - 2 * floor[:, None] / scale, 0.0)) + LOOSE
+        return np.nonzero(np.sqrt(np.maximum(2 - 2 * most / scale, 0.0)) <= reach)
+
+    def shards(self, n: np.ndarray, q: np.ndarray, floor: np.ndarray | None, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, ball, part): all shards that each query reaches; without floors the one where it begins."""
+        if floor is None:
+            own = self.home(q)
+            return np.arange(len(q)), own, n % self.parts[own]
+        row, at = self.reached(q, floor, factor)
+        times = self.parts[at]
+        row, at = np.repeat(row, times), np.repeat(at, times)
+        return row, at, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+
+
+_ROUTED = "n long, query_id long, q array<double>, floor double, dim int, cell int, sub int, part int"
+
+
+def _route_flat(asked: DataFrame, held: dict[int, Balls], factor: float) -> DataFrame:
+    """Queries (n, query_id, q, floor) with the shards they go to, from all balls at once. Without the column floor each goes to the one shard where it begins."""
+    begin = "floor" not in asked.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, d, q in _by_dim(batches, 2):
+            if d not in held:
+                continue
+            b = held[d]
+            floor = np.full(len(q), -np.inf) if begin else part.column(3).to_numpy(zero_copy_only=False)
+            row, at, shard = b.shards(part.column(0).to_numpy(), q, None if begin else floor, factor)
+            for i in range(0, len(row), 8192):
+                r, a = row[i : i + 8192], at[i : i + 8192]
+                places = [floor[r], np.full(len(r), d, np.int32), b.cell[a], b.sub[a], shard[i : i + 8192].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*part.take(pa.array(r)).columns[:3], *map(pa.array, places)], names=["n", "query_id", "q", "floor", *SHARD])
+
+    return asked.mapInArrow(run, _ROUTED)
+
+
+def _route_deep(asked: DataFrame, cells: dict[int, Balls], inner: DataFrame, factor: float) -> DataFrame:
+    """The same in two levels: queries go to cells, of which there are PIVOTS at most, and meet the balls in these there."""
+    begin = "floor" not in asked.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, d, q in _by_dim(batches, 2):
+            if d not in cells:
+                continue
+            b = cells[d]
+            floor = np.full(len(q), -np.inf) if begin else part.column(3).to_numpy(zero_copy_only=False)
+            row, at = (np.arange(len(q)), b.home(q)) if begin else b.reached(q, floor, factor)
+            for i in range(0, len(row), 8192):
+                r, a = row[i : i + 8192], at[i : i + 8192]
+                places = [floor[r], np.full(len(r), d, np.int32), b.cell[a]]
+                yield pa.RecordBatch.from_arrays([*part.take(pa.array(r)).columns[:3], *map(pa.array, places)], names=["n", "query_id", "q", "floor", "dim", "cell"])
+
+    pairs = materialize(asked.mapInArrow(run, "n long, query_id long, q array<double>, floor double, dim int, cell int"))
+    blocks = pairs.groupBy("dim", "cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("blocks"))
+    left = pairs.join(blocks, ["dim", "cell"]).withColumn("b", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int")).drop("blocks")
+    right = inner.join(blocks, ["dim", "cell"]).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+
+    def meet(rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        columns = ["n", "query_id", "q", "floor", "dim", "cell"]
+        out = [rows.iloc[:0][columns].assign(sub=np.int32(0), part=np.int32(0))]
+        if len(held):
+            b = Balls(held.to_dict("list"))
+            for i in range(0, len(rows), 256):
+                some = rows.iloc[i : i + 256]
+                row, at, part = b.shards(some["n"].to_numpy(), np.stack(some["q"].to_numpy()), None if begin else some["floor"].to_numpy(), factor)
+                out.append(some.iloc[row][columns].assign(sub=b.sub[at], part=part.astype(np.int32)))
+        return pd.concat(out)
+
+    keys = ["dim", "cell", "b"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, _ROUTED)
+
+
 def _search_shards(asked: DataFrame, trees: DataFrame, k: int, factor: float) -> DataFrame:
-    """(n, query_id, vec_id, score, own): the k best of each shard for the queries (n, query_id, q, floor) sent to it (dim, cell, part). Queries of a shard are searched in blocks; its tree goes to each block."""
-    shard = ["dim", "cell", "part"]
-    blocks = asked.groupBy(*shard).agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("blocks"))
-    left = asked.join(blocks, shard).withColumn("b", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int")).drop("blocks")
-    right = trees.join(blocks, shard).select(*shard, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), "norm", "tree")
+    """(n, query_id, vec_id, score, own): the k best of each shard for the queries (n, query_id, q, floor) sent to it. Queries of a shard are searched in blocks; its tree goes to each block."""
+    blocks = asked.groupBy(*SHARD).agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("blocks"))
+    left = asked.join(blocks, SHARD).withColumn("b", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int")).drop("blocks")
+    right = trees.join(blocks, SHARD).select(*SHARD, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), "norm", "tree")
 
     def find(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
@@ -220,7 +372,7 @@ def _search_shards(asked: DataFrame, trees: DataFrame, k: int, factor: float) ->
         row, col = np.nonzero(np.isfinite(best.score))
         return pd.DataFrame({"n": asked["n"].to_numpy()[row], "query_id": asked["query_id"].to_numpy()[row], "vec_id": best.id[row, col], "score": best.score[row, col], "own": best.own[row, col]})
 
-    keys = [*shard, "b"]
+    keys = [*SHARD, "b"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(find, "n long, query_id long, vec_id long, score double, own boolean")
 
 
@@ -229,61 +381,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
 
     Vectors that are null, zero or hold null or non-finite components, and null ids, take no part; only vectors of the query's length are compared; all candidates, if fewer than k. Repeated
     rows are candidates of their own, so an id may come twice, and a repeated query has a list for each of its rows. An empty table on either side gives no rows. Further columns are not read.
-    A query is first searched in one shard of its own cell. Then it goes to all other shards whose ball can, by the factor, hold a better neighbour than its k-th there: each shard is searched once.
+    A query is first searched in one shard near it. Then it goes to all other shards whose ball can, by the factor, hold a better neighbour than its k-th there: each shard is searched once.
     """
     spark = vectors.sparkSession
-    trees, pivots = build_index(vectors, shard_bytes)
-    # Balls of cells, as many as pivots at most, however many the vectors: around the centre of the cell's first part, wide enough for all its parts.
-    cells = trees.groupBy("dim", "cell").agg(F.min_by("centre", "part").alias("c"))
-    gap = F.sqrt(F.aggregate(F.zip_with("c", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    made = trees.drop("tree").join(cells, ["dim", "cell"]).groupBy("dim", "cell").agg(F.max("part").alias("last"), F.max(gap + F.col("radius")).alias("radius"), F.max("norm").alias("norm"), F.first("c").alias("centre"))
-    balls: dict[int, list] = {}
-    for r in made.collect():
-        balls.setdefault(r["dim"], []).append(r)
-
-    asked = materialize(usable(queries).select(F.monotonically_increasing_id().alias("n"), F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("q")))
-
-    def route(home: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, d, q in _by_dim(batches, 2):
-                rows = balls.get(d)
-                if not rows:
-                    continue
-                cell, parts = np.array([r["cell"] for r in rows]), np.array([r["last"] + 1 for r in rows])
-                centre, radius, norm = np.array([r["centre"] for r in rows]), np.array([r["radius"] for r in rows]), np.array([r["norm"] for r in rows])
-                size, n = lengths(q), part.column(0).to_numpy()
-                known = {c: i for i, c in enumerate(cell.tolist())}
-                own = np.array([known.get(c, 0) for c in cell_of(q, pivots.get(d)).tolist()])
-                own_part = n % parts[own]
-                if home:
-                    row, at, shard = np.arange(len(q)), own, own_part
-                    floor = np.full(len(q), -np.inf)
-                else:
-                    floor = part.column(3).to_numpy(zero_copy_only=False)
-                    # no inner product in a ball is greater; in the tree's distances the k-th neighbour's is the factor's
-                    most = np.minimum(q @ centre.T + size[:, None] * radius, size[:, None] * norm)
-                    scale = size[:, None] * norm
-                    reach = factor * np.sqrt(np.maximum(2 - 2 * floor[:, None] / scale, 0.0)) + LOOSE
-                    row, at = np.nonzero(np.sqrt(np.maximum(2 - 2 * most / scale, 0.0)) <= reach)
-                    times = parts[at]
-                    row, at = np.repeat(row, times), np.repeat(at, times)
-                    shard = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                    other = (at != own[row]) | (shard != own_part[row])
-                    row, at, shard = row[other], at[other], shard[other]
-                for i in range(0, len(row), 8192):
-                    r, a, s = row[i : i + 8192], at[i : i + 8192], shard[i : i + 8192]
-                    take = part.take(pa.array(r))
-                    yield pa.RecordBatch.from_arrays([*take.columns[:3], pa.array(floor[r]), pa.array(np.full(len(r), d, np.int32)), pa.array(cell[a].astype(np.int32)), pa.array(s.astype(np.int32))], names=["n", "query_id", "q", "floor", "dim", "cell", "part"])
-
-        return run
-
+    trees, _ = build_index(vectors, shard_bytes)
+    inner = materialize(balls(trees, "dim", "cell", "sub"))
+    # the bounds of all shards go with the tasks while these have the size of the pivots; beyond, those of the cells do, and shards are found inside the cells
+    flat = inner.agg(F.coalesce(F.sum(F.col("dim") * 8), F.lit(0))).first()[0] <= PIVOT_BYTES
+    told: dict[int, dict[str, list]] = {}
+    for r in (inner if flat else balls(trees, "dim", "cell").withColumn("sub", F.lit(0))).collect():
+        of = told.setdefault(r["dim"], {c: [] for c in ("cell", "sub", "parts", "centre", "radius", "norm")})
+        for c, held in of.items():
+            held.append(r[c])
+    held = {d: Balls(rows) for d, rows in told.items()}
     ship(spark)
-    routed = "n long, query_id long, q array<double>, floor double, dim int, cell int, part int"
+    route = lambda rows: _route_flat(rows, held, factor) if flat else _route_deep(rows, held, inner, factor)
+    asked = materialize(usable(queries).select(F.monotonically_increasing_id().alias("n"), F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("q")))
+    begun = materialize(route(asked))
     # one more than k everywhere, as the query's own row may be among them
-    first = materialize(_search_shards(asked.mapInArrow(route(True), routed), trees, k + 1, factor))
+    first = materialize(_search_shards(begun, trees, k + 1, factor))
     floors = first.groupBy("n").agg(F.when(F.count("*") > k, F.min("score")).alias("floor"))
-    rest = asked.join(floors, "n", "left").select("n", "query_id", "q", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
-    found = first.unionByName(_search_shards(rest.mapInArrow(route(False), routed), trees, k + 1, factor))
+    rest = route(asked.join(floors, "n", "left").select("n", "query_id", "q", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")))
+    found = first.unionByName(_search_shards(rest.join(begun.select("n", *SHARD), ["n", *SHARD], "left_anti"), trees, k + 1, factor))
     place = Window.partitionBy("n").orderBy(F.desc("score"), "vec_id", F.desc("own"))
     top = found.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= k + 1)
     passed = F.count_if("own").over(place.rowsBetween(Window.unboundedPreceding, 0))

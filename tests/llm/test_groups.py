@@ -324,3 +324,23 @@ def test_relaxed_pruning_keeps_recall_and_factor_one_is_exact():
         vptree.search(tree, x, ids, norm, ids[:200], best, factor)
         recall[factor] = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(best.id.tolist(), want.tolist(), strict=True)])
     assert recall[1.0] == 1.0 and recall[0.8] >= 0.9
+
+
+@pytest.mark.parametrize("pivot_bytes", [4 << 20, 8 * 16 * 8])
+def test_large_cells_have_balls_of_their_own(spark, monkeypatch, pivot_bytes):
+    """Eight pivots for some 60 shards of tight clusters, met flat and in two levels; rows of one vector fill several parts."""
+    r = np.random.default_rng(6)
+    middle = r.normal(size=(40, 16))
+    x = np.repeat(middle / np.linalg.norm(middle, axis=1)[:, None], 60, axis=0) + 0.001 * r.normal(size=(2400, 16))
+    x = np.concatenate([x, np.repeat(x[:1], 200, axis=0)])
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vptree, "PIVOTS", 8)
+    monkeypatch.setattr(vptree, "PIVOT_BYTES", pivot_bytes)
+    sent = []
+    search = vptree._search_shards
+    monkeypatch.setattr(vptree, "_search_shards", lambda asked, *rest: (sent.append(asked.count()), search(asked, *rest))[1])
+    agree(vptree.nearest(rows, rows.filter("vec_id % 20 = 0"), k=5, shard_bytes=8192), brute_nearest(rows.collect(), k=5))
+    trees = vptree.build_index(rows, 8192)[0]
+    shards = trees.count()
+    assert shards > 40 and trees.select("cell").distinct().count() <= 8 and sent[0] == 130
+    assert sent[1] < 0.1 * 130 * (shards - 1)
