@@ -321,7 +321,7 @@ def _route_flat(asked: DataFrame, held: dict[int, Balls], factor: float) -> Data
     return asked.mapInArrow(run, _ROUTED)
 
 
-def _route_deep(asked: DataFrame, cells: dict[int, Balls], inner: DataFrame, factor: float) -> DataFrame:
+def _route_deep(asked: DataFrame, cells: dict[int, Balls], pivots: dict[int, np.ndarray], inner: DataFrame, factor: float) -> DataFrame:
     """The same in two levels: queries go to cells, of which there are PIVOTS at most, and meet the balls in these there."""
     begin = "floor" not in asked.columns
 
@@ -331,7 +331,8 @@ def _route_deep(asked: DataFrame, cells: dict[int, Balls], inner: DataFrame, fac
                 continue
             b = cells[d]
             floor = np.full(len(q), -np.inf) if begin else part.column(3).to_numpy(zero_copy_only=False)
-            row, at = (np.arange(len(q)), b.home(q)) if begin else b.reached(q, floor, factor)
+            known = {c: i for i, c in enumerate(b.cell.tolist())}
+            row, at = (np.arange(len(q)), np.array([known.get(c, 0) for c in cell_of(q, pivots.get(d)).tolist()])) if begin else b.reached(q, floor, factor)
             for i in range(0, len(row), 8192):
                 r, a = row[i : i + 8192], at[i : i + 8192]
                 places = [floor[r], np.full(len(r), d, np.int32), b.cell[a]]
@@ -384,7 +385,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     A query is first searched in one shard near it. Then it goes to all other shards whose ball can, by the factor, hold a better neighbour than its k-th there: each shard is searched once.
     """
     spark = vectors.sparkSession
-    trees, _ = build_index(vectors, shard_bytes)
+    trees, pivots = build_index(vectors, shard_bytes)
     inner = materialize(balls(trees, "dim", "cell", "sub"))
     # the bounds of all shards go with the tasks while these have the size of the pivots; beyond, those of the cells do, and shards are found inside the cells
     flat = inner.agg(F.coalesce(F.sum(F.col("dim") * 8), F.lit(0))).first()[0] <= PIVOT_BYTES
@@ -395,7 +396,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
             held.append(r[c])
     held = {d: Balls(rows) for d, rows in told.items()}
     ship(spark)
-    route = lambda rows: _route_flat(rows, held, factor) if flat else _route_deep(rows, held, inner, factor)
+    route = lambda rows: _route_flat(rows, held, factor) if flat else _route_deep(rows, held, pivots, inner, factor)
     asked = materialize(usable(queries).select(F.monotonically_increasing_id().alias("n"), F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("q")))
     begun = materialize(route(asked))
     # one more than k everywhere, as the query's own row may be among them
