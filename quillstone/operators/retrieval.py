@@ -82,11 +82,8 @@ def _gain(tf: Column, dl: Column, mean_dl: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / mean_dl))
 
 
-def bm25(index: SearchIndex, question: str) -> DataFrame:
-    """key and score of all chunks that hold a word of the question. Statistics are over exactly the index's chunks.
-
-    The question's words are looked up first, and only their postings are read. The mean idf, which replaces a negative one, needs a pass over all words; it is made only if a word is in over half of the chunks, and remembered for what of the version is seen.
-    """
+def _term_weights(index: SearchIndex, question: str) -> tuple[dict[str, float], float]:
+    """The weights of the question's words that the index holds, and the chunks' mean length. Statistics are over exactly the index's chunks."""
     asked = question_terms(index.postings.sparkSession, question)
     n, dl = _known(index, "sizes", lambda: tuple(index.sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("dl"), F.lit(0))).first()))
     found = {r["term"]: r["df"] for r in index.terms.filter(F.col("term").isin(list(asked))).groupBy("term").agg(F.sum("df").alias("df")).collect()} if n else {}
@@ -94,10 +91,67 @@ def bm25(index: SearchIndex, question: str) -> DataFrame:
     if any(v < 0 for v in idf.values()):
         mean = _known(index, "mean idf", lambda: (_mean_idf(index, n),))[0]
         idf = {t: v if v >= 0 else NEGATIVE_IDF * mean for t, v in idf.items()}
-    weights = F.map_from_arrays(F.array(*map(F.lit, idf)).cast("array<string>"), F.array(*[F.lit(asked[t] * v) for t, v in idf.items()]).cast("array<double>"))
-    hits = index.postings.filter(F.col("term").isin(list(idf)))
-    mean_dl = F.lit(dl / n if dl else 1.0)
-    return hits.groupBy(*index.key).agg(F.sum(F.element_at(weights, F.col("term")) * _gain(F.col("tf"), F.col("dl"), mean_dl)).alias("score"))
+    return {t: asked[t] * v for t, v in idf.items()}, dl / n if dl else 1.0
+
+
+def _weight(weights: dict[str, float]) -> Column:
+    """The weight of a row's term."""
+    return F.element_at(F.map_from_arrays(F.array(*map(F.lit, weights)).cast("array<string>"), F.array(*map(F.lit, weights.values())).cast("array<double>")), F.col("term"))
+
+
+def _bm25_scores(hits: DataFrame, key: tuple[str, ...], weights: dict[str, float], mean_dl: float) -> DataFrame:
+    return hits.groupBy(*key).agg(F.sum(_weight(weights) * _gain(F.col("tf"), F.col("dl"), F.lit(mean_dl))).alias("score"))
+
+
+def bm25(index: SearchIndex, question: str) -> DataFrame:
+    """key and score of all chunks that hold a word of the question. Statistics are over exactly the index's chunks.
+
+    The question's words are looked up first, and only their postings are read. The mean idf, which replaces a negative one, needs a pass over all words; it is made only if a word is in over half of the chunks, and remembered for what of the version is seen.
+    """
+    weights, mean_dl = _term_weights(index, question)
+    return _bm25_scores(index.postings.filter(F.col("term").isin(list(weights))), index.key, weights, mean_dl)
+
+
+#: Blocks scored first, ranges of blocks that are pushed down into the scan, and slices of the blocks' numbers from which the ranges are made.
+FIRST_BLOCKS, RANGES, SLICES = 32, 16, 1_024
+#: What sums in another order may differ by.
+ROUNDING = 1e-9
+
+
+def _in_ranges(blocks: DataFrame) -> Column:
+    """A condition on `block` that holds for all of blocks, and for few others: at most RANGES ranges, parted at the widest gaps between the blocks of SLICES slices."""
+    last = blocks.agg(F.max("block")).first()[0]
+    if last is None:
+        return F.lit(False)
+    width = last // SLICES + 1
+    found = sorted(tuple(r) for r in blocks.groupBy(F.floor(F.col("block") / width)).agg(F.min("block").alias("low"), F.max("block").alias("high")).select("low", "high").collect())
+    gaps = sorted(range(1, len(found)), key=lambda i: found[i - 1][1] - found[i][0])[: RANGES - 1]
+    cuts = [0, *sorted(gaps), len(found)]
+    out = F.lit(False)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        out = out | F.col("block").between(found[a][0], found[b - 1][1])
+    return out
+
+
+def bm25_hits(index: SearchIndex, weights: dict[str, float], mean_dl: float, k: int) -> DataFrame:
+    """The postings among which the k best chunks by BM25 are. The bound of a block is the sum of what its greatest tf and least length score for each word. The FIRST_BLOCKS of greatest bound are scored; blocks whose bound is less than the k-th score there hold none of the k best and are left out."""
+    place = ["segment", *LABELS, "block"]
+    asked = F.col("term").isin(list(weights))
+    most = F.greatest(_weight(weights), F.lit(0.0)) * _gain(F.col("top_tf"), F.col("least_dl"), F.lit(mean_dl))
+    blocks = index.bounds.filter(asked).groupBy(*place).agg((F.sum(most) * (1 + ROUNDING)).alias("most"))
+    first = [r["block"] for r in blocks.orderBy(F.desc("most"), *place).limit(FIRST_BLOCKS).collect()]
+    hits = index.postings.filter(asked)
+    best = _bm25_scores(hits.filter(F.col("block").isin(first)), index.key, weights, mean_dl).orderBy(F.desc("score")).limit(k).collect()
+    if len(best) < k:
+        return hits
+    kept = blocks.filter(F.col("most") >= best[-1]["score"]).select(*place)
+    return hits.filter(_in_ranges(kept)).join(kept, place, "left_semi")
+
+
+def bm25_best(index: SearchIndex, question: str, k: int) -> DataFrame:
+    """key and score of the k best chunks by bm25, ties by key, from the blocks that can hold them."""
+    weights, mean_dl = _term_weights(index, question)
+    return _bm25_scores(bm25_hits(index, weights, mean_dl, k), index.key, weights, mean_dl).orderBy(F.desc("score"), *index.key).limit(k)
 
 
 def term_hits(index: SearchIndex, question: str) -> DataFrame:

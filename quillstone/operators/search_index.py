@@ -22,6 +22,8 @@ from quillstone.session import ship
 LABELS = ["in_department", "at_level"]
 #: Postings of a range partition, at most and at least about.
 POSTINGS, FEW_POSTINGS = 4_000_000, 250_000
+#: Chunks of a block, about; rows of a page of the postings' files, which are skipped by the blocks' numbers.
+BLOCK, PAGE_ROWS = 64, 2_048
 #: Deleted keys up to which they are broadcast.
 BROADCAST_KEYS = 100_000
 #: Columns that the index adds to a chunk: words, norm and values of its vector, its terms, how often and at which words each occurs, and a hash of the columns given.
@@ -31,10 +33,11 @@ _MANIFEST = "segments array<string>, runs array<string>, key array<string>, dim
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """chunks (key, chunk columns, ADDED, labels, segment), postings (term, key, tf, dl, places, labels, segment), terms (term, df, labels) and sizes (n, dl, labels). `name` tells the version and what of it is seen."""
+    """chunks (key, chunk columns, ADDED, labels, segment), postings (term, block, key, tf, dl, places, labels, segment), bounds (term, block, n, top_tf, least_dl, labels, segment), terms (term, df, labels) and sizes (n, dl, labels). `name` tells the version and what of it is seen."""
 
     chunks: DataFrame
     postings: DataFrame
+    bounds: DataFrame
     terms: DataFrame
     sizes: DataFrame
     key: tuple[str, ...] = ("doc_id", "window_no")
@@ -42,7 +45,7 @@ class SearchIndex:
 
     def where(self, condition: Column, name: str) -> SearchIndex:
         """The index of the chunks whose labels pass."""
-        return SearchIndex(self.chunks.filter(condition), self.postings.filter(condition), self.terms.filter(condition), self.sizes.filter(condition), self.key, f"{self.name}|{name}")
+        return SearchIndex(self.chunks.filter(condition), self.postings.filter(condition), self.bounds.filter(condition), self.terms.filter(condition), self.sizes.filter(condition), self.key, f"{self.name}|{name}")
 
     def visible(self, clearance: str | None, departments: list[str] | str | None = access.ALL) -> SearchIndex:
         """What the clearance and the departments may see, as filters on the partition columns."""
@@ -95,7 +98,7 @@ def _labelled(chunks: DataFrame, key: list[str]) -> DataFrame:
 
 
 def _append(df: DataFrame, path: str, name: str, *by: str) -> None:
-    df.write.mode("append").partitionBy(*by).parquet(f"{path}/{name}")
+    df.write.mode("append").option("parquet.page.row.count.limit", PAGE_ROWS).partitionBy(*by).parquet(f"{path}/{name}")
 
 
 def _read(spark: SparkSession, path: str, name: str, schemas: dict[str, str], live: Column) -> DataFrame:
@@ -113,7 +116,8 @@ def _schemas(chunks: DataFrame, key: list[str]) -> dict[str, str]:
     plain = [f for f in chunks.schema if f.name not in {*LABELS, "segment"}]
     tables = {
         "chunks": StructType([*plain, *run, *labels]),
-        "postings": StructType([*_ddl("term string"), *keys, *_ddl("tf int, dl int, places array<int>"), *run, *labels]),
+        "postings": StructType([*_ddl("term string, block int"), *keys, *_ddl("tf int, dl int, places array<int>"), *run, *labels]),
+        "bounds": StructType([*_ddl("term string, block int, n long, top_tf int, least_dl int"), *run, *labels]),
         "terms": StructType([*_ddl("term string, df long"), *runs, *labels]),
         "sizes": StructType([*_ddl("n long, dl long"), *labels, *runs]),
         "deleted": StructType([*keys, *runs]),
@@ -121,7 +125,7 @@ def _schemas(chunks: DataFrame, key: list[str]) -> dict[str, str]:
     return {n: s.json() for n, s in tables.items()}
 
 
-def _bags(chunks: DataFrame, *more: str) -> DataFrame:
+def _bags(chunks: DataFrame, *more: Column | str) -> DataFrame:
     """A row for each chunk and word."""
     return chunks.select(*more, *LABELS, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"), "places")))
 
@@ -133,7 +137,8 @@ def _ranges(spark: SparkSession, rows: int) -> int:
 def _write_segment(rows: DataFrame, path: str, key: list[str], segment: str) -> dict[str, str] | None:
     """Write measured rows as a segment of its own; the schemas, or None if there are no rows.
 
-    Postings are cut into ranges of labels, terms and keys, so a question's terms are found by the files' bounds and no term is a hot task.
+    Postings are cut into ranges of labels, terms, blocks and keys, so a question's terms are found by the files' bounds and no term is a hot task. A block holds whole documents, whose chunks share words; what it
+    can score at most for a term follows from the greatest tf and the least length in `bounds`. Deletions leave bounds as they are: what is left scores no more.
     """
     spark = rows.sparkSession
     _append(rows.withColumn("segment", F.lit(segment)), path, "chunks", "segment", *LABELS)
@@ -143,8 +148,12 @@ def _write_segment(rows: DataFrame, path: str, key: list[str], segment: str) ->
     if not n:
         return None
     ranges = _ranges(spark, total)
-    postings = _bags(held, *key, "dl").repartitionByRange(ranges, *LABELS, "term", *key).sortWithinPartitions(*LABELS, "term")
-    _append(postings.select("term", *key, "tf", "dl", "places", F.lit(segment).alias("segment"), *LABELS), path, "postings", "segment", *LABELS)
+    block = F.pmod(F.xxhash64(key[0]), F.lit(-(-n // BLOCK))).cast("int").alias("block")
+    bags = _bags(held, block, *key, "dl")
+    bounds = bags.groupBy(*LABELS, "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
+    _append(bounds.repartitionByRange(ranges, *LABELS, "term").sortWithinPartitions(*LABELS, "term", "block").withColumn("segment", F.lit(segment)), path, "bounds", "segment", *LABELS)
+    postings = bags.repartitionByRange(ranges, *LABELS, "term", "block", *key).sortWithinPartitions(*LABELS, "term", "block")
+    _append(postings.select("term", "block", *key, "tf", "dl", "places", F.lit(segment).alias("segment"), *LABELS), path, "postings", "segment", *LABELS)
     _count(held, path, segment, segment, ranges)
     return schemas
 
@@ -278,7 +287,7 @@ def load(spark: SparkSession, path: str) -> SearchIndex:
     if m is None:
         raise FileNotFoundError(f"no index manifest at {path}")
     t = _tables(spark, path, m)
-    return SearchIndex(t["chunks"], t["postings"], t["terms"], t["sizes"], tuple(m["key"]), f"{path}@{m['version']}")
+    return SearchIndex(t["chunks"], t["postings"], t["bounds"], t["terms"], t["sizes"], tuple(m["key"]), f"{path}@{m['version']}")
 
 
 def found_score(spark: SparkSession, path: str) -> float | None:

@@ -208,3 +208,27 @@ def test_cover_density_of_chunks(spark, sf):
             want[r.doc_id, r.window_no] = sum(0.1 / (1 + sum(w not in asked for w in words[a : b + 1])) for a, b in least)
     assert got == pytest.approx(want) and want
     assert retrieval.cover_density(index, "!!", every_word=True).count() == 0
+
+
+def test_early_end_gives_the_best_from_fewer_postings(spark, tmp_path, monkeypatch):
+    """Rare words stand in few blocks; common ones are read there alone. After deletions and a second segment too, and with ties and too few chunks."""
+    monkeypatch.setattr(search_index, "BLOCK", 4)
+    monkeypatch.setattr(retrieval, "FIRST_BLOCKS", 3)
+    path = f"file://{tmp_path}/blocks"
+    docs = [chunk(i, w, "fish sea " + "and blue " * (i % 5) + ("coral " * (1 + i % 3) if i % 37 == 0 else "") + "pad " * (i % 11), ["HR", "Legal"][i % 2]) for i in range(300) for w in range(2)]
+    search_index.build(rows(spark, *docs), path)
+    for step in range(2):
+        index = search_index.load(spark, path)
+        for seen in (index, index.visible("Public", ["HR"])):
+            for question, k in (("coral fish and sea", 5), ("fish", 7), ("fish sea", 5_000), ("nowhere", 5)):
+                every = sorted(((-r.score, r.doc_id, r.window_no) for r in retrieval.bm25(seen, question).collect()))
+                got = [(r.doc_id, r.window_no, r.score) for r in retrieval.bm25_best(seen, question, k).collect()]
+                assert [g[2] for g in got] == pytest.approx([-x[0] for x in every[:k]], rel=1e-12)
+                near = {x[1:] for x in every if -x[0] >= got[-1][2] - 1e-9} if got else set()
+                assert {g[:2] for g in got} <= near and len({g[:2] for g in got}) == len(got)
+        weights, mean_dl = retrieval._term_weights(index, "coral fish and sea")
+        read, every = retrieval.bm25_hits(index, weights, mean_dl, 5), index.postings.filter(F.col("term").isin(list(weights)))
+        assert 0 < read.count() < every.count() / 3
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(block" in plan
+        search_index.update(rows(spark, *[chunk(i, 0, "coral coral fish") for i in (3, 37, 401)]), path, gone=rows(spark, chunk(74, 0, "")))
