@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -49,13 +50,18 @@ def question_terms(spark: SparkSession, question: str) -> dict[str, int]:
 
 def semantic(index: SearchIndex, question: str) -> DataFrame:
     """key and cosine score of every chunk of the index; it has the vectors and their norms, of which only the places that the question fills count."""
-    query = embed_query(index.chunks.sparkSession, question)
-    size = sum(v * v for v in query) ** 0.5
-    if len(query) <= 64:
-        dot = sum((F.coalesce(F.get("vector", F.lit(i)), F.lit(0.0)) * v for i, v in enumerate(query)), F.lit(0.0))
-    else:
-        dot = F.aggregate(F.zip_with("vector", vector_literal(query), lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda s, v: s + v)
-    score = F.when((F.col("norm") > 0) & F.lit(size > 0), dot / (F.col("norm") * size)).otherwise(0.0) if size else F.lit(0.0)
+    spark = index.chunks.sparkSession
+    query = embed_query(spark, question)
+    size = T.norm(query)
+    if not size:
+        return index.chunks.select(*index.key, F.lit(0.0).alias("score"))
+    ship(spark)
+
+    @F.pandas_udf(DoubleType())
+    def dot(vector: pd.Series) -> pd.Series:
+        return vector.map(lambda v: T.fused_dot(v.tolist(), query), na_action="ignore")
+
+    score = F.when(F.col("norm") > 0, F.coalesce(dot(F.slice("vector", 1, len(query))), F.lit(0.0)) / (F.col("norm") * size)).otherwise(0.0)
     return index.chunks.select(*index.key, score.alias("score"))
 
 
@@ -99,8 +105,16 @@ def _weight(weights: dict[str, float]) -> Column:
     return F.element_at(F.map_from_arrays(F.array(*map(F.lit, weights)).cast("array<string>"), F.array(*map(F.lit, weights.values())).cast("array<double>")), F.col("term"))
 
 
+#: Scores are added up as multiples of 1 / UNIT, so that equal shares give equal sums in whatever order they come.
+UNIT = float(2**40)
+
+
+def _total(share: Column) -> Column:
+    return F.sum(F.round(share * UNIT).cast("long")) / UNIT
+
+
 def _bm25_scores(hits: DataFrame, key: tuple[str, ...], weights: dict[str, float], mean_dl: float) -> DataFrame:
-    return hits.groupBy(*key).agg(F.sum(_weight(weights) * _gain(F.col("tf"), F.col("dl"), F.lit(mean_dl))).alias("score"))
+    return hits.groupBy(*key).agg(_total(_weight(weights) * _gain(F.col("tf"), F.col("dl"), F.lit(mean_dl))).alias("score"))
 
 
 def bm25(index: SearchIndex, question: str) -> DataFrame:
@@ -114,7 +128,7 @@ def bm25(index: SearchIndex, question: str) -> DataFrame:
 
 #: Blocks scored first, ranges of blocks that are pushed down into the scan, and slices of the blocks' numbers from which the ranges are made.
 FIRST_BLOCKS, RANGES, SLICES = 32, 16, 1_024
-#: What sums in another order may differ by.
+#: What sums in another order may differ by, relative and absolute.
 ROUNDING = 1e-9
 
 
@@ -138,7 +152,7 @@ def bm25_hits(index: SearchIndex, weights: dict[str, float], mean_dl: float, k:
     place = ["segment", *LABELS, "block"]
     asked = F.col("term").isin(list(weights))
     most = F.greatest(_weight(weights), F.lit(0.0)) * _gain(F.col("top_tf"), F.col("least_dl"), F.lit(mean_dl))
-    blocks = index.bounds.filter(asked).groupBy(*place).agg((F.sum(most) * (1 + ROUNDING)).alias("most"))
+    blocks = index.bounds.filter(asked).groupBy(*place).agg((F.sum(most) * (1 + ROUNDING) + ROUNDING).alias("most"))
     first = [r["block"] for r in blocks.orderBy(F.desc("most"), *place).limit(FIRST_BLOCKS).collect()]
     hits = index.postings.filter(asked)
     best = _bm25_scores(hits.filter(F.col("block").isin(first)), index.key, weights, mean_dl).orderBy(F.desc("score")).limit(k).collect()
@@ -269,40 +283,43 @@ def lexical_many(index: SearchIndex, questions: DataFrame, scope: Column, k: int
     value = F.when(F.col("idf") < 0, NEGATIVE_IDF * F.col("mean")).otherwise(F.col("idf"))
     weights = weights.join(asked, "term").select("question_no", "scope", "term", "mean_dl", (F.col("weight") * value).alias("w"))
     hits = index.postings.select(scope.alias("scope"), "term", *keys, "tf", "dl").join(F.broadcast(weights), ["term", "scope"])
-    scores = hits.groupBy("question_no", "scope", *keys).agg(F.sum(F.col("w") * _gain(F.col("tf"), F.col("dl"), F.col("mean_dl"))).alias("score")).filter("score > 0")
+    scores = hits.groupBy("question_no", "scope", *keys).agg(_total(F.col("w") * _gain(F.col("tf"), F.col("dl"), F.col("mean_dl"))).alias("score")).filter("score > 0")
     return best_by(scores, ["question_no", "scope"], keys, k)
 
 
-def _nearest(keys: list[str], numbers: list[int], vectors: np.ndarray, k: int) -> Callable:
-    """For batches of chunks (scope, keys, norm, vector): each question's k best of each scope in the batch, from one matrix product; the few that may be among them are measured again, term by term, so that equal vectors get equal scores."""
-    width, sizes = vectors.shape[1], [float(np.cumsum(v * v)[-1]) ** 0.5 for v in vectors]
+#: Questions whose products with a batch of chunks are held together: 5 MB.
+PRODUCTS_AT_ONCE = 64
+
+
+def _nearest(keys: list[str], numbers: list[int], questions: list[list[float]], k: int) -> Callable:
+    """For batches of chunks (scope, keys, norm, vector as far as a question goes): each question's k best of each scope in the batch, from matrix products; the few that may be among them are measured again, term by term, so that equal vectors get equal scores."""
+    width = max(1, *map(len, questions))
+    vectors, sizes = np.array([np.pad(v, (0, width - len(v))) for v in questions]), [T.norm(v) for v in questions]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             lists = b.column("vector")
-            ends = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in lists])])
-            flat = np.asarray(lists.flatten())
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            row, start = np.repeat(np.arange(b.num_rows), counts), np.cumsum(counts) - counts
             matrix = np.zeros((b.num_rows, width))
-            for i in range(b.num_rows):
-                part = flat[ends[i] : ends[i + 1]][:width]
-                matrix[i, : len(part)] = part
+            matrix[row, np.arange(len(row)) - np.repeat(start, counts)] = np.asarray(lists.flatten())
             norms = np.asarray(b.column("norm"))
-            rough = matrix @ vectors.T
-            length = norms[:, None] * np.array(sizes)[None, :]
-            rough = np.divide(rough, length, out=np.zeros_like(rough), where=length > 0)
             scopes = b.column("scope").to_pylist()
+            groups = {s: np.array([i for i, x in enumerate(scopes) if x == s]) for s in set(scopes)}
             key_rows = list(zip(*(b.column(c).to_pylist() for c in keys)))
             out: list[tuple] = []
-            for s in set(scopes):
-                rows = np.array([i for i, x in enumerate(scopes) if x == s])
-                for q, number in enumerate(numbers):
-                    score = rough[rows, q]
+            for q, number in enumerate(numbers):
+                if q % PRODUCTS_AT_ONCE == 0:
+                    rough = matrix @ vectors[q : q + PRODUCTS_AT_ONCE].T
+                    length = norms[:, None] * np.array(sizes[q : q + PRODUCTS_AT_ONCE])[None, :]
+                    rough = np.divide(rough, length, out=np.zeros_like(rough), where=length > 0)
+                for s, rows in groups.items():
+                    score = rough[rows, q % PRODUCTS_AT_ONCE]
                     least = np.partition(score, len(score) - k)[len(score) - k] - 1e-9 if len(score) > k else -np.inf
-                    near = rows[score >= least]
-                    exact = np.cumsum(matrix[near] * vectors[q], axis=1)[:, -1] if len(near) else np.zeros(0)
-                    exact = [float(d) / (norms[i] * sizes[q]) if norms[i] > 0 and sizes[q] > 0 else 0.0 for d, i in zip(exact, near)]
+                    near = rows[score >= least].tolist()
+                    exact = [T.fused_dot(matrix[i].tolist(), questions[q]) / (norms[i] * sizes[q]) if norms[i] > 0 and sizes[q] > 0 else 0.0 for i in near]
                     first = sorted(zip(exact, near), key=lambda x: (-x[0], [(v is not None, v) for v in key_rows[x[1]]]))[:k]
                     out += [(number, s, key_rows[i], d) for d, i in first]
             columns = [pa.array([r[2][j] for r in out], b.schema.field(c).type) for j, c in enumerate(keys)]
@@ -317,24 +334,24 @@ def semantic_many(index: SearchIndex, questions: DataFrame, scope: Column, k: in
     The chunks are read once for QUESTIONS_AT_ONCE questions, whose vectors go with the tasks; no vector is shuffled, only each batch's best.
     """
     keys = list(index.key)
-    chunks = index.chunks.select(scope.alias("scope"), *keys, "norm", "vector")
+    chunks = index.chunks.select(scope.alias("scope"), *keys, "norm", "vector")  # of the vectors only what the questions fill is sent
     kinds = ", ".join(f"`{c}` {index.chunks.schema[c].dataType.simpleString()}" for c in keys)
     vectors = questions.select("question_no", T.hash_vectors("question").alias("v"))
     parts, block, numbers = None, [], []
 
     def flush() -> DataFrame:
-        width = max(1, max(map(len, block)))
-        scores = chunks.mapInArrow(_nearest(keys, numbers, np.array([np.pad(v, (0, width - len(v))) for v in block]), k), f"question_no long, scope string, {kinds}, score double")
+        width = max(1, *map(len, block))
+        scores = chunks.withColumn("vector", F.slice("vector", 1, width)).mapInArrow(_nearest(keys, numbers, block, k), f"question_no long, scope string, {kinds}, score double")
         return scores if parts is None else parts.unionByName(scores)
 
     for r in vectors.toLocalIterator():  # a block of questions at a time
-        block.append(np.array(r["v"] or [], float))
+        block.append(list(r["v"] or []))
         numbers.append(r["question_no"])
         if len(block) == QUESTIONS_AT_ONCE:
             parts = flush()
             block, numbers = [], []
     if block or parts is None:
-        block, numbers = block or [np.zeros(1)], numbers or [-1]
+        block, numbers = block or [[0.0]], numbers or [-1]
         parts = flush()
     return best_by(parts, ["question_no", "scope"], keys, k)
 

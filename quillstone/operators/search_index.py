@@ -81,7 +81,7 @@ def _measured(rows: DataFrame) -> DataFrame:
             vectors = list(T.hash_vectors.func(pd.Series(b.column("content").to_pylist(), dtype=object)))
             kept = b.drop_columns("_low")
             made = [
-                pa.array([sum(map(len, c.values())) for c in bags], pa.int32()), pa.array([sum(x * x for x in v.tolist()) ** 0.5 for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())),
+                pa.array([sum(map(len, c.values())) for c in bags], pa.int32()), pa.array([T.norm(v.tolist()) for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())),
                 pa.array([list(c) for c in bags], pa.list_(pa.string())), pa.array([list(map(len, c.values())) for c in bags], pa.list_(pa.int32())), pa.array([list(c.values()) for c in bags], pa.list_(pa.list_(pa.int32()))),
             ]
             yield pa.RecordBatch.from_arrays([*kept.columns, *made], names=[f.name for f in schema])

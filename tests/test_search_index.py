@@ -232,3 +232,27 @@ def test_early_end_gives_the_best_from_fewer_postings(spark, tmp_path, monkeypat
         plan = read._jdf.queryExecution().executedPlan().toString()
         assert "GreaterThanOrEqual(block" in plan
         search_index.update(rows(spark, *[chunk(i, 0, "coral coral fish") for i in (3, 37, 401)]), path, gone=rows(spark, chunk(74, 0, "")))
+
+
+def test_scores_that_sql_holds_equal_are_equal(spark, tmp_path):
+    """As SQL has them: cosines are added up by fused multiply-adds in order, and equal shares of BM25 give equal sums in any order of rows."""
+    import hashlib
+    import math
+
+    import duckdb
+
+    words = [f"w{i}" for i in range(40)]
+    docs = [chunk(i, 0, " ".join([w] * n)) for i, w in enumerate(words) for n in [1 + i % 30]]
+    search_index.build(rows(spark, *docs), f"file://{tmp_path}/index")
+    index, question = search_index.load(spark, f"file://{tmp_path}/index"), "x0 x1 x2 x3 x4 x5 x6 x7 x8 x9"
+    vec = lambda t: [math.floor(int(hashlib.sha256(w.encode()).hexdigest()[:8], 16) / 4294967295.0 * 1e6 + 0.5) / 1e6 for w in t.split()]
+    want = {}
+    for i, _, _, _, text in docs:
+        v, q = vec(text), vec(question)
+        m = min(len(v), len(q))
+        want[i] = duckdb.execute("select list_inner_product(a[1:$m], b[1:$m]) / (sqrt(list_inner_product(a, a)) * sqrt(list_inner_product(b, b))) from (select $a::double[] a, $b::double[] b)", {"m": m, "a": v, "b": q}).fetchone()[0]
+    assert {r.doc_id: r.score for r in retrieval.semantic(index, question).collect()} == want
+    asked = spark.createDataFrame([(1, question)], "question_no long, question string")
+    assert {r.doc_id: r.score for r in retrieval.semantic_many(index, asked, F.lit(""), 100).collect()} == want
+    shares = spark.createDataFrame([(k, x) for k, order in (("a", [0.1, 0.7, 1e3 / 3]), ("b", [1e3 / 3, 0.7, 0.1])) for x in order], "k string, x double").coalesce(1)
+    assert shares.groupBy("k").agg(retrieval._total(F.col("x")).alias("t")).select("t").distinct().count() == 1
