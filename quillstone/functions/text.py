@@ -117,23 +117,27 @@ def hash_embedding(text: Column, dim: int = DIM) -> Column:
 
 #: Words whose values a Python worker remembers.
 CACHE_WORDS = 500_000
-_VALUES: dict[str, float] = {}
+
+
+class _Values(dict):
+    """A word's value, hashed when first asked for."""
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        found = self[word] = int(hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) / 4294967295.0
+        return found
+
+
+_VALUES = _Values()
 
 
 @F.pandas_udf(ArrayType(DoubleType()))
 def hash_vectors(text: pd.Series) -> pd.Series:
     """hash_embedding for whole tables, a batch of texts at once; a worker hashes each word once. Nested expressions take some 60 times as long there, as Spark interprets them."""
 
-    def value(word: str) -> float:
-        found = _VALUES.get(word)
-        if found is None:
-            if len(_VALUES) >= CACHE_WORDS:
-                _VALUES.clear()
-            found = _VALUES[word] = int(hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) / 4294967295.0
-        return found
-
     def vector(t: str | None) -> np.ndarray:
-        v = np.array([value(w) for w in (t or "").replace("/", " ").split()])
+        v = np.array(list(map(_VALUES.__getitem__, (t or "").replace("/", " ").split())), float)
         rows = np.pad(v, (0, -len(v) % DIM)).reshape(-1, DIM) if len(v) > DIM else v[None, :]
         total = np.zeros(rows.shape[1])
         for r in rows:  # in order, as the expression adds them up

@@ -7,11 +7,13 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,8 +22,8 @@ from quillstone.session import ship
 
 #: Partition columns: the department whose members see a chunk (General: everyone), and the rank of its sensitivity.
 LABELS = ["in_department", "at_level"]
-#: Postings of a range partition, at most and at least about.
-POSTINGS, FEW_POSTINGS = 4_000_000, 250_000
+#: Chunks that a Python worker counts and embeds at once.
+CHUNKS_AT_ONCE = 256
 #: Chunks of a block, about; rows of a page of the postings' files, which are skipped by the blocks' numbers.
 BLOCK, PAGE_ROWS = 64, 2_048
 #: Deleted keys up to which they are broadcast.
@@ -65,6 +67,24 @@ def _print(columns: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
 
 
+def _counted(texts: list[str | None]) -> list[pa.Array]:
+    """By text: words, terms, how often and at which words each occurs. The words of all texts are counted by one sort of their numbers."""
+    found = [_WORD.findall(t or "") for t in texts]
+    dl = np.array(list(map(len, found)), np.int64)
+    words = pa.array(list(chain.from_iterable(found)), pa.string()).dictionary_encode()
+    n = max(1, len(words.dictionary))
+    of = np.repeat(np.arange(len(texts)), dl) * n + words.indices.to_numpy()
+    order = np.argsort(of, kind="stable")
+    at = (np.arange(len(of)) - np.repeat(np.cumsum(dl) - dl, dl))[order]
+    of = of[order]
+    edges = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
+    pairs = of[edges[:-1]]  # text * n + term
+    ends = pa.array(np.searchsorted(pairs, np.arange(len(texts) + 1) * n), pa.int32())
+    places = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(at, pa.int32()))
+    lists = [words.dictionary.take(pa.array(pairs % n)), pa.array(np.diff(edges), pa.int32()), places]
+    return [pa.array(dl, pa.int32()), *(pa.ListArray.from_arrays(ends, x) for x in lists)]
+
+
 def _measured(rows: DataFrame) -> DataFrame:
     """rows (chunk columns and labels) with ADDED. Words are counted inside the row, so no occurrence is shuffled."""
     ship(rows.sparkSession)
@@ -73,32 +93,37 @@ def _measured(rows: DataFrame) -> DataFrame:
     schema = StructType([*(f for f in told.schema if f.name != "_low"), *_ddl("dl int, norm double, vector array<double>, terms array<string>, tfs array<int>, places array<array<int>>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bags: list[dict[str, list[int]]] = [{} for _ in range(b.num_rows)]
-            for bag, low in zip(bags, b.column("_low").to_pylist()):
-                for at, word in enumerate(_WORD.findall(low or "")):
-                    bag.setdefault(word, []).append(at)
-            vectors = list(T.hash_vectors.func(pd.Series(b.column("content").to_pylist(), dtype=object)))
-            kept = b.drop_columns("_low")
-            made = [
-                pa.array([sum(map(len, c.values())) for c in bags], pa.int32()), pa.array([T.norm(v.tolist()) for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())),
-                pa.array([list(c) for c in bags], pa.list_(pa.string())), pa.array([list(map(len, c.values())) for c in bags], pa.list_(pa.int32())), pa.array([list(c.values()) for c in bags], pa.list_(pa.list_(pa.int32()))),
-            ]
-            yield pa.RecordBatch.from_arrays([*kept.columns, *made], names=[f.name for f in schema])
+        for batch in batches:
+            for b in (batch.slice(i, CHUNKS_AT_ONCE) for i in range(0, batch.num_rows, CHUNKS_AT_ONCE)):
+                vectors = list(T.hash_vectors.func(pd.Series(b.column("content").to_pylist(), dtype=object)))
+                dl, *counted = _counted(b.column("_low").to_pylist())
+                made = [dl, pa.array([T.norm(v.tolist()) for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())), *counted]
+                yield pa.RecordBatch.from_arrays([*b.drop_columns("_low").columns, *made], names=[f.name for f in schema])
 
     return told.mapInArrow(run, schema)
 
 
+def _shards(spark: SparkSession) -> int:
+    """Parts into which the rows of one pair of labels are dealt, so that a large one is no hot task and a small one has few files: a quarter of the tasks."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+
+
 def _labelled(chunks: DataFrame, key: list[str]) -> DataFrame:
-    """chunks with their labels, dealt by these: a partition of the index is written by a quarter of the tasks, so it has few files and a large one is no hot task."""
-    n = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """chunks with their labels, dealt by these and shards; Spark joins small parts."""
     department = F.coalesce(F.nullif(F.col("department"), F.lit("")), F.lit("General"))
     rows = chunks.withColumn("in_department", department).withColumn("at_level", access.rank(F.col("sensitivity")))
-    return rows.repartition(n, *LABELS, F.pmod(F.xxhash64(*key), F.lit(max(1, n // 4))))
+    return rows.repartition(*LABELS, F.pmod(F.xxhash64(*key), F.lit(_shards(chunks.sparkSession))))
 
 
 def _append(df: DataFrame, path: str, name: str, *by: str) -> None:
-    df.write.mode("append").option("parquet.page.row.count.limit", PAGE_ROWS).partitionBy(*by).parquet(f"{path}/{name}")
+    writer = df.write.mode("append").option("parquet.page.row.count.limit", PAGE_ROWS).option("compression", "zstd")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{name}")
+
+
+def _append_sorted(df: DataFrame, path: str, name: str, *order: str) -> None:
+    """Files by labels, each in order. Labels that can be null would be sorted again by the writer."""
+    rows = df.withColumn("in_department", F.coalesce("in_department", F.lit("General"))).withColumn("at_level", F.coalesce("at_level", F.lit(3)))
+    _append(rows.sortWithinPartitions(*LABELS, *order), path, name, *LABELS)
 
 
 def _read(spark: SparkSession, path: str, name: str, schemas: dict[str, str], live: Column) -> DataFrame:
@@ -130,41 +155,52 @@ def _bags(chunks: DataFrame, *more: Column | str) -> DataFrame:
     return chunks.select(*more, *LABELS, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"), "places")))
 
 
-def _ranges(spark: SparkSession, rows: int) -> int:
-    return max(-(-rows // POSTINGS), min(-(-rows // FEW_POSTINGS), int(spark.conf.get("spark.sql.shuffle.partitions"))), 1)
+def _blocks(held: DataFrame, sizes: list[Row], key: list[str]) -> DataFrame:
+    """held with `block`, a number that only chunks of one segment and pair of labels share, about BLOCK of them and whole documents."""
+    first, block = 0, F.lit(None)
+    for r in sizes:
+        many = -(-r["n"] // BLOCK)
+        of = F.lit(True)
+        for c in LABELS:
+            of &= F.col(c).eqNullSafe(F.lit(r[c]))
+        block = F.when(of, F.pmod(F.xxhash64(key[0]), F.lit(many)) + first).otherwise(block)
+        first += many
+    return held.withColumn("block", block.cast("int"))
 
 
 def _write_segment(rows: DataFrame, path: str, key: list[str], segment: str) -> dict[str, str] | None:
     """Write measured rows as a segment of its own; the schemas, or None if there are no rows.
 
-    Postings are cut into ranges of labels, terms, blocks and keys, so a question's terms are found by the files' bounds and no term is a hot task. A block holds whole documents, whose chunks share words; what it
-    can score at most for a term follows from the greatest tf and the least length in `bounds`. Deletions leave bounds as they are: what is left scores no more.
+    The postings of the chunks that a task reads are sorted in this task by labels, terms and blocks and written by it, so they are never shuffled, no term is a hot task, and a question's terms are found by the files' and
+    pages' bounds. A block holds whole documents of one pair of labels, whose chunks share words; what it can score at most for a term follows from the greatest tf and the least length in `bounds`, which are taken where
+    whole chunks have been dealt by labels and blocks. Deletions leave bounds as they are: what is left scores no more. Frequencies are sums over the bounds.
     """
     spark = rows.sparkSession
-    _append(rows.withColumn("segment", F.lit(segment)), path, "chunks", "segment", *LABELS)
+    _append(rows, path, f"chunks/segment={segment}", *LABELS)
     schemas = _schemas(rows, key)
     held = _read(spark, path, "chunks", schemas, F.col("segment") == segment)
-    total, n = held.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0)), F.count("*")).first()
-    if not n:
+    counts = held.groupBy(*LABELS).agg(F.count("*").alias("n"), F.sum("dl").alias("dl"))
+    sizes = counts.orderBy(*LABELS).collect()  # a row for each pair of labels
+    if not sizes:
         return None
-    ranges = _ranges(spark, total)
-    block = F.pmod(F.xxhash64(key[0]), F.lit(-(-n // BLOCK))).cast("int").alias("block")
-    bags = _bags(held, block, *key, "dl")
-    bounds = bags.groupBy(*LABELS, "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
-    _append(bounds.repartitionByRange(ranges, *LABELS, "term").sortWithinPartitions(*LABELS, "term", "block").withColumn("segment", F.lit(segment)), path, "bounds", "segment", *LABELS)
-    postings = bags.repartitionByRange(ranges, *LABELS, "term", "block", *key).sortWithinPartitions(*LABELS, "term", "block")
-    _append(postings.select("term", "block", *key, "tf", "dl", "places", F.lit(segment).alias("segment"), *LABELS), path, "postings", "segment", *LABELS)
-    _count(held, path, segment, segment, ranges)
+    held, part = _blocks(held, sizes, key), F.pmod("block", F.lit(_shards(spark))).alias("_part")
+    _append_sorted(_bags(held, "block", *key, "dl"), path, f"postings/segment={segment}", "term", "block")
+    whole = held.select(*LABELS, part, "block", "dl", "terms", "tfs").repartition(*LABELS, "_part")
+    words = whole.select(*LABELS, "_part", "block", "dl", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"))))
+    bounds = words.groupBy(*LABELS, "_part", "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
+    _append_sorted(bounds.drop("_part"), path, f"bounds/segment={segment}", "term", "block")
+    known = _read(spark, path, "bounds", schemas, F.col("segment") == segment).select(*LABELS, F.pmod(F.xxhash64("term"), F.lit(_shards(spark))).alias("_part"), "term", "n").repartition(*LABELS, "_part")
+    _append_sorted(known.groupBy(*LABELS, "_part", "term").agg(F.sum("n").alias("df")).drop("_part"), path, f"terms/segment={segment}/run={segment}", "term")
+    _append(counts.coalesce(1), path, f"sizes/segment={segment}/run={segment}")
     return schemas
 
 
-def _count(chunks: DataFrame, path: str, segment: str | None, run: str, ranges: int, sign: int = 1) -> None:
-    """Add (or take away) what the chunks count for in the statistics of their segment."""
-    of = F.lit(segment) if segment else F.col("segment")
-    rows = chunks.withColumn("segment", of).withColumn("run", F.lit(run))
-    words = rows.select("segment", "run", *LABELS, F.explode("terms").alias("term")).groupBy("segment", "run", *LABELS, "term").agg((sign * F.count("*")).alias("df"))
-    _append(words.repartitionByRange(ranges, *LABELS, "term").sortWithinPartitions(*LABELS, "term"), path, "terms", "segment", "run", *LABELS)
-    _append(rows.groupBy("segment", "run", *LABELS).agg((sign * F.count("*")).alias("n"), (sign * F.sum("dl")).alias("dl")), path, "sizes", "segment", "run")
+def _count_lost(chunks: DataFrame, path: str, run: str) -> None:
+    """Take away what the chunks count for in the statistics of their segments."""
+    rows = chunks.withColumn("run", F.lit(run))
+    words = rows.select("segment", "run", *LABELS, F.explode("terms").alias("term")).groupBy("segment", "run", *LABELS, "term").agg((-F.count("*")).alias("df"))
+    _append(words.sortWithinPartitions("segment", "run", *LABELS, "term"), path, "terms", "segment", "run", *LABELS)
+    _append(rows.groupBy("segment", "run", *LABELS).agg((-F.count("*")).alias("n"), (-F.sum("dl")).alias("dl")), path, "sizes", "segment", "run")
 
 
 def _manifest(spark: SparkSession, path: str):
@@ -236,7 +272,7 @@ def update(chunks: DataFrame, path: str, document: str = "doc_id", gone: DataFra
     if n_dead:
         _append(dead.withColumn("run", F.lit(run)), path, "deleted", "segment", "run")
         lost = held.alias("c").join(F.broadcast(dead).alias("d") if n_dead <= BROADCAST_KEYS else dead.alias("d"), _same("c", "d", [*key, "segment"]), "left_semi")
-        _count(lost, path, None, run, _ranges(spark, n_dead), -1)
+        _count_lost(lost, path, run)
     if n_new or n_dead:
         _commit(spark, path, m["version"] + 1, segments=[*m["segments"], *([run] if n_new else [])], runs=[*m["runs"], run], key=key, dim=m["dim"], deleted=m["deleted"] + n_dead, schemas=m["schemas"])
     return {"written": n_new, "deleted": n_dead, "unchanged": n_same}

@@ -256,3 +256,33 @@ def test_scores_that_sql_holds_equal_are_equal(spark, tmp_path):
     assert {r.doc_id: r.score for r in retrieval.semantic_many(index, asked, F.lit(""), 100).collect()} == want
     shares = spark.createDataFrame([(k, x) for k, order in (("a", [0.1, 0.7, 1e3 / 3]), ("b", [1e3 / 3, 0.7, 0.1])) for x in order], "k string, x double").coalesce(1)
     assert shares.groupBy("k").agg(retrieval._total(F.col("x")).alias("t")).select("t").distinct().count() == 1
+
+
+def test_blocks_are_of_one_pair_of_labels_and_postings_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """A block's bounds are taken where its whole chunks are; its chunks share labels, so bounds are fewer than postings."""
+    monkeypatch.setattr(search_index, "BLOCK", 8)
+    monkeypatch.setattr(search_index, "CHUNKS_AT_ONCE", 7)
+    written = []
+    append = search_index._append
+    monkeypatch.setattr(search_index, "_append", lambda df, path, name, *by: (written.append((name, df._jdf.queryExecution().optimizedPlan().toString())), append(df, path, name, *by)))
+    search_index.build(rows(spark, *BASE), f"file://{tmp_path}/index")
+    (plan,) = [p for n, p in written if n.startswith("postings")]
+    assert "Repartition" not in plan and "Aggregate" not in plan
+    index = search_index.load(spark, f"file://{tmp_path}/index")
+    held = index.postings.select("block", "doc_id", *search_index.LABELS).distinct().collect()
+    assert len({(r.block, r.in_department, r.at_level) for r in held}) == len({r.block for r in held})
+    assert len({(r.doc_id, r.in_department, r.at_level) for r in held}) == len({(r.doc_id, r.block) for r in held})
+    of = ["term", "block", *search_index.LABELS]
+    want = index.postings.groupBy(*of).agg(F.count("*").alias("n"), F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
+    rows_of = lambda df: sorted(map(tuple, df.select(*of, "n", "top_tf", "least_dl").collect()))
+    assert rows_of(index.bounds) == rows_of(want) and index.bounds.count() < index.postings.count()
+
+
+def test_words_of_many_texts_are_counted_as_one_by_one():
+    texts = ["red sea red", None, "", "sea, SEA sea", "a a a"]
+    dl, terms, tfs, places = (x.to_pylist() for x in search_index._counted(texts))
+    for i, t in enumerate(texts):
+        words = search_index._WORD.findall(t or "")
+        assert dl[i] == len(words) and sorted(terms[i]) == sorted(set(words))
+        for w, n, at in zip(terms[i], tfs[i], places[i], strict=True):
+            assert at == [j for j, x in enumerate(words) if x == w] and n == len(at)
