@@ -67,7 +67,8 @@ def grown_index(spark: SparkSession, sf_dir: str) -> search_index.SearchIndex:
     """A search index after several runs: every tenth document came shortened and with a window too many and was mended later, others came late, every ninth was deleted, and half of these came back; the small segments are merged."""
 
     def build(path: str) -> None:
-        rows, i = chunks(spark, sf_dir).select(*INDEXED), F.col("doc_id")
+        chunks(spark, sf_dir).select(*INDEXED).write.parquet(f"{path}/given")  # all runs read these
+        rows, i = spark.read.parquet(f"{path}/given"), F.col("doc_id")
         short = rows.filter(i % 10 == 0).withColumn("content", F.substring("content", 1, 200))
         stale = short.withColumn("window_no", F.col("window_no") + 1000)
         search_index.build(rows.filter(~(i % 10).isin(0, 3)).unionByName(short).unionByName(stale), path)

@@ -286,3 +286,14 @@ def test_words_of_many_texts_are_counted_as_one_by_one():
         assert dl[i] == len(words) and sorted(terms[i]) == sorted(set(words))
         for w, n, at in zip(terms[i], tfs[i], places[i], strict=True):
             assert at == [j for j, x in enumerate(words) if x == w] and n == len(at)
+
+
+def test_runs_of_the_grown_index_read_chunks_that_were_made_once(spark, sf, tmp_path, monkeypatch):
+    plans = []
+    see = lambda rows, *a, **k: plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(search_index, "build", see)
+    monkeypatch.setattr(search_index, "update", see)
+    monkeypatch.setattr(search_index, "merge", lambda *a, **k: 0)
+    monkeypatch.setattr(views, "_kept", lambda spark, sf_dir, name, build: build(f"file://{tmp_path}/x"))
+    views.grown_index(spark, sf)
+    assert len(plans) == 4 and not any("Generate" in p for p in plans)
