@@ -37,6 +37,10 @@ def permute(index: np.ndarray, size: int, key: int = KEY, rounds: int = ROUNDS)
     return out.astype(np.int64)
 
 
+#: Bytes of text whose ids are counted at once.
+COUNTED = 8_000_000
+
+
 #: A record's fields before its ids, as hexadecimal digits (name, digits): slot, first_doc_id (0 if null), documents that have ids in it, ids that are no padding (plus NULL_DOC if first_doc_id is null), CRC-32 of the ids.
 HEAD = [("slot", 16), ("first_doc_id", 16), ("n_docs", 8), ("n_ids", 8), ("crc", 8)]
 HEAD_BYTES = 56
@@ -56,8 +60,8 @@ def _counts(ranks: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, ids = encoder(ranks, "<u2"), 0
         for batch in batches:
-            for some in slices(batch):
-                ids += int(enc.encode_batch(some.column(1), count_only=True)[1].sum()) + some.num_rows
+            for some in slices(batch, COUNTED):
+                ids += int(enc.count_batch(some.column(1)).sum()) + some.num_rows
         if ids:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([-(-ids // length)], pa.int64())], names=["part", "n"])
 

@@ -56,6 +56,7 @@ class ByteEncoder:
         self.dtype = np.dtype(dtype)
         self.all = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={END_OF_TEXT: len(table)})
         self.known: dict[str, bytes | None] = {}  # ids of a word after its space or with its line feed; none where a text with it is encoded whole
+        self.sizes: dict[str, int] = {}  # as known, how many ids a word has; -1 for none
         self.ends = np.zeros(self.size, bool)  # ids that end a sentence or a line
         self.blank = np.zeros(self.size, bool)  # ids of white space alone
         self.first = np.zeros(self.size, bool)  # ids that begin with a space or a line feed
@@ -69,24 +70,51 @@ class ByteEncoder:
         ids = self.all.encode(text, allowed_special="all") if END_OF_TEXT in text else self.all._core_bpe.encode_ordinary(text)
         return np.array(ids, self.dtype).tobytes()
 
+    def _fresh(self, words: list[str], odd: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Fresh words encoded together, with their ids and where each word's begin; those that are not plain go to `odd`. Each begins with its space or line feed, which no other place of it holds, so ids that begin with one tell where words begin."""
+        for i in range(0, len(words), FRESH):
+            part = words[i : i + FRESH]
+            rests = [w[1:] if w[:1] == "\n" else w for w in part]
+            if " ".join(rests).split() != rests:
+                odd += [w for w in part if not _plain(w)]
+                part = [w for w in part if _plain(w)]
+            if part:
+                ids = np.array(self.all._core_bpe.encode_ordinary("".join([w if w[0] == "\n" else " " + w for w in part])), self.dtype)
+                yield part, ids, np.flatnonzero(self.first[ids])
+
     def _learn(self, words: list[str]) -> None:
-        """Encode fresh words together: each begins with its space or line feed, which no other place of it holds, so ids that begin with one tell where words begin."""
-        known = self.known
-        plain = []
-        for w in words:
-            if _plain(w):
-                plain.append(w)
-            else:
-                known[w] = None
-        for i in range(0, len(plain), FRESH):
-            part = plain[i : i + FRESH]
-            ids = np.array(self.all._core_bpe.encode_ordinary("".join([w if w[0] == "\n" else " " + w for w in part])), self.dtype)
-            cuts = (np.flatnonzero(self.first[ids]) * self.dtype.itemsize).tolist()
-            packed = ids.tobytes()
+        known, odd = self.known, []
+        for part, ids, at in self._fresh(words, odd):
+            cuts, packed = (at * self.dtype.itemsize).tolist(), ids.tobytes()
             known.update(zip(part, (packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)], strict=True)), strict=True))
+        known.update(dict.fromkeys(odd))
+
+    def count_batch(self, texts: pa.Array) -> np.ndarray:
+        """How many ids each text has. Of a word only their number is kept."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.empty(0, np.int64)
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        edges = lists.offsets.to_numpy()
+        words = lists.flatten().dictionary_encode()
+        number = words.indices.to_numpy()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.sizes) > CACHE_WORDS:
+            self.sizes.clear()
+        known, odd = self.sizes, []
+        for part, ids, at in self._fresh([w for w in distinct if w not in known], odd):
+            known.update(zip(part, np.diff(at, append=len(ids)).tolist(), strict=True))
+        known.update(dict.fromkeys(odd, -1))
+        size = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        edges = edges - edges[0]
+        count = size[number]
+        odd_text = np.logical_or.reduceat(count < 0, edges[:-1]) | pc.match_substring(texts, END_OF_TEXT).to_numpy(zero_copy_only=False)
+        count[edges[:-1]] = 0  # the first word has no space before it
+        heads = [len(self.whole(t if o else t.split(" ", 1)[0].split("\n", 1)[0])) // self.dtype.itemsize for t, o in zip(texts.to_pylist(), odd_text.tolist(), strict=True)]
+        return np.where(odd_text, 0, np.add.reduceat(count, edges[:-1])) + np.array(heads, np.int64)
 
-    def encode_batch(self, texts: pa.Array, count_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, counts): the ids of all texts end to end, and how many each has. Null texts have none. With count_only the ids are left out."""
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts): the ids of all texts end to end, and how many each has. Null texts have none."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         n = len(texts)
         if not n:
@@ -112,8 +140,6 @@ class ByteEncoder:
         count = size[number]
         done = np.cumsum(count)
         counts = np.diff(np.concatenate([[0], done[edges[1:] - 1]]))
-        if count_only:
-            return np.empty(0, self.dtype), counts
         start = np.cumsum(size) - size
         flat = np.frombuffer(b"".join(table), self.dtype)
         ids = flat[np.arange(done[-1]) + np.repeat(start[number] - (done - count), count)]

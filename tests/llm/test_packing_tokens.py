@@ -201,3 +201,11 @@ def test_words(docs, odd, none):
         got = [(str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in words_bpe.encode_documents(rows).collect()]
         assert sorted(got) == sorted(want)
     assert words_bpe.encode_documents(none).count() == 0
+
+
+def test_counts_are_those_of_the_ids():
+    enc = ByteEncoder(P.path("byte_bpe_50k.tiktoken"), "<u2")
+    r = random.Random(5)
+    texts = ["", None, "a", "\n", " \n a\tb", "a  b", "x<|endoftext|>y z", "  q", "\n\n", "a\nb c\n", "é ñ \r\n k", *("".join(r.choice(["ab", "c", " ", " ", "\n", "\t", "\u00a0", "é", "."]) for _ in range(r.randint(0, 40))) for _ in range(3000))]
+    assert enc.count_batch(pa.array(texts)).tolist() == enc.encode_batch(pa.array(texts))[1].tolist()
+    assert not enc.count_batch(pa.array([], pa.string())).size
