@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -132,20 +135,42 @@ class _Values(dict):
 _VALUES = _Values()
 
 
+def pieces_of(texts: pa.Array, words: Callable[[list[str]], list[list[str]]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """What the texts hold between white space, cut further by `words`, which sees each piece once however often it stands there: where each text ends (from 0) in the next array, the number of each word, and the words by number, of which some may be equal."""
+    pieces = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+    coded = pieces.flatten().dictionary_encode()
+    found = words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    has = np.fromiter(map(len, found), np.int64, len(found))
+    piece = coded.indices.to_numpy()
+    many = has[piece]
+    ends = np.append(0, np.cumsum(many))
+    number = np.repeat((np.cumsum(has) - has)[piece] - ends[:-1], many) + np.arange(ends[-1])
+    return ends[np.append(0, np.cumsum(pc.list_value_length(pieces).to_numpy()))], number, list(chain.from_iterable(found))
+
+
+def vectors_of(texts: pa.Array) -> pa.Array:
+    """hash_embedding of each text."""
+    edges, number, found = pieces_of(texts, lambda pieces: [x.replace("/", " ").split() if "/" in x or not x else (x,) for x in pieces])
+    words = np.fromiter(map(_VALUES.__getitem__, found), float, len(found))[number]
+    rounded = lambda v: np.floor(np.abs(v) * 1e6 + 0.5) / 1e6  # noqa: E731  half up, as Spark and SQL round
+    sizes = np.diff(edges)
+    if len(sizes) and sizes.max() > DIM:
+        parts = []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            total = words[a : a + DIM].copy()
+            for i in range(a + DIM, b, DIM):  # in order, as the expression adds them up
+                total[: b - i] += words[i : min(i + DIM, b)]
+            parts.append(total[: b - a])
+        words, edges = np.concatenate(parts), np.append(0, np.cumsum(np.minimum(sizes, DIM)))
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(rounded(words), pa.float64()))
+
+
 @F.pandas_udf(ArrayType(DoubleType()))
 def hash_vectors(text: pd.Series) -> pd.Series:
     """hash_embedding for whole tables, a batch of texts at once; a worker hashes each word once. Nested expressions take some 60 times as long there, as Spark interprets them."""
-
-    def vector(t: str | None) -> np.ndarray:
-        v = np.array(list(map(_VALUES.__getitem__, (t or "").replace("/", " ").split())), float)
-        rows = np.pad(v, (0, -len(v) % DIM)).reshape(-1, DIM) if len(v) > DIM else v[None, :]
-        total = np.zeros(rows.shape[1])
-        for r in rows:  # in order, as the expression adds them up
-            total = total + r
-        # half up, as Spark and SQL round
-        return np.floor(np.abs(total) * 1e6 + 0.5) / 1e6
-
-    return text.map(vector, na_action=None)
+    found = vectors_of(pa.array(text, pa.string(), from_pandas=True))
+    values, edges = found.values.to_numpy(), found.offsets.to_numpy()
+    return pd.Series([values[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], text.index, dtype=object)
 
 
 def fused_dot(a: Iterable[float], b: Iterable[float]) -> float:

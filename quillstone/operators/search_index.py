@@ -10,8 +10,8 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +22,15 @@ from quillstone.session import ship
 
 #: Partition columns: the department whose members see a chunk (General: everyone), and the rank of its sensitivity.
 LABELS = ["in_department", "at_level"]
-#: Chunks that a Python worker counts and embeds at once.
+#: Deleted chunks whose words a Python worker counts at once; chunks, and bytes of text, that it embeds or whose words it sorts at once; postings that it hands over at once.
 CHUNKS_AT_ONCE = 256
+RUN, RUN_BYTES, ROWS_AT_ONCE = 2_048, 1 << 24, 1 << 16
 #: Chunks of a block, about; rows of a page of the postings' files, which are skipped by the blocks' numbers.
 BLOCK, PAGE_ROWS = 64, 2_048
 #: Deleted keys up to which they are broadcast.
 BROADCAST_KEYS = 100_000
-#: Columns that the index adds to a chunk: words, norm and values of its vector, its terms, how often and at which words each occurs, and a hash of the columns given.
-ADDED = ["dl", "norm", "vector", "terms", "tfs", "places", "print"]
+#: Columns that the index adds to a chunk: words, norm and values of its vector, and a hash of the columns given.
+ADDED = ["dl", "norm", "vector", "print"]
 _MANIFEST = "segments array<string>, runs array<string>, key array<string>, dim int, deleted long, schemas map<string,string>"
 
 
@@ -67,42 +68,130 @@ def _print(columns: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
 
 
-def _counted(texts: list[str | None]) -> list[pa.Array]:
-    """By text: words, terms, how often and at which words each occurs. The words of all texts are counted by one sort of their numbers."""
-    found = [_WORD.findall(t or "") for t in texts]
-    dl = np.array(list(map(len, found)), np.int64)
-    words = pa.array(list(chain.from_iterable(found)), pa.string()).dictionary_encode()
-    n = max(1, len(words.dictionary))
-    of = np.repeat(np.arange(len(texts)), dl) * n + words.indices.to_numpy()
-    order = np.argsort(of, kind="stable")
-    at = (np.arange(len(of)) - np.repeat(np.cumsum(dl) - dl, dl))[order]
-    of = of[order]
+def _found(pieces: list[str]) -> list[list[str]]:
+    return [(x,) if x.isalnum() else _WORD.findall(x) for x in pieces]
+
+
+def _pairs(texts: pa.Array, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Words by text; then of each pair of text and word, in order of group (of the texts, ascending), word and text: the text, the word's number and where the pair's places end (from 0) in the next array, all places; and the distinct words, in order. The words of all texts are counted by one sort of their numbers."""
+    ends, number, found = T.pieces_of(texts, _found)
+    words = pa.array(found, pa.string()).dictionary_encode()
+    order = pc.array_sort_indices(words.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    dl, n, t = np.diff(ends), max(1, len(order)), max(1, len(texts))
+    text = np.repeat(np.arange(len(texts)), dl)
+    of = (group[text] * n + rank[words.indices.to_numpy()[number]]) * t + text
+    at, most = np.arange(len(of)) - np.repeat(ends[:-1], dl), int(dl.max(initial=1))
+    if (int(group.max(initial=0)) + 1) * n * t * most < 1 << 63:  # pair and place in one number
+        of, at = np.divmod(np.sort(of * most + at), most)
+    else:
+        sort = np.argsort(of, kind="stable")
+        of, at = of[sort], at[sort]
     edges = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
-    pairs = of[edges[:-1]]  # text * n + term
-    ends = pa.array(np.searchsorted(pairs, np.arange(len(texts) + 1) * n), pa.int32())
-    places = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(at, pa.int32()))
-    lists = [words.dictionary.take(pa.array(pairs % n)), pa.array(np.diff(edges), pa.int32()), places]
+    pairs = of[edges[:-1]]
+    return dl, pairs % t, pairs // t % n, edges, at, words.dictionary.take(order)
+
+
+def _counted(texts: list[str | None]) -> list[pa.Array]:
+    """By text: words, terms, how often and at which words each occurs."""
+    dl, text, word, edges, at, distinct = _pairs(pa.array(texts, pa.string()), np.arange(len(texts)))
+    ends = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32())
+    lists = [distinct.take(pa.array(word)), pa.array(np.diff(edges), pa.int32()), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(at, pa.int32()))]
     return [pa.array(dl, pa.int32()), *(pa.ListArray.from_arrays(ends, x) for x in lists)]
 
 
 def _measured(rows: DataFrame) -> DataFrame:
-    """rows (chunk columns and labels) with ADDED. Words are counted inside the row, so no occurrence is shuffled."""
+    """rows (chunk columns and labels) with ADDED."""
     ship(rows.sparkSession)
     columns = [c for c in rows.columns if c not in LABELS]
     told = rows.withColumn("print", _print(columns)).withColumn("_low", F.lower("content"))
-    schema = StructType([*(f for f in told.schema if f.name != "_low"), *_ddl("dl int, norm double, vector array<double>, terms array<string>, tfs array<int>, places array<array<int>>")])
+    schema = StructType([*(f for f in told.schema if f.name != "_low"), *_ddl("dl int, norm double, vector array<double>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in (batch.slice(i, CHUNKS_AT_ONCE) for i in range(0, batch.num_rows, CHUNKS_AT_ONCE)):
-                vectors = list(T.hash_vectors.func(pd.Series(b.column("content").to_pylist(), dtype=object)))
-                dl, *counted = _counted(b.column("_low").to_pylist())
-                made = [dl, pa.array([T.norm(v.tolist()) for v in vectors], pa.float64()), pa.array(vectors, pa.list_(pa.float64())), *counted]
-                yield pa.RecordBatch.from_arrays([*b.drop_columns("_low").columns, *made], names=[f.name for f in schema])
+        for b in _runs(batches):
+            vectors = T.vectors_of(b.column("content"))
+            values, edges = vectors.values.to_numpy(), vectors.offsets.to_numpy()
+            norms = [T.norm(values[i:j].tolist()) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+            dl = np.diff(T.pieces_of(b.column("_low"), _found)[0])
+            made = [pa.array(dl, pa.int32()), pa.array(norms, pa.float64()), vectors]
+            yield pa.RecordBatch.from_arrays([*b.drop_columns("_low").columns, *made], names=[f.name for f in schema])
 
     return told.mapInArrow(run, schema)
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in runs of about RUN rows and RUN_BYTES of `_low`; none ends inside a block, if rows come by blocks."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        held = batch if held is None else pa.concat_batches([held, batch])
+        while held is not None:
+            size = np.cumsum(pc.fill_null(pc.binary_length(held.column("_low")), 0).to_numpy(zero_copy_only=False))
+            ends = np.flatnonzero(np.diff(held.column("block").to_numpy())) + 1 if "block" in held.schema.names else np.arange(1, held.num_rows)
+            ends = ends[ends >= min(RUN, np.searchsorted(size, RUN_BYTES) + 1)]
+            if not len(ends):
+                break
+            yield held.slice(0, ends[0])
+            held = held.slice(ends[0])
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _in_order(b: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows in order of labels and block, and the number of each one's pair of labels."""
+    b = b.take(pc.sort_indices(b, sort_keys=[(c, "ascending") for c in (*LABELS, "block")]))
+    changes = np.zeros(max(0, b.num_rows - 1), bool)
+    for c in LABELS:
+        changes |= np.diff(b.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()) != 0
+    return b, np.concatenate([[0], np.cumsum(changes)]) if b.num_rows else np.zeros(0, np.int64)
+
+
+def _handed(columns: list[pa.Array], schema: StructType) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+    for i in range(0, whole.num_rows, ROWS_AT_ONCE):
+        yield whole.slice(i, ROWS_AT_ONCE)
+
+
+def _postings(texts: DataFrame, key: list[str]) -> DataFrame:
+    """A row for each chunk and word of texts (key, labels, block, dl, _low). Each run comes in order of labels, words and blocks, so that sorting a task's rows only merges its runs."""
+    ship(texts.sparkSession)
+    same = ["block", *key, "dl", *LABELS]
+    schema = StructType([*_ddl("term string, tf int, places array<int>"), *(texts.schema[c] for c in same)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, group in map(_in_order, _runs(batches)):
+            _, text, word, edges, at, distinct = _pairs(b.column("_low"), group)
+            places = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(at, pa.int32()))
+            own = b.select(same).take(pa.array(text)).columns
+            yield from _handed([distinct.take(pa.array(word)), pa.array(np.diff(edges), pa.int32()), places, *own], schema)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _bounds(texts: DataFrame) -> DataFrame:
+    """A row for each block and word of texts (labels, block, dl, _low), whose rows come by blocks: chunks that hold the word, its greatest tf and their least dl."""
+    ship(texts.sparkSession)
+    same = ["block", *LABELS]
+    schema = StructType([*_ddl("term string, n long, top_tf int, least_dl int"), *(texts.schema[c] for c in same)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, group in map(_in_order, _runs(batches)):
+            _, text, word, edges, _, distinct = _pairs(b.column("_low"), group)
+            if not len(text):
+                continue
+            block, dl = b.column("block").to_numpy()[text], b.column("dl").to_numpy()[text]
+            first = np.flatnonzero((np.diff(block, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))
+            made = [np.diff(np.append(first, len(text))), np.maximum.reduceat(np.diff(edges), first), np.minimum.reduceat(dl, first)]
+            own = b.select(same).take(pa.array(text[first])).columns
+            yield from _handed([distinct.take(pa.array(word[first])), pa.array(made[0], pa.int64()), pa.array(made[1], pa.int32()), pa.array(made[2], pa.int32()), *own], schema)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _lower(chunks: DataFrame, *columns: str) -> DataFrame:
+    return chunks.select(*columns, *LABELS, F.lower("content").alias("_low"))
+
+
 def _shards(spark: SparkSession) -> int:
     """Parts into which the rows of one pair of labels are dealt, so that a large one is no hot task and a small one has few files: a quarter of the tasks."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
@@ -150,11 +239,6 @@ def _schemas(chunks: DataFrame, key: list[str]) -> dict[str, str]:
     return {n: s.json() for n, s in tables.items()}
 
 
-def _bags(chunks: DataFrame, *more: Column | str) -> DataFrame:
-    """A row for each chunk and word."""
-    return chunks.select(*more, *LABELS, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"), "places")))
-
-
 def _blocks(held: DataFrame, sizes: list[Row], key: list[str]) -> DataFrame:
     """held with `block`, a number that only chunks of one segment and pair of labels share, about BLOCK of them and whole documents."""
     first, block = 0, F.lit(None)
@@ -183,22 +267,29 @@ def _write_segment(rows: DataFrame, path: str, key: list[str], segment: str) ->
     sizes = counts.orderBy(*LABELS).collect()  # a row for each pair of labels
     if not sizes:
         return None
-    held, part = _blocks(held, sizes, key), F.pmod("block", F.lit(_shards(spark))).alias("_part")
-    _append_sorted(_bags(held, "block", *key, "dl"), path, f"postings/segment={segment}", "term", "block")
-    whole = held.select(*LABELS, part, "block", "dl", "terms", "tfs").repartition(*LABELS, "_part")
-    words = whole.select(*LABELS, "_part", "block", "dl", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"))))
-    bounds = words.groupBy(*LABELS, "_part", "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
-    _append_sorted(bounds.drop("_part"), path, f"bounds/segment={segment}", "term", "block")
-    known = _read(spark, path, "bounds", schemas, F.col("segment") == segment).select(*LABELS, F.pmod(F.xxhash64("term"), F.lit(_shards(spark))).alias("_part"), "term", "n").repartition(*LABELS, "_part")
-    _append_sorted(known.groupBy(*LABELS, "_part", "term").agg(F.sum("n").alias("df")).drop("_part"), path, f"terms/segment={segment}/run={segment}", "term")
+    texts, part = _lower(_blocks(held, sizes, key), *key, "block", "dl"), F.pmod("block", F.lit(_shards(spark)))
+    _append_sorted(_postings(texts, key), path, f"postings/segment={segment}", "term", "block")
+    whole = texts.drop(*key).repartition(*LABELS, part).sortWithinPartitions("block")
+    _append_sorted(_bounds(whole), path, f"bounds/segment={segment}", "term", "block")
+    known = _read(spark, path, "bounds", schemas, F.col("segment") == segment)
+    _append_sorted(known.groupBy(*LABELS, "term").agg(F.sum("n").alias("df")), path, f"terms/segment={segment}/run={segment}", "term")
     _append(counts.coalesce(1), path, f"sizes/segment={segment}/run={segment}")
     return schemas
 
 
 def _count_lost(chunks: DataFrame, path: str, run: str) -> None:
-    """Take away what the chunks count for in the statistics of their segments."""
+    """Take away what the chunks count for in the statistics of their segments. Their words are found anew and counted batch by batch."""
+    ship(chunks.sparkSession)
     rows = chunks.withColumn("run", F.lit(run))
-    words = rows.select("segment", "run", *LABELS, F.explode("terms").alias("term")).groupBy("segment", "run", *LABELS, "term").agg((-F.count("*")).alias("df"))
+    texts = _lower(rows, "segment", "run")
+    schema = StructType([*(f for f in texts.schema if f.name != "_low"), *_ddl("term array<string>")])
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in (batch.slice(i, CHUNKS_AT_ONCE) for i in range(0, batch.num_rows, CHUNKS_AT_ONCE)):
+                yield pa.RecordBatch.from_arrays([*b.drop_columns("_low").columns, _counted(b.column("_low").to_pylist())[1]], names=[f.name for f in schema])
+
+    words = texts.mapInArrow(terms, schema).withColumn("term", F.explode("term")).groupBy("segment", "run", *LABELS, "term").agg((-F.count("*")).alias("df"))
     _append(words.sortWithinPartitions("segment", "run", *LABELS, "term"), path, "terms", "segment", "run", *LABELS)
     _append(rows.groupBy("segment", "run", *LABELS).agg((-F.count("*")).alias("n"), (-F.sum("dl")).alias("dl")), path, "sizes", "segment", "run")
 

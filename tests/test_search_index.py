@@ -297,3 +297,52 @@ def test_runs_of_the_grown_index_read_chunks_that_were_made_once(spark, sf, tmp_
     monkeypatch.setattr(views, "_kept", lambda spark, sf_dir, name, build: build(f"file://{tmp_path}/x"))
     views.grown_index(spark, sf)
     assert len(plans) == 4 and not any("Generate" in p for p in plans)
+
+
+def test_each_piece_of_a_text_is_looked_through_once(spark):
+    """Words and vectors come from the distinct pieces between white space, whatever white space, signs and slashes the texts hold."""
+    import pyarrow as pa
+
+    from quillstone.functions import text as T
+
+    texts = ["red sea red", None, "", " a/b c\x1cd\x85é_f,g  red", "sea, SEA sea.", "/ /x", "w " * 1500 + "/y/z " * 200]
+    seen = []
+    ends, number, found = T.pieces_of(pa.array(texts), lambda pieces: seen.append(pieces) or search_index._found(pieces))
+    assert len(seen) == 1 and len(seen[0]) == len(set(seen[0]))
+    for i, t in enumerate(texts):
+        assert [found[n] for n in number[ends[i] : ends[i + 1]]] == search_index._WORD.findall(t or "")
+    want = [r.v for r in spark.createDataFrame([(i, t or "") for i, t in enumerate(texts)], "i int, t string").select("i", T.hash_embedding(F.col("t")).alias("v")).orderBy("i").collect()]
+    assert T.vectors_of(pa.array(texts)).to_pylist() == want
+
+
+def test_runs_of_chunks_end_with_their_blocks(monkeypatch):
+    import pyarrow as pa
+
+    batches = [pa.record_batch({"block": pa.array([i // 5 for i in range(a, b)], pa.int32()), "_low": ["x" * 10] * (b - a), "at": list(range(a, b))}) for a, b in ((0, 13), (13, 14), (14, 60))]
+    for many, text, alone in ((7, 10**6, [7] * 8 + [4]), (10**6, 95, [10] * 6)):
+        monkeypatch.setattr(search_index, "RUN", many)
+        monkeypatch.setattr(search_index, "RUN_BYTES", text)
+        runs = list(search_index._runs(iter(batches)))
+        assert [x for r in runs for x in r["at"].to_pylist()] == list(range(60))
+        assert [r.num_rows for r in runs] == [10] * 6
+        assert [r.num_rows for r in search_index._runs(b.drop_columns("block") for b in batches)] == alone
+    assert not list(search_index._runs(iter([])))
+
+
+def test_a_segment_holds_no_word_twice(spark, tmp_path, monkeypatch):
+    """Chunks hold no word lists; postings and bounds are made of the texts, in order, and only frequencies are added up by a shuffle of words."""
+    plans = {}
+    append = search_index._append
+    monkeypatch.setattr(search_index, "_append", lambda df, path, name, *by: (plans.setdefault(name.split("/")[0], df._jdf.queryExecution().optimizedPlan().toString()), append(df, path, name, *by)))
+    search_index.build(rows(spark, *BASE), f"file://{tmp_path}/index")
+    assert not any("array<string>" in t for _, t in search_index.load(spark, f"file://{tmp_path}/index").chunks.dtypes)
+    assert "Generate" not in plans["postings"] + plans["bounds"] and "Aggregate" not in plans["bounds"]
+    assert "Repartition" not in plans["terms"]
+
+
+def test_words_of_deleted_chunks_are_taken_away(spark, tmp_path):
+    path = f"file://{tmp_path}/index"
+    search_index.build(rows(spark, chunk(1, 0, "Red red SEA"), chunk(2, 0, "red"), chunk(3, 0, None)), path)
+    search_index.update(rows(spark), path, gone=rows(spark, chunk(1, 0, ""), chunk(3, 0, "")))
+    terms = {r.term: r.df for r in search_index.load(spark, path).terms.groupBy("term").agg(F.sum("df").alias("df")).collect()}
+    assert terms == {"red": 1, "sea": 0}
