@@ -110,7 +110,7 @@ UNIT = float(2**40)
 
 
 def _total(share: Column) -> Column:
-    return F.sum(F.round(share * UNIT).cast("long")) / UNIT
+    return F.sum(F.rint(share * UNIT).cast("long")) / UNIT  # round() would go through decimal strings
 
 
 def _bm25_scores(hits: DataFrame, key: tuple[str, ...], weights: dict[str, float], mean_dl: float) -> DataFrame:

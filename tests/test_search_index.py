@@ -346,3 +346,11 @@ def test_words_of_deleted_chunks_are_taken_away(spark, tmp_path):
     search_index.update(rows(spark), path, gone=rows(spark, chunk(1, 0, ""), chunk(3, 0, "")))
     terms = {r.term: r.df for r in search_index.load(spark, path).terms.groupBy("term").agg(F.sum("df").alias("df")).collect()}
     assert terms == {"red": 1, "sea": 0}
+
+
+def test_shares_are_rounded_without_decimal_strings(spark):
+    """round() of a double goes through BigDecimal and its digits, for each posting and question."""
+    shares = spark.createDataFrame([(1, 0.1), (1, -2.7), (2, 1e3 / 3), (2, 0.0)], "k int, x double")
+    out = shares.groupBy("k").agg(retrieval._total(F.col("x")).alias("t"))
+    assert "round(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.k: r.t for r in out.collect()} == {k: sum(round(x * 2**40) for x in v) / 2**40 for k, v in ((1, (0.1, -2.7)), (2, (1e3 / 3, 0.0)))}
