@@ -374,7 +374,7 @@ def load_segment(spark: SparkSession, path: str, schemas: dict[str, str], segmen
 
 
 def merge(spark: SparkSession, path: str, below: int) -> int:
-    """Rewrite the segments that have fewer than `below` chunks left as one, without what is deleted in them; how many were merged. Vectors and word counts are taken over. Larger segments stay as they are."""
+    """Rewrite the segments that have fewer than `below` chunks left as one, without what is deleted in them; how many were merged. Vectors are taken over, words are counted anew for the postings. Larger segments stay as they are."""
     m = _manifest(spark, path)
     whole = _tables(spark, path, m)
     left = {r["segment"]: r["n"] for r in whole["sizes"].groupBy("segment").agg(F.sum("n").alias("n")).collect()}  # a number a segment
